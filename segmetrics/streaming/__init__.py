@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reference has no stream processing -- no watermarks, windows, stateful
+streams or late data; its only trigger is a daily schedule.  The daily run in
+``operators.daily`` is a batch job a scheduler starts once per day.
+"""
