@@ -198,7 +198,7 @@ def generate_segments(ids: DataFrame, id_col: str = "segment_id", step_col: str
     itself by default); ``created_at`` goes back ``n % 365`` days from
     ``as_of`` and ``updated_at`` is ``as_of`` (the insert time)."""
     n = F.col(step_col or id_col).cast("long")
-    ts = F.lit(as_of).cast("timestamp_ntz")
+    ts = S.ntz_literal(as_of)
     return ids.select(
         F.col(id_col).cast("long").alias("segment_id"),
         segment_conditions(n, domain).alias("conditions"),

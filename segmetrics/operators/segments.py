@@ -7,13 +7,15 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import schemas as S
+
 
 def touch_updated(old: DataFrame, new: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Upsert ``new`` definitions onto ``old`` by ``segment_id``.  A changed
     definition gets ``updated_at = as_of`` (ON UPDATE CURRENT_TIMESTAMP); an
     unchanged one keeps its timestamps; a new id is inserted at ``as_of``;
     ids only in ``old`` stay.  One full outer join, shuffled by segment id."""
-    ts = F.lit(as_of).cast("timestamp_ntz")
+    ts = S.ntz_literal(as_of)
     o, n = old.alias("o"), new.alias("n")
     j = o.join(n, F.col("o.segment_id") == F.col("n.segment_id"), "full_outer")
     in_old, in_new = F.col("o.segment_id").isNotNull(), F.col("n.segment_id").isNotNull()

@@ -89,3 +89,9 @@ CONDITION = T.StructType([
     T.StructField("operator", T.StringType(), True),
     T.StructField("value", T.StringType(), True),
 ])
+
+
+def ntz_literal(value):
+    """A TIMESTAMP_NTZ literal for a naive datetime (wall-clock, no zone)."""
+    from pyspark.sql import functions as F
+    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")

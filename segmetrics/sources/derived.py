@@ -156,7 +156,7 @@ def _edge_text(k):
 
 def edge_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("k")
-    ts = F.lit(dt.datetime(2026, 5, 1)).cast("timestamp_ntz")
+    ts = S.ntz_literal(dt.datetime(2026, 5, 1))
     return customer_keys(spark, sf_dir).select(
         (k + 1 + EDGE_ID_BASE).alias("segment_id"), _edge_text(k).alias("conditions"),
         ts.alias("created_at"), ts.alias("updated_at"))
