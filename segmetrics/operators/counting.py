@@ -105,7 +105,13 @@ def _column_options(seg: DataFrame, column: str, cube: DataFrame,
                .join(index, (drv_op == index.op)
                      & (C.collated(drv_val, collation) == C.collated(index.pattern, collation)))
                .where(holds(F.col("value")))
-               .drop("op", "pattern")
+               .drop("op", "pattern"))
+    if collation:
+        # Keys join the cube with collation-aware equality, so one key per
+        # equivalence class (the conditions hold for all of its members).
+        scanned = (scanned.withColumn("_cv", C.collated(F.col("value"), collation))
+                   .dropDuplicates(["def_key", "_cv"]).drop("_cv"))
+    scanned = (scanned
                .withColumn(f"{column}_opt", opt(1, bit, F.col("value")))
                .drop("value"))
     return direct.unionByName(scanned)
