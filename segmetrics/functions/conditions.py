@@ -45,15 +45,18 @@ def parsed_elements(conditions: Column) -> tuple[Column, Column]:
     """Return (variant, array of element structs) for raw JSON text."""
     v = F.try_parse_json(conditions)
     arr = F.try_variant_get(v, "$", "array<variant>")
-    elems = F.transform(arr, lambda e, i: F.struct(
+    return v, F.transform(arr, _element)
+
+
+def _element(e: Column, i: Column) -> Column:
+    return F.struct(
         i.alias("pos"),
         F.is_variant_null(e).alias("is_null"),
         F.schema_of_variant(e).startswith("OBJECT").alias("is_object"),
         F.try_variant_get(e, "$.category", "string").alias("category"),
         F.try_variant_get(e, "$.operator", "string").alias("operator"),
         F.try_variant_get(e, "$.value", "string").alias("value"),
-    ))
-    return v, elems
+    )
 
 
 def _load_reason(e: Column) -> Column:
@@ -85,6 +88,10 @@ def _first(arr: Column, field: str) -> Column:
 def error_reason(conditions: Column) -> Column:
     """Why a segment cannot be counted, or null (valid)."""
     v, elems = parsed_elements(conditions)
+    return _error_from(conditions, v, elems)
+
+
+def _error_from(conditions: Column, v: Column, elems: Column) -> Column:
     arr_missing = v.isNotNull() & ~F.is_variant_null(v) & elems.isNull()
     load = F.filter(F.transform(elems, lambda e: F.struct(
         e.pos.alias("pos"), _load_reason(e).alias("r"))),
@@ -102,6 +109,10 @@ def effective_conditions(conditions: Column) -> Column:
     Each is ``struct(pos, category, operator, value, ival)``; null or an
     empty array means "match every account"."""
     _, elems = parsed_elements(conditions)
+    return _effective_from(elems)
+
+
+def _effective_from(elems: Column) -> Column:
     kept = F.filter(elems, lambda e: ~e.is_null & e.is_object
                     & has_text(e.value) & e.category.isin(*S.KNOWN_CATEGORIES))
     return F.transform(kept, lambda e: F.struct(
@@ -176,11 +187,19 @@ def _bounds(eff: Column, category: str) -> tuple[Column, Column, Column]:
 def normalize_segments(segments: DataFrame, collation: str | None = None) -> DataFrame:
     """One row per segment: error, effective conditions, signature and the
     per-column parts the keyed count needs.  Pure projection: no shuffle."""
-    eff_raw = effective_conditions(F.col("conditions"))
-    df = segments.select(
+    # Layered projections: the JSON is parsed once and the element array is
+    # a column that the next projection reads (Catalyst does not inline a
+    # non-trivial expression that is referenced several times).
+    parsed = segments.select("segment_id", "conditions",
+                             F.try_parse_json("conditions").alias("_v"))
+    parsed = parsed.select("segment_id", "conditions", "_v",
+                           F.transform(F.try_variant_get(F.col("_v"), "$", "array<variant>"),
+                                       _element).alias("_elems"))
+    df = parsed.select(
         "segment_id",
-        error_reason(F.col("conditions")).alias("error_reason"),
-        F.coalesce(eff_raw, F.array().cast(EFFECTIVE_TYPE)).alias("effective"),
+        _error_from(F.col("conditions"), F.col("_v"), F.col("_elems")).alias("error_reason"),
+        F.coalesce(_effective_from(F.col("_elems")),
+                   F.array().cast(EFFECTIVE_TYPE)).alias("effective"),
     )
     eff = F.col("effective")
     sig = F.aggregate(eff, F.lit(0), lambda acc, e: acc.bitwiseOR(

@@ -174,15 +174,14 @@ def order_count_conditions(n: Column) -> Column:
                                    ORDER_RANGE_GTE, ORDER_RANGE_LTE)))
 
 
-def segment_conditions(n: Column, domain: str = "seed") -> Column:
-    """JSON text of the condition list for ladder step ``n`` (bigint)."""
-    parts = {"gender": gender_conditions, "age": age_conditions,
-             "order_count": order_count_conditions,
-             "location": lambda x: location_conditions(x, domain)}
+PART_BUILDERS = {"gender": gender_conditions, "age": age_conditions,
+                 "order_count": order_count_conditions}
+
+
+def _ladder(n: Column, parts: dict[str, Column]) -> Column:
     expr = None
     for last, names in SEGMENT_LADDER:
-        merged = F.concat(*[parts[c](n) for c in names]) if len(names) > 1 \
-            else parts[names[0]](n)
+        merged = F.concat(*[parts[c] for c in names]) if len(names) > 1 else parts[names[0]]
         if last is None:
             expr = expr.otherwise(merged)
         else:
@@ -191,18 +190,33 @@ def segment_conditions(n: Column, domain: str = "seed") -> Column:
     return F.to_json(expr)
 
 
+def segment_conditions(n: Column, domain: str = "seed") -> Column:
+    """JSON text of the condition list for ladder step ``n`` (bigint)."""
+    parts = {k: f(n) for k, f in PART_BUILDERS.items()}
+    parts["location"] = location_conditions(n, domain)
+    return _ladder(n, parts)
+
+
 def generate_segments(ids: DataFrame, id_col: str = "segment_id", step_col: str | None = None,
                       as_of: dt.datetime = dt.datetime(2026, 5, 1),
                       domain: str = "seed") -> DataFrame:
     """One segment per input row.  ``step_col`` picks the ladder step (the id
     itself by default); ``created_at`` goes back ``n % 365`` days from
-    ``as_of`` and ``updated_at`` is ``as_of`` (the insert time)."""
+    ``as_of`` and ``updated_at`` is ``as_of`` (the insert time).  The four
+    condition parts are computed once per row, then the ladder concatenates
+    them."""
     n = F.col(step_col or id_col).cast("long")
     ts = S.ntz_literal(as_of)
-    return ids.select(
-        F.col(id_col).cast("long").alias("segment_id"),
-        segment_conditions(n, domain).alias("conditions"),
-        (ts - F.make_dt_interval(days=(n % 365).cast("int"))).alias("created_at"),
+    parts = ids.select(F.col(id_col).cast("long").alias("segment_id"), n.alias("_n"),
+                       *[f(n).alias(f"_p_{k}")
+                         for k, f in PART_BUILDERS.items()],
+                       location_conditions(n, domain).alias("_p_location"))
+    pn = F.col("_n")
+    return parts.select(
+        "segment_id",
+        _ladder(pn, {k: F.col(f"_p_{k}") for k in (*PART_BUILDERS, "location")})
+        .alias("conditions"),
+        (ts - F.make_dt_interval(days=(pn % 365).cast("int"))).alias("created_at"),
         ts.alias("updated_at"),
     )
 
