@@ -164,7 +164,10 @@ def keyed_counts(norm: DataFrame, accounts: DataFrame,
     # feeds both the substring index and the final join, so it is checkpointed
     # rather than recomputed per consumer.
     cube = materialize(signature_cube(account_cells(accounts)))
-    defs = norm.where(F.col("error_reason").isNull()).dropDuplicates(["def_key"])
+    # Distinct valid definitions feed four branches (string-column options);
+    # checkpointed once so the de-duplication is not repeated per branch.
+    defs = materialize(norm.where(F.col("error_reason").isNull())
+                       .dropDuplicates(["def_key"]))
     t = segment_terms(defs, cube, collation)
 
     def key_eq(a: str, b: str) -> Column:
