@@ -121,3 +121,21 @@ def test_trend_rules(spark):
     assert js == ['{"date":"2026-01-01","count":10}']
     with pytest.raises(ValueError):
         trend.parse_day("2026-1-01")
+
+
+def test_execute_daily_batch_and_run_metrics(spark, setup, tmp_out):
+    from segmetrics.operators import latency
+    acc, segs = setup
+    path = os.path.join(tmp_out, "m")
+    rm = daily.execute_daily_batch(spark, acc, segs, path, DAY,
+                                   errors_path=os.path.join(tmp_out, "e"), run_id="r1")
+    assert {r.stage for r in rm.collect()} == {"count_step", "flush", "total"}
+    assert as_dict(tables.read_metrics(spark, path))[1] == (2, "INSERTED")
+    errs = spark.read.parquet(os.path.join(tmp_out, "e")).collect()
+    assert [(r.segment_id, r.error_reason) for r in errs] == [(3, S.UNSUPPORTED_OPERATOR)]
+    assert latency.summary(rm, "seconds").first().n == 3
+
+
+def test_today_uses_session_zone(spark):
+    d = daily.today(spark)
+    assert isinstance(d, dt.date)
