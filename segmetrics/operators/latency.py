@@ -52,9 +52,14 @@ def bucket_counts(df: DataFrame, value: str, bounds=None, by=()) -> DataFrame:
     bounds = bounds or default_bounds()
     arr = F.array(*[F.lit(float(b)) for b in bounds])
     v = F.col(value).cast("double")
-    # index of the first bound >= v (0-based) = number of bounds below v
+    # index of the first bound >= v (0-based), as a CASE chain (compiled)
+    idx = None
+    for i, b in enumerate(bounds):
+        idx = F.when(v <= F.lit(float(b)), F.lit(i)) if idx is None \
+            else idx.when(v <= F.lit(float(b)), F.lit(i))
+    idx = idx.otherwise(F.lit(len(bounds)))       # NaN: above every bound
     per_bucket = (df.where(v.isNotNull())
-                  .select(*by, F.size(F.filter(arr, lambda b: b < v)).alias("idx"))
+                  .select(*by, idx.alias("idx"))
                   .groupBy(*by, "idx").agg(F.count(F.lit(1)).alias("n")))
     grid = (df.select(*by).distinct() if by else df.sparkSession.range(1).select())
     grid = grid.select(*by, F.posexplode(arr).alias("idx", "le"))

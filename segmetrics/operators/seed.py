@@ -258,36 +258,49 @@ def int_div(a: Column, b: int) -> Column:
 
 
 def _pick(u: Column, weights: list[int]) -> Column:
-    """0-based index of the weighted bucket holding draw ``u``."""
-    cum, acc = [], 0
-    for w in weights:
+    """0-based index of the weighted bucket holding draw ``u`` (a CASE chain
+    over the cumulative weights: compiled code, no per-row lambda)."""
+    expr, acc = None, 0
+    for i, w in enumerate(weights[:-1]):
         acc += w
-        cum.append(acc)
-    return F.size(F.filter(F.array(*[F.lit(c) for c in cum]), lambda t: t <= u))
-
-
-def _uniform(ids: Column, salt: str, lo: Column, hi: Column) -> Column:
-    """Integer uniform in [lo, hi] from the id."""
-    span = hi - lo + 1
-    return lo + int_div(draw(ids, salt, 1 << 20) * span, 1 << 20)
+        expr = F.when(u < acc, F.lit(i)) if expr is None else expr.when(u < acc, F.lit(i))
+    last = F.lit(len(weights) - 1)
+    return last if expr is None else expr.otherwise(last)
 
 
 def generate_accounts(ids: DataFrame, id_col: str = "user_id") -> DataFrame:
-    """One account per input id with the seed's distributions."""
+    """One account per input id with the seed's distributions.  Three
+    layered projections (draws, bucket choices, values) keep each generated
+    expression small; everything is compiled code."""
     uid = F.col(id_col).cast("long")
-    g_idx = _pick(draw(uid, "gender", 10000), [w for _, w in GENDER_WEIGHTS])
     loc_total = sum(w for _, w in LOCATION_WEIGHTS)
-    l_idx = _pick(draw(uid, "location", loc_total), [w for _, w in LOCATION_WEIGHTS])
-    grp = _pick(draw(uid, "group", 100), [w for _, w in AGE_GROUP_WEIGHTS])
-    names = [n for n, _ in AGE_GROUP_WEIGHTS]
+    draws = ids.select(
+        uid.alias("user_id"),
+        draw(uid, "gender", 10000).alias("_ug"),
+        draw(uid, "location", loc_total).alias("_ul"),
+        draw(uid, "group", 100).alias("_ugrp"),
+        draw(uid, "age_split", 100).alias("_us"),
+        draw(uid, "bucket", 1000).alias("_ub"),
+        draw(uid, "age", 1 << 20).alias("_ua"),
+        draw(uid, "order", 1 << 20).alias("_uo"))
 
-    # age range per group (J3); 20s and 70+ need a second draw.
-    split = draw(uid, "age_split", 100)
-    b70 = _pick(split, [w for _, w in AGE_70PLUS_BUCKETS])
-    lo70 = F.element_at(F.array(*[F.lit(b[0]) for b, _ in AGE_70PLUS_BUCKETS]), b70 + 1)
-    hi70 = F.element_at(F.array(*[F.lit(b[1]) for b, _ in AGE_70PLUS_BUCKETS]), b70 + 1)
+    names = [n for n, _ in AGE_GROUP_WEIGHTS]
+    grp = _pick(F.col("_ugrp"), [w for _, w in AGE_GROUP_WEIGHTS])
+    picks = draws.select(
+        "user_id", "_ua", "_uo", "_us",
+        _pick(F.col("_ug"), [w for _, w in GENDER_WEIGHTS]).alias("_g"),
+        _pick(F.col("_ul"), [w for _, w in LOCATION_WEIGHTS]).alias("_l"),
+        grp.alias("_grp"),
+        _pick(F.col("_us"), [w for _, w in AGE_70PLUS_BUCKETS]).alias("_b70"),
+        *[_pick(F.col("_ub"), ORDER_WEIGHTS_BY_GROUP[n]).alias(f"_ob{i}")
+          for i, n in enumerate(names)])
+
+    # age range per group (J3): the 20s split 43/57, 70+ by bucket.
     pct20, ((a1, b1), (a2, b2)) = AGE_20S_SPLIT
-    lo_e, hi_e = None, None
+    split, g = F.col("_us"), F.col("_grp")
+    lo70 = F.element_at(F.array(*[F.lit(b[0]) for b, _ in AGE_70PLUS_BUCKETS]), F.col("_b70") + 1)
+    hi70 = F.element_at(F.array(*[F.lit(b[1]) for b, _ in AGE_70PLUS_BUCKETS]), F.col("_b70") + 1)
+    lo_e = hi_e = bucket = None
     for i, name in enumerate(names):
         if name == "20s":
             l_, h_ = (F.when(split < pct20, F.lit(a1)).otherwise(F.lit(a2)),
@@ -296,27 +309,28 @@ def generate_accounts(ids: DataFrame, id_col: str = "user_id") -> DataFrame:
             l_, h_ = lo70, hi70
         else:
             l_, h_ = F.lit(AGE_GROUP_RANGES[name][0]), F.lit(AGE_GROUP_RANGES[name][1])
-        lo_e = F.when(grp == i, l_) if lo_e is None else lo_e.when(grp == i, l_)
-        hi_e = F.when(grp == i, h_) if hi_e is None else hi_e.when(grp == i, h_)
-    age = _uniform(uid, "age", lo_e.cast("long"), hi_e.cast("long"))
-
-    # order count (J4): bucket by the group's weights, then uniform inside.
-    bucket = None
-    for i, name in enumerate(names):
-        b = _pick(draw(uid, "bucket", 1000), ORDER_WEIGHTS_BY_GROUP[name])
-        bucket = F.when(grp == i, b) if bucket is None else bucket.when(grp == i, b)
-    b_lo = F.element_at(F.array(*[F.lit(x) for x, _ in ORDER_BUCKETS]), bucket + 1)
-    b_hi = F.element_at(F.array(*[F.lit(y) for _, y in ORDER_BUCKETS]), bucket + 1)
-    order_count = _uniform(uid, "order", b_lo.cast("long"), b_hi.cast("long"))
-
-    genders = F.array(*[F.lit(g) for g, _ in GENDER_WEIGHTS])
-    locations = F.array(*[F.lit(l_) for l_, _ in LOCATION_WEIGHTS])
-    return ids.select(
-        uid.alias("user_id"),
-        F.concat(F.lit("user_"), uid.cast("string")).alias("name"),
-        F.element_at(genders, g_idx + 1).alias("gender"),
-        age.cast("int").alias("age"),
-        F.element_at(locations, l_idx + 1).alias("location"),
-        order_count.cast("int").alias("order_count"),
+        lo_e = F.when(g == i, l_) if lo_e is None else lo_e.when(g == i, l_)
+        hi_e = F.when(g == i, h_) if hi_e is None else hi_e.when(g == i, h_)
+        b = F.col(f"_ob{i}")
+        bucket = F.when(g == i, b) if bucket is None else bucket.when(g == i, b)
+    ranges = picks.select(
+        "user_id", "_ua", "_uo", "_g", "_l",
+        lo_e.cast("long").alias("_alo"), hi_e.cast("long").alias("_ahi"),
+        bucket.alias("_bk"))
+
+    # order count (J4): uniform inside the chosen bucket.
+    b_lo = F.element_at(F.array(*[F.lit(x) for x, _ in ORDER_BUCKETS]), F.col("_bk") + 1)
+    b_hi = F.element_at(F.array(*[F.lit(y) for _, y in ORDER_BUCKETS]), F.col("_bk") + 1)
+    genders = F.array(*[F.lit(x) for x, _ in GENDER_WEIGHTS])
+    locations = F.array(*[F.lit(x) for x, _ in LOCATION_WEIGHTS])
+    span_a = F.col("_ahi") - F.col("_alo") + 1
+    span_o = b_hi.cast("long") - b_lo.cast("long") + 1
+    return ranges.select(
+        "user_id",
+        F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("name"),
+        F.element_at(genders, F.col("_g") + 1).alias("gender"),
+        (F.col("_alo") + int_div(F.col("_ua") * span_a, 1 << 20)).cast("int").alias("age"),
+        F.element_at(locations, F.col("_l") + 1).alias("location"),
+        (b_lo.cast("long") + int_div(F.col("_uo") * span_o, 1 << 20)).cast("int")
+        .alias("order_count"),
     )
-
