@@ -35,16 +35,62 @@ def default_bounds(start: float = 1.0, stop: float = 300_000.0, per_octave: int
     return out + [math.inf]
 
 
+def exact_quantiles(df: DataFrame, value: str, qs=(0.5, 0.95, 0.99), by=(),
+                    partitions: int | None = None) -> DataFrame:
+    """Exact quantiles with linear interpolation (position ``q * (n - 1)``),
+    without gathering a group in one task.
+
+    1. range-partition by (group, value): a group holding a third of all rows
+       is split over many tasks by value;
+    2. number the rows inside each (task, group), bounded by a task's size;
+    3. offsets per (task, group) from a small count table (tasks x groups);
+    4. keep only the rows at the two ranks around each target position and
+       interpolate.  Returns ``(by..., q, value)``."""
+    v = F.col(value).cast("double")
+    base = df.where(v.isNotNull()).select(*by, v.alias("_v"))
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = base.repartitionByRange(n, *by, "_v").withColumn("_p", F.spark_partition_id())
+    local = ranged.withColumn("_r", F.row_number().over(
+        Window.partitionBy("_p", *by).orderBy("_v")))
+    per_task = ranged.groupBy("_p", *by).agg(F.count(F.lit(1)).alias("_c"))
+    w = Window.partitionBy(*by).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_task.select("_p", *by,
+                              F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_off"),
+                              F.sum("_c").over(Window.partitionBy(*by)).alias("_n"))
+    ranks = local.join(offsets, ["_p", *by]).select(
+        *by, "_v", "_n", (F.col("_off") + F.col("_r") - 1).alias("_rank"))
+    targets = offsets.select(*by, "_n").distinct().select(
+        *by, "_n", F.explode(F.array(*[F.lit(float(q)) for q in qs])).alias("q"))
+    targets = targets.select(*by, "q", (F.col("q") * (F.col("_n") - 1)).alias("_pos"))
+    targets = targets.select(*by, "q", "_pos", F.floor("_pos").cast("long").alias("_lo"),
+                             F.ceil("_pos").cast("long").alias("_hi"))
+    # the (at most two) ranks each quantile needs, then an equi-join on rank
+    wanted = targets.select(*by, "q", "_pos", "_lo", "_hi", F.explode(
+        F.array_distinct(F.array("_lo", "_hi"))).alias("_rank"))
+    picked = wanted.join(ranks.select(*by, "_rank", "_v"), [*by, "_rank"])
+    agg = picked.groupBy(*by, "q", "_pos", "_lo").agg(
+        F.max(F.when(F.col("_rank") == F.col("_lo"), F.col("_v"))).alias("_vlo"),
+        F.max(F.when(F.col("_rank") == F.col("_hi"), F.col("_v"))).alias("_vhi"))
+    return agg.select(*by, "q", (F.col("_vlo") + (F.col("_pos") - F.col("_lo"))
+                                 * (F.col("_vhi") - F.col("_vlo"))).alias("value"))
+
+
 def summary(df: DataFrame, value: str, by=()) -> DataFrame:
-    """Count, sum, mean, exact percentiles (linear interpolation)."""
+    """Count, sum, mean (partial aggregates) and exact p50 / p95 / p99
+    (``exact_quantiles``: no group is gathered in one task)."""
     v = F.col(value)
-    return df.groupBy(*by).agg(
+    keys = list(by) or ["_all"]
+    src = df if by else df.withColumn("_all", F.lit(0))
+    stats = src.groupBy(*keys).agg(
         F.count(v).alias("n"),
         F.round(F.sum(v), 6).alias("total"),
-        F.round(F.avg(v), 6).alias("mean"),
-        F.round(F.percentile(v, 0.5), 6).alias("p50"),
-        F.round(F.percentile(v, 0.95), 6).alias("p95"),
-        F.round(F.percentile(v, 0.99), 6).alias("p99"))
+        F.round(F.avg(v), 6).alias("mean"))
+    named = ((0.5, "p50"), (0.95, "p95"), (0.99, "p99"))
+    qs = exact_quantiles(src, value, [q for q, _ in named], keys).groupBy(*keys).agg(
+        *[F.round(F.max(F.when(F.col("q") == F.lit(q), F.col("value"))), 6).alias(name)
+          for q, name in named])
+    out = stats.join(qs, keys, "left")
+    return out if by else out.drop("_all")
 
 
 def bucket_counts(df: DataFrame, value: str, bounds=None, by=()) -> DataFrame:

@@ -91,3 +91,20 @@ def test_csv_round_trip(spark, tmp_out):
     first = open([os.path.join(path, f) for f in sorted(os.listdir(path))
                   if f.startswith("part-")][0], encoding="utf-8").readline()
     assert first.count(",") == 4 and first.startswith("user_")
+
+
+def test_exact_quantiles_hot_group_spread_over_tasks(spark):
+    rng = np.random.default_rng(5)
+    hot = [float(x) for x in rng.integers(0, 50, 4000)]      # many ties
+    cold = [float(x) for x in rng.normal(10, 3, 300).round(2)]
+    rows = [("hot", v) for v in hot] + [("cold", v) for v in cold]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {(r.g, r.q): r.value for r in
+           latency.exact_quantiles(df, "v", (0.0, 0.5, 0.9, 0.99, 1.0), ["g"], partitions=7).collect()}
+    for g, vals in (("hot", hot), ("cold", cold)):
+        for q in (0.0, 0.5, 0.9, 0.99, 1.0):
+            assert abs(got[(g, q)] - np.quantile(vals, q)) < 1e-9, (g, q)
+    whole = {r.q: r.value for r in latency.exact_quantiles(df, "v", (0.5,), partitions=5).collect()}
+    assert abs(whole[0.5] - np.quantile(hot + cold, 0.5)) < 1e-9
+    s = latency.summary(df, "v").first()
+    assert s.n == 4300 and abs(s.p50 - round(np.quantile(hot + cold, 0.5), 6)) < 1e-9
