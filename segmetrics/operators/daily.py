@@ -113,6 +113,8 @@ def execute_daily_batch(spark, accounts: DataFrame, segments: DataFrame, metrics
     import time
     import uuid
 
+    from pyspark.errors import AnalysisException
+
     from ..sources import tables
 
     day = day or today(spark)
@@ -120,8 +122,10 @@ def execute_daily_batch(spark, accounts: DataFrame, segments: DataFrame, metrics
     t0 = time.perf_counter()
     try:
         stored = tables.read_metrics(spark, metrics_path)
-    except Exception:  # noqa: BLE001 - first run: no table yet
-        stored = spark.createDataFrame([], S.METRIC)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        stored = spark.createDataFrame([], S.METRIC)      # first run: no table yet
     rows, errors = run_day(stored, segments, accounts, day, collation, strategy)
     from ..session import materialize
     rows = materialize(rows)
