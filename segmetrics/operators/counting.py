@@ -42,6 +42,8 @@ from ..functions import conditions as C
 from ..session import materialize
 
 COLUMNS = ("location", "gender", "age", "order_count")
+# Widest observed age span for which ages become join keys (see keyed_counts).
+AGE_EXPLODE_SPAN = 10_000
 
 
 def account_cells(accounts: DataFrame) -> DataFrame:
@@ -173,12 +175,36 @@ def keyed_counts(norm: DataFrame, accounts: DataFrame,
     def key_eq(a: str, b: str) -> Column:
         return C.collated(F.col(a), collation).eqNullSafe(C.collated(F.col(b), collation))
 
+    # Age as an equi-key: each term is exploded over the ages it allows inside
+    # the observed age span, so a signature such as {age, order_count} is
+    # spread over one key per age instead of one hot key.  The span is two
+    # scalars from the (small, checkpointed) cube; if it is implausibly wide
+    # the exact residual check on age is used instead.
+    age_bit = S.CATEGORY_BITS["age"]
+    amin, amax = cube.where(F.col("sig").bitwiseAND(age_bit) != 0) \
+        .agg(F.min("age"), F.max("age")).first()
+    explode_age = amin is not None and (amax - amin) < AGE_EXPLODE_SPAN
+    if explode_age:
+        lo = F.greatest(F.col("age_lo"), F.lit(amin).cast("long"))
+        hi = F.least(F.col("age_hi"), F.lit(amax).cast("long"))
+        ages = F.when(lo <= hi, F.filter(F.sequence(lo, hi).cast("array<int>"),
+                                         lambda a: ~F.array_contains(F.col("age_ne"), a)))
+        t = t.withColumn("age_key", F.explode_outer(
+            F.when(F.col("sig").bitwiseAND(age_bit) != 0,
+                   F.coalesce(ages, F.array().cast("array<int>")))
+            .otherwise(F.array(F.lit(None).cast("int")))))
+        # explode_outer keeps an empty allowed set as a null key: drop those
+        t = t.where((F.col("sig").bitwiseAND(age_bit) == 0) | F.col("age_key").isNotNull())
+
     # The cube also feeds the substring index inside ``t``: rename its columns
     # so the join sides stay distinct.
     c = cube.select(*[F.col(x).alias(f"c_{x}") for x in ("sig", *COLUMNS, "n")])
     cond = ((F.col("sig") == F.col("c_sig")) & key_eq("loc_key", "c_location")
-            & key_eq("gender_key", "c_gender")
-            & _numeric_ok("age") & _numeric_ok("order_count"))
+            & key_eq("gender_key", "c_gender") & _numeric_ok("order_count"))
+    if explode_age:
+        cond = cond & F.col("age_key").eqNullSafe(F.col("c_age"))
+    else:
+        cond = cond & _numeric_ok("age")
     return (t.join(c, cond)
             .groupBy("def_key")
             .agg(F.sum(F.col("sign") * F.col("c_n")).cast("long").alias("user_count")))

@@ -133,3 +133,15 @@ def test_keyed_plan_has_no_nested_loop(spark):
     df = counting.count_segments(acc, D.workload_segments(spark, SF001))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_residual_age_fallback_equals_age_keys(spark, monkeypatch):
+    rng = random.Random(11)
+    lists = [random_segment(rng) for _ in range(60)]
+    acc = spark.createDataFrame(ACCOUNTS, ACCOUNT_SCHEMA)
+    segs = _segments(spark, lists)
+    keyed = {r.segment_id: r.user_count for r in counting.count_segments(acc, segs).collect()}
+    monkeypatch.setattr(counting, "AGE_EXPLODE_SPAN", 0)
+    residual = {r.segment_id: r.user_count for r in counting.count_segments(acc, segs).collect()}
+    assert keyed == residual
+    assert all(keyed[i] == brute(l) for i, l in enumerate(lists))
