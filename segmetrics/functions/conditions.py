@@ -186,43 +186,95 @@ def _bounds(eff: Column, category: str) -> tuple[Column, Column, Column]:
 
 def normalize_segments(segments: DataFrame, collation: str | None = None) -> DataFrame:
     """One row per segment: error, effective conditions, signature and the
-    per-column parts the keyed count needs.  Pure projection: no shuffle."""
-    # Layered projections: the JSON is parsed once and the element array is
-    # a column that the next projection reads (Catalyst does not inline a
-    # non-trivial expression that is referenced several times).
+    per-column parts the keyed count needs.
+
+    Relational form: the JSON is parsed once, its elements become rows
+    (``posexplode_outer``), every per-condition rule is a plain compiled
+    column expression, and one ``groupBy(segment_id)`` folds them back.  The
+    groups are a segment's own conditions (a handful), so the shuffle is
+    small and cannot be skewed by the data."""
+    v = F.col("_v")
+    arr = F.try_variant_get(v, "$", "array<variant>")
     parsed = segments.select("segment_id", "conditions",
                              F.try_parse_json("conditions").alias("_v"))
-    parsed = parsed.select("segment_id", "conditions", "_v",
-                           F.transform(F.try_variant_get(F.col("_v"), "$", "array<variant>"),
-                                       _element).alias("_elems"))
-    df = parsed.select(
-        "segment_id",
-        _error_from(F.col("conditions"), F.col("_v"), F.col("_elems")).alias("error_reason"),
-        F.coalesce(_effective_from(F.col("_elems")),
-                   F.array().cast(EFFECTIVE_TYPE)).alias("effective"),
-    )
-    eff = F.col("effective")
-    sig = F.aggregate(eff, F.lit(0), lambda acc, e: acc.bitwiseOR(
-        F.when(e.category == "location", 8).when(e.category == "gender", 4)
-        .when(e.category == "age", 2).otherwise(1)))
-    cols = [F.col("segment_id"), F.col("error_reason"), eff, sig.alias("signature")]
+    json_reason = (F.when(F.col("conditions").isNotNull() & v.isNull(), F.lit(S.INVALID_JSON))
+                   .when(v.isNotNull() & ~F.is_variant_null(v) & arr.isNull(),
+                         F.lit(S.NOT_ARRAY)))
+    rows = parsed.select("segment_id", json_reason.alias("json_reason"),
+                         F.posexplode_outer(arr).alias("pos", "_e"))
+    e = F.col("_e")
+    rows = rows.select(
+        "segment_id", "json_reason", "pos",
+        e.isNotNull().alias("present"),
+        F.is_variant_null(e).alias("is_null"),
+        F.schema_of_variant(e).startswith("OBJECT").alias("is_object"),
+        F.try_variant_get(e, "$.category", "string").alias("category"),
+        F.try_variant_get(e, "$.operator", "string").alias("operator"),
+        F.try_variant_get(e, "$.value", "string").alias("value"))
+    el = F.struct(*[F.col(c) for c in ("pos", "is_null", "is_object", "category",
+                                        "operator", "value")])
+    rows = rows.select("*", _load_reason(el).alias("load_r"), _loop_reason(el).alias("loop_r"),
+                       F.when(F.col("category").isin(*S.NUMBER_CATEGORIES),
+                              strict_int(F.col("value"))).alias("ival"))
+    cat, op = F.col("category"), F.col("operator")
+    eff = (F.col("present") & ~F.col("is_null") & F.col("is_object")
+           & has_text(F.col("value")) & cat.isin(*S.KNOWN_CATEGORIES))
+    rows = rows.withColumn("eff", F.coalesce(eff, F.lit(False)))
+    effective_item = F.struct(F.col("pos"), cat.alias("category"), op.alias("operator"),
+                              F.col("value"), F.col("ival"))
+    bit = (F.when(cat == "location", 8).when(cat == "gender", 4)
+           .when(cat == "age", 2).otherwise(1))
+
+    def first_reason(col):
+        return F.min(F.when(F.col(col).isNotNull(), F.struct("pos", F.col(col).alias("r"))))["r"]
+
+    def on(c, ops=None):
+        m = F.col("eff") & (cat == c)
+        return m if ops is None else m & op.isin(*ops)
+
+    aggs = [
+        F.first("json_reason").alias("json_reason"),
+        first_reason("load_r").alias("load_r"),
+        first_reason("loop_r").alias("loop_r"),
+        F.array_sort(F.collect_list(F.when(F.col("eff"), effective_item))).alias("effective"),
+        F.coalesce(F.bit_or(F.when(F.col("eff"), bit)), F.lit(0)).alias("signature"),
+    ]
+    for c in S.STRING_CATEGORIES:
+        aggs += [
+            F.array_sort(F.collect_list(F.when(on(c), effective_item))).alias(f"{c}_conds"),
+            F.min(F.when(on(c, ("EQUALS",)), F.struct("pos", "value")))["value"].alias(f"{c}_eq"),
+            F.min(F.when(on(c, ("STARTS_WITH", "CONTAINS")),
+                         F.struct("pos", op.alias("operator"), "value"))).alias("_drv_" + c),
+            F.array_distinct(F.collect_list(F.when(on(c, ("NOT_EQUALS",)),
+                                                   collated(F.col("value"), collation))))
+            .alias(f"{c}_ne"),
+        ]
+    for c in S.NUMBER_CATEGORIES:
+        ival = F.col("ival").cast("long")
+        aggs += [
+            F.max(F.when(on(c, ("EQUALS", "GTE")), ival).when(on(c, ("GT",)), ival + 1))
+            .alias(f"{c}_lo"),
+            F.min(F.when(on(c, ("EQUALS", "LTE")), ival).when(on(c, ("LT",)), ival - 1))
+            .alias(f"{c}_hi"),
+            F.array_distinct(F.collect_list(F.when(on(c, ("NOT_EQUALS",)), F.col("ival"))))
+            .alias(f"{c}_ne"),
+        ]
+    g = rows.groupBy("segment_id").agg(*aggs)
+    cols = [F.col("segment_id"),
+            F.coalesce("json_reason", "load_r", "loop_r").alias("error_reason"),
+            F.col("effective").cast(EFFECTIVE_TYPE).alias("effective"), F.col("signature")]
     for c in S.STRING_CATEGORIES:
-        conds = _on(eff, c)
-        eq = F.get(_on(eff, c, ("EQUALS",)), 0)["value"]
-        drv = F.get(_on(eff, c, ("STARTS_WITH", "CONTAINS")), 0)
-        ne = F.array_distinct(F.transform(_on(eff, c, ("NOT_EQUALS",)),
-                                          lambda e: collated(e.value, collation)))
+        conds, eq, drv = F.col(f"{c}_conds"), F.col(f"{c}_eq"), F.col("_drv_" + c)
         mode = (F.when(F.size(conds) == 0, F.lit("none"))
                 .when(eq.isNotNull(), F.lit("eq"))
                 .when(drv.isNotNull(), F.lit("scan"))
                 .otherwise(F.lit("ne")))
-        cols += [conds.alias(f"{c}_conds"), mode.alias(f"{c}_mode"),
-                 eq.alias(f"{c}_eq"), drv["operator"].alias(f"{c}_drv_op"),
-                 drv["value"].alias(f"{c}_drv_value"), ne.alias(f"{c}_ne")]
+        cols += [conds.cast(EFFECTIVE_TYPE).alias(f"{c}_conds"), mode.alias(f"{c}_mode"), eq,
+                 drv["operator"].alias(f"{c}_drv_op"), drv["value"].alias(f"{c}_drv_value"),
+                 F.col(f"{c}_ne")]
     for c in S.NUMBER_CATEGORIES:
-        lo, hi, ne = _bounds(eff, c)
-        cols += [lo.alias(f"{c}_lo"), hi.alias(f"{c}_hi"), ne.alias(f"{c}_ne")]
-    return df.select(*cols)
+        cols += [F.col(f"{c}_lo"), F.col(f"{c}_hi"), F.col(f"{c}_ne")]
+    return g.select(*cols)
 
 
 def exploded_conditions(segments: DataFrame) -> DataFrame:
