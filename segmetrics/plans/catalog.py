@@ -82,6 +82,13 @@ def count_all_segments(spark: SparkSession, sf: str) -> DataFrame:
     return counting.count_segments(D.accounts(spark, sf), D.workload_segments(spark, sf))
 
 
+def count_all_segments_ci(spark: SparkSession, sf: str) -> DataFrame:
+    """C1 with the reference database's case- and accent-insensitive
+    string matching (B17)."""
+    return counting.count_segments(D.accounts(spark, sf), D.workload_segments(spark, sf),
+                                   collation="UNICODE_CI_AI")
+
+
 def count_match_all(spark: SparkSession, sf: str) -> DataFrame:
     """Segments whose definition keeps no effective condition (R2, R3, R4):
     each counts every account."""
@@ -171,6 +178,12 @@ def segment_trend(spark: SparkSession, sf: str) -> DataFrame:
     return trend.trend(D.history(spark, sf), TREND_SEGMENT, TREND_START, TREND_END)
 
 
+def segment_trends(spark: SparkSession, sf: str) -> DataFrame:
+    """Trend of every generated segment over the same range at once."""
+    return trend.trends(D.history(spark, sf), D.seed_segments(spark, sf),
+                        TREND_START, TREND_END)
+
+
 def segment_trend_json(spark: SparkSession, sf: str) -> DataFrame:
     return trend.trend_json(segment_trend(spark, sf))
 
@@ -235,6 +248,7 @@ QUERIES = {
     "count_match_all": count_match_all,
     "count_one_segment": count_one_segment,
     "count_all_segments": count_all_segments,
+    "count_all_segments_ci": count_all_segments_ci,
     "segment_seed": segment_seed,
     "account_seed": account_seed,
     "metric_backfill": metric_backfill,
@@ -248,6 +262,7 @@ QUERIES = {
     "metric_exists_day": metric_exists_day,
     "segment_trend": segment_trend,
     "segment_trend_json": segment_trend_json,
+    "segment_trends": segment_trends,
     "dq_unique_key": dq_unique_key,
     "dq_not_null": dq_not_null,
     "segment_touch_updated": segment_touch_updated,

@@ -120,12 +120,14 @@ HAS_TEXT = _q(S.HAS_TEXT_PATTERN)
 STRICT_INT = _q(S.STRICT_INT_PATTERN)
 
 
-def _pred(col_cat: str) -> str:
-    """Condition ``e`` on account ``a`` (NULL when it does not apply)."""
-    s = lambda c: (f"CASE e.operator WHEN 'EQUALS' THEN a.{c} = e.value "
-                   f"WHEN 'NOT_EQUALS' THEN a.{c} <> e.value "
-                   f"WHEN 'CONTAINS' THEN contains(a.{c}, e.value) "
-                   f"WHEN 'STARTS_WITH' THEN starts_with(a.{c}, e.value) END")
+def _pred(fold: bool = False) -> str:
+    """Condition ``e`` on account ``a`` (NULL when it does not apply);
+    ``fold`` compares case- and accent-insensitively."""
+    f = (lambda x: f"lower(strip_accents({x}))") if fold else (lambda x: x)
+    s = lambda c: (f"CASE e.operator WHEN 'EQUALS' THEN {f('a.' + c)} = {f('e.value')} "
+                   f"WHEN 'NOT_EQUALS' THEN {f('a.' + c)} <> {f('e.value')} "
+                   f"WHEN 'CONTAINS' THEN contains({f('a.' + c)}, {f('e.value')}) "
+                   f"WHEN 'STARTS_WITH' THEN starts_with({f('a.' + c)}, {f('e.value')}) END")
     n = lambda c: (f"CASE e.operator WHEN 'EQUALS' THEN a.{c} = e.ival "
                    f"WHEN 'NOT_EQUALS' THEN a.{c} <> e.ival WHEN 'GT' THEN a.{c} > e.ival "
                    f"WHEN 'GTE' THEN a.{c} >= e.ival WHEN 'LT' THEN a.{c} < e.ival "
@@ -135,7 +137,7 @@ def _pred(col_cat: str) -> str:
             f"WHEN 'order_count' THEN {n('order_count')} END")
 
 
-def _validation(seg: str = "wseg") -> str:
+def _validation(seg: str = "wseg", fold: bool = False) -> str:
     """CTEs vseg, elems, er, serr, eff, neff, counts over segment CTE ``seg``."""
     str_ops, num_ops = _in(S.STRING_OPERATORS), _in(S.NUMBER_OPERATORS)
     return f"""
@@ -188,7 +190,7 @@ eff AS (
 neff AS (SELECT segment_id, count(*) AS k FROM eff GROUP BY segment_id),
 hits AS (
   SELECT e.segment_id, a.user_id, count(*) AS m
-  FROM eff e JOIN account a ON ({_pred('')})
+  FROM eff e JOIN account a ON ({_pred(fold)})
   GROUP BY e.segment_id, a.user_id),
 cnt AS (
   SELECT h.segment_id, count(*) AS c FROM hits h JOIN neff n ON n.segment_id = h.segment_id
@@ -203,14 +205,14 @@ counts AS (
   LEFT JOIN cnt c ON c.segment_id = s.segment_id)"""
 
 
-def _base(with_counts: bool = True) -> str:
+def _base(with_counts: bool = True, fold: bool = False) -> str:
     ctes = [f"account AS ({ACCOUNT_CTE})",
             f"sseg AS ({seed_segments_cte()})",
             f"eseg AS ({EDGE_CTE})",
             "wseg AS (SELECT * FROM sseg UNION ALL SELECT * FROM eseg)"]
     out = "WITH " + ",\n".join(ctes)
     if with_counts:
-        out += "," + _validation()
+        out += "," + _validation(fold=fold)
     return out
 
 
@@ -397,6 +399,8 @@ WHERE c.error_reason IS NULL AND c.segment_id NOT IN (SELECT segment_id FROM nef
     out["count_one_segment"] = (f"{base_acc} SELECT CAST(count(*) AS BIGINT) AS user_count "
                                 f"FROM account WHERE {one}")
     out["count_all_segments"] = _base() + " SELECT segment_id, user_count, error_reason FROM counts"
+    out["count_all_segments_ci"] = (_base(fold=True) +
+                                    " SELECT segment_id, user_count, error_reason FROM counts")
     out["segment_seed"] = (
         f"WITH s AS (SELECT c_custkey + 1 AS segment_id, (c_custkey * 7) % 5000 + 1 AS n "
         f"FROM customer) SELECT segment_id, {segment_json('n', 'seed')} AS conditions, "
@@ -433,6 +437,10 @@ WHERE c.error_reason IS NULL AND c.segment_id NOT IN (SELECT segment_id FROM nef
                    f"DATE '{Q.TREND_START}' AND DATE '{Q.TREND_END}'")
     out["segment_trend"] = (hist + " SELECT metric_date AS date, user_count AS count "
                             f"FROM history WHERE {trend_where} ORDER BY date")
+    out["segment_trends"] = (
+        hist + " SELECT h.segment_id, h.metric_date AS date, h.user_count AS count "
+        "FROM history h JOIN sseg s ON s.segment_id = h.segment_id "
+        f"WHERE h.metric_date BETWEEN DATE '{Q.TREND_START}' AND DATE '{Q.TREND_END}'")
     out["segment_trend_json"] = (
         hist + " SELECT json_object('date', strftime(metric_date, '%Y-%m-%d'), "
         f"'count', user_count)::VARCHAR AS json FROM history WHERE {trend_where}")
