@@ -42,23 +42,28 @@ def exact_quantiles(df: DataFrame, value: str, qs=(0.5, 0.95, 0.99), by=(),
 
     1. range-partition by (group, value): a group holding a third of all rows
        is split over many tasks by value;
-    2. number the rows inside each (task, group), bounded by a task's size;
+    2. sort inside each task and number its rows (no second shuffle);
     3. offsets per (task, group) from a small count table (tasks x groups);
     4. keep only the rows at the two ranks around each target position and
        interpolate.  Returns ``(by..., q, value)``."""
     v = F.col(value).cast("double")
     base = df.where(v.isNotNull()).select(*by, v.alias("_v"))
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = base.repartitionByRange(n, *by, "_v").withColumn("_p", F.spark_partition_id())
-    local = ranged.withColumn("_r", F.row_number().over(
-        Window.partitionBy("_p", *by).orderBy("_v")))
-    per_task = ranged.groupBy("_p", *by).agg(F.count(F.lit(1)).alias("_c"))
+    # One range shuffle; inside a task the rows are sorted, and the low bits
+    # of monotonically_increasing_id count rows in that order.
+    ranged = (base.repartitionByRange(n, *by, "_v").sortWithinPartitions(*by, "_v")
+              .select(*by, "_v", F.spark_partition_id().alias("_p"),
+                      F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("_i")))
+    # Small tables (tasks x groups): first local index and size per task,
+    # and the group's rows in earlier tasks.
+    per_task = ranged.groupBy("_p", *by).agg(F.min("_i").alias("_i0"),
+                                            F.count(F.lit(1)).alias("_c"))
     w = Window.partitionBy(*by).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_task.select("_p", *by,
+    offsets = per_task.select("_p", *by, "_i0",
                               F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_off"),
                               F.sum("_c").over(Window.partitionBy(*by)).alias("_n"))
-    ranks = local.join(offsets, ["_p", *by]).select(
-        *by, "_v", "_n", (F.col("_off") + F.col("_r") - 1).alias("_rank"))
+    ranks = ranged.join(offsets, ["_p", *by]).select(
+        *by, "_v", "_n", (F.col("_off") + F.col("_i") - F.col("_i0")).alias("_rank"))
     targets = offsets.select(*by, "_n").distinct().select(
         *by, "_n", F.explode(F.array(*[F.lit(float(q)) for q in qs])).alias("q"))
     targets = targets.select(*by, "q", (F.col("q") * (F.col("_n") - 1)).alias("_pos"))
