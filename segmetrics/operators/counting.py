@@ -59,11 +59,13 @@ def signature_cube(cells: DataFrame) -> DataFrame:
                     *COLUMNS, "n"))
 
 
-def substring_index(cube: DataFrame, column: str) -> DataFrame:
+def substring_index(cube: DataFrame, column: str, needed: DataFrame | None = None,
+                    collation: str | None = None) -> DataFrame:
     """(op, pattern, value) for every prefix (STARTS_WITH) and every substring
     (CONTAINS) of each distinct value of ``column``.  The distinct values are
     the cube rows grouped by that column alone.  Rows per value are bounded by
-    L(L+1)/2 for a value of length L."""
+    L(L+1)/2 for a value of length L; with ``needed`` (op, pattern) only the
+    patterns some definition asks for survive, before any shuffle."""
     v = F.col("value")
     values = cube.where(F.col("sig") == S.CATEGORY_BITS[column]).select(
         F.col(column).alias("value")).where(v.isNotNull() & (F.length(v) > 0))
@@ -73,7 +75,13 @@ def substring_index(cube: DataFrame, column: str) -> DataFrame:
     contains = spans.select(F.lit("CONTAINS").alias("op"), sub.alias("pattern"), v)
     prefixes = spans.where(F.col("i") == 1).select(
         F.lit("STARTS_WITH").alias("op"), sub.alias("pattern"), v)
-    return contains.unionByName(prefixes).distinct()
+    index = contains.unionByName(prefixes)
+    if needed is not None:
+        n = needed.select(F.col("op").alias("_nop"), F.col("pattern").alias("_npat"))
+        index = index.join(n, (index.op == n._nop) & (
+            C.collated(index.pattern, collation) == C.collated(n._npat, collation)),
+            "left_semi")
+    return index.distinct()
 
 
 def _column_options(seg: DataFrame, column: str, cube: DataFrame,
@@ -101,7 +109,10 @@ def _column_options(seg: DataFrame, column: str, cube: DataFrame,
     direct = (seg.where(mode != "scan")
               .withColumn(f"{column}_opt", F.explode(options)))
 
-    index = substring_index(cube, column)
+    needed = (seg.where(mode == "scan")
+              .select(F.col(f"{column}_drv_op").alias("op"),
+                      F.col(f"{column}_drv_value").alias("pattern")).distinct())
+    index = substring_index(cube, column, needed, collation)
     drv_op, drv_val = F.col(f"{column}_drv_op"), F.col(f"{column}_drv_value")
     scanned = (seg.where(mode == "scan")
                .join(index, (drv_op == index.op)
