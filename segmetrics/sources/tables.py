@@ -57,15 +57,20 @@ def write_accounts_csv(accounts: DataFrame, path: str, mode: str = "overwrite")
      .write.mode(mode).csv(path, header=False))
 
 
-def write_day(rows: DataFrame, path: str, max_records_per_file: int = 5_000_000) -> None:
+def write_day(rows: DataFrame, path: str, rows_per_file: int = 2_000_000) -> None:
     """Write the day's final rows.  The rows are checkpointed first so
-    the write never reads the partition it replaces, then written one task per
-    day (capped files) with dynamic partition overwrite."""
+    the write never reads the partition it replaces.  Write tasks are sized
+    from the checkpointed row count, and each task gets a contiguous,
+    sorted ``segment_id`` range, so files stay bounded and a lookup of one
+    segment skips row groups by their min/max statistics.  Only the days
+    present in ``rows`` are replaced (dynamic partition overwrite)."""
     final = materialize(rows.select("segment_id", "metric_date", "user_count", "status"))
-    (final.repartition("metric_date")
+    tasks = max(1, -(-final.count() // rows_per_file))
+    (final.repartitionByRange(tasks, "metric_date", "segment_id")
+     .sortWithinPartitions("metric_date", "segment_id")
      .write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
-     .option("maxRecordsPerFile", max_records_per_file)
+     .option("maxRecordsPerFile", rows_per_file)
      .partitionBy("metric_date")
      .parquet(path))
 

@@ -139,3 +139,22 @@ def test_execute_daily_batch_and_run_metrics(spark, setup, tmp_out):
 def test_today_uses_session_zone(spark):
     d = daily.today(spark)
     assert isinstance(d, dt.date)
+
+
+def test_write_day_bounded_sorted_files(spark, tmp_out):
+    import pyarrow.parquet as pq
+    path = os.path.join(tmp_out, "sorted")
+    rows = metric_df(spark, [(i, DAY, i * 10, "INSERTED") for i in (7, 3, 9, 1, 5, 8, 2)])
+    tables.write_day(rows, path, rows_per_file=3)
+    day_dir = os.path.join(path, f"metric_date={DAY.isoformat()}")
+    files = sorted(f for f in os.listdir(day_dir) if f.endswith(".parquet"))
+    assert len(files) >= 3
+    ranges = []
+    for f in files:
+        ids = pq.read_table(os.path.join(day_dir, f)).column("segment_id").to_pylist()
+        assert ids == sorted(ids) and len(ids) <= 3
+        ranges.append((ids[0], ids[-1]))
+    ranges.sort()
+    assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+    assert sorted(r.segment_id for r in tables.read_metrics(spark, path).collect()) == \
+        [1, 2, 3, 5, 7, 8, 9]
