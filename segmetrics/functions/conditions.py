@@ -1,8 +1,9 @@
 """Parse, validate and normalize segment definitions with native Spark
 expressions (no Python UDF).
 
-A segment's ``conditions`` column is raw JSON text.  ``normalize_segments``
-turns every segment into one row holding
+A segment's ``conditions`` column is raw JSON text.  ``element_rows`` parses
+it once (variant) and gives one row per array element; ``normalize_segments``
+applies the rules per element and folds them back to one row per segment:
 
 * ``error_reason`` -- null for a valid segment, else why it cannot be counted;
 * ``effective``    -- the conditions that take part in the count (blank
@@ -41,85 +42,57 @@ EFFECTIVE_TYPE = ("array<struct<pos:int,category:string,operator:string,"
                   "value:string,ival:int>>")
 
 
-def parsed_elements(conditions: Column) -> tuple[Column, Column]:
-    """Return (variant, array of element structs) for raw JSON text."""
-    v = F.try_parse_json(conditions)
+def _in(values) -> str:
+    return "(" + ", ".join(f"'{v}'" for v in values) + ")"
+
+
+# Validation rules over one element row (columns is_null, is_object,
+# category, operator, value, has_text, ival), as SQL expressions.
+LOAD_REASON_SQL = (
+    f"CASE WHEN NOT is_null AND NOT is_object THEN '{S.INVALID_CONDITION}' "
+    f"WHEN operator IS NOT NULL AND operator NOT IN {_in(S.OPERATORS)} "
+    f"THEN '{S.UNKNOWN_OPERATOR}' END")
+LOOP_REASON_SQL = (
+    f"CASE WHEN is_null THEN '{S.NULL_CONDITION}' "
+    f"WHEN NOT has_text THEN NULL "
+    f"WHEN category IS NULL THEN '{S.NULL_CATEGORY}' "
+    f"WHEN category IN {_in(S.STRING_CATEGORIES)} THEN "
+    f"CASE WHEN operator IS NULL THEN '{S.NULL_OPERATOR}' "
+    f"WHEN operator NOT IN {_in(S.STRING_OPERATORS)} THEN '{S.UNSUPPORTED_OPERATOR}' END "
+    f"WHEN category IN {_in(S.NUMBER_CATEGORIES)} THEN "
+    f"CASE WHEN ival IS NULL THEN '{S.INVALID_NUMBER}' "
+    f"WHEN operator IS NULL THEN '{S.NULL_OPERATOR}' "
+    f"WHEN operator NOT IN {_in(S.NUMBER_OPERATORS)} THEN '{S.UNSUPPORTED_OPERATOR}' END END")
+EFFECTIVE_SQL = (f"coalesce(present AND NOT is_null AND is_object AND has_text "
+                 f"AND category IN {_in(S.KNOWN_CATEGORIES)}, false)")
+
+
+def element_rows(segments: DataFrame) -> DataFrame:
+    """A2: one row per element of each segment's JSON array (a segment whose
+    text is not an array keeps one row with null element fields), with the
+    segment-level JSON problem, the parsed number and the has-text flag."""
+    v = F.col("_v")
     arr = F.try_variant_get(v, "$", "array<variant>")
-    return v, F.transform(arr, _element)
-
-
-def _element(e: Column, i: Column) -> Column:
-    return F.struct(
-        i.alias("pos"),
+    parsed = segments.select("segment_id", "conditions",
+                             F.try_parse_json("conditions").alias("_v"))
+    json_reason = (F.when(F.col("conditions").isNotNull() & v.isNull(), F.lit(S.INVALID_JSON))
+                   .when(v.isNotNull() & ~F.is_variant_null(v) & arr.isNull(),
+                         F.lit(S.NOT_ARRAY)))
+    rows = parsed.select("segment_id", json_reason.alias("json_reason"),
+                         F.posexplode_outer(arr).alias("pos", "_e"))
+    e = F.col("_e")
+    rows = rows.select(
+        "segment_id", "json_reason", "pos",
+        e.isNotNull().alias("present"),
         F.is_variant_null(e).alias("is_null"),
         F.schema_of_variant(e).startswith("OBJECT").alias("is_object"),
         F.try_variant_get(e, "$.category", "string").alias("category"),
         F.try_variant_get(e, "$.operator", "string").alias("operator"),
-        F.try_variant_get(e, "$.value", "string").alias("value"),
-    )
-
-
-def _load_reason(e: Column) -> Column:
-    return (F.when(~e.is_null & ~e.is_object, F.lit(S.INVALID_CONDITION))
-            .when(e.operator.isNotNull() & ~e.operator.isin(*S.OPERATORS),
-                  F.lit(S.UNKNOWN_OPERATOR)))
-
-
-def _loop_reason(e: Column) -> Column:
-    ival = strict_int(e.value)
-    string_reason = (F.when(e.operator.isNull(), F.lit(S.NULL_OPERATOR))
-                     .when(~e.operator.isin(*S.STRING_OPERATORS),
-                           F.lit(S.UNSUPPORTED_OPERATOR)))
-    number_reason = (F.when(ival.isNull(), F.lit(S.INVALID_NUMBER))
-                     .when(e.operator.isNull(), F.lit(S.NULL_OPERATOR))
-                     .when(~e.operator.isin(*S.NUMBER_OPERATORS),
-                           F.lit(S.UNSUPPORTED_OPERATOR)))
-    return (F.when(e.is_null, F.lit(S.NULL_CONDITION))
-            .when(~has_text(e.value), F.lit(None).cast("string"))
-            .when(e.category.isNull(), F.lit(S.NULL_CATEGORY))
-            .when(e.category.isin(*S.STRING_CATEGORIES), string_reason)
-            .when(e.category.isin(*S.NUMBER_CATEGORIES), number_reason))
-
-
-def _first(arr: Column, field: str) -> Column:
-    return F.get(arr, 0)[field]
-
-
-def error_reason(conditions: Column) -> Column:
-    """Why a segment cannot be counted, or null (valid)."""
-    v, elems = parsed_elements(conditions)
-    return _error_from(conditions, v, elems)
-
-
-def _error_from(conditions: Column, v: Column, elems: Column) -> Column:
-    arr_missing = v.isNotNull() & ~F.is_variant_null(v) & elems.isNull()
-    load = F.filter(F.transform(elems, lambda e: F.struct(
-        e.pos.alias("pos"), _load_reason(e).alias("r"))),
-        lambda x: x.r.isNotNull())
-    loop = F.filter(F.transform(elems, lambda e: F.struct(
-        e.pos.alias("pos"), _loop_reason(e).alias("r"))),
-        lambda x: x.r.isNotNull())
-    return (F.when(conditions.isNotNull() & v.isNull(), F.lit(S.INVALID_JSON))
-            .when(arr_missing, F.lit(S.NOT_ARRAY))
-            .otherwise(F.coalesce(_first(load, "r"), _first(loop, "r"))))
-
-
-def effective_conditions(conditions: Column) -> Column:
-    """Conditions that take part in the count: text value, known category.
-    Each is ``struct(pos, category, operator, value, ival)``; null or an
-    empty array means "match every account"."""
-    _, elems = parsed_elements(conditions)
-    return _effective_from(elems)
-
-
-def _effective_from(elems: Column) -> Column:
-    kept = F.filter(elems, lambda e: ~e.is_null & e.is_object
-                    & has_text(e.value) & e.category.isin(*S.KNOWN_CATEGORIES))
-    return F.transform(kept, lambda e: F.struct(
-        e.pos.alias("pos"), e.category.alias("category"),
-        e.operator.alias("operator"), e.value.alias("value"),
-        F.when(e.category.isin(*S.NUMBER_CATEGORIES),
-               strict_int(e.value)).alias("ival")))
+        F.try_variant_get(e, "$.value", "string").alias("value"))
+    return rows.select(
+        "*", has_text(F.col("value")).alias("has_text"),
+        F.when(F.col("category").isin(*S.NUMBER_CATEGORIES),
+               strict_int(F.col("value"))).alias("ival"))
 
 
 def collated(c: Column, collation: str | None) -> Column:
@@ -166,100 +139,52 @@ def all_match(effective: Column, row: dict[str, Column],
                       F.lit(False))
 
 
-def _on(eff: Column, category: str, ops: tuple[str, ...] | None = None) -> Column:
-    if ops is None:
-        return F.filter(eff, lambda e: e.category == category)
-    return F.filter(eff, lambda e: (e.category == category) & e.operator.isin(*ops))
-
-
-def _bounds(eff: Column, category: str) -> tuple[Column, Column, Column]:
-    lows = F.transform(_on(eff, category, ("EQUALS", "GT", "GTE")),
-                       lambda e: F.when(e.operator == "GT", e.ival.cast("long") + 1)
-                       .otherwise(e.ival.cast("long")))
-    highs = F.transform(_on(eff, category, ("EQUALS", "LT", "LTE")),
-                        lambda e: F.when(e.operator == "LT", e.ival.cast("long") - 1)
-                        .otherwise(e.ival.cast("long")))
-    excluded = F.array_distinct(F.transform(_on(eff, category, ("NOT_EQUALS",)),
-                                            lambda e: e.ival))
-    return F.array_max(lows), F.array_min(highs), excluded
-
-
 def normalize_segments(segments: DataFrame, collation: str | None = None) -> DataFrame:
     """One row per segment: error, effective conditions, signature and the
     per-column parts the keyed count needs.
 
     Relational form: the JSON is parsed once, its elements become rows
-    (``posexplode_outer``), every per-condition rule is a plain compiled
-    column expression, and one ``groupBy(segment_id)`` folds them back.  The
-    groups are a segment's own conditions (a handful), so the shuffle is
-    small and cannot be skewed by the data."""
-    v = F.col("_v")
-    arr = F.try_variant_get(v, "$", "array<variant>")
-    parsed = segments.select("segment_id", "conditions",
-                             F.try_parse_json("conditions").alias("_v"))
-    json_reason = (F.when(F.col("conditions").isNotNull() & v.isNull(), F.lit(S.INVALID_JSON))
-                   .when(v.isNotNull() & ~F.is_variant_null(v) & arr.isNull(),
-                         F.lit(S.NOT_ARRAY)))
-    rows = parsed.select("segment_id", json_reason.alias("json_reason"),
-                         F.posexplode_outer(arr).alias("pos", "_e"))
-    e = F.col("_e")
-    rows = rows.select(
-        "segment_id", "json_reason", "pos",
-        e.isNotNull().alias("present"),
-        F.is_variant_null(e).alias("is_null"),
-        F.schema_of_variant(e).startswith("OBJECT").alias("is_object"),
-        F.try_variant_get(e, "$.category", "string").alias("category"),
-        F.try_variant_get(e, "$.operator", "string").alias("operator"),
-        F.try_variant_get(e, "$.value", "string").alias("value"))
-    el = F.struct(*[F.col(c) for c in ("pos", "is_null", "is_object", "category",
-                                        "operator", "value")])
-    rows = rows.select("*", _load_reason(el).alias("load_r"), _loop_reason(el).alias("loop_r"),
-                       F.when(F.col("category").isin(*S.NUMBER_CATEGORIES),
-                              strict_int(F.col("value"))).alias("ival"))
-    cat, op = F.col("category"), F.col("operator")
-    eff = (F.col("present") & ~F.col("is_null") & F.col("is_object")
-           & has_text(F.col("value")) & cat.isin(*S.KNOWN_CATEGORIES))
-    rows = rows.withColumn("eff", F.coalesce(eff, F.lit(False)))
-    effective_item = F.struct(F.col("pos"), cat.alias("category"), op.alias("operator"),
-                              F.col("value"), F.col("ival"))
-    bit = (F.when(cat == "location", 8).when(cat == "gender", 4)
-           .when(cat == "age", 2).otherwise(1))
-
-    def first_reason(col):
-        return F.min(F.when(F.col(col).isNotNull(), F.struct("pos", F.col(col).alias("r"))))["r"]
+    (``element_rows``), every per-condition rule is a compiled expression, and
+    one ``groupBy(segment_id)`` folds them back.  The groups are a segment's
+    own conditions (a handful), so the shuffle is small and cannot be skewed
+    by the data.  Rules and folds are SQL expressions (parsed once each)."""
+    rows = element_rows(segments).select(
+        "*", F.expr(LOAD_REASON_SQL).alias("load_r"), F.expr(LOOP_REASON_SQL).alias("loop_r"),
+        F.expr(EFFECTIVE_SQL).alias("eff"))
+    item = ("named_struct('pos', pos, 'category', category, 'operator', operator, "
+            "'value', value, 'ival', ival)")
 
     def on(c, ops=None):
-        m = F.col("eff") & (cat == c)
-        return m if ops is None else m & op.isin(*ops)
-
-    aggs = [
-        F.first("json_reason").alias("json_reason"),
-        first_reason("load_r").alias("load_r"),
-        first_reason("loop_r").alias("loop_r"),
-        F.array_sort(F.collect_list(F.when(F.col("eff"), effective_item))).alias("effective"),
-        F.coalesce(F.bit_or(F.when(F.col("eff"), bit)), F.lit(0)).alias("signature"),
-    ]
+        m = f"eff AND category = '{c}'"
+        return m if ops is None else f"{m} AND operator IN {_in(ops)}"
+
+    def first_by_pos(cond, fields):
+        return f"min(CASE WHEN {cond} THEN named_struct('pos', pos, {fields}) END)"
+
+    bits = " ".join(f"WHEN '{c}' THEN {b}" for c, b in S.CATEGORY_BITS.items())
+    exprs = {
+        "json_reason": "first(json_reason)",
+        "load_r": first_by_pos("load_r IS NOT NULL", "'r', load_r") + ".r",
+        "loop_r": first_by_pos("loop_r IS NOT NULL", "'r', loop_r") + ".r",
+        "effective": f"array_sort(collect_list(CASE WHEN eff THEN {item} END))",
+        "signature": f"coalesce(bit_or(CASE WHEN eff THEN CASE category {bits} END END), 0)",
+    }
     for c in S.STRING_CATEGORIES:
-        aggs += [
-            F.array_sort(F.collect_list(F.when(on(c), effective_item))).alias(f"{c}_conds"),
-            F.min(F.when(on(c, ("EQUALS",)), F.struct("pos", "value")))["value"].alias(f"{c}_eq"),
-            F.min(F.when(on(c, ("STARTS_WITH", "CONTAINS")),
-                         F.struct("pos", op.alias("operator"), "value"))).alias("_drv_" + c),
-            F.array_distinct(F.collect_list(F.when(on(c, ("NOT_EQUALS",)),
-                                                   collated(F.col("value"), collation))))
-            .alias(f"{c}_ne"),
-        ]
+        ne_value = f"collate(value, '{collation}')" if collation else "value"
+        exprs[f"{c}_conds"] = f"array_sort(collect_list(CASE WHEN {on(c)} THEN {item} END))"
+        exprs[f"{c}_eq"] = first_by_pos(on(c, ("EQUALS",)), "'value', value") + ".value"
+        exprs["_drv_" + c] = first_by_pos(on(c, ("STARTS_WITH", "CONTAINS")),
+                                          "'operator', operator, 'value', value")
+        exprs[f"{c}_ne"] = (f"array_distinct(collect_list(CASE WHEN "
+                            f"{on(c, ('NOT_EQUALS',))} THEN {ne_value} END))")
     for c in S.NUMBER_CATEGORIES:
-        ival = F.col("ival").cast("long")
-        aggs += [
-            F.max(F.when(on(c, ("EQUALS", "GTE")), ival).when(on(c, ("GT",)), ival + 1))
-            .alias(f"{c}_lo"),
-            F.min(F.when(on(c, ("EQUALS", "LTE")), ival).when(on(c, ("LT",)), ival - 1))
-            .alias(f"{c}_hi"),
-            F.array_distinct(F.collect_list(F.when(on(c, ("NOT_EQUALS",)), F.col("ival"))))
-            .alias(f"{c}_ne"),
-        ]
-    g = rows.groupBy("segment_id").agg(*aggs)
+        exprs[f"{c}_lo"] = (f"max(CASE WHEN {on(c, ('EQUALS', 'GTE'))} THEN CAST(ival AS BIGINT) "
+                            f"WHEN {on(c, ('GT',))} THEN CAST(ival AS BIGINT) + 1 END)")
+        exprs[f"{c}_hi"] = (f"min(CASE WHEN {on(c, ('EQUALS', 'LTE'))} THEN CAST(ival AS BIGINT) "
+                            f"WHEN {on(c, ('LT',))} THEN CAST(ival AS BIGINT) - 1 END)")
+        exprs[f"{c}_ne"] = (f"array_distinct(collect_list(CASE WHEN "
+                            f"{on(c, ('NOT_EQUALS',))} THEN ival END))")
+    g = rows.groupBy("segment_id").agg(*[F.expr(e).alias(k) for k, e in exprs.items()])
     cols = [F.col("segment_id"),
             F.coalesce("json_reason", "load_r", "loop_r").alias("error_reason"),
             F.col("effective").cast(EFFECTIVE_TYPE).alias("effective"), F.col("signature")]
@@ -280,9 +205,5 @@ def normalize_segments(segments: DataFrame, collation: str | None = None) -> Dat
 def exploded_conditions(segments: DataFrame) -> DataFrame:
     """Every element of every JSON array, one row each (A2):
     ``segment_id, pos, category, operator, value``."""
-    _, elems = parsed_elements(F.col("conditions"))
-    return (segments.select("segment_id", F.explode(elems).alias("e"))
-            .select("segment_id", F.col("e.pos").alias("pos"),
-                    F.col("e.category").alias("category"),
-                    F.col("e.operator").alias("operator"),
-                    F.col("e.value").alias("value")))
+    return (element_rows(segments).where(F.col("pos").isNotNull())
+            .select("segment_id", "pos", "category", "operator", "value"))

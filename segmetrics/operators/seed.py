@@ -112,8 +112,8 @@ HASH_MULTS = {"gender": 1103515245, "location": 1664525, "group": 22695477,
               "order": 16843009}
 
 
-def _elt(index_1based: Column, values: list[str]) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), index_1based.cast("int"))
+def _elt(index_1based: Column, values: list) -> Column:
+    return F.element_at(F.lit(list(values)), index_1based.cast("int"))
 
 
 def _cond(category: str, operator: str, value: Column) -> Column:
