@@ -112,89 +112,84 @@ HASH_MULTS = {"gender": 1103515245, "location": 1664525, "group": 22695477,
               "order": 16843009}
 
 
-def _elt(index_1based: Column, values: list) -> Column:
-    return F.element_at(F.lit(list(values)), index_1based.cast("int"))
+# The generator is written as Spark SQL text over a step column (one parse
+# per part instead of thousands of Column calls); all numbers come from the
+# fixed values above.
 
+def _arr(values) -> str:
+    return "array(" + ", ".join(f"'{v}'" if isinstance(v, str) else str(v)
+                                for v in values) + ")"
 
-def _cond(category: str, operator: str, value: Column) -> Column:
-    return F.struct(F.lit(category).alias("category"),
-                    F.lit(operator).alias("operator"), value.alias("value"))
 
+def _cond(category: str, operator: str, value_sql: str) -> str:
+    return (f"named_struct('category', '{category}', 'operator', '{operator}', "
+            f"'value', {value_sql})")
 
-def gender_conditions(n: Column) -> Column:
-    r = (n * GENDER_MULT) % 100
-    g = F.when(r < 50, F.lit("MALE")).otherwise(F.lit("FEMALE"))
-    return F.array(_cond("gender", "EQUALS", g))
 
+def _elt_sql(values, index_sql: str) -> str:
+    return f"element_at({_arr(values)}, CAST({index_sql} AS INT))"
 
-def location_value(n: Column, domain: str = "seed") -> Column:
+
+def gender_sql(n: str) -> str:
+    g = f"CASE WHEN ({n} * {GENDER_MULT}) % 100 < 50 THEN 'MALE' ELSE 'FEMALE' END"
+    return f"array({_cond('gender', 'EQUALS', g)})"
+
+
+def location_sql(n: str, domain: str = "seed") -> str:
     """Region for step ``n``; ``domain='nation'`` maps it onto the derived
     account domain ``NATION_{(n*2654435761) % 25}``."""
     if domain == "nation":
-        return F.concat(F.lit("NATION_"), ((n * LOCATION_MULT) % 25).cast("string"))
-    r = (n * LOCATION_MULT) % 1000
-    expr = None
-    for bound, name in LOCATION_LADDER:
-        expr = (F.when(r < bound, F.lit(name)) if expr is None
-                else expr.when(r < bound, F.lit(name)))
-    return expr
-
+        v = f"concat('NATION_', CAST(({n} * {LOCATION_MULT}) % 25 AS STRING))"
+    else:
+        r = f"(({n} * {LOCATION_MULT}) % 1000)"
+        v = "CASE " + " ".join(f"WHEN {r} < {b} THEN '{name}'"
+                               for b, name in LOCATION_LADDER) + " END"
+    return f"array({_cond('location', 'EQUALS', v)})"
 
-def location_conditions(n: Column, domain: str = "seed") -> Column:
-    return F.array(_cond("location", "EQUALS", location_value(n, domain)))
 
+def _ranged_sql(n, mult, category, choices, pick, lows, highs, lo_op, hi_op) -> str:
+    r = f"({n} * {mult})"
+    whens = [f"WHEN {r} % 100 < {limit} THEN array({_cond(category, op, _elt_sql(vals, f'1 + {r} % {len(vals)}'))})"
+             for limit, op, vals in choices]
+    idx = _elt_sql(pick, f"1 + {r} % {len(pick)}")
+    pair = (f"array({_cond(category, lo_op, _elt_sql(lows, idx))}, "
+            f"{_cond(category, hi_op, _elt_sql(highs, idx))})")
+    return "CASE " + " ".join(whens) + f" ELSE {pair} END"
 
-def _range_pair(category, lo_op, hi_op, r, pick, lows, highs):
-    idx = _elt(1 + r % len(pick), [str(p) for p in pick]).cast("int")
-    return F.array(_cond(category, lo_op, _elt(idx, lows)),
-                   _cond(category, hi_op, _elt(idx, highs)))
 
+def age_sql(n: str) -> str:
+    return _ranged_sql(n, AGE_MULT, "age",
+                       [(5, "EQUALS", AGE_EQUALS_VALUES), (25, "GTE", AGE_GTE_VALUES),
+                        (45, "LT", AGE_LT_VALUES)],
+                       AGE_RANGE_PICK, AGE_RANGE_GTE, AGE_RANGE_LT, "GTE", "LT")
 
-def age_conditions(n: Column) -> Column:
-    r = n * AGE_MULT
-    op = r % 100
-    return (F.when(op < 5, F.array(_cond("age", "EQUALS",
-                                         _elt(1 + r % 4, AGE_EQUALS_VALUES))))
-            .when(op < 25, F.array(_cond("age", "GTE", _elt(1 + r % 8, AGE_GTE_VALUES))))
-            .when(op < 45, F.array(_cond("age", "LT", _elt(1 + r % 6, AGE_LT_VALUES))))
-            .otherwise(_range_pair("age", "GTE", "LT", r, AGE_RANGE_PICK,
-                                   AGE_RANGE_GTE, AGE_RANGE_LT)))
 
+def order_count_sql(n: str) -> str:
+    return _ranged_sql(n, ORDER_MULT, "order_count",
+                       [(3, "EQUALS", ORDER_EQUALS_VALUES), (58, "GTE", ORDER_GTE_VALUES),
+                        (73, "LTE", ORDER_LTE_VALUES)],
+                       ORDER_RANGE_PICK, ORDER_RANGE_GTE, ORDER_RANGE_LTE, "GTE", "LTE")
 
-def order_count_conditions(n: Column) -> Column:
-    r = n * ORDER_MULT
-    op = r % 100
-    return (F.when(op < 3, F.array(_cond("order_count", "EQUALS",
-                                         _elt(1 + r % 4, ORDER_EQUALS_VALUES))))
-            .when(op < 58, F.array(_cond("order_count", "GTE",
-                                         _elt(1 + r % 7, ORDER_GTE_VALUES))))
-            .when(op < 73, F.array(_cond("order_count", "LTE",
-                                         _elt(1 + r % 5, ORDER_LTE_VALUES))))
-            .otherwise(_range_pair("order_count", "GTE", "LTE", r, ORDER_RANGE_PICK,
-                                   ORDER_RANGE_GTE, ORDER_RANGE_LTE)))
 
-
-PART_BUILDERS = {"gender": gender_conditions, "age": age_conditions,
-                 "order_count": order_count_conditions}
+def ladder_sql(n: str, parts: dict[str, str]) -> str:
+    """The id ladder: which parts, concatenated in order, for step ``n``."""
+    whens = []
+    for last, names in SEGMENT_LADDER:
+        merged = f"concat({', '.join(parts[c] for c in names)})" if len(names) > 1 \
+            else parts[names[0]]
+        whens.append(f"WHEN {n} <= {last} THEN {merged}" if last is not None
+                     else f"ELSE {merged}")
+    return "to_json(CASE " + " ".join(whens) + " END)"
 
 
-def _ladder(n: Column, parts: dict[str, Column]) -> Column:
-    expr = None
-    for last, names in SEGMENT_LADDER:
-        merged = F.concat(*[parts[c] for c in names]) if len(names) > 1 else parts[names[0]]
-        if last is None:
-            expr = expr.otherwise(merged)
-        else:
-            expr = (F.when(n <= last, merged) if expr is None
-                    else expr.when(n <= last, merged))
-    return F.to_json(expr)
+def part_sqls(n: str, domain: str = "seed") -> dict[str, str]:
+    return {"gender": gender_sql(n), "age": age_sql(n), "order_count": order_count_sql(n),
+            "location": location_sql(n, domain)}
 
 
-def segment_conditions(n: Column, domain: str = "seed") -> Column:
-    """JSON text of the condition list for ladder step ``n`` (bigint)."""
-    parts = {k: f(n) for k, f in PART_BUILDERS.items()}
-    parts["location"] = location_conditions(n, domain)
-    return _ladder(n, parts)
+def segment_conditions(n: str, domain: str = "seed") -> Column:
+    """JSON text of the condition list for the step in column ``n``."""
+    return F.expr(ladder_sql(n, part_sqls(n, domain)))
 
 
 def generate_segments(ids: DataFrame, id_col: str = "segment_id", step_col: str | None = None,
@@ -205,17 +200,16 @@ def generate_segments(ids: DataFrame, id_col: str = "segment_id", step_col: str
     ``as_of`` and ``updated_at`` is ``as_of`` (the insert time).  The four
     condition parts are computed once per row, then the ladder concatenates
     them."""
-    n = F.col(step_col or id_col).cast("long")
     ts = S.ntz_literal(as_of)
-    parts = ids.select(F.col(id_col).cast("long").alias("segment_id"), n.alias("_n"),
-                       *[f(n).alias(f"_p_{k}")
-                         for k, f in PART_BUILDERS.items()],
-                       location_conditions(n, domain).alias("_p_location"))
+    parts = ids.select(F.col(id_col).cast("long").alias("segment_id"),
+                       F.col(step_col or id_col).cast("long").alias("_n"))
+    parts = parts.select("segment_id", "_n", *[
+        F.expr(sql).alias(f"_p_{k}") for k, sql in part_sqls("_n", domain).items()])
     pn = F.col("_n")
     return parts.select(
         "segment_id",
-        _ladder(pn, {k: F.col(f"_p_{k}") for k in (*PART_BUILDERS, "location")})
-        .alias("conditions"),
+        F.expr(ladder_sql("_n", {k: f"_p_{k}" for k in ("gender", "age", "order_count",
+                                                         "location")})).alias("conditions"),
         (ts - F.make_dt_interval(days=(pn % 365).cast("int"))).alias("created_at"),
         ts.alias("updated_at"),
     )

@@ -148,7 +148,7 @@ def seed_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _edge_text(k):
     idx = (k % len(EDGE_TEMPLATES)).cast("int") + 1
-    text = F.element_at(F.array(*[F.lit(t).cast("string") for t in EDGE_TEMPLATES]), idx)
+    text = F.element_at(F.lit(EDGE_TEMPLATES).cast("array<string>"), idx)
     for token, value in (("{n}", k % 25), ("{a}", 14 + k % 86), ("{o}", k % 26)):
         text = F.replace(text, F.lit(token), value.cast("string"))
     return text
