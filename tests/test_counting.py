@@ -145,3 +145,15 @@ def test_residual_age_fallback_equals_age_keys(spark, monkeypatch):
     residual = {r.segment_id: r.user_count for r in counting.count_segments(acc, segs).collect()}
     assert keyed == residual
     assert all(keyed[i] == brute(l) for i, l in enumerate(lists))
+
+
+def test_empty_inputs(spark):
+    acc = spark.createDataFrame([], ACCOUNT_SCHEMA)
+    lists = [[], [{"category": "age", "operator": "GTE", "value": "20"}],
+             [{"category": "location", "operator": "CONTAINS", "value": "N"}]]
+    got = {r.segment_id: r.user_count
+           for r in counting.count_segments(acc, _segments(spark, lists)).collect()}
+    assert got == {0: 0, 1: 0, 2: 0}
+    full = spark.createDataFrame(ACCOUNTS, ACCOUNT_SCHEMA)
+    none = spark.createDataFrame([], "segment_id long, conditions string")
+    assert counting.count_segments(full, none).count() == 0
