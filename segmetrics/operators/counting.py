@@ -34,7 +34,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -210,17 +210,79 @@ def keyed_counts(norm: DataFrame, accounts: DataFrame,
     # The cube also feeds the substring index inside ``t``: rename its columns
     # so the join sides stay distinct.
     c = cube.select(*[F.col(x).alias(f"c_{x}") for x in ("sig", *COLUMNS, "n")])
-    cond = ((F.col("sig") == F.col("c_sig")) & key_eq("loc_key", "c_location")
-            & key_eq("gender_key", "c_gender") & _numeric_ok("order_count"))
     if explode_age:
-        cond = cond & F.col("age_key").eqNullSafe(F.col("c_age"))
-    else:
-        cond = cond & _numeric_ok("age")
+        return _prefix_counts(t, c, collation)
+    cond = ((F.col("sig") == F.col("c_sig")) & key_eq("loc_key", "c_location")
+            & key_eq("gender_key", "c_gender") & _numeric_ok("order_count")
+            & _numeric_ok("age"))
     return (t.join(c, cond)
             .groupBy("def_key")
             .agg(F.sum(F.col("sign") * F.col("c_n")).cast("long").alias("user_count")))
 
 
+def _prefix_counts(t: DataFrame, c: DataFrame, collation: str | None) -> DataFrame:
+    """Counts with every key an equi-key and no residual condition.
+
+    For a key K = (signature, location, gender, age) whose signature includes
+    order_count, P_K(x) = accounts of K with order_count <= x is a running sum
+    over the cube rows of K.  A term with bounds [lo, hi] and excluded values
+    X counts P_K(hi) - P_K(lo - 1) - sum over x in X within [lo, hi] of n(K, x).
+    P_K at a bound is looked up "as of" the bound: cube rows and bound rows are
+    unioned, sorted per key, and each bound takes the last running sum at or
+    before it.  Every contribution is a signed row; one sum per definition."""
+    oc_bit = S.CATEGORY_BITS["order_count"]
+    has_oc = F.col("sig").bitwiseAND(oc_bit) != 0
+
+    def k(a: str) -> Column:
+        return C.collated(F.col(a), collation)
+
+    def keq(a: str, b: str) -> Column:
+        return k(a).eqNullSafe(k(b))
+
+    keys_t = ["sig", "loc_key", "gender_key", "age_key"]
+    keys_c = ["c_sig", "c_location", "c_gender", "c_age"]
+    on = (F.col("sig") == F.col("c_sig")) & keq("loc_key", "c_location") \
+        & keq("gender_key", "c_gender") & F.col("age_key").eqNullSafe(F.col("c_age"))
+
+    # (1) terms without order_count: one cube row per key.
+    flat = (t.where(~has_oc).join(c.where(F.col("c_order_count").isNull()), on)
+            .select("def_key", (F.col("sign") * F.col("c_n")).alias("v")))
+
+    # (2) excluded order counts inside the bounds: subtract their cells.
+    ne = (t.where(has_oc)
+          .select("def_key", "sign", *keys_t, "order_count_lo", "order_count_hi",
+                  F.explode("order_count_ne").alias("x"))
+          .where(F.col("x").between(F.col("order_count_lo"), F.col("order_count_hi"))))
+    excluded = (ne.join(c, on & (F.col("x") == F.col("c_order_count")))
+                .select("def_key", (-F.col("sign") * F.col("c_n")).alias("v")))
+
+    # (3) P_K(hi) - P_K(lo - 1) by an as-of lookup over the running sums.
+    lo, hi = F.col("order_count_lo"), F.col("order_count_hi")
+    bounds = t.where(has_oc & (lo <= hi)).select(
+        "def_key", *keys_t, F.explode(F.array(
+            F.struct(hi.alias("pos"), F.col("sign").alias("w")),
+            F.when(lo > F.lit(S.LONG_MIN), F.struct((lo - 1).alias("pos"),
+                                                     (-F.col("sign")).alias("w"))))
+        ).alias("b")).where(F.col("b").isNotNull()).select(
+        "def_key", *keys_t, F.col("b.pos").alias("pos"), F.col("b.w").alias("w"),
+        F.lit(1).alias("kind"), F.lit(None).cast("long").alias("n"))
+    cells = c.where(F.col("c_sig").bitwiseAND(oc_bit) != 0).select(
+        F.lit(None).cast("string").alias("def_key"),
+        *[F.col(a).alias(b) for a, b in zip(keys_c, keys_t)],
+        F.col("c_order_count").cast("long").alias("pos"), F.lit(0).alias("w"),
+        F.lit(0).alias("kind"), F.col("c_n").alias("n"))
+    part = [F.col("sig"), k("loc_key"), k("gender_key"), F.col("age_key")]
+    run = Window.partitionBy(*part).orderBy("pos", "kind") \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    asof = (bounds.unionByName(cells)
+            .withColumn("p", F.sum("n").over(run))
+            .where(F.col("kind") == 1)
+            .select("def_key", (F.col("w") * F.coalesce("p", F.lit(0))).alias("v")))
+
+    return (flat.unionByName(excluded).unionByName(asof)
+            .groupBy("def_key").agg(F.sum("v").cast("long").alias("user_count")))
+
+
 def nested_counts(norm: DataFrame, accounts: DataFrame,
                   collation: str | None = None) -> DataFrame:
     """Every valid definition against every cell with the full predicate."""
