@@ -10,15 +10,19 @@ segment" for all segments in one Spark job.  Two plans:
        all accounts collapses to one row before the shuffle.
     2. ``cube``: ``cells.cube(...)`` gives every column subset at once;
        ``15 - grouping_id()`` is the subset (the *signature*).
-    3. ``terms``: each segment becomes a few rows keyed by
-       (signature, location, gender).  EQUALS gives the key directly;
+    3. ``terms``: each definition becomes a few rows keyed by
+       (signature, location, gender, age).  EQUALS gives the key directly;
        CONTAINS / STARTS_WITH find their keys by an equi-join with a substring
        index of the column's distinct values; a column with only NOT_EQUALS
        is counted by inclusion-exclusion (all values minus each excluded one),
-       so no segment is paired with every value.  Age and order-count bounds
-       stay as a residual condition.
-    4. ``terms`` join ``cube`` on the keys, ``sum(sign * n)`` per segment,
-       then a left join back to all segments so that zero counts exist (D2).
+       so no segment is paired with every value; ages are exploded over the
+       allowed range within the observed span.
+    4. Equi-joins only: terms without order_count take their cube row;
+       order-count ranges are P(hi) - P(lo - 1) over running sums of the cube
+       rows per key, looked up "as of" each bound with a window; excluded
+       order counts are subtracted by an equi-join.  Signed contributions are
+       summed per definition, then left-joined back to all segments so zero
+       counts exist (D2).
   Identical definitions are counted once and joined back.
 
 * ``strategy="nested"`` (S1, the checker): every segment against every cell
