@@ -55,3 +55,25 @@ def materialize(df):
     (survives executor loss, unlike a local checkpoint)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def cluster_conf(total_cores: int) -> dict[str, str]:
+    """Settings the plans are designed around on a large cluster.
+
+    * Scans split into ~256 MB tasks; the account scan is the only step that
+      grows with the data, and it ends in a partial aggregate.
+    * Shuffles start wide (a few tasks per core) and AQE coalesces them to
+      ~128 MB, so the small post-aggregation stages do not run thousands of
+      empty tasks; AQE also splits skewed join partitions.
+    * Broadcasts only below a measured 64 MB; above it the same joins run as
+      shuffle joins."""
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.shuffle.partitions": str(max(200, 3 * total_cores)),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    }
