@@ -2,7 +2,8 @@
 
 Prints one JSON line: {"metric", "value" (total seconds), "unit", "queries", "sf"}.
 Each query is run once to warm up the JVM and codegen caches, then timed
-(an action that consumes every row: ``count`` over the full result).
+$BENCH_REPEATS times (default 3; an action that consumes every row: ``count``
+over the full result); the median is reported.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import statistics
 import sys
 import time
 
@@ -36,13 +38,17 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = build_session(f"local[{cpus}]", max(8, 2 * cpus), app="segmetrics-bench",
                           driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "16g"))
+    repeats = max(1, int(os.environ.get("BENCH_REPEATS", "3")))
     timings = {}
     for name in HEADLINE:
         q = Q.QUERIES[name]
         q(spark, sf_dir).count()                  # warm-up
-        t = time.perf_counter()
-        q(spark, sf_dir).count()
-        timings[name] = round(time.perf_counter() - t, 3)
+        runs = []
+        for _ in range(repeats):
+            t = time.perf_counter()
+            q(spark, sf_dir).count()
+            runs.append(time.perf_counter() - t)
+        timings[name] = round(statistics.median(runs), 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "headline_queries_total",

@@ -22,8 +22,6 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "Asia/Seoul")
-        # checkpoints of dropped DataFrames are removed from the shared folder
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
@@ -75,5 +73,4 @@ def cluster_conf(total_cores: int) -> dict[str, str]:
         "spark.sql.files.maxPartitionBytes": str(256 << 20),
         "spark.sql.shuffle.partitions": str(max(200, 3 * total_cores)),
         "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
-        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
