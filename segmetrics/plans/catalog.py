@@ -12,7 +12,6 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import schemas as S
 from ..functions import conditions as C
 from ..operators import counting, daily, latency, quality, seed, segments, trend
 from ..sources import derived as D

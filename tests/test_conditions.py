@@ -3,7 +3,6 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from segmetrics import schemas as S
 from segmetrics.functions import conditions as C
