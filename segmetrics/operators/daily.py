@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..session import materialize
 from .counting import count_segments
 
 DAY_COLUMNS = ["segment_id", "metric_date", "user_count", "status"]
@@ -55,7 +56,11 @@ def pending_page(rows: DataFrame, day: dt.date, page: int, size: int) -> DataFra
 def count_step(rows: DataFrame, segments: DataFrame, accounts: DataFrame,
                collation: str | None = None,
                strategy: str = "keyed") -> tuple[DataFrame, DataFrame]:
-    """Count PENDING rows.  Returns (day rows after the step, errors)."""
+    """Count PENDING rows.  Returns (day rows after the step, errors).
+    The day's rows (one per segment) are checkpointed first: they feed the
+    selection of segments to count and the join back, and reading the metric
+    table once is enough."""
+    rows = materialize(rows)
     pending = rows.where(F.col("status") == S.PENDING)
     done = rows.where(F.col("status") != S.PENDING)
     wanted = segments.join(pending.select("segment_id"), "segment_id", "left_semi")
