@@ -105,6 +105,7 @@ def test_write_day_replaces_only_that_day_and_prunes(spark, setup, tmp_out):
     plan = trend.trend(tables.read_metrics(spark, path), 1, "2026-04-30", "2026-04-30") \
         ._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(metric_date" in plan
+    assert "PushedFilters: [IsNotNull(segment_id), EqualTo(segment_id,1)]" in plan
 
 
 def test_trend_rules(spark):
