@@ -107,7 +107,9 @@ def _column_options(seg: DataFrame, column: str, cube: DataFrame,
                .when(mode == "eq", F.when(holds(eq), F.array(opt(1, bit, eq)))
                      .otherwise(F.array().cast(
                          "array<struct<sign:int,bit:int,key:string>>")))
-               .otherwise(F.concat(F.array(opt(1, 0, null_key)),
+               # NOT_EQUALS only: all values, minus each excluded value, minus
+               # NULL (SQL's <> never matches a NULL value)
+               .otherwise(F.concat(F.array(opt(1, 0, null_key), opt(-1, bit, null_key)),
                                    F.transform(F.col(f"{column}_ne"),
                                                lambda x: opt(-1, bit, x)))))
     direct = (seg.where(mode != "scan")
@@ -270,7 +272,8 @@ def _prefix_counts(t: DataFrame, c: DataFrame, collation: str | None) -> DataFra
         ).alias("b")).where(F.col("b").isNotNull()).select(
         "def_key", *keys_t, F.col("b.pos").alias("pos"), F.col("b.w").alias("w"),
         F.lit(1).alias("kind"), F.lit(None).cast("long").alias("n"))
-    cells = c.where(F.col("c_sig").bitwiseAND(oc_bit) != 0).select(
+    cells = c.where((F.col("c_sig").bitwiseAND(oc_bit) != 0)
+                    & F.col("c_order_count").isNotNull()).select(
         F.lit(None).cast("string").alias("def_key"),
         *[F.col(a).alias(b) for a, b in zip(keys_c, keys_t)],
         F.col("c_order_count").cast("long").alias("pos"), F.lit(0).alias("w"),

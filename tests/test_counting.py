@@ -157,3 +157,31 @@ def test_empty_inputs(spark):
     full = spark.createDataFrame(ACCOUNTS, ACCOUNT_SCHEMA)
     none = spark.createDataFrame([], "segment_id long, conditions string")
     assert counting.count_segments(full, none).count() == 0
+
+
+def test_null_account_values_never_match_conditions(spark):
+    rows = ACCOUNTS + [(8, "h", None, 30, None, None), (9, "i", "MALE", 40, None, 3)]
+    acc = spark.createDataFrame(rows, ACCOUNT_SCHEMA)
+    lists = [[{"category": "location", "operator": "NOT_EQUALS", "value": "NATION_1"}],
+             [{"category": "gender", "operator": "NOT_EQUALS", "value": "FEMALE"},
+              {"category": "location", "operator": "NOT_EQUALS", "value": "NATION_3"}],
+             [{"category": "order_count", "operator": "LTE", "value": "100"}],
+             [{"category": "order_count", "operator": "NOT_EQUALS", "value": "5"}],
+             [{"category": "age", "operator": "GTE", "value": "30"}],
+             []]
+
+    def ok(a, cnd):
+        col = {"location": a[4], "gender": a[2], "age": a[3], "order_count": a[5]}[cnd["category"]]
+        if col is None:
+            return False
+        v = cnd["value"]
+        if cnd["category"] in ("age", "order_count"):
+            v = int(v)
+        return {"EQUALS": col == v, "NOT_EQUALS": col != v, "LTE": col <= v,
+                "GTE": col >= v}[cnd["operator"]]
+    want = {i: sum(all(ok(a, c) for c in l) for a in rows) for i, l in enumerate(lists)}
+    segs = _segments(spark, lists)
+    keyed = {r.segment_id: r.user_count for r in counting.count_segments(acc, segs).collect()}
+    nested = {r.segment_id: r.user_count
+              for r in counting.count_segments(acc, segs, strategy="nested").collect()}
+    assert keyed == want and nested == want
