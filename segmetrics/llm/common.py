@@ -54,19 +54,26 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INV = np.uint64(pow(int(_BASE), -1, 2**64))
 
 
-def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the byte spans ``data[start:end]``, from one running polynomial sum."""
-    if not len(start):
-        return np.zeros(0, np.uint64)
-    with np.errstate(over="ignore"):
-        power = np.cumprod(np.full(len(data) + 1, _BASE, np.uint64))
-        total = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_SALT[data] * power[:-1], out=total[1:])
-        back = np.cumprod(np.full(len(data) + 1, _INV, np.uint64))
-        return mix64((total[end] - total[start]) * back[start] + (end - start).astype(np.uint64))
+class SpanHasher:
+    """64-bit hashes of byte spans ``data[start:end]``, from one running polynomial sum over ``data``."""
+
+    def __init__(self):
+        self.power = self.back = np.ones(1, np.uint64)
+
+    def __call__(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        if not len(start):
+            return np.zeros(0, np.uint64)
+        with np.errstate(over="ignore"):
+            if len(self.power) <= len(data):
+                self.power, self.back = (np.cumprod(np.concatenate(([np.uint64(1)], np.full(len(data), x, np.uint64)))) for x in (_BASE, _INV))
+            total = np.zeros(len(data) + 1, np.uint64)
+            np.cumsum(_SALT[data] * self.power[:len(data)], out=total[1:])
+            return mix64((total[end] - total[start]) * self.back[start] + (end - start).astype(np.uint64))
 
 
 def spans(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and end of each run of True."""
-    edge = np.flatnonzero(np.diff(np.concatenate(([0], inside.view(np.int8), [0]))))
+    wide = np.zeros(len(inside) + 2, bool)
+    wide[1:-1] = inside
+    edge = np.flatnonzero(wide[1:] != wide[:-1])
     return edge[0::2], edge[1::2]

@@ -48,3 +48,62 @@ def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         "first_word", "last_word", joined(base).alias("base_labels"), joined(F.concat(base, own)).alias("labels"),
         F.greatest(F.coalesce(F.array_max(F.transform("detections", lambda d: d.score)), F.lit(0.0)),
                    F.when(F.size(base) > 0, 0.7).otherwise(0.0)).alias("score"))
+
+
+@query
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmetrics.llm.line_dedup import dedup_lines
+
+    kept = dedup_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+ORACLE_SQL["op8_line_dedup"] = r"""
+WITH l AS (
+  SELECT doc_id, generate_subscripts(a, 1) AS i, unnest(a) AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS a FROM documents)),
+k AS (SELECT *, translate(trim(line, E' \t\n\x0B\x0C\r'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+r AS (SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+d AS (SELECT k.doc_id, k.i, k.line, r.key IS NOT NULL AND k.doc_id <> r.last AS gone FROM k LEFT JOIN r ON k.key = r.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM d GROUP BY doc_id
+"""
+
+
+@query
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmetrics.llm.decontaminate import find_contamination
+
+    found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
+@query
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmetrics.llm.html_text import extract_text
+
+    return extract_text(table(spark, sf_dir, "pages"), keep=["url"]).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmetrics.llm.langid import fit, held_out, predict
+
+    docs = table(spark, sf_dir, "documents")
+    return predict(docs, *fit(docs)).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmetrics.llm.ann import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmetrics.llm.ngram_join import link_documents
+
+    return link_documents(table(spark, sf_dir, "documents"))
