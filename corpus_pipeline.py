@@ -1,17 +1,62 @@
-"""Corpus cleaning: language ID, line dedup, near-duplicate join, benchmark decontamination, BPE coding."""
+"""Corpus cleaning: language ID, line dedup, near-duplicate join, benchmark decontamination, BPE coding.
+
+Each stage takes ``(spark, docs, sf_dir)`` and works on every row it is given;
+all but the last return the columns of ``documents``. The rows of a stage are
+written as Parquet to the shared folder and read again by the next one.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from segmetrics.llm.bpe import encode_decode
 from segmetrics.llm.common import stored, table
+from segmetrics.llm.decontaminate import find_contamination
+from segmetrics.llm.langid import fit, predict
+from segmetrics.llm.line_dedup import dedup_lines
+from segmetrics.llm.ngram_join import link_documents
+from segmetrics.llm.queries import TOKENIZER
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without a language (null, or without a letter) go."""
+    kept = predict(docs, *fit(docs), keep=["text", "lang", "source", "n_chars"])
+    return kept.filter(F.size("scores") > 0).select(COLUMNS)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines of three documents at least stay in the document with the largest id alone; ``n_chars`` is counted anew."""
+    return dedup_lines(docs, keep=["lang", "source"]).withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near duplicates stays."""
+    gone = link_documents(docs).filter(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
+    return docs.select(COLUMNS).join(gone, "doc_id", "left_anti")
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Contaminated documents go."""
+    found = find_contamination(docs, table(spark, sf_dir, "benchmark"), keep=["text", "lang", "source", "n_chars"])
+    return found.filter(~F.col("contaminated")).select(COLUMNS)
+
+
+def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids (little-endian unsigned 32-bit integers) and digests of ids and decoded text."""
+    coded = encode_decode(docs, TOKENIZER, keep=["lang", "source"])
+    return coded.select("doc_id", "lang", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
 
-STAGES = []
+STAGES = [("language_id", language_id), ("line_dedup", line_dedup), ("near_duplicates", near_duplicates), ("decontamination", decontamination), ("bpe", bpe)]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage; each stage's rows are written as Parquet and read again."""
+    """The rows of the last stage."""
     docs = table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

@@ -224,25 +224,27 @@ def nearest(df: DataFrame, every_nth: int = 20, n: int = 20, id_col: str = "vec_
         return spark.createDataFrame([], schema)
     index, count = _choose(every, queries, dims, scale, n_vectors, n)
     shards = max(1, -(-n_vectors // SHARD))
-    held = spark.sparkContext.broadcast(index)
+    k = index.k
     m = n + 1
 
     def member(batches):
+        index = Index(dims, scale, k)
         for batch in batches:
             v = _dense(batch.column(1).to_pylist(), dims)
             for t in range(TABLES):
-                b = held.value.buckets(np.floor(held.value.places(v, False, t)))
+                b = index.buckets(np.floor(index.places(v, False, t)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(v), t), pa.int32()), pa.array((b % np.uint64(shards)).astype(np.int64)), pa.array(b.view(np.int64)),
                      batch.column(0), batch.column(1)], names=["t", "s", "b", "rep", "vec"])
 
     def ask(batches):
+        index = Index(dims, scale, k)
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
                 v = _dense(part.column(1).to_pylist(), dims)
                 for t in range(TABLES):
-                    b = held.value.probes(v, t, count)
+                    b = index.probes(v, t, count)
                     s = (b % np.uint64(shards)).astype(np.int64)
                     row, to, which = [], [], []
                     for i in range(len(v)):

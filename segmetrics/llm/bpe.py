@@ -99,8 +99,9 @@ class Codec(dict):
         return b"".join(map(self.tokens.__getitem__, ids)).decode("utf-8", "replace")
 
 
-def encode_decode(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, ids, decoded``: ids as little-endian unsigned 32-bit integers, decoded text.
+def encode_decode(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
+                  keep: list[str] | None = None) -> DataFrame:
+    """``doc_id, ids, decoded`` and the columns in ``keep``: ids as little-endian unsigned 32-bit integers, decoded text.
 
     One row for each input row, in a single scan without a shuffle. A null or
     empty text has no ids and decodes to the empty text. Other columns of the
@@ -117,9 +118,10 @@ def encode_decode(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_co
                 part = batch.slice(lo, 512)
                 ids = [codec.encode(t or "") for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(ids, pa.binary()), pa.array(map(codec.decode, ids), pa.string())],
-                    names=["doc_id", "ids", "decoded"])
+                    [part.column(0), pa.array(ids, pa.binary()), pa.array(map(codec.decode, ids), pa.string()), *(part.column(c) for c in keep)],
+                    names=["doc_id", "ids", "decoded", *keep])
 
+    keep = keep or []
     kind = df.schema[id_col].dataType.simpleString()
-    return df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        run, f"doc_id {kind}, ids binary, decoded string")
+    schema = f"doc_id {kind}, ids binary, decoded string" + "".join(f", `{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
+    return df.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"), *keep).mapInArrow(run, schema)

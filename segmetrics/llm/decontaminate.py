@@ -248,12 +248,11 @@ def find_contamination(df: DataFrame, benchmark: DataFrame, window: int = 13, co
     keep = keep or []
     kind = df.schema[id_col].dataType.simpleString()
     extra = "".join(f", `{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
-    rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"), *keep)
-    rows = rows.select("doc_id", "text", F.lit(0).alias("n_words"), F.array().cast("array<int>").alias("spans"),
-                       F.array().cast("array<string>").alias("items"), F.lit(0).alias("longest"), *keep)
+    rows = df.select(F.col(id_col).alias("__id"), F.col(text_col).cast("binary").alias("__text"), F.lit(0).alias("__n"),
+                     F.array().cast("array<int>").alias("__spans"), F.array().cast("array<string>").alias("__items"), F.lit(0).alias("__longest"), *keep)
     source = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")), F.col(item_text_col).cast("string")).dropDuplicates()
     read = ((r[0], words) for r in source.toLocalIterator() if (words := normalised(r[1])))
-    schema = f"doc_id {kind}, text binary, n_words int, spans array<int>, items array<string>, longest int{extra}"
+    schema = f"__id {kind}, __text binary, __n int, __spans array<int>, __items array<string>, __longest int{extra}"
     for i, group in enumerate(_passes(read)):
         held = spark.sparkContext.broadcast(group)
         rows = _pass(rows if not i else stored(rows), held, window, keep, schema)
@@ -264,10 +263,10 @@ def _pass(rows: DataFrame, held, window: int, keep: list[str], schema: str) -> D
     def match(batches):
         matcher = Matcher([(Automaton(s, window), s) for s in held.value])
         for batch in batches:
-            texts = batch.column("text").to_pylist()
+            texts = batch.column("__text").to_pylist()
             n_words = np.zeros(len(texts), np.int64)
-            old = {i: (s, it, n) for i, (s, it, n) in enumerate(zip(batch.column("spans").to_pylist(), batch.column("items").to_pylist(),
-                                                                    batch.column("longest").to_pylist()))}
+            old = {i: (s, it, n) for i, (s, it, n) in enumerate(zip(batch.column("__spans").to_pylist(), batch.column("__items").to_pylist(),
+                                                                    batch.column("__longest").to_pylist()))}
             for at in _chunks(texts):
                 data = b" ".join(texts[i] or b"" for i in at) + b" "
                 low, start, end = words_of(data)
@@ -294,9 +293,9 @@ def _pass(rows: DataFrame, held, window: int, keep: list[str], schema: str) -> D
                             merged.append([p, q])
                     old[i] = ([x for f in merged for x in f], sorted(set(it)), n)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text"), pa.array(n_words, pa.int32()), pa.array([old[i][0] for i in range(len(texts))], SPAN),
+                [batch.column("__id"), batch.column("__text"), pa.array(n_words, pa.int32()), pa.array([old[i][0] for i in range(len(texts))], SPAN),
                  pa.array([old[i][1] for i in range(len(texts))], pa.list_(pa.string())), pa.array([old[i][2] for i in range(len(texts))], pa.int32()),
-                 *(batch.column(c) for c in keep)], names=["doc_id", "text", "n_words", "spans", "items", "longest", *keep])
+                 *(batch.column(c) for c in keep)], names=["__id", "__text", "__n", "__spans", "__items", "__longest", *keep])
 
     return rows.mapInArrow(match, schema)
 
@@ -304,7 +303,7 @@ def _pass(rows: DataFrame, held, window: int, keep: list[str], schema: str) -> D
 def _finished(rows: DataFrame, coverage: float, keep: list[str], kind: str, extra: str) -> DataFrame:
     def cut(batches):
         for batch in batches:
-            texts, n_words, all_spans = batch.column("text").to_pylist(), batch.column("n_words").to_pylist(), batch.column("spans").to_pylist()
+            texts, n_words, all_spans = batch.column("__text").to_pylist(), batch.column("__n").to_pylist(), batch.column("__spans").to_pylist()
             n_hit, bad, clean = [], [], []
             for t, n, s in zip(texts, n_words, all_spans):
                 hit = sum(s[1::2]) - sum(s[0::2])
@@ -320,8 +319,8 @@ def _finished(rows: DataFrame, coverage: float, keep: list[str], kind: str, extr
                     left = b"".join([*parts, t[at:]])
                 clean.append(left)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), batch.column("items"), batch.column("spans"),
-                 batch.column("longest"), pa.array(bad, pa.bool_()), pa.array(clean, pa.binary()).cast(pa.string()), *(batch.column(c) for c in keep)],
+                [batch.column("__id"), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), batch.column("__items"), batch.column("__spans"),
+                 batch.column("__longest"), pa.array(bad, pa.bool_()), pa.array(clean, pa.binary()).cast(pa.string()), *(batch.column(c) for c in keep)],
                 names=["doc_id", "n_words", "n_hit", "items", "spans", "longest", "contaminated", "clean", *keep])
 
     return rows.mapInArrow(cut, f"doc_id {kind}, n_words long, n_hit long, items array<string>, spans array<int>, longest int, "

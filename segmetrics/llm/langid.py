@@ -248,4 +248,4 @@ def predict(df: DataFrame, net: Network, languages: list[str], id_col: str = "do
 
     schema = f"doc_id {kind}, lang_pred string, score double, scores array<double>" + "".join(
         f", `{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
-    return df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), *keep).mapInArrow(run, schema)
+    return df.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"), *keep).mapInArrow(run, schema)

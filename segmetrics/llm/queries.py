@@ -107,3 +107,11 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from segmetrics.llm.ngram_join import link_documents
 
     return link_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmetrics.llm.secrets import scan_secrets
+
+    found = scan_secrets(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "word", "nth", F.sha2("finding", 256).alias("finding_sha256"), "kind", "score", "is_secret")
