@@ -46,10 +46,11 @@ def _in(values) -> str:
     return "(" + ", ".join(f"'{v}'" for v in values) + ")"
 
 
-# Validation rules over one element row (columns is_null, is_object,
-# category, operator, value, has_text, ival), as SQL expressions.
+# Validation rules over one element row (columns is_null, is_object, nested
+# (an object or array as the value), category, operator, value, has_text, ival), as SQL expressions.
 LOAD_REASON_SQL = (
     f"CASE WHEN NOT is_null AND NOT is_object THEN '{S.INVALID_CONDITION}' "
+    f"WHEN nested THEN '{S.INVALID_CONDITION}' "
     f"WHEN operator IS NOT NULL AND operator NOT IN {_in(S.OPERATORS)} "
     f"THEN '{S.UNKNOWN_OPERATOR}' END")
 LOOP_REASON_SQL = (
@@ -67,28 +68,34 @@ EFFECTIVE_SQL = (f"coalesce(present AND NOT is_null AND is_object AND has_text "
                  f"AND category IN {_in(S.KNOWN_CATEGORIES)}, false)")
 
 
-def element_rows(segments: DataFrame) -> DataFrame:
+def element_rows(segments: DataFrame, key: str = "segment_id") -> DataFrame:
     """A2: one row per element of each segment's JSON array (a segment whose
     text is not an array keeps one row with null element fields), with the
-    segment-level JSON problem, the parsed number and the has-text flag."""
+    segment-level JSON problem, the parsed number and the has-text flag.
+    Values keep their JSON text (``20.0`` stays ``20.0``), so the strict
+    number parse sees what the definition says."""
     v = F.col("_v")
     arr = F.try_variant_get(v, "$", "array<variant>")
-    parsed = segments.select("segment_id", "conditions",
-                             F.try_parse_json("conditions").alias("_v"))
+    parsed = segments.select(*dict.fromkeys([key, "conditions"]),
+                             F.try_parse_json("conditions").alias("_v"),
+                             F.from_json("conditions", "array<string>").alias("_t"))
     json_reason = (F.when(F.col("conditions").isNotNull() & v.isNull(), F.lit(S.INVALID_JSON))
                    .when(v.isNotNull() & ~F.is_variant_null(v) & arr.isNull(),
                          F.lit(S.NOT_ARRAY)))
-    rows = parsed.select("segment_id", json_reason.alias("json_reason"),
+    rows = parsed.select(key, "_t", json_reason.alias("json_reason"),
                          F.posexplode_outer(arr).alias("pos", "_e"))
     e = F.col("_e")
+    raw = F.from_json(F.get("_t", F.col("pos")), "struct<value:string>")
     rows = rows.select(
-        "segment_id", "json_reason", "pos",
+        key, "json_reason", "pos",
         e.isNotNull().alias("present"),
         F.is_variant_null(e).alias("is_null"),
         F.schema_of_variant(e).startswith("OBJECT").alias("is_object"),
+        F.coalesce(F.schema_of_variant(F.try_variant_get(e, "$.value", "variant"))
+                   .rlike("^(OBJECT|ARRAY)"), F.lit(False)).alias("nested"),
         F.try_variant_get(e, "$.category", "string").alias("category"),
         F.try_variant_get(e, "$.operator", "string").alias("operator"),
-        F.try_variant_get(e, "$.value", "string").alias("value"))
+        raw["value"].alias("value"))
     return rows.select(
         "*", has_text(F.col("value")).alias("has_text"),
         F.when(F.col("category").isin(*S.NUMBER_CATEGORIES),
@@ -120,6 +127,15 @@ def number_match(op: Column, ival: Column, x: Column) -> Column:
     return F.coalesce(m, F.lit(False))
 
 
+def bare_test(operator: str, x: Column, value: Column) -> Column:
+    """One condition as the plain comparison (null where ``x`` is null)."""
+    return {"EQUALS": lambda: x == value, "NOT_EQUALS": lambda: x != value,
+            "GT": lambda: x > value, "GTE": lambda: x >= value,
+            "LT": lambda: x < value, "LTE": lambda: x <= value,
+            "CONTAINS": lambda: F.contains(x, value),
+            "STARTS_WITH": lambda: F.startswith(x, value)}[operator]()
+
+
 def condition_match(e: Column, row: dict[str, Column],
                     collation: str | None = None) -> Column:
     """An effective condition evaluated on an account-like row."""
@@ -143,12 +159,13 @@ def normalize_segments(segments: DataFrame, collation: str | None = None) -> Dat
     """One row per segment: error, effective conditions, signature and the
     per-column parts the keyed count needs.
 
-    Relational form: the JSON is parsed once, its elements become rows
-    (``element_rows``), every per-condition rule is a compiled expression, and
-    one ``groupBy(segment_id)`` folds them back.  The groups are a segment's
-    own conditions (a handful), so the shuffle is small and cannot be skewed
-    by the data.  Rules and folds are SQL expressions (parsed once each)."""
-    rows = element_rows(segments).select(
+    Relational form over the distinct texts: the JSON is parsed once, its
+    elements become rows (``element_rows``), every per-condition rule is a
+    compiled expression, one ``groupBy(conditions)`` folds them back, and the
+    segments are joined to their text.  The groups are a text's own conditions
+    (a handful).  Rules and folds are SQL expressions (parsed once each)."""
+    texts = segments.select("conditions").distinct()
+    rows = element_rows(texts, "conditions").select(
         "*", F.expr(LOAD_REASON_SQL).alias("load_r"), F.expr(LOOP_REASON_SQL).alias("loop_r"),
         F.expr(EFFECTIVE_SQL).alias("eff"))
     item = ("named_struct('pos', pos, 'category', category, 'operator', operator, "
@@ -184,8 +201,8 @@ def normalize_segments(segments: DataFrame, collation: str | None = None) -> Dat
                             f"WHEN {on(c, ('LT',))} THEN CAST(ival AS BIGINT) - 1 END)")
         exprs[f"{c}_ne"] = (f"array_distinct(collect_list(CASE WHEN "
                             f"{on(c, ('NOT_EQUALS',))} THEN ival END))")
-    g = rows.groupBy("segment_id").agg(*[F.expr(e).alias(k) for k, e in exprs.items()])
-    cols = [F.col("segment_id"),
+    g = rows.groupBy("conditions").agg(*[F.expr(e).alias(k) for k, e in exprs.items()])
+    cols = [F.col("conditions").alias("_text"),
             F.coalesce("json_reason", "load_r", "loop_r").alias("error_reason"),
             F.col("effective").cast(EFFECTIVE_TYPE).alias("effective"), F.col("signature")]
     for c in S.STRING_CATEGORIES:
@@ -199,7 +216,9 @@ def normalize_segments(segments: DataFrame, collation: str | None = None) -> Dat
                  F.col(f"{c}_ne")]
     for c in S.NUMBER_CATEGORIES:
         cols += [F.col(f"{c}_lo"), F.col(f"{c}_hi"), F.col(f"{c}_ne")]
-    return g.select(*cols)
+    return (segments.select("segment_id", "conditions")
+            .join(g.select(*cols), F.col("conditions").eqNullSafe(F.col("_text")))
+            .drop("conditions", "_text"))
 
 
 def exploded_conditions(segments: DataFrame) -> DataFrame:

@@ -327,7 +327,8 @@ def count_segments(accounts: DataFrame, segments: DataFrame,
 # ------------------------------ one segment -------------------------------
 
 def predicate(conditions, collation: str | None = None) -> Column:
-    """B1: the AND predicate of one condition list, as a Column.  Raises
+    """B1: the AND predicate of one condition list, as a Column of bare
+    comparisons that a scan can take over (a filter drops NULL).  Raises
     ``ValueError`` with the error reason on an invalid list (R5-R9)."""
     if conditions is None:
         return F.lit(True)
@@ -350,8 +351,8 @@ def predicate(conditions, collation: str | None = None) -> Column:
                 raise ValueError(S.NULL_OPERATOR)
             if operator not in S.STRING_OPERATORS:
                 raise ValueError(S.UNSUPPORTED_OPERATOR)
-            preds.append(C.string_match(F.lit(operator), F.lit(value),
-                                        F.col(category), collation))
+            preds.append(C.bare_test(operator, C.collated(F.col(category), collation),
+                                     C.collated(F.lit(value), collation)))
         elif category in S.NUMBER_CATEGORIES:
             number = _parse_int(value)
             if number is None:
@@ -360,11 +361,11 @@ def predicate(conditions, collation: str | None = None) -> Column:
                 raise ValueError(S.NULL_OPERATOR)
             if operator not in S.NUMBER_OPERATORS:
                 raise ValueError(S.UNSUPPORTED_OPERATOR)
-            preds.append(C.number_match(F.lit(operator), F.lit(number), F.col(category)))
-    out = F.lit(True)
+            preds.append(C.bare_test(operator, F.col(category), F.lit(number)))
+    out = None
     for p in preds:
-        out = out & p
-    return out
+        out = p if out is None else out & p
+    return F.lit(True) if out is None else out
 
 
 # Characters for which Java's Character.isWhitespace is true (see schemas).

@@ -7,6 +7,7 @@ the same arithmetic runs as table operators:
 * ``bucket_counts``      -- cumulative counts per upper bound ``le`` (D8);
 * ``histogram_quantile`` -- quantile from cumulative buckets with linear
   interpolation inside the bucket, Prometheus-style (D9);
+* ``total_quantile``     -- the same over the sum of all series;
 * ``bucket_tail``        -- the last ``n`` buckets by bound (F4).
 
 Values are assigned to buckets with an array expression per row, counted with
@@ -18,9 +19,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 
 def default_bounds(start: float = 1.0, stop: float = 300_000.0, per_octave: int = 2):
     """Upper bounds growing by 2**(1/per_octave) from ``start`` up to ``stop``
@@ -35,49 +38,74 @@ def default_bounds(start: float = 1.0, stop: float = 300_000.0, per_octave: int
     return out + [math.inf]
 
 
-def exact_quantiles(df: DataFrame, value: str, qs=(0.5, 0.95, 0.99), by=(),
-                    partitions: int | None = None) -> DataFrame:
+def _same(left: str, right: str, by) -> Column:
+    """Null-safe equality of the group columns of two aliased frames."""
+    out = F.lit(True)
+    for c in by:
+        out = out & F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
+    return out
+
+
+def _band(v: Column, per_octave: int) -> Column:
+    """A number that never falls as ``v`` grows: ``per_octave`` bands between a
+    power of two and the next, on both sides of zero; NaN above all."""
+    size = F.floor(F.log2(F.abs(v)) * per_octave) + 1100 * per_octave
+    return (F.when(F.isnan(v), F.lit(1 << 60)).when(v == float("inf"), F.lit(1 << 59))
+            .when(v == float("-inf"), F.lit(-(1 << 59)))
+            .when(v > 0, size).when(v < 0, -size).otherwise(F.lit(0))).cast("long")
+
+
+def exact_quantiles(df: DataFrame, value: str, qs=(0.5, 0.95, 0.99), by=()) -> DataFrame:
     """Exact quantiles with linear interpolation (position ``q * (n - 1)``),
-    without gathering a group in one task.
-
-    1. range-partition by (group, value): a group holding a third of all rows
-       is split over many tasks by value;
-    2. sort inside each task and number its rows (no second shuffle);
-    3. offsets per (task, group) from a small count table (tasks x groups);
-    4. keep only the rows at the two ranks around each target position and
-       interpolate.  Returns ``(by..., q, value)``."""
+    without gathering or sorting a group in one task.
+
+    The rows are counted per band of values (map-side combined, so a value
+    that a third of the rows hold is one row per task); running sums over the
+    bands tell which band holds each wanted rank.  The wanted bands are counted
+    again in finer bands, and only the distinct values of those are sorted.
+    Groups are compared null-safe.  Returns ``(by..., q, value)``."""
+    by = list(by)
     v = F.col(value).cast("double")
     base = df.where(v.isNotNull()).select(*by, v.alias("_v"))
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # One range shuffle; inside a task the rows are sorted, and the low bits
-    # of monotonically_increasing_id count rows in that order.
-    ranged = (base.repartitionByRange(n, *by, "_v").sortWithinPartitions(*by, "_v")
-              .select(*by, "_v", F.spark_partition_id().alias("_p"),
-                      F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("_i")))
-    # Small tables (tasks x groups): first local index and size per task,
-    # and the group's rows in earlier tasks.
-    per_task = ranged.groupBy("_p", *by).agg(F.min("_i").alias("_i0"),
-                                            F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(*by).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_task.select("_p", *by, "_i0",
-                              F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_off"),
-                              F.sum("_c").over(Window.partitionBy(*by)).alias("_n"))
-    ranks = ranged.join(offsets, ["_p", *by]).select(
-        *by, "_v", "_n", (F.col("_off") + F.col("_i") - F.col("_i0")).alias("_rank"))
-    targets = offsets.select(*by, "_n").distinct().select(
-        *by, "_n", F.explode(F.array(*[F.lit(float(q)) for q in qs])).alias("q"))
-    targets = targets.select(*by, "q", (F.col("q") * (F.col("_n") - 1)).alias("_pos"))
-    targets = targets.select(*by, "q", "_pos", F.floor("_pos").cast("long").alias("_lo"),
-                             F.ceil("_pos").cast("long").alias("_hi"))
-    # the (at most two) ranks each quantile needs, then an equi-join on rank
-    wanted = targets.select(*by, "q", "_pos", "_lo", "_hi", F.explode(
-        F.array_distinct(F.array("_lo", "_hi"))).alias("_rank"))
-    picked = wanted.join(ranks.select(*by, "_rank", "_v"), [*by, "_rank"])
-    agg = picked.groupBy(*by, "q", "_pos", "_lo").agg(
-        F.max(F.when(F.col("_rank") == F.col("_lo"), F.col("_v"))).alias("_vlo"),
-        F.max(F.when(F.col("_rank") == F.col("_hi"), F.col("_v"))).alias("_vhi"))
-    return agg.select(*by, "q", (F.col("_vlo") + (F.col("_pos") - F.col("_lo"))
-                                 * (F.col("_vhi") - F.col("_vlo"))).alias("value"))
+    counts = base.groupBy(*by, _band(F.col("_v"), 256).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy(*by).orderBy("_k"))
+    counts = counts.select(*by, "_k", "_n", upto.alias("_upto"),
+                           F.sum("_n").over(Window.partitionBy(*by)).alias("_all"))
+    pos = F.col("_q") * (F.col("_all") - 1)
+    wanted = counts.select(
+        *by, "_k", "_n", "_upto", "_all", F.explode(F.array(*[F.lit(float(q)) for q in qs])).alias("_q"))
+    wanted = wanted.select("*", F.explode(F.array(F.floor(pos), F.ceil(pos))).alias("_rank")).dropDuplicates()
+    wanted = wanted.where((F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= F.col("_upto") - F.col("_n")))
+    # (by..., band, ranks in it counted from the band's first row)
+    need = wanted.select(*by, "_k", "_q", (pos - F.floor(pos)).alias("_part"), (F.col("_rank") > F.floor(pos)).alias("_high"),
+                         (F.col("_rank") - F.col("_upto") + F.col("_n")).alias("_rank"))
+    need = materialize(need)                           # a few rows for each group
+    fine = _band(F.col("_v"), 1 << 18)
+    rows = base.select(*by, "_v", _band(F.col("_v"), 256).alias("_k"))
+    keys = [*by, "_k"]
+    inner = _within(rows.select(*keys, fine.alias("_f")), need.select(*keys).distinct(), keys, "_f")
+    need = (need.alias("w").join(inner.alias("c"), _same("w", "c", keys)
+                                 & F.col("w._rank").between(F.col("c._before"), F.col("c._upto") - 1))
+            .select("w.*", F.col("c._f").alias("_f"), F.col("c._before").alias("_before"))
+            .withColumn("_rank", F.col("_rank") - F.col("_before")).drop("_before"))
+    need = materialize(need)
+    keys = [*keys, "_f"]
+    inner = _within(rows.select(*by, "_k", fine.alias("_f"), "_v"), need.select(*keys).distinct(), keys, "_v")
+    found = (need.alias("w").join(inner.alias("c"), _same("w", "c", keys)
+                                  & F.col("w._rank").between(F.col("c._before"), F.col("c._upto") - 1))
+             .select("w.*", F.col("c._v").alias("_v")))
+    low, high = F.max(F.when(~F.col("_high"), F.col("_v"))), F.max(F.when(F.col("_high"), F.col("_v")))
+    agg = found.groupBy(*by, F.col("_q").alias("q"), "_part").agg(low.alias("_lo"), high.alias("_hi"))
+    return agg.select(*by, "q", (F.col("_lo") + F.when(F.col("_part") > 0, F.col("_part") * (F.col("_hi") - F.col("_lo")))
+                                 .otherwise(F.lit(0.0))).alias("value"))
+
+
+def _within(rows: DataFrame, bands: DataFrame, keys: list[str], by: str) -> DataFrame:
+    """``keys..., by, _before, _upto``: rows of the given bands before and up to each value of ``by``."""
+    kept = (rows.alias("r").join(bands.alias("b"), _same("r", "b", keys), "left_semi")
+            .groupBy(*keys, by).agg(F.count(F.lit(1)).alias("_n")))
+    upto = F.sum("_n").over(Window.partitionBy(*keys).orderBy(by))
+    return kept.select(*keys, by, (upto - F.col("_n")).alias("_before"), upto.alias("_upto"))
 
 
 def summary(df: DataFrame, value: str, by=()) -> DataFrame:
@@ -94,7 +122,8 @@ def summary(df: DataFrame, value: str, by=()) -> DataFrame:
     qs = exact_quantiles(src, value, [q for q, _ in named], keys).groupBy(*keys).agg(
         *[F.round(F.max(F.when(F.col("q") == F.lit(q), F.col("value"))), 6).alias(name)
           for q, name in named])
-    out = stats.join(qs, keys, "left")
+    out = stats.alias("s").join(qs.alias("x"), _same("s", "x", keys), "left").select(
+        "s.*", *[F.col(f"x.{name}").alias(name) for _, name in named])
     return out if by else out.drop("_all")
 
 
@@ -116,9 +145,8 @@ def bucket_counts(df: DataFrame, value: str, bounds=None, by=()) -> DataFrame:
     grid = grid.select(*by, F.posexplode(arr).alias("idx", "le"))
     w = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy("idx") \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (grid.join(per_bucket, [*by, "idx"], "left")
-            .select(*by, "le", F.sum(F.coalesce("n", F.lit(0))).over(w)
-                    .cast("long").alias("cum_count")))
+    counted = grid.alias("g").join(per_bucket.alias("p"), _same("g", "p", [*by, "idx"]), "left").select("g.*", "p.n")
+    return counted.select(*by, "le", F.sum(F.coalesce("n", F.lit(0))).over(w).cast("long").alias("cum_count"))
 
 
 def histogram_quantile(buckets: DataFrame, qs=(0.5, 0.95, 0.99), by=()) -> DataFrame:
@@ -150,6 +178,12 @@ def histogram_quantile(buckets: DataFrame, qs=(0.5, 0.95, 0.99), by=()) -> DataF
     return pick.select(*by, "q", F.round(val, 6).alias("value"))
 
 
+def total_quantile(buckets: DataFrame, qs=(0.5, 0.95, 0.99)) -> DataFrame:
+    """D9 over all series: cumulative counts summed by bound, then the quantiles."""
+    total = buckets.groupBy("le").agg(F.sum("cum_count").cast("long").alias("cum_count"))
+    return histogram_quantile(total, qs)
+
+
 def bucket_tail(buckets: DataFrame, n: int = 25) -> DataFrame:
     """cumulative counts summed over series, last ``n`` bounds."""
     return (buckets.groupBy("le").agg(F.sum("cum_count").cast("long").alias("cum_count"))

@@ -26,3 +26,16 @@ def touch_updated(old: DataFrame, new: DataFrame, as_of: dt.datetime) -> DataFra
         F.when(in_old, F.col("o.created_at")).otherwise(ts).alias("created_at"),
         F.when(changed, ts).otherwise(F.col("o.updated_at")).alias("updated_at"),
         changed.alias("changed"))
+
+
+def segment_page(segments: DataFrame, after: int | None, size: int) -> DataFrame:
+    """The ``size`` segments with the smallest ids above ``after`` (null:
+    the first page), each with ``total`` (all segments) and ``has_next``.  The
+    key set needs no growing offset: a page reads ids above a bound."""
+    rest = segments if after is None else segments.where(F.col("segment_id") > after)
+    page = rest.select("segment_id", "conditions").orderBy("segment_id").limit(size)
+    last = page.agg(F.max("segment_id").alias("last"))
+    facts = segments.agg(F.count(F.lit(1)).alias("total"), F.max("segment_id").alias("highest"))
+    one = last.withColumn("k", F.lit(1)).join(facts.withColumn("k", F.lit(1)), "k")      # one row each
+    return (page.withColumn("k", F.lit(1)).join(one, "k")
+            .select("segment_id", "conditions", "total", (F.col("highest") > F.col("last")).alias("has_next")))

@@ -20,6 +20,7 @@ RUN_DAY = D.RUN_DAY
 TREND_SEGMENT, TREND_START, TREND_END = 1, "2026-02-01", "2026-03-15"
 PROBE_DAYS = [dt.date(2026, 1, 1), dt.date(2026, 4, 30), RUN_DAY, dt.date(2026, 6, 1)]
 PAGE, PAGE_SIZE = 2, 100
+AFTER_SEGMENT = 150
 SEED_AS_OF = dt.datetime(2026, 5, 1)
 
 # One condition per single-predicate query (B2-B11) and the full fixture 10.
@@ -237,6 +238,29 @@ def latency_histogram_quantile(spark: SparkSession, sf: str) -> DataFrame:
     return latency.histogram_quantile(latency_buckets(spark, sf), by=["event_type"])
 
 
+def latency_quantile_total(spark: SparkSession, sf: str) -> DataFrame:
+    return latency.total_quantile(latency_buckets(spark, sf))
+
+
+def _null_group(spark, sf):
+    """Every fifth event loses its type: a NULL series."""
+    e = D.table(spark, sf, "events")
+    return e.select(F.when(F.col("event_id") % 5 != 0, F.col("event_type")).alias("event_type"), "value")
+
+
+def latency_summary_null(spark: SparkSession, sf: str) -> DataFrame:
+    return latency.summary(_null_group(spark, sf), "value", by=["event_type"])
+
+
+def latency_buckets_null(spark: SparkSession, sf: str) -> DataFrame:
+    return latency.bucket_counts(_null_group(spark, sf), "value", by=["event_type"])
+
+
+def segment_page(spark: SparkSession, sf: str) -> DataFrame:
+    """One key-set page of the segments, with the total and whether more follow."""
+    return segments.segment_page(D.workload_segments(spark, sf), AFTER_SEGMENT, PAGE_SIZE)
+
+
 QUERIES = {
     "account_profile": account_profile,
     "segment_parse": segment_parse,
@@ -269,4 +293,8 @@ QUERIES = {
     "latency_buckets": latency_buckets,
     "latency_bucket_tail": latency_bucket_tail,
     "latency_histogram_quantile": latency_histogram_quantile,
+    "latency_quantile_total": latency_quantile_total,
+    "latency_summary_null": latency_summary_null,
+    "latency_buckets_null": latency_buckets_null,
+    "segment_page": segment_page,
 }

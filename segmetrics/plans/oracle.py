@@ -95,12 +95,12 @@ def _ts(n):
 
 
 def seed_segments_cte(domain="nation", step="(c_custkey * 7) % 5000 + 1"):
-    return (f"SELECT c_custkey + 1 AS segment_id, {segment_json('n', domain)} AS conditions "
+    return (f"SELECT 2 * c_custkey + 1 AS segment_id, {segment_json('n', domain)} AS conditions "
             f"FROM (SELECT c_custkey, {step} AS n FROM customer)")
 
 
 EDGE_CTE = (
-    "SELECT k + 1 + " + str(D.EDGE_ID_BASE) + " AS segment_id, "
+    "SELECT 2 * k + 2 AS segment_id, "
     "replace(replace(replace(t, '{n}', CAST(k % 25 AS VARCHAR)), '{a}', CAST(14 + k % 86 AS VARCHAR)), "
     "'{o}', CAST(k % 26 AS VARCHAR)) AS conditions FROM (SELECT c_custkey AS k, "
     "[" + ", ".join("NULL" if t is None else _q(t) for t in D.EDGE_TEMPLATES) + "]"
@@ -147,7 +147,8 @@ elems AS (
   SELECT segment_id, CAST(pos AS INTEGER) AS pos, json_type(e) AS et,
          json_extract_string(e, '$.category') AS category,
          json_extract_string(e, '$.operator') AS operator,
-         json_extract_string(e, '$.value') AS value
+         json_extract_string(e, '$.value') AS value,
+         json_type(e, '$.value') AS vt
   FROM (SELECT segment_id, pos, json_extract(vj, '$[' || pos || ']') AS e
         FROM (SELECT segment_id, vj, unnest(range(CAST(json_array_length(vj) AS BIGINT))) AS pos
               FROM vseg WHERE json_type(vj) = 'ARRAY'))),
@@ -159,6 +160,7 @@ er AS (
 er2 AS (
   SELECT *,
     CASE WHEN et <> 'NULL' AND et <> 'OBJECT' THEN 'invalid_condition'
+         WHEN vt IN ('OBJECT', 'ARRAY') THEN 'invalid_condition'
          WHEN operator IS NOT NULL AND operator NOT IN {_in(S.OPERATORS)} THEN 'unknown_operator'
     END AS load_r,
     CASE WHEN et = 'NULL' THEN 'null_condition'
@@ -232,7 +234,7 @@ CRASH = f"""crash AS (
          CASE c_mktsegment WHEN 'BUILDING' THEN 'PENDING' WHEN 'FURNITURE' THEN 'COUNTED'
               WHEN 'HOUSEHOLD' THEN 'INSERTED' WHEN 'MACHINERY' THEN 'PENDING' END AS status
   FROM (SELECT c_custkey AS k, c_mktsegment,
-               unnest([c_custkey + 1, c_custkey + 1 + {D.EDGE_ID_BASE}]) AS sid FROM customer)
+               unnest([2 * c_custkey + 1, 2 * c_custkey + 2]) AS sid FROM customer)
   WHERE c_mktsegment IN ('BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY'))"""
 
 
@@ -491,6 +493,27 @@ SELECT event_type, q,
              ELSE prev_le + (le - prev_le) * (rank - prev_cum) / (cum_count - prev_cum) END, 6)
     AS value
 FROM pick WHERE r = 1"""
+    ev = ("ev AS (SELECT CASE WHEN event_id % 5 <> 0 THEN event_type END AS event_type, value FROM events)")
+    out["latency_summary_null"] = f"WITH {ev} " + out["latency_summary"].replace("FROM events", "FROM ev")
+    out["latency_buckets_null"] = (f"WITH {ev}, {BUCKETS.replace('events', 'ev')} "
+                                   "SELECT event_type, le, cum_count FROM buckets")
+    out["latency_quantile_total"] = f"""
+WITH {BUCKETS},
+s AS (SELECT le, sum(cum_count) AS cum FROM buckets GROUP BY le),
+p AS (SELECT le, cum, COALESCE((SELECT max(z.le) FROM s z WHERE z.le < s.le), 0.0) AS below,
+             COALESCE((SELECT max(z.cum) FROM s z WHERE z.le < s.le), 0) AS before FROM s),
+r AS (SELECT q, q * (SELECT max(cum) FROM s) AS rank
+      FROM (VALUES (0.5::DOUBLE), (0.95::DOUBLE), (0.99::DOUBLE)) v(q)),
+h AS (SELECT r.q, r.rank, (SELECT min(p.le) FROM p WHERE p.cum >= r.rank) AS le FROM r)
+SELECT h.q, round(CASE WHEN h.le = 'inf'::DOUBLE THEN (SELECT max(le) FROM s WHERE le <> 'inf'::DOUBLE)
+                       WHEN p.cum = p.before THEN p.le
+                       ELSE p.below + (p.le - p.below) * (h.rank - p.before) / (p.cum - p.before) END, 6) AS value
+FROM h JOIN p ON p.le = h.le"""
+    out["segment_page"] = _base(False) + f"""
+SELECT segment_id, conditions, (SELECT count(*) FROM wseg) AS total,
+       (SELECT max(segment_id) FROM wseg) > max(segment_id) OVER () AS has_next
+FROM (SELECT segment_id, conditions FROM wseg WHERE segment_id > {Q.AFTER_SEGMENT}
+      ORDER BY segment_id LIMIT {Q.PAGE_SIZE})"""
     return out
 
 

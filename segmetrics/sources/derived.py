@@ -7,7 +7,7 @@ derived here with integer arithmetic that SQL engines reproduce exactly:
 * ``seed_segments``  -- one generated segment per customer, ladder step spread
   over the 5,000-step generator, locations mapped onto ``NATION_x``;
 * ``edge_segments``  -- one hand-written edge-case definition per customer
-  (error paths, match-all, every operator), ids offset by ``EDGE_ID_BASE``;
+  (error paths, match-all, every operator); seed ids are odd, edge ids even;
 * ``workload_segments`` -- both together;
 * ``crash_day``      -- a partly processed metric day (crash recovery input),
   its state taken from the customer's market segment.
@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..operators import seed
 
-EDGE_ID_BASE = 1_000_000_000
 LADDER_STEPS = 5000
 RUN_DAY = dt.date(2026, 5, 1)
 
@@ -98,6 +97,21 @@ EDGE_TEMPLATES = [
     '{"category":"gender","operator":"NOT_EQUALS","value":"OTHER"},'
     '{"category":"order_count","operator":"NOT_EQUALS","value":"{o}"},'
     '{"category":"age","operator":"LTE","value":"{a}"}]',
+    '[{"category":"age","operator":"GTE","value":20.0}]',
+    '[{"category":"order_count","operator":"GTE","value":true}]',
+    '[{"category":"location","operator":"EQUALS","value":{"a":1}}]',
+    '[{"category":"gender","operator":"EQUALS","value":["MALE"]}]',
+    '[{"category":"location","operator":"STARTS_WITH","value":"NATION_1"},'
+    '{"category":"gender","operator":"CONTAINS","value":"MALE"}]',
+    '[{"category":"location","operator":"CONTAINS","value":"TION_{n}"},'
+    '{"category":"gender","operator":"STARTS_WITH","value":"M"},'
+    '{"category":"age","operator":"LTE","value":"{a}"}]',
+    '[{"category":"location","operator":"NOT_EQUALS","value":"NATION_{n}"},'
+    '{"category":"gender","operator":"CONTAINS","value":"male"}]',
+    '[{"category":"location","operator":"CONTAINS","value":"N_1"},'
+    '{"category":"gender","operator":"STARTS_WITH","value":"FE"},'
+    '{"category":"order_count","operator":"GTE","value":"{o}"},'
+    '{"category":"age","operator":"NOT_EQUALS","value":"{a}"}]',
 ]
 
 # Crash-recovery state of each customer's segments on RUN_DAY, by market
@@ -138,10 +152,10 @@ def customer_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def seed_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Generated segment per customer k: id k+1, ladder step (7k % 5000) + 1
+    """Generated segment per customer k: id 2k+1, ladder step (7k % 5000) + 1
     (spreads customers over every ladder branch at every scale)."""
     keys = customer_keys(spark, sf_dir).select(
-        (F.col("k") + 1).alias("segment_id"),
+        (F.col("k") * 2 + 1).alias("segment_id"),
         ((F.col("k") * 7) % LADDER_STEPS + 1).alias("step"))
     return seed.generate_segments(keys, step_col="step", domain="nation")
 
@@ -158,7 +172,7 @@ def edge_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("k")
     ts = S.ntz_literal(dt.datetime(2026, 5, 1))
     return customer_keys(spark, sf_dir).select(
-        (k + 1 + EDGE_ID_BASE).alias("segment_id"), _edge_text(k).alias("conditions"),
+        (k * 2 + 2).alias("segment_id"), _edge_text(k).alias("conditions"),
         ts.alias("created_at"), ts.alias("updated_at"))
 
 
@@ -177,7 +191,7 @@ def crash_day(spark: SparkSession, sf_dir: str, day: dt.date = RUN_DAY) -> DataF
         F.col("c_custkey").cast("long").alias("k"), "c_mktsegment")
     state = F.col("c_mktsegment")
     rows = c.select(
-        F.explode(F.array(F.col("k") + 1, F.col("k") + 1 + EDGE_ID_BASE)).alias("sid"),
+        F.explode(F.array(F.col("k") * 2 + 1, F.col("k") * 2 + 2)).alias("sid"),
         "k", state)
     status = (F.when(state == "BUILDING", S.PENDING)
               .when(state == "FURNITURE", S.COUNTED)
