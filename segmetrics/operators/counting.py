@@ -1,37 +1,38 @@
 """Counting accounts per segment.
 
 ``count_segments`` answers "how many accounts satisfy every condition of each
-segment" for all segments in one Spark job.  Two plans:
-
-* ``strategy="keyed"`` (default, S2)
-    1. ``cells``: accounts grouped by the four columns -- one scan, map-side
-       partial counts, one shuffle.  Its size is bounded by the product of the
-       column domains, not by the number of accounts; a key holding a third of
-       all accounts collapses to one row before the shuffle.
-    2. ``cube``: ``cells.cube(...)`` gives every column subset at once;
-       ``15 - grouping_id()`` is the subset (the *signature*).
-    3. ``terms``: each definition becomes a few rows keyed by
-       (signature, location, gender, age).  EQUALS gives the key directly;
-       CONTAINS / STARTS_WITH find their keys by an equi-join with a substring
-       index of the column's distinct values; a column with only NOT_EQUALS
-       is counted by inclusion-exclusion (all values minus each excluded one),
-       so no segment is paired with every value; ages are exploded over the
-       allowed range within the observed span.
-    4. Equi-joins only: terms without order_count take their cube row;
-       order-count ranges are P(hi) - P(lo - 1) over running sums of the cube
-       rows per key, looked up "as of" each bound with a window; excluded
-       order counts are subtracted by an equi-join.  Signed contributions are
-       summed per definition, then left-joined back to all segments so zero
-       counts exist (D2).
-  Identical definitions are counted once and joined back.
-
-* ``strategy="nested"`` (S1, the checker): every segment against every cell
-  with the full predicate -- a nested-loop join; right but quadratic.
-
-No join carries a broadcast hint: the sides here are the small cube and the
-segment terms, and Spark/AQE broadcast them only when their measured size is
-under ``spark.sql.autoBroadcastJoinThreshold``; above it the same plans run as
-shuffle joins (AQE splits skewed partitions).
+segment" for all segments at once, with one plan for every data size:
+
+1. ``cells``: accounts grouped by the four columns -- one scan, map-side
+   partial counts, one shuffle. Its size is bounded by the product of the
+   column domains, not by the number of accounts; a key holding a third of all
+   accounts collapses to one row before the shuffle.
+2. ``terms``: each distinct definition becomes a few signed rows
+   (weight, key, position), and its count is the sum of
+   weight x P(key, position). A key fixes the two string columns (or leaves
+   them open) and one *age node*; P(key, position) is the number of accounts
+   of the key whose order count is at most the position.
+   - EQUALS gives a string key; CONTAINS / STARTS_WITH look their values up by
+     equi-joins with an index of the column's distinct values; a column with
+     only NOT_EQUALS is all values minus each excluded one.
+   - An age range is the disjoint union of at most 62 dyadic nodes (aligned
+     blocks of 2^l ages), an excluded age is the one-age node subtracted. A
+     cell belongs to the 33 nodes above its age. No span of observed ages is
+     needed, so no dirty row changes the plan.
+   - An order-count range is P(hi) - P(lo - 1); an excluded value x subtracts
+     P(x) - P(x - 1).
+3. The nodes that some term needs are joined to the cells and counted per key
+   and order count. Distinct positions are looked up by running sums in two
+   levels (within blocks of 256 positions, then over the blocks of a key), so
+   a key that all definitions share is spread over its blocks.
+4. The answers are joined back to the terms by equality and summed; a left
+   join back to all segments keeps zero counts (D2).
+
+No join carries a broadcast hint: Spark/AQE broadcast the small sides only when
+their measured size is under ``spark.sql.autoBroadcastJoinThreshold``; above it
+the same plan runs as shuffle joins (AQE splits skewed partitions). The
+normalized definitions, the cells and the terms are written to the checkpoint
+folder while the result is being built: each feeds several branches.
 """
 
 from __future__ import annotations
@@ -46,127 +47,175 @@ from ..functions import conditions as C
 from ..session import materialize
 
 COLUMNS = ("location", "gender", "age", "order_count")
-# Widest observed age span for which ages become join keys (see keyed_counts).
-AGE_EXPLODE_SPAN = 10_000
-
-
-def account_cells(accounts: DataFrame) -> DataFrame:
-    """Accounts grouped by the four condition columns (partial agg + shuffle)."""
-    return accounts.groupBy(*COLUMNS).agg(F.count(F.lit(1)).alias("n"))
-
-
-def signature_cube(cells: DataFrame) -> DataFrame:
-    """Counts for every column subset; ``sig`` is the subset bit set."""
-    return (cells.cube(*COLUMNS)
-            .agg(F.sum("n").alias("n"), F.grouping_id().alias("gid"))
-            .select((F.lit(S.ALL_BITS) - F.col("gid")).cast("int").alias("sig"),
-                    *COLUMNS, "n"))
-
-
-def substring_index(cube: DataFrame, column: str, needed: DataFrame | None = None,
-                    collation: str | None = None) -> DataFrame:
-    """(op, pattern, value) for every prefix (STARTS_WITH) and every substring
-    (CONTAINS) of each distinct value of ``column``.  The distinct values are
-    the cube rows grouped by that column alone.  Rows per value are bounded by
-    L(L+1)/2 for a value of length L; with ``needed`` (op, pattern) only the
-    patterns some definition asks for survive, before any shuffle."""
-    v = F.col("value")
-    values = cube.where(F.col("sig") == S.CATEGORY_BITS[column]).select(
-        F.col(column).alias("value")).where(v.isNotNull() & (F.length(v) > 0))
-    starts = values.select(v, F.explode(F.sequence(F.lit(1), F.length(v))).alias("i"))
-    spans = starts.select(v, "i", F.explode(F.sequence(F.col("i"), F.length(v))).alias("j"))
-    sub = F.substring(v, F.col("i"), F.col("j") - F.col("i") + 1)
-    contains = spans.select(F.lit("CONTAINS").alias("op"), sub.alias("pattern"), v)
-    prefixes = spans.where(F.col("i") == 1).select(
-        F.lit("STARTS_WITH").alias("op"), sub.alias("pattern"), v)
-    index = contains.unionByName(prefixes)
-    if needed is not None:
-        n = needed.select(F.col("op").alias("_nop"), F.col("pattern").alias("_npat"))
-        index = index.join(n, (index.op == n._nop) & (
-            C.collated(index.pattern, collation) == C.collated(n._npat, collation)),
-            "left_semi")
-    return index.distinct()
-
-
-def _column_options(seg: DataFrame, column: str, cube: DataFrame,
-                    collation: str | None) -> DataFrame:
-    """Attach ``{column}_opt = struct(sign, bit, key)`` rows to each segment."""
-    bit = S.CATEGORY_BITS[column]
+STRING_BITS = S.CATEGORY_BITS["location"] | S.CATEGORY_BITS["gender"]
+GRAM = 3                # characters by which the binary substring index is keyed
+BLOCK_BITS = 8          # order-count positions in a block: 2^8
+AT = "array<struct<w:int,pos:bigint>>"
+KEY = ["bits", "loc", "gen", "node"]
+
+
+def account_cells(accounts: DataFrame, collation: str | None = None) -> DataFrame:
+    """Accounts grouped by the four condition columns (partial agg + shuffle).
+    With a collation, values that it holds equal are one value."""
+    if not collation:
+        return accounts.groupBy(*COLUMNS).agg(F.count(F.lit(1)).alias("n"))
+    same = [F.collate(F.col(c), collation).alias(f"_{c}") for c in S.STRING_CATEGORIES]
+    exact = accounts.groupBy(*COLUMNS).agg(F.count(F.lit(1)).alias("n"))
+    rep = {c: exact.where(F.col(c).isNotNull()).groupBy(F.collate(F.col(c), collation).alias(f"_{c}"))
+           .agg(F.min(F.col(c)).alias(f"{c}_rep")) for c in S.STRING_CATEGORIES}
+    out = exact.select("*", *same)
+    for c in S.STRING_CATEGORIES:
+        out = out.join(rep[c], f"_{c}", "left")
+    return (out.groupBy(F.col("location_rep").alias("location"), F.col("gender_rep").alias("gender"), "age", "order_count")
+            .agg(F.sum("n").alias("n")))
+
+
+def value_index(values: DataFrame, needed: DataFrame, collation: str | None) -> DataFrame:
+    """``op, pattern, value``: the values that each needed (op, pattern) finds.
+    Without a collation a value is filed under its grams of up to GRAM
+    characters, patterns come in by their first gram, and the pair is tested;
+    with one (where equal texts may differ in length) every substring of a
+    value is compared under the collation."""
+    v, op, p = F.col("value"), F.col("op"), F.col("pattern")
+    exact = needed.where(op == "IS").join(
+        values.select("value", C.collated(v, collation).alias("_v")), C.collated(p, collation) == F.col("_v")).select("op", "pattern", "value")
+    parts = needed.where(op != "IS")
+    at = values.where(F.length(v) > 0).select("value", F.explode(F.sequence(F.lit(1), F.length(v))).alias("i"))
+    if not collation:
+        grams = (at.select("value", F.explode(F.sequence(F.lit(1), F.lit(GRAM))).alias("k"), "i")
+                 .where(F.col("i") + F.col("k") - 1 <= F.length(v))
+                 .select("value", F.substring(v, F.col("i"), F.col("k")).alias("gram")).distinct())
+        found = (parts.withColumn("gram", F.substring(p, 1, GRAM)).join(grams, "gram")
+                 .where(F.when(op == "CONTAINS", F.contains(v, p)).otherwise(F.startswith(v, p)))
+                 .select("op", "pattern", "value"))
+    else:
+        subs = at.select("value", "i", F.explode(F.sequence(F.col("i"), F.length(v))).alias("j")).select(
+            "value", F.collate(F.substring(v, F.col("i"), F.col("j") - F.col("i") + 1), collation).alias("sub"), (F.col("i") == 1).alias("first"))
+        subs = subs.groupBy("value", "sub").agg(F.max("first").alias("first"))
+        found = (parts.withColumn("sub", F.collate(p, collation)).join(subs, "sub")
+                 .where((op == "CONTAINS") | F.col("first")).select("op", "pattern", "value"))
+    return exact.unionByName(found)
+
+
+def _string_keys(defs: DataFrame, column: str, cells: DataFrame, collation: str | None) -> DataFrame:
+    """``def_key, keys``: the column's values that a definition's EQUALS or
+    CONTAINS / STARTS_WITH conditions hold for, or that its NOT_EQUALS exclude."""
     mode, conds = F.col(f"{column}_mode"), F.col(f"{column}_conds")
-    eq = F.col(f"{column}_eq")
-
-    def holds(x: Column) -> Column:
-        return F.forall(conds, lambda e: C.string_match(e.operator, e.value, x, collation))
-
-    def opt(sign, b, key):
-        return F.struct(F.lit(sign).alias("sign"), F.lit(b).alias("bit"),
-                        key.cast("string").alias("key"))
-
-    null_key = F.lit(None).cast("string")
-    options = (F.when(mode == "none", F.array(opt(1, 0, null_key)))
-               .when(mode == "eq", F.when(holds(eq), F.array(opt(1, bit, eq)))
-                     .otherwise(F.array().cast(
-                         "array<struct<sign:int,bit:int,key:string>>")))
-               # NOT_EQUALS only: all values, minus each excluded value, minus
-               # NULL (SQL's <> never matches a NULL value)
-               .otherwise(F.concat(F.array(opt(1, 0, null_key), opt(-1, bit, null_key)),
-                                   F.transform(F.col(f"{column}_ne"),
-                                               lambda x: opt(-1, bit, x)))))
-    direct = (seg.where(mode != "scan")
-              .withColumn(f"{column}_opt", F.explode(options)))
-
-    needed = (seg.where(mode == "scan")
-              .select(F.col(f"{column}_drv_op").alias("op"),
-                      F.col(f"{column}_drv_value").alias("pattern")).distinct())
-    index = substring_index(cube, column, needed, collation)
-    drv_op, drv_val = F.col(f"{column}_drv_op"), F.col(f"{column}_drv_value")
-    scanned = (seg.where(mode == "scan")
-               .join(index, (drv_op == index.op)
-                     & (C.collated(drv_val, collation) == C.collated(index.pattern, collation)))
-               .where(holds(F.col("value")))
-               .drop("op", "pattern"))
-    if collation:
-        # Keys join the cube with collation-aware equality, so one key per
-        # equivalence class (the conditions hold for all of its members).
-        scanned = (scanned.withColumn("_cv", C.collated(F.col("value"), collation))
-                   .dropDuplicates(["def_key", "_cv"]).drop("_cv"))
-    scanned = (scanned
-               .withColumn(f"{column}_opt", opt(1, bit, F.col("value")))
-               .drop("value"))
-    return direct.unionByName(scanned)
-
-
-def segment_terms(defs: DataFrame, cube: DataFrame,
-                  collation: str | None = None) -> DataFrame:
-    """Signed count terms per definition: (def_key, sign, sig, loc_key,
-    gender_key, numeric bounds).  Count = sum(sign * n) over matching cube rows."""
-    t = _column_options(defs, "location", cube, collation)
-    t = _column_options(t, "gender", cube, collation)
-    string_bits = S.CATEGORY_BITS["location"] | S.CATEGORY_BITS["gender"]
-    sig = ((F.col("signature").bitwiseAND(S.ALL_BITS ^ string_bits))
-           .bitwiseOR(F.col("location_opt.bit")).bitwiseOR(F.col("gender_opt.bit")))
-    lo_hi = []
-    for c in ("age", "order_count"):
-        lo_hi += [F.coalesce(F.col(f"{c}_lo"), F.lit(S.LONG_MIN)).alias(f"{c}_lo"),
-                  F.coalesce(F.col(f"{c}_hi"), F.lit(S.LONG_MAX)).alias(f"{c}_hi"),
-                  F.col(f"{c}_ne")]
-    return t.select(
-        "def_key",
-        (F.col("location_opt.sign") * F.col("gender_opt.sign")).alias("sign"),
-        sig.cast("int").alias("sig"),
-        F.col("location_opt.key").alias("loc_key"),
-        F.col("gender_opt.key").alias("gender_key"),
-        *lo_hi)
-
-
-def _numeric_ok(column: str) -> Column:
-    """Residual bound check on a joined (term, cube) row; vacuous when the
-    column is not part of the term's signature."""
-    x = F.col(f"c_{column}")
-    inside = ((x.cast("long") >= F.col(f"{column}_lo")) & (x.cast("long") <= F.col(f"{column}_hi"))
-              & ~F.array_contains(F.col(f"{column}_ne"), x))
-    return F.when(F.col("sig").bitwiseAND(S.CATEGORY_BITS[column]) != 0,
-                  F.coalesce(inside, F.lit(False))).otherwise(F.lit(True))
+    look = (F.when(mode == "eq", F.array(F.struct(F.lit("IS").alias("op"), F.col(f"{column}_eq").cast("string").alias("pattern"))))
+            .when(mode == "scan", F.array(F.struct(F.col(f"{column}_drv_op").alias("op"), F.col(f"{column}_drv_value").cast("string").alias("pattern"))))
+            .otherwise(F.transform(F.col(f"{column}_ne"), lambda x: F.struct(F.lit("IS").alias("op"), x.cast("string").alias("pattern")))))
+    wanted = (defs.where(mode != "none").select("def_key", mode.alias("mode"), conds.alias("conds"), F.explode(look).alias("l"))
+              .select("def_key", "mode", "conds", "l.op", "l.pattern"))
+    values = cells.select(F.col(column).alias("value")).where(F.col("value").isNotNull()).distinct()
+    index = value_index(values, wanted.select("op", "pattern").distinct(), collation)
+    holds = F.forall("conds", lambda e: C.string_match(e.operator, e.value, F.col("value"), collation))
+    return (wanted.join(index, ["op", "pattern"]).where((F.col("mode") == "ne") | holds)
+            .groupBy("def_key").agg(F.collect_set("value").alias(f"{column}_keys")))
+
+
+def _nodes_sql(lo: str, hi: str) -> str:
+    """Dyadic nodes of the int32 ages lo..hi (bigint expressions), as codes
+    ``level * 2^33 + number``."""
+    a, b = f"(greatest({lo}, -2147483648L) + 2147483648L)", f"(least({hi}, 2147483647L) + 2147483649L)"
+    up, down = f"shiftright({a} + shiftleft(1L, l) - 1, l)", f"shiftright({b}, l)"
+    return (f"filter(flatten(transform(sequence(0, 32), l -> CASE WHEN {up} < {down} THEN array("
+            f"CASE WHEN {up} % 2 = 1 THEN l * 8589934592L + {up} END, "
+            f"CASE WHEN {down} % 2 = 1 THEN l * 8589934592L + {down} - 1 END) "
+            f"ELSE array(CAST(NULL AS BIGINT)) END)), x -> x IS NOT NULL)")
+
+
+def segment_terms(defs: DataFrame, cells: DataFrame, collation: str | None = None) -> DataFrame:
+    """``def_key, w, bits, loc, gen, node, pos``: the signed lookups whose sum is
+    each definition's count. ``bits``: the string columns that the key fixes
+    (a fixed null is the accounts without a value); a null node is every age."""
+    t = defs
+    for c in S.STRING_CATEGORIES:
+        t = t.join(_string_keys(defs, c, cells, collation), "def_key", "left")
+
+    def string_options(c: str) -> Column:
+        bit, mode = S.CATEGORY_BITS[c], F.col(f"{c}_mode")
+        keys = F.coalesce(F.col(f"{c}_keys"), F.array().cast("array<string>"))
+
+        def opt(w, b, key):
+            return F.struct(F.lit(w).alias("w"), F.lit(b).alias("bit"), key.cast("string").alias("key"))
+        none = F.lit(None).cast("string")
+        # NOT_EQUALS only: all values, minus each excluded value, minus NULL
+        # (SQL's <> never matches a NULL value)
+        return (F.when(mode == "none", F.array(opt(1, 0, none)))
+                .when(mode == "ne", F.concat(F.array(opt(1, 0, none), opt(-1, bit, none)), F.transform(keys, lambda k: opt(-1, bit, k))).cast("array<struct<w:int,bit:int,key:string>>"))
+                .otherwise(F.transform(keys, lambda k: opt(1, bit, k))))
+
+    lo_hi = {}
+    for c in S.NUMBER_CATEGORIES:
+        lo_hi[f"{c}_from"] = F.coalesce(F.col(f"{c}_lo"), F.lit(S.LONG_MIN))
+        lo_hi[f"{c}_to"] = F.coalesce(F.col(f"{c}_hi"), F.lit(S.LONG_MAX))
+    t = t.withColumns(lo_hi)
+    has = {c: F.col("signature").bitwiseAND(S.CATEGORY_BITS[c]) != 0 for c in S.NUMBER_CATEGORIES}
+
+    def inside(c: str) -> Column:
+        return F.filter(f"{c}_ne", lambda x: x.cast("long").between(F.col(f"{c}_from"), F.col(f"{c}_to")))
+
+    age = F.when(~has["age"], F.array(F.struct(F.lit(1).alias("w"), F.lit(None).cast("long").alias("node")))).otherwise(F.concat(
+        F.transform(F.when(F.col("age_from") <= F.col("age_to"), F.expr(_nodes_sql("age_from", "age_to")))
+                    .otherwise(F.array().cast("array<bigint>")), lambda x: F.struct(F.lit(1).alias("w"), x.cast("long").alias("node"))),
+        F.transform(inside("age"), lambda x: F.struct(F.lit(-1).alias("w"), (x.cast("long") + F.lit(2**31)).cast("long").alias("node")))).cast(
+        "array<struct<w:int,node:bigint>>"))
+
+    def at(w, pos):
+        return F.struct(F.lit(w).alias("w"), pos.cast("long").alias("pos"))
+    before = F.when(F.col("order_count_from") > S.LONG_MIN, F.col("order_count_from") - 1).otherwise(F.lit(S.LONG_MIN))
+    counts = F.when(~has["order_count"], F.array(at(1, F.lit(S.LONG_MAX)))).when(
+        F.col("order_count_from") <= F.col("order_count_to"), F.concat(
+            F.array(at(1, F.col("order_count_to")), at(-1, before)).cast(AT),
+            F.flatten(F.transform(inside("order_count"), lambda x: F.array(at(-1, x), at(1, x.cast("long") - 1)))).cast(AT)))
+    t = t.select("def_key", F.explode(string_options("location")).alias("l"), string_options("gender").alias("g"), age.alias("a"), counts.alias("o"))
+    t = t.select("def_key", "l", F.explode("g").alias("g"), "a", "o").select("def_key", "l", "g", F.explode("a").alias("a"), "o")
+    t = t.select("def_key", "l", "g", "a", F.explode("o").alias("o"))
+    return t.select("def_key", (F.col("l.w") * F.col("g.w") * F.col("a.w") * F.col("o.w")).alias("w"),
+                    F.col("l.bit").bitwiseOR(F.col("g.bit")).alias("bits"), F.col("l.key").alias("loc"), F.col("g.key").alias("gen"),
+                    F.col("a.node").alias("node"), F.col("o.pos").alias("pos"))
+
+
+def _null_safe(left: str, right: str, columns) -> Column:
+    out = F.lit(True)
+    for c in columns:
+        out = out & F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
+    return out
+
+
+def keyed_cells(cells: DataFrame, terms: DataFrame) -> DataFrame:
+    """``bits, loc, gen, node, pos, n``: accounts of each key that some term
+    needs, per order count (a missing order count stands before all others)."""
+    u = F.col("age").cast("long") + 2**31
+    above = F.concat(F.array(F.lit(None).cast("long")), F.when(F.col("age").isNull(), F.array().cast("array<bigint>")).otherwise(
+        F.transform(F.sequence(F.lit(0), F.lit(32)), lambda l: l.cast("long") * 2**33 + F.call_function("shiftright", u, l))))
+    nodes = cells.select("location", "gender", "order_count", "n", F.explode(above).alias("node"))
+    need = terms.select("bits", "node").distinct()
+    kept = nodes.alias("c").join(need.alias("q"), _null_safe("c", "q", ["node"])).select("c.*", "q.bits")
+
+    def key(column: str) -> Column:
+        return F.when(F.col("bits").bitwiseAND(S.CATEGORY_BITS[column]) != 0, F.col(column))
+    return (kept.groupBy("bits", key("location").alias("loc"), key("gender").alias("gen"), "node",
+                         F.coalesce(F.col("order_count").cast("long"), F.lit(S.LONG_MIN)).alias("pos"))
+            .agg(F.sum("n").alias("n")))
+
+
+def keyed_counts(norm: DataFrame, accounts: DataFrame, collation: str | None = None) -> DataFrame:
+    """(def_key, user_count) for every valid definition that matches something."""
+    cells = materialize(account_cells(accounts, collation))
+    defs = norm.where(F.col("error_reason").isNull()).dropDuplicates(["def_key"])
+    terms = materialize(segment_terms(materialize(defs), cells, collation))
+    asked = terms.select(*KEY, "pos").distinct().withColumn("n", F.lit(None).cast("long"))
+    rows = keyed_cells(cells, terms).unionByName(asked).withColumn("block", F.shiftright("pos", BLOCK_BITS))
+    inner = Window.partitionBy(*KEY, "block").orderBy("pos", F.col("n").isNull()).rowsBetween(Window.unboundedPreceding, 0)
+    upto = rows.withColumn("p", F.sum("n").over(inner)).where(F.col("n").isNull())
+    outer = Window.partitionBy(*KEY).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = rows.groupBy(*KEY, "block").agg(F.sum("n").alias("n")).withColumn("ahead", F.sum("n").over(outer))
+    found = (upto.alias("u").join(blocks.alias("b"), _null_safe("u", "b", [*KEY, "block"]))
+             .select(*[F.col(f"u.{c}").alias(c) for c in [*KEY, "pos"]],
+                     (F.coalesce("u.p", F.lit(0)) + F.coalesce("b.ahead", F.lit(0))).alias("p")).where("p > 0"))
+    return (terms.alias("t").join(found.alias("f"), _null_safe("t", "f", [*KEY, "pos"]))
+            .groupBy("t.def_key").agg(F.sum(F.col("t.w") * F.col("f.p")).cast("long").alias("user_count")))
 
 
 def _definitions(norm: DataFrame) -> DataFrame:
@@ -176,145 +225,14 @@ def _definitions(norm: DataFrame) -> DataFrame:
     return norm.withColumn("def_key", key)
 
 
-def keyed_counts(norm: DataFrame, accounts: DataFrame,
-                 collation: str | None = None) -> DataFrame:
-    """(def_key, user_count) for every valid definition that matches something."""
-    # One scan of the accounts; the cube is bounded by the column domains and
-    # feeds both the substring index and the final join, so it is checkpointed
-    # rather than recomputed per consumer.
-    cube = materialize(signature_cube(account_cells(accounts)))
-    # Distinct valid definitions feed four branches (string-column options);
-    # checkpointed once so the de-duplication is not repeated per branch.
-    defs = materialize(norm.where(F.col("error_reason").isNull())
-                       .dropDuplicates(["def_key"]))
-    t = segment_terms(defs, cube, collation)
-
-    def key_eq(a: str, b: str) -> Column:
-        return C.collated(F.col(a), collation).eqNullSafe(C.collated(F.col(b), collation))
-
-    # Age as an equi-key: each term is exploded over the ages it allows inside
-    # the observed age span, so a signature such as {age, order_count} is
-    # spread over one key per age instead of one hot key.  The span is two
-    # scalars from the (small, checkpointed) cube; if it is implausibly wide
-    # the exact residual check on age is used instead.
-    age_bit = S.CATEGORY_BITS["age"]
-    amin, amax = cube.where(F.col("sig").bitwiseAND(age_bit) != 0) \
-        .agg(F.min("age"), F.max("age")).first()
-    explode_age = amin is not None and (amax - amin) < AGE_EXPLODE_SPAN
-    if explode_age:
-        lo = F.greatest(F.col("age_lo"), F.lit(amin).cast("long"))
-        hi = F.least(F.col("age_hi"), F.lit(amax).cast("long"))
-        ages = F.when(lo <= hi, F.filter(F.sequence(lo, hi).cast("array<int>"),
-                                         lambda a: ~F.array_contains(F.col("age_ne"), a)))
-        t = t.withColumn("age_key", F.explode_outer(
-            F.when(F.col("sig").bitwiseAND(age_bit) != 0,
-                   F.coalesce(ages, F.array().cast("array<int>")))
-            .otherwise(F.array(F.lit(None).cast("int")))))
-        # explode_outer keeps an empty allowed set as a null key: drop those
-        t = t.where((F.col("sig").bitwiseAND(age_bit) == 0) | F.col("age_key").isNotNull())
-
-    # The cube also feeds the substring index inside ``t``: rename its columns
-    # so the join sides stay distinct.
-    c = cube.select(*[F.col(x).alias(f"c_{x}") for x in ("sig", *COLUMNS, "n")])
-    if explode_age:
-        return _prefix_counts(t, c, collation)
-    cond = ((F.col("sig") == F.col("c_sig")) & key_eq("loc_key", "c_location")
-            & key_eq("gender_key", "c_gender") & _numeric_ok("order_count")
-            & _numeric_ok("age"))
-    return (t.join(c, cond)
-            .groupBy("def_key")
-            .agg(F.sum(F.col("sign") * F.col("c_n")).cast("long").alias("user_count")))
-
-
-def _prefix_counts(t: DataFrame, c: DataFrame, collation: str | None) -> DataFrame:
-    """Counts with every key an equi-key and no residual condition.
-
-    For a key K = (signature, location, gender, age) whose signature includes
-    order_count, P_K(x) = accounts of K with order_count <= x is a running sum
-    over the cube rows of K.  A term with bounds [lo, hi] and excluded values
-    X counts P_K(hi) - P_K(lo - 1) - sum over x in X within [lo, hi] of n(K, x).
-    P_K at a bound is looked up "as of" the bound: cube rows and bound rows are
-    unioned, sorted per key, and each bound takes the last running sum at or
-    before it.  Every contribution is a signed row; one sum per definition."""
-    oc_bit = S.CATEGORY_BITS["order_count"]
-    has_oc = F.col("sig").bitwiseAND(oc_bit) != 0
-
-    def k(a: str) -> Column:
-        return C.collated(F.col(a), collation)
-
-    def keq(a: str, b: str) -> Column:
-        return k(a).eqNullSafe(k(b))
-
-    keys_t = ["sig", "loc_key", "gender_key", "age_key"]
-    keys_c = ["c_sig", "c_location", "c_gender", "c_age"]
-    on = (F.col("sig") == F.col("c_sig")) & keq("loc_key", "c_location") \
-        & keq("gender_key", "c_gender") & F.col("age_key").eqNullSafe(F.col("c_age"))
-
-    # (1) terms without order_count: one cube row per key.
-    flat = (t.where(~has_oc).join(c.where(F.col("c_order_count").isNull()), on)
-            .select("def_key", (F.col("sign") * F.col("c_n")).alias("v")))
-
-    # (2) excluded order counts inside the bounds: subtract their cells.
-    ne = (t.where(has_oc)
-          .select("def_key", "sign", *keys_t, "order_count_lo", "order_count_hi",
-                  F.explode("order_count_ne").alias("x"))
-          .where(F.col("x").between(F.col("order_count_lo"), F.col("order_count_hi"))))
-    excluded = (ne.join(c, on & (F.col("x") == F.col("c_order_count")))
-                .select("def_key", (-F.col("sign") * F.col("c_n")).alias("v")))
-
-    # (3) P_K(hi) - P_K(lo - 1) by an as-of lookup over the running sums.
-    lo, hi = F.col("order_count_lo"), F.col("order_count_hi")
-    bounds = t.where(has_oc & (lo <= hi)).select(
-        "def_key", *keys_t, F.explode(F.array(
-            F.struct(hi.alias("pos"), F.col("sign").alias("w")),
-            F.when(lo > F.lit(S.LONG_MIN), F.struct((lo - 1).alias("pos"),
-                                                     (-F.col("sign")).alias("w"))))
-        ).alias("b")).where(F.col("b").isNotNull()).select(
-        "def_key", *keys_t, F.col("b.pos").alias("pos"), F.col("b.w").alias("w"),
-        F.lit(1).alias("kind"), F.lit(None).cast("long").alias("n"))
-    cells = c.where((F.col("c_sig").bitwiseAND(oc_bit) != 0)
-                    & F.col("c_order_count").isNotNull()).select(
-        F.lit(None).cast("string").alias("def_key"),
-        *[F.col(a).alias(b) for a, b in zip(keys_c, keys_t)],
-        F.col("c_order_count").cast("long").alias("pos"), F.lit(0).alias("w"),
-        F.lit(0).alias("kind"), F.col("c_n").alias("n"))
-    part = [F.col("sig"), k("loc_key"), k("gender_key"), F.col("age_key")]
-    run = Window.partitionBy(*part).orderBy("pos", "kind") \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    asof = (bounds.unionByName(cells)
-            .withColumn("p", F.sum("n").over(run))
-            .where(F.col("kind") == 1)
-            .select("def_key", (F.col("w") * F.coalesce("p", F.lit(0))).alias("v")))
-
-    return (flat.unionByName(excluded).unionByName(asof)
-            .groupBy("def_key").agg(F.sum("v").cast("long").alias("user_count")))
-
-
-def nested_counts(norm: DataFrame, accounts: DataFrame,
-                  collation: str | None = None) -> DataFrame:
-    """Every valid definition against every cell with the full predicate."""
-    cells = account_cells(accounts)
-    defs = norm.where(F.col("error_reason").isNull()).dropDuplicates(["def_key"]) \
-        .select("def_key", "effective")
-    row = {c: F.col(c) for c in COLUMNS}
-    return (defs.join(cells, C.all_match(F.col("effective"), row, collation))
-            .groupBy("def_key").agg(F.sum("n").cast("long").alias("user_count")))
-
-
-def count_segments(accounts: DataFrame, segments: DataFrame,
-                   collation: str | None = None, strategy: str = "keyed") -> DataFrame:
+def count_segments(accounts: DataFrame, segments: DataFrame, collation: str | None = None) -> DataFrame:
     """C1 + D2 for all segments: ``segment_id, user_count, error_reason``.
     Invalid segments get count 0 and their reason; valid segments that match
     nothing get 0 (never null)."""
     # The normalized definitions feed several branches; they are computed
     # once and checkpointed (one row per segment, no account data).
     norm = materialize(_definitions(C.normalize_segments(segments, collation)))
-    if strategy == "keyed":
-        counts = keyed_counts(norm, accounts, collation)
-    elif strategy == "nested":
-        counts = nested_counts(norm, accounts, collation)
-    else:
-        raise ValueError(f"unknown strategy {strategy!r}")
+    counts = keyed_counts(norm, accounts, collation)
     out = norm.select("segment_id", "error_reason", "def_key").join(
         counts, "def_key", "left")
     return out.select(

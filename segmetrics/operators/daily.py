@@ -54,8 +54,7 @@ def pending_page(rows: DataFrame, day: dt.date, page: int, size: int) -> DataFra
 
 
 def count_step(rows: DataFrame, segments: DataFrame, accounts: DataFrame,
-               collation: str | None = None,
-               strategy: str = "keyed") -> tuple[DataFrame, DataFrame]:
+               collation: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Count PENDING rows.  Returns (day rows after the step, errors).
     The day's rows (one per segment) are checkpointed first: they feed the
     selection of segments to count and the join back, and reading the metric
@@ -64,7 +63,7 @@ def count_step(rows: DataFrame, segments: DataFrame, accounts: DataFrame,
     pending = rows.where(F.col("status") == S.PENDING)
     done = rows.where(F.col("status") != S.PENDING)
     wanted = segments.join(pending.select("segment_id"), "segment_id", "left_semi")
-    counted = count_segments(accounts, wanted, collation, strategy)
+    counted = count_segments(accounts, wanted, collation)
     # ``counted`` has a row for every existing pending segment (valid or not),
     # so a pending row without a match is one whose segment is gone.
     pending = pending.drop("user_count")
@@ -89,11 +88,10 @@ def mark_completed(rows: DataFrame) -> DataFrame:
 
 
 def run_day(metrics: DataFrame, segments: DataFrame, accounts: DataFrame,
-            day: dt.date, collation: str | None = None,
-            strategy: str = "keyed") -> tuple[DataFrame, DataFrame]:
+            day: dt.date, collation: str | None = None) -> tuple[DataFrame, DataFrame]:
     """The full run for ``day``; returns (final day rows, errors)."""
     rows = init_day(metrics, segments, day)
-    rows, errors = count_step(rows, segments, accounts, collation, strategy)
+    rows, errors = count_step(rows, segments, accounts, collation)
     return mark_completed(rows), errors
 
 

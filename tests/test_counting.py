@@ -9,6 +9,7 @@ from segmetrics.operators import counting
 from segmetrics.sources import derived as D
 
 from conftest import SF001
+from nested import nested_counts
 
 ACCOUNTS = [
     (1, "a", "MALE", 20, "NATION_1", 0),
@@ -66,8 +67,7 @@ def test_keyed_equals_nested_equals_brute(spark):
     acc = spark.createDataFrame(ACCOUNTS, ACCOUNT_SCHEMA)
     segs = _segments(spark, lists)
     keyed = {r.segment_id: r.user_count for r in counting.count_segments(acc, segs).collect()}
-    nested = {r.segment_id: r.user_count
-              for r in counting.count_segments(acc, segs, strategy="nested").collect()}
+    nested = {k: v for k, (v, _) in nested_counts(acc, segs).items()}
     assert keyed == nested
     for i, l in enumerate(lists):
         assert keyed[i] == brute(l), (l, keyed[i], brute(l))
@@ -102,8 +102,7 @@ def test_collation_ci_ai(spark):
     assert got[1] == 4 and binary[1] == 1              # NATION_1, NATION_12, nation_1, NATION_1%
     assert got[2] == 5                                 # duplicates under CI subtracted once
     assert got[3] == 2                                 # Nátion_3 too, accents ignored
-    nested = {r.segment_id: r.user_count for r in counting.count_segments(
-        acc, segs, collation="UNICODE_CI_AI", strategy="nested").collect()}
+    nested = {k: v for k, (v, _) in nested_counts(acc, segs, "UNICODE_CI_AI").items()}
     assert nested == got
 
 
@@ -123,9 +122,7 @@ def test_workload_keyed_equals_nested_sf0001(spark):
     segs = D.workload_segments(spark, SF001)
     k = {r.segment_id: (r.user_count, r.error_reason)
          for r in counting.count_segments(acc, segs).collect()}
-    n = {r.segment_id: (r.user_count, r.error_reason)
-         for r in counting.count_segments(acc, segs, strategy="nested").collect()}
-    assert k == n and len(k) == 300
+    assert k == nested_counts(acc, segs) and len(k) == 300
 
 
 def test_keyed_plan_has_no_nested_loop(spark):
@@ -135,16 +132,76 @@ def test_keyed_plan_has_no_nested_loop(spark):
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
 
 
-def test_residual_age_fallback_equals_age_keys(spark, monkeypatch):
+def test_extreme_ages_keep_the_plan(spark):
+    """A dirty age changes counts only: the plan has the same operators."""
     rng = random.Random(11)
-    lists = [random_segment(rng) for _ in range(60)]
-    acc = spark.createDataFrame(ACCOUNTS, ACCOUNT_SCHEMA)
+    lists = [random_segment(rng) for _ in range(60)] + [
+        [{"category": "age", "operator": "LTE", "value": "-2147483648"}], [{"category": "age", "operator": "GT", "value": "-2147483648"}],
+        [{"category": "age", "operator": "EQUALS", "value": "2147483647"}, {"category": "order_count", "operator": "GTE", "value": "-2147483648"}],
+        [{"category": "age", "operator": "NOT_EQUALS", "value": "2147483647"}, {"category": "order_count", "operator": "LT", "value": "2147483647"}]]
     segs = _segments(spark, lists)
-    keyed = {r.segment_id: r.user_count for r in counting.count_segments(acc, segs).collect()}
-    monkeypatch.setattr(counting, "AGE_EXPLODE_SPAN", 0)
-    residual = {r.segment_id: r.user_count for r in counting.count_segments(acc, segs).collect()}
-    assert keyed == residual
-    assert all(keyed[i] == brute(l) for i, l in enumerate(lists))
+    dirty = ACCOUNTS + [(8, "h", "MALE", -2**31, "NATION_1", 2**31 - 1), (9, "i", "OTHER", 2**31 - 1, "NATION_3", -2**31)]
+
+    def shape(rows):
+        df = counting.count_segments(spark.createDataFrame(rows, ACCOUNT_SCHEMA), segs)
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        names = [w for w in plan.replace("+-", " ").replace(":-", " ").split() if w in ("Join", "Aggregate", "Window", "Generate", "Union")]
+        return df, names
+    clean_df, clean = shape(ACCOUNTS)
+    df, names = shape(dirty)
+    assert names == clean
+    got = {r.segment_id: r.user_count for r in df.collect()}
+    assert got == {k: v for k, (v, _) in nested_counts(spark.createDataFrame(dirty, ACCOUNT_SCHEMA), segs).items()}
+
+
+def test_two_string_columns_under_a_collation(spark):
+    rng = random.Random(5)
+    lists = []
+    for _ in range(120):
+        lists.append([{"category": c, "operator": rng.choice(OPS[c]), "value": rng.choice(CATS[c])}
+                      for c in ["location", "gender"] for _ in range(rng.randint(1, 2))]
+                     + ([{"category": "age", "operator": "GTE", "value": "30"}] if rng.random() < 0.5 else []))
+    acc = spark.createDataFrame([a for a in ACCOUNTS if a[4].isascii()] + [(8, "h", "Male", 30, "nation_12", 4)], ACCOUNT_SCHEMA)
+    got = {r.segment_id: r.user_count for r in counting.count_segments(acc, _segments(spark, lists), collation="UNICODE_CI_AI").collect()}
+    rows = [a for a in ACCOUNTS if a[4].isascii()] + [(8, "h", "Male", 30, "nation_12", 4)]
+
+    def count(conds):
+        global ACCOUNTS
+        old, ACCOUNTS = ACCOUNTS, rows
+        try:
+            return brute(conds, "UNICODE_CI_AI")
+        finally:
+            ACCOUNTS = old
+    assert got == {i: count(x) for i, x in enumerate(lists)}
+
+
+def test_definitions_of_one_key_are_spread(spark):
+    """Order-count-only definitions share a key; their positions fall into many blocks."""
+    from pyspark.sql import functions as F
+
+    from segmetrics.functions import conditions as C
+
+    lists = [[{"category": "order_count", "operator": "GTE", "value": str(i)}] for i in range(2000)]
+    acc = spark.createDataFrame([(i, "n", "MALE", 30, "X", i) for i in range(0, 4000, 3)], ACCOUNT_SCHEMA)
+    segs = _segments(spark, lists)
+    got = {r.segment_id: r.user_count for r in counting.count_segments(acc, segs).collect()}
+    assert got == {i: sum(x >= i for x in range(0, 4000, 3)) for i in range(2000)}
+    norm = counting._definitions(C.normalize_segments(segs))
+    terms = counting.segment_terms(norm, counting.account_cells(acc))
+    assert terms.select(*counting.KEY).distinct().count() == 1
+    assert terms.select(F.shiftright("pos", counting.BLOCK_BITS)).distinct().count() >= 8
+
+
+def test_filters_reach_the_scan(spark, tmp_out):
+    path = f"{tmp_out}/accounts"
+    spark.createDataFrame(ACCOUNTS, ACCOUNT_SCHEMA).write.parquet(path)
+    acc = spark.read.parquet(path)
+    for cat, value in (("location", "NATION_1"), ("age", "30")):
+        for op in OPS[cat]:
+            df = acc.where(counting.predicate([{"category": cat, "operator": op, "value": value}]))
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            pushed = plan.split("PushedFilters: [")[1].split("]")[0]
+            assert pushed.replace(f"IsNotNull({cat})", "").strip(", "), (op, pushed)
 
 
 def test_empty_inputs(spark):
@@ -182,6 +239,5 @@ def test_null_account_values_never_match_conditions(spark):
     want = {i: sum(all(ok(a, c) for c in l) for a in rows) for i, l in enumerate(lists)}
     segs = _segments(spark, lists)
     keyed = {r.segment_id: r.user_count for r in counting.count_segments(acc, segs).collect()}
-    nested = {r.segment_id: r.user_count
-              for r in counting.count_segments(acc, segs, strategy="nested").collect()}
+    nested = {k: v for k, (v, _) in nested_counts(acc, segs).items()}
     assert keyed == want and nested == want
