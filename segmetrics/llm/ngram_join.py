@@ -9,12 +9,12 @@
 3. A node orders its n-grams by (frequency, hash). A partner at similarity
    ``t`` shares one of the first ``n - ceil(t n) + 1``; n-grams without a
    second text cannot be shared, so a node whose prefix has no others is done.
-4. Nodes meet at shared prefix n-grams. First each node goes to its most
-   crowded one, where blocks of nodes are compared by a matrix product, which
-   joins groups of near copies without emitting their pairs. Then all prefix
-   n-grams give the pairs whose nodes are not yet joined and that pass the
-   filters; each distinct pair is verified once.
-5. Links and joined blocks give the components, by label propagation.
+4. Nodes meet at shared prefix n-grams. First each node goes to its two most
+   crowded ones, where blocks of nodes are compared by a matrix product, which
+   joins groups of near copies without emitting their pairs. Then the prefix
+   n-grams that still hold nodes of different groups give the pairs that pass
+   the filters; each distinct pair is verified once.
+5. Joined blocks and links give the components, by label propagation.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from segmetrics.llm.common import SpanHasher, mix64, spans, stored
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 CHUNK_DOCS = 20_000
 LOCAL_HOT = 64               # texts of a chunk with an n-gram, above which it is sent once
 SHARD_GRAMS = 1 << 20
@@ -267,15 +267,14 @@ def histogram(grams: np.ndarray) -> np.ndarray:
     return np.minimum(np.bincount((grams & np.uint64(PARTS - 1)).astype(np.int64), minlength=PARTS), 255).astype(np.uint8)
 
 
-POSTING = "gram long, node long, n long, pos long, hist binary"
+POSTING = "gram long, node long, n long, pos long"
 
 
 def _postings(nodes: DataFrame, t: Fraction) -> DataFrame:
-    """``gram, node, n, pos, hist`` for each shared n-gram of each node's prefix; ``pos``: its place among the node's n-grams."""
+    """``gram, node, n, pos`` for each shared n-gram of each node's prefix; ``pos``: its place among the node's n-grams."""
     def run(batches):
         for batch in batches:
-            out = {k: [] for k in ("gram", "node", "n", "pos")}
-            hist, size = [], []
+            out = {k: [np.zeros(0, np.int64)] for k in ("gram", "node", "n", "pos")}
             for node, n, u, data in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 grams = np.frombuffer(data, np.uint64)
                 m = min(len(grams), prefix_size(n, t) - u)
@@ -283,14 +282,20 @@ def _postings(nodes: DataFrame, t: Fraction) -> DataFrame:
                 out["pos"].append(np.arange(u, u + m))
                 out["node"].append(np.full(m, node))
                 out["n"].append(np.full(m, n))
-                hist += [histogram(grams).tobytes()] * m
-                size.append(m)
-            cols = [pa.array(np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64)) for x in out.values()]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(hist, pa.binary())], names=["gram", "node", "n", "pos", "hist"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in out.values()], names=list(out))
 
     return nodes.select("node", "n", "u", "grams").mapInArrow(run, POSTING)
 
 
+def _histograms(nodes: DataFrame) -> DataFrame:
+    def run(batches):
+        for batch in batches:
+            hist = [histogram(np.frombuffer(x, np.uint64)).tobytes() for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hist, pa.binary())], names=["node", "hist"])
+
+    return nodes.select("node", "grams").mapInArrow(run, "node long, hist binary")
+
+
 def components_of_block(sets: list[np.ndarray], n: np.ndarray, t: Fraction) -> np.ndarray:
     """Label of each set in the graph of links, all intersections taken by matrix products."""
     k = len(sets)
@@ -320,37 +325,35 @@ def components_of_block(sets: list[np.ndarray], n: np.ndarray, t: Fraction) -> n
 
 
 def _joined(nodes: DataFrame, homes: DataFrame, groups: int, t: Fraction) -> DataFrame:
-    """``node, leader``: nodes that meet at their home n-gram, joined within blocks of BLOCK nodes."""
-    crowd = homes.groupBy("home").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    placed = (nodes.join(homes, "node").join(crowd, "home").withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
-              .withColumn("g", F.pmod(F.xxhash64("home", "block"), F.lit(groups))))
+    """``x, y``: each node and the least node that it is joined with at a home n-gram, within blocks of BLOCK nodes."""
+    crowd = homes.groupBy("turn", "home").agg(F.count("*").alias("size")).filter("size > 1")
+    placed = (homes.join(crowd, ["turn", "home"]).withColumn("block", F.pmod(F.xxhash64("node", "turn"), F.ceil(F.col("size") / BLOCK)))
+              .select("node", "turn", "home", "block", F.pmod(F.xxhash64("turn", "home", "block"), F.lit(groups)).alias("g")))
 
     def run(key, pdf):
         import pandas as pd
 
-        out = []
-        for _, part in pdf.groupby(["home", "block"], sort=False):
+        out = [pd.DataFrame({"x": np.zeros(0, np.int64), "y": np.zeros(0, np.int64)})]
+        for _, part in pdf.groupby(["turn", "home", "block"], sort=False):
             part = part.sort_values("node")
             names = part["node"].to_numpy()
-            if len(names) > 1:
-                label = components_of_block([np.frombuffer(x, np.uint64) for x in part["grams"]], part["n"].to_numpy(), t)
-                out.append(pd.DataFrame({"node": names, "leader": names[label], "home": part["home"].to_numpy()}))
-            else:
-                out.append(pd.DataFrame({"node": names, "leader": names, "home": part["home"].to_numpy()}))
+            label = components_of_block([np.frombuffer(x, np.uint64) for x in part["grams"]], part["n"].to_numpy(), t)
+            at = np.flatnonzero(label != np.arange(len(names)))
+            out.append(pd.DataFrame({"x": names[at], "y": names[label[at]]}))
         return pd.concat(out)
 
-    return placed.select("node", "n", "grams", "home", "block", "g").groupBy("g").applyInPandas(run, "node long, leader long, home long")
+    return nodes.select("node", "n", "grams").join(placed, "node").groupBy("g").applyInPandas(run, "x long, y long")
 
 
 def _pairs(live: DataFrame, groups: int, t: Fraction) -> DataFrame:
-    """``x, y``: distinct pairs of nodes of different leaders that share a prefix n-gram and pass the filters."""
+    """``x, y``: distinct pairs of nodes of different labels that share a prefix n-gram and pass the filters."""
     num, den = t.numerator, t.denominator
 
     def run(key, pdf):
         import pandas as pd
 
         pdf = pdf.sort_values(["gram", "node"])
-        gram, node, n, pos, leader = (pdf[c].to_numpy() for c in ("gram", "node", "n", "pos", "leader"))
+        gram, node, n, pos, leader = (pdf[c].to_numpy() for c in ("gram", "node", "n", "pos", "label"))
         hist = np.frombuffer(b"".join(pdf["hist"]), np.uint8).reshape(-1, PARTS)
         head = np.flatnonzero(np.concatenate(([True], gram[1:] != gram[:-1])))
         found = [np.zeros((0, 2), np.int64)]
@@ -428,20 +431,24 @@ def link_documents(df: DataFrame, size: int = 5, similarity: tuple[int, int] = (
     total = features.agg(F.sum("n")).first()[0] or 0
     bits = min(24, max(6, (total // SHARD_GRAMS).bit_length()))
     nodes = stored(_nodes(_counted(_sent(rows.select("text"), size, bits), bits), bits, t))
-    postings = _postings(nodes, t)
+    postings = stored(_postings(nodes, t))
     crowd = postings.groupBy("gram").agg(F.count("*").alias("size")).filter("size > 1")
     live = stored(postings.join(crowd, "gram"))
     groups = max(64, live.count() // 100_000)
-    homes = stored(live.groupBy("node").agg(F.max(F.struct("size", "gram")).alias("h")).select("node", F.col("h.gram").alias("home")))
-    one = stored(_joined(nodes, homes, groups, t))
-    lead = one.filter("node = leader").select("node", "home")
-    two = _joined(nodes, lead, groups, t).select(F.col("node").alias("leader"), F.col("leader").alias("top"))     # blocks of one home
-    joined = stored(one.join(two, "leader").select("node", F.col("top").alias("leader")))
-    links = _verified(stored(_pairs(live.join(joined, "node"), groups, t)), nodes, t)
-    edges = stored(joined.filter("node <> leader").select(F.col("node").alias("x"), F.col("leader").alias("y")).union(links))
-    label = connected(edges).withColumnRenamed("v", "node")
+    most = F.slice(F.sort_array(F.collect_list(F.struct("size", "gram")), asc=False), 1, 2)               # of a node's prefix
+    homes = stored(live.groupBy("node").agg(most.alias("h")).select("node", F.posexplode("h").alias("turn", "h")).select("node", "turn", F.col("h.gram").alias("home")))
+    label = connected(_joined(nodes, homes, groups, t))
+    live = live.join(label.withColumnRenamed("v", "node"), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    mixed = live.groupBy("gram").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a < b").select("gram")
+    pairs = _pairs(live.join(mixed, "gram").join(_histograms(nodes), "node"), groups, t)
+    links = _verified(stored(pairs), nodes, t)
+    for end in ("x", "y"):
+        links = links.join(label.select(F.col("v").alias(end), F.col("label").alias(f"l{end}")), end, "left").withColumn(f"l{end}", F.coalesce(f"l{end}", end))
+    over = connected(links.select(F.col("lx").alias("x"), F.col("ly").alias("y")))
+    label = label.select(F.col("v").alias("node"), F.col("label").alias("mid"))
+    over = over.select(F.col("v").alias("mid"), F.col("label").alias("top"))
     first = features.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("first")).join(label, "node", "left")
-    first = first.withColumn("label", F.coalesce("label", "node"))
+    first = first.withColumn("mid", F.coalesce("mid", "node")).join(over, "mid", "left").withColumn("label", F.coalesce("top", "mid"))
     least = first.groupBy("label").agg(F.min("first").alias("component_id"))
     named = first.select(F.col("node").alias("named"), "label").join(least, "label").select("named", "component_id", F.lit(True).alias("some"))
     out = features.join(named, (F.col("node") == F.col("named")) & (F.col("n") > 0), "left")
