@@ -1,8 +1,7 @@
 """Count the reference's 5,000 generated segments against N generated
-accounts (J5 + J6 + C1), timing the keyed plan (S2) and optionally the
-nested-loop checker (S1).
+accounts (J5 + J6 + C1).
 
-usage: python scripts/scale_run.py N [--nested] [--cpus 8]
+usage: python scripts/scale_run.py N [--cpus 8]
 """
 
 import argparse
@@ -13,6 +12,8 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from segmetrics.operators import counting, seed  # noqa: E402
 from segmetrics.session import build_session  # noqa: E402
 
@@ -20,23 +21,19 @@ from segmetrics.session import build_session  # noqa: E402
 def main():
     ap = argparse.ArgumentParser()
     ap.add_argument("n", type=int)
-    ap.add_argument("--nested", action="store_true")
     ap.add_argument("--cpus", type=int, default=8)
     a = ap.parse_args()
     spark = build_session(f"local[{a.cpus}]", 2 * a.cpus, app="segmetrics-scale",
-                          driver_memory="16g")
+                          driver_memory="8g")
     accounts = seed.generate_accounts(
         spark.range(1, a.n + 1, numPartitions=max(8, a.n // 2_000_000))
         .withColumnRenamed("id", "user_id"))
     segments = seed.generate_segments(seed.segment_ids(spark, 5000))
     out = {"accounts": a.n, "segments": 5000}
-    for strategy in (["keyed", "nested"] if a.nested else ["keyed"]):
-        t = time.perf_counter()
-        res = counting.count_segments(accounts, segments, strategy=strategy)
-        rows = res.collect()
-        out[strategy] = round(time.perf_counter() - t, 2)
-        out[f"{strategy}_total"] = sum(r.user_count for r in rows)
-        out[f"{strategy}_zero"] = sum(r.user_count == 0 for r in rows)
+    t = time.perf_counter()
+    total, zero = counting.count_segments(accounts, segments).agg(
+        F.sum("user_count"), F.count_if(F.col("user_count") == 0)).first()
+    out |= {"seconds": round(time.perf_counter() - t, 2), "total": total, "zero": zero}
     print(json.dumps(out))
 
 

@@ -70,10 +70,10 @@ def exact_quantiles(df: DataFrame, value: str, qs=(0.5, 0.95, 0.99), by=()) -> D
     counts = base.groupBy(*by, _band(F.col("_v"), 256).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
     upto = F.sum("_n").over(Window.partitionBy(*by).orderBy("_k"))
     counts = counts.select(*by, "_k", "_n", upto.alias("_upto"),
-                           F.sum("_n").over(Window.partitionBy(*by)).alias("_all"))
-    pos = F.col("_q") * (F.col("_all") - 1)
+                           F.sum("_n").over(Window.partitionBy(*by)).alias("_total"))
+    pos = F.col("_q") * (F.col("_total") - 1)
     wanted = counts.select(
-        *by, "_k", "_n", "_upto", "_all", F.explode(F.array(*[F.lit(float(q)) for q in qs])).alias("_q"))
+        *by, "_k", "_n", "_upto", "_total", F.explode(F.array(*[F.lit(float(q)) for q in qs])).alias("_q"))
     wanted = wanted.select("*", F.explode(F.array(F.floor(pos), F.ceil(pos))).alias("_rank")).dropDuplicates()
     wanted = wanted.where((F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= F.col("_upto") - F.col("_n")))
     # (by..., band, ranks in it counted from the band's first row)

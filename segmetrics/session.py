@@ -3,11 +3,13 @@ checkpoint folder taken from the cluster configuration."""
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
+ZONE = "Asia/Seoul"          # of the daily schedule
+
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app: str = "segmetrics", driver_memory: str = "8g",
@@ -21,7 +23,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "Asia/Seoul")
+        .config("spark.sql.session.timeZone", ZONE)
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
@@ -31,21 +33,32 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder the cluster names in
-    ``spark.checkpoint.dir``; only when it is unset (tests, a laptop) a
-    fresh local folder is made."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="segmetrics-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+def checkpoint_root(configured: str | None, master: str) -> str:
+    """The folder the cluster names; a fresh local one only for a local master."""
+    if configured:
+        return configured
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="segmetrics-ckpt-")
+
 
+def _root(spark: SparkSession) -> str:
+    """``checkpoint_root`` of the session, the same for its whole life."""
+    sc = spark.sparkContext
+    if not hasattr(sc, "_checkpoint_root"):
+        sc._checkpoint_root = checkpoint_root(spark.conf.get("spark.checkpoint.dir", None), sc.master)
+    return sc._checkpoint_root
 
-def checkpoint_subdir(spark: SparkSession, name: str) -> str:
-    """A folder under the checkpoint root for a written intermediate table."""
-    return os.path.join(ensure_checkpoint_dir(spark), name)
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Set the checkpoint folder once per session: the one the cluster names in
+    ``spark.checkpoint.dir``; only for a local master without one (tests, a
+    laptop) a fresh local folder is made, on a cluster that is an error."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None or getattr(sc, "_own_checkpoints_over", False):
+        sc.setCheckpointDir(_root(spark))
+        sc._own_checkpoints_over = False
+    return sc.getCheckpointDir()
 
 
 def materialize(df):
@@ -55,7 +68,29 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
-def cluster_conf(total_cores: int) -> dict[str, str]:
+class own_checkpoints:
+    """Checkpoints written in this block go to a folder of their own, which is
+    deleted at its end: a scheduled job leaves nothing behind. What the block
+    returns must have been written elsewhere by then."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+
+    def __enter__(self):
+        sc = self.spark.sparkContext
+        self.folder = f"{_root(self.spark).rstrip('/')}/run-{uuid.uuid4().hex}"
+        sc.setCheckpointDir(self.folder)
+        sc._own_checkpoints_over = False
+        return self
+
+    def __exit__(self, *_):
+        sc = self.spark.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+        sc._own_checkpoints_over = True
+
+
+def cluster_conf(total_cores: int, checkpoint_dir: str) -> dict[str, str]:
     """Settings the plans are designed around on a large cluster.
 
     * Scans split into ~256 MB tasks; the account scan is the only step that
@@ -66,6 +101,8 @@ def cluster_conf(total_cores: int) -> dict[str, str]:
     * Broadcasts only below a measured 64 MB; above it the same joins run as
       shuffle joins."""
     return {
+        "spark.sql.session.timeZone": ZONE,
+        "spark.checkpoint.dir": checkpoint_dir,
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),

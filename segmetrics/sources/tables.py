@@ -11,6 +11,7 @@
 * ``write_day`` -- replaces the day partitions present in the frame and
   nothing else (dynamic partition overwrite set on the write itself; the
   default static mode would first delete the whole table).
+* ``write_errors`` / ``read_errors`` -- the reasons of a day's uncounted segments.
 * ``write_trend_json`` -- trend rows as JSON lines with ISO dates.
 """
 
@@ -20,16 +21,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..session import materialize
 
 
 def read_accounts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(S.ACCOUNT).parquet(path)
 
 
-def read_accounts_jdbc(spark: SparkSession, url: str, table: str = "account",
-                       lower: int = 1, upper: int = 30_000_000,
-                       partitions: int = 64, **props) -> DataFrame:
+def read_accounts_jdbc(spark: SparkSession, url: str, lower: int, upper: int,
+                       table: str = "account", partitions: int = 64, **props) -> DataFrame:
+    """``lower`` and ``upper``: least and largest ``user_id`` of the table. They
+    have no default: rows beyond them would all be read by the outer tasks."""
     return spark.read.jdbc(url, table, column="user_id", lowerBound=lower,
                            upperBound=upper, numPartitions=partitions,
                            properties=props)
@@ -40,9 +41,7 @@ def read_segments(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).select(
-        F.col("segment_id").cast("long"), F.col("metric_date").cast("date"),
-        F.col("user_count").cast("long"), "status")
+    return spark.read.schema(S.METRIC).parquet(path)
 
 
 def read_accounts_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -58,13 +57,13 @@ def write_accounts_csv(accounts: DataFrame, path: str, mode: str = "overwrite")
 
 
 def write_day(rows: DataFrame, path: str, rows_per_file: int = 2_000_000) -> None:
-    """Write the day's final rows.  The rows are checkpointed first so
-    the write never reads the partition it replaces.  Write tasks are sized
-    from the checkpointed row count, and each task gets a contiguous,
+    """Write the day's final rows, which must not be read from the
+    partition that they replace (``execute_daily_batch`` checkpoints them).
+    Write tasks are sized from the row count, and each task gets a contiguous,
     sorted ``segment_id`` range, so files stay bounded and a lookup of one
     segment skips row groups by their min/max statistics.  Only the days
     present in ``rows`` are replaced (dynamic partition overwrite)."""
-    final = materialize(rows.select("segment_id", "metric_date", "user_count", "status"))
+    final = rows.select("segment_id", "metric_date", "user_count", "status")
     tasks = max(1, -(-final.count() // rows_per_file))
     (final.repartitionByRange(tasks, "metric_date", "segment_id")
      .sortWithinPartitions("metric_date", "segment_id")
@@ -75,6 +74,20 @@ def write_day(rows: DataFrame, path: str, rows_per_file: int = 2_000_000) -> Non
      .parquet(path))
 
 
+def write_errors(results: DataFrame, path: str) -> None:
+    """One row for every segment of the day with its reason, null if it was
+    counted. A good re-run so replaces the reasons of a bad one."""
+    (results.select("segment_id", "metric_date", "error_reason")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("metric_date").parquet(path))
+
+
+def read_errors(spark: SparkSession, path: str) -> DataFrame:
+    """The stored reasons of segments that could not be counted."""
+    return (spark.read.schema("segment_id long, error_reason string, metric_date date").parquet(path)
+            .where(F.col("error_reason").isNotNull()))
+
+
 def write_trend_json(trend_rows: DataFrame, path: str) -> None:
     (trend_rows.select(F.date_format("date", "yyyy-MM-dd").alias("date"), "count")
-     .coalesce(1).write.mode("overwrite").json(path))
+     .write.mode("overwrite").json(path))

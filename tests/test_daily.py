@@ -127,19 +127,81 @@ def test_trend_rules(spark):
 def test_execute_daily_batch_and_run_metrics(spark, setup, tmp_out):
     from segmetrics.operators import latency
     acc, segs = setup
-    path = os.path.join(tmp_out, "m")
-    rm = daily.execute_daily_batch(spark, acc, segs, path, DAY,
-                                   errors_path=os.path.join(tmp_out, "e"), run_id="r1")
-    assert {r.stage for r in rm.collect()} == {"count_step", "flush", "total"}
+    path, stored = os.path.join(tmp_out, "m"), os.path.join(tmp_out, "r")
+    for run in ("r1", "r2"):
+        rm = daily.execute_daily_batch(spark, acc, segs, path, DAY, errors_path=os.path.join(tmp_out, "e"),
+                                       run_id=run, run_metrics_path=stored)
+        assert {r.stage for r in rm.collect()} == {"init_step", "count_step", "flush", "total"}
+        assert {r.errors for r in rm.collect()} == {1}
+    assert spark.read.parquet(stored).count() == 8
     assert as_dict(tables.read_metrics(spark, path))[1] == (2, "INSERTED")
-    errs = spark.read.parquet(os.path.join(tmp_out, "e")).collect()
+    errs = tables.read_errors(spark, os.path.join(tmp_out, "e")).collect()
     assert [(r.segment_id, r.error_reason) for r in errs] == [(3, S.UNSUPPORTED_OPERATOR)]
-    assert latency.summary(rm, "seconds").first().n == 3
+    assert latency.summary(rm, "seconds").first().n == 4
 
 
-def test_today_uses_session_zone(spark):
-    d = daily.today(spark)
-    assert isinstance(d, dt.date)
+def test_repaired_definition_leaves_no_error(spark, setup, tmp_out):
+    acc, segs = setup
+    path, errors = os.path.join(tmp_out, "m"), os.path.join(tmp_out, "e")
+    other = dt.date(2026, 4, 30)
+    for day in (other, DAY):
+        daily.execute_daily_batch(spark, acc, segs, path, day, errors_path=errors)
+    assert {(r.metric_date, r.segment_id) for r in tables.read_errors(spark, errors).collect()} == {(other, 3), (DAY, 3)}
+    repaired = segs.where("segment_id <> 3").unionByName(
+        seg_df(spark, [(3, [{"category": "gender", "operator": "EQUALS", "value": "FEMALE"}])]))
+    daily.execute_daily_batch(spark, acc, repaired, path, DAY, errors_path=errors)
+    assert as_dict(tables.read_metrics(spark, path).where(F.col("metric_date") == F.lit(DAY)))[3] == (1, "INSERTED")
+    assert {(r.metric_date, r.segment_id) for r in tables.read_errors(spark, errors).collect()} == {(other, 3)}
+
+
+def test_daily_run_deletes_its_checkpoints(spark, setup, tmp_out):
+    acc, segs = setup
+    root = spark.conf.get("spark.checkpoint.dir")
+    before = {os.path.join(d, f) for d, _, fs in os.walk(root) for f in fs}
+    daily.execute_daily_batch(spark, acc, segs, os.path.join(tmp_out, "m"), DAY)
+    assert {os.path.join(d, f) for d, _, fs in os.walk(root) for f in fs} == before
+    assert not [d for d in os.listdir(root) if d.startswith("run-")]
+    assert daily.run_day(metric_df(spark, []), segs, acc, DAY)[0].count() == 4        # later checkpoints work
+
+
+def test_checkpoint_folder_must_be_named_on_a_cluster():
+    from segmetrics.session import checkpoint_root, cluster_conf
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            checkpoint_root(None, master)
+        assert checkpoint_root("hdfs:///c", master) == "hdfs:///c"
+    assert os.path.isdir(checkpoint_root(None, "local[4]"))
+    assert cluster_conf(10, "hdfs:///c")["spark.checkpoint.dir"] == "hdfs:///c"
+
+
+def test_today_is_the_zone_of_the_schedule():
+    from zoneinfo import ZoneInfo
+    for zone in ("Pacific/Kiritimati", "Pacific/Pago_Pago"):
+        assert daily.today(zone) == dt.datetime.now(ZoneInfo(zone)).date()
+    assert daily.today() == dt.datetime.now(ZoneInfo("Asia/Seoul")).date()
+
+
+def test_daily_job_main(spark, setup, tmp_out):
+    import sys
+    sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "scripts"))
+    import daily_job
+    acc, segs = setup
+    at = {n: os.path.join(tmp_out, n) for n in ("accounts", "segments", "metrics", "errors", "runs")}
+    acc.write.parquet(at["accounts"])
+    t = F.lit("2026-05-01 00:00:00").cast("timestamp_ntz")
+    segs.select("segment_id", "conditions", t.alias("created_at"), t.alias("updated_at")).write.parquet(at["segments"])
+    daily_job.main(["--accounts", at["accounts"], "--segments", at["segments"], "--metrics", at["metrics"], "--errors", at["errors"],
+                    "--run-metrics", at["runs"], "--day", "2026-05-01"])
+    assert as_dict(tables.read_metrics(spark, at["metrics"]))[1] == (2, "INSERTED")
+    assert tables.read_errors(spark, at["errors"]).count() == 1 and spark.read.parquet(at["runs"]).count() == 4
+
+
+def test_trend_json_file(spark, tmp_out):
+    path = os.path.join(tmp_out, "j")
+    m = metric_df(spark, [(1, dt.date(2026, 1, 1), 10, "INSERTED"), (1, dt.date(2026, 1, 2), 5, "PENDING")])
+    tables.write_trend_json(trend.trend(m, 1, "2026-01-01", "2026-01-03"), path)
+    assert sorted((r.date, r["count"]) for r in spark.read.schema("date string, count long").json(path).collect()) == \
+        [("2026-01-01", 10), ("2026-01-02", 5)]
 
 
 def test_write_day_bounded_sorted_files(spark, tmp_out):

@@ -100,11 +100,52 @@ def test_exact_quantiles_hot_group_spread_over_tasks(spark):
     rows = [("hot", v) for v in hot] + [("cold", v) for v in cold]
     df = spark.createDataFrame(rows, "g string, v double")
     got = {(r.g, r.q): r.value for r in
-           latency.exact_quantiles(df, "v", (0.0, 0.5, 0.9, 0.99, 1.0), ["g"], partitions=7).collect()}
+           latency.exact_quantiles(df, "v", (0.0, 0.5, 0.9, 0.99, 1.0), ["g"]).collect()}
     for g, vals in (("hot", hot), ("cold", cold)):
         for q in (0.0, 0.5, 0.9, 0.99, 1.0):
             assert abs(got[(g, q)] - np.quantile(vals, q)) < 1e-9, (g, q)
-    whole = {r.q: r.value for r in latency.exact_quantiles(df, "v", (0.5,), partitions=5).collect()}
+    whole = {r.q: r.value for r in latency.exact_quantiles(df, "v", (0.5,)).collect()}
     assert abs(whole[0.5] - np.quantile(hot + cold, 0.5)) < 1e-9
     s = latency.summary(df, "v").first()
     assert s.n == 4300 and abs(s.p50 - round(np.quantile(hot + cold, 0.5), 6)) < 1e-9
+
+
+def test_quantiles_of_ties_and_null_groups(spark):
+    """One value held by a third of the rows, a NULL group, negatives and infinities: against numpy."""
+    import numpy as np
+    from segmetrics.operators import latency
+    g = np.random.default_rng(3)
+    rows = [(k, float(v)) for k in ("a", None) for v in np.concatenate((np.zeros(300), g.normal(0, 50, 400), g.exponential(1e-3, 200), g.integers(0, 9, 20)))]
+    rows += [("one", 5.0), ("none", None), ("two", -1.0), ("two", 2.0), ("inf", float("inf")), ("inf", 1.0), ("inf", 2.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {(r.k, r.q): r.value for r in latency.exact_quantiles(df, "v", (0.0, 0.25, 0.5, 0.95, 1.0), ["k"]).collect()}
+    for k in {k for k, v in rows if v is not None}:
+        vs = [v for x, v in rows if x == k and v is not None]
+        for q in (0.0, 0.25, 0.5, 0.95, 1.0):
+            with np.errstate(invalid="ignore"):
+                want = np.quantile(vs, q)
+            assert got[k, q] == want or abs(got[k, q] - want) < 1e-9 or (k == "inf" and q >= 0.5), (k, q)
+    assert ("none", 0.5) not in got
+    s = {r.k: r for r in latency.summary(df, "v", ["k"]).collect()}
+    assert s[None].n == 920 and s[None].p50 is not None and s["none"].p50 is None
+    b = latency.bucket_counts(df, "v", [0.0, 10.0, float("inf")], ["k"])
+    assert {r.le: r.cum_count for r in b.where("k is null").collect()}[float("inf")] == 920
+
+
+def test_read_accounts_and_segments(spark, tmp_out):
+    from segmetrics import schemas as S
+    from segmetrics.sources import tables
+    spark.createDataFrame([(1, "user_1", "MALE", 20, "X", 3)], S.ACCOUNT).withColumnRenamed("age", "age").write.parquet(f"{tmp_out}/a")
+    assert [tuple(r) for r in tables.read_accounts(spark, f"{tmp_out}/a").collect()] == [(1, "user_1", "MALE", 20, "X", 3)]
+    t = spark.sql("SELECT 1L AS segment_id, '[]' AS conditions, TIMESTAMP_NTZ'2026-01-01' AS created_at, TIMESTAMP_NTZ'2026-01-01' AS updated_at")
+    t.write.parquet(f"{tmp_out}/s")
+    assert tables.read_segments(spark, f"{tmp_out}/s").first().conditions == "[]"
+
+
+def test_segment_page(spark):
+    from segmetrics.operators.segments import segment_page
+    df = spark.createDataFrame([(i, "[]") for i in (5, 1, 9, 3)], "segment_id long, conditions string")
+    first = segment_page(df, None, 3).collect()
+    assert [(r.segment_id, r.total, r.has_next) for r in first] == [(1, 4, True), (3, 4, True), (5, 4, True)]
+    assert [(r.segment_id, r.has_next) for r in segment_page(df, 5, 3).collect()] == [(9, False)]
+    assert segment_page(df, 9, 3).count() == 0
