@@ -115,3 +115,41 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = scan_secrets(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "word", "nth", F.sha2("finding", 256).alias("finding_sha256"), "kind", "score", "is_secret")
+
+
+def _url_sql() -> str:
+    from segmetrics.llm.urls import BASE_RULES, PATTERNS
+
+    quote = lambda x: "'" + x.replace("'", "''") + "'"
+    rules = ", ".join(f"({quote(r)}, {quote(r[:r.index('/')])}, {quote(r[r.index('/'):])}, {quote(a)})" for a, r in BASE_RULES)
+    hits = " ".join(f"WHEN regexp_matches(low, {quote(p.regex)}) THEN {quote(p.name)}" for p in PATTERNS)
+    acts = " ".join(f"WHEN {quote(p.name)} THEN {quote(p.action)}" for p in PATTERNS)
+    low = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+WITH r(rule, h, p, action) AS (VALUES {rules}),
+u AS (SELECT row_number() OVER () AS i, page_id, {low.format("coalesce(url, '')")} AS low,
+             CASE WHEN contains(coalesce(url, ''), '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+v AS (SELECT i, page_id, low, {low.format("regexp_extract(rest, '^[^/?#]*')")} AS host,
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+f AS (SELECT i, arg_max(rule, length(rule)) AS rule, arg_max(action, length(rule)) AS action
+      FROM v JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY i),
+x AS (SELECT v.*, f.rule, f.action, CASE WHEN f.rule IS NOT NULL THEN NULL {hits} END AS pattern FROM v LEFT JOIN f USING (i))
+SELECT page_id, host, path, rule, pattern, coalesce(action, CASE pattern {acts} END, 'allow') AS verdict FROM x"""
+
+
+ORACLE_SQL["op2_url_filters"] = _url_sql()
+ORACLE_SQL["op9_decontaminate"] = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS a FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS a FROM benchmark),
+win AS (SELECT DISTINCT item, array_to_string(a[s:s + n - 1], ' ') AS g, n
+        FROM (SELECT item, a, least(13, len(a)) AS n, unnest(range(1, greatest(len(a) - 12, 1) + 1)) AS s FROM b WHERE len(a) > 0)),
+dw AS (SELECT doc_id, s, n, array_to_string(a[s:s + n - 1], ' ') AS g
+       FROM (SELECT doc_id, a, n, unnest(range(1, len(a) - n + 2)) AS s FROM w, (SELECT DISTINCT n FROM win) WHERE len(a) >= n)),
+hit AS (SELECT dw.doc_id, dw.s, dw.n, win.item FROM dw JOIN win ON dw.g = win.g),
+pos AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hit) GROUP BY doc_id),
+who AS (SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hit GROUP BY doc_id)
+SELECT w.doc_id, len(w.a) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w.a) AS contaminated
+FROM w LEFT JOIN pos USING (doc_id) LEFT JOIN who USING (doc_id)"""
