@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from segmetrics.llm.common import parts, small_batches
+
 CACHE_ENTRIES = 200_000      # fragments kept by a worker, then the cache starts anew
 CACHE_BYTES = 256            # longer fragments are encoded each time
 
@@ -113,15 +115,13 @@ def encode_decode(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_co
 
     def run(batches):
         codec = Codec(spec.value)
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                part = batch.slice(lo, 512)
-                ids = [codec.encode(t or "") for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(ids, pa.binary()), pa.array(map(codec.decode, ids), pa.string()), *(part.column(c) for c in keep)],
-                    names=["doc_id", "ids", "decoded", *keep])
+        for batch in parts(batches):
+            ids = [codec.encode(t or "") for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(ids, pa.binary()), pa.array(map(codec.decode, ids), pa.string()), *(batch.column(c) for c in keep)],
+                names=["doc_id", "ids", "decoded", *keep])
 
     keep = keep or []
     kind = df.schema[id_col].dataType.simpleString()
     schema = f"doc_id {kind}, ids binary, decoded string" + "".join(f", `{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
-    return df.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"), *keep).mapInArrow(run, schema)
+    return small_batches(df).select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"), *keep).mapInArrow(run, schema)

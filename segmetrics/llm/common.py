@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,7 +30,7 @@ def shared_folder(spark: SparkSession) -> str:
     """A new path below ``spark.checkpoint.dir`` (a temporary folder only for a local master without one)."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = os.path.join(tempfile.gettempdir(), "segmetrics-shared")
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
@@ -40,6 +44,36 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+ARROW_BYTES = 8 << 20          # of a batch that a task hands to its Python worker
+PART_BYTES = 4 << 20           # of rows that a worker has as Python objects at once
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """Bound the session's Arrow batches by ARROW_BYTES, so that long texts don't pile up beside the heap."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = df.sparkSession.conf.get(key)
+    if not now.rstrip("bB").isdigit() or not 0 < int(now.rstrip("bB")) <= ARROW_BYTES:
+        df.sparkSession.conf.set(key, str(ARROW_BYTES))
+    return df
+
+
+def parts(batches, most: int = PART_BYTES):
+    """Slices of about ``most`` bytes of the record batches."""
+    for batch in batches:
+        step = max(1, batch.num_rows * most // max(1, batch.nbytes))
+        for lo in range(0, batch.num_rows, step):
+            yield batch.slice(lo, step)
+    release()
+
+
+def release() -> None:
+    """Give freed memory back to the system: a reused worker otherwise keeps the peak of every task it ran."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):             # only where the C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finalizer (multiply, xor-shift)."""
     x = x ^ (x >> np.uint64(31))

@@ -15,11 +15,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segmetrics.llm.common import SpanHasher, spans, stored
+from segmetrics.llm.common import SpanHasher, parts, small_batches, spans, stored
 
 SHARD_WORDS = 100_000
 PASS_WORDS = 400_000
-CHUNK = 4 << 20               # bytes of text that are taken at once
+CHUNK = 1 << 20               # bytes of text that are taken at once
 
 _CODE = np.arange(256, dtype=np.uint8)
 _CODE[65:91] += 32                                                  # A-Z lower-cased
@@ -248,7 +248,7 @@ def find_contamination(df: DataFrame, benchmark: DataFrame, window: int = 13, co
     keep = keep or []
     kind = df.schema[id_col].dataType.simpleString()
     extra = "".join(f", `{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
-    rows = df.select(F.col(id_col).alias("__id"), F.col(text_col).cast("binary").alias("__text"), F.lit(0).alias("__n"),
+    rows = small_batches(df).select(F.col(id_col).alias("__id"), F.col(text_col).cast("binary").alias("__text"), F.lit(0).alias("__n"),
                      F.array().cast("array<int>").alias("__spans"), F.array().cast("array<string>").alias("__items"), F.lit(0).alias("__longest"), *keep)
     source = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")), F.col(item_text_col).cast("string")).dropDuplicates()
     read = ((r[0], words) for r in source.toLocalIterator() if (words := normalised(r[1])))
@@ -262,7 +262,7 @@ def find_contamination(df: DataFrame, benchmark: DataFrame, window: int = 13, co
 def _pass(rows: DataFrame, held, window: int, keep: list[str], schema: str) -> DataFrame:
     def match(batches):
         matcher = Matcher([(Automaton(s, window), s) for s in held.value])
-        for batch in batches:
+        for batch in parts(batches):
             texts = batch.column("__text").to_pylist()
             n_words = np.zeros(len(texts), np.int64)
             old = {i: (s, it, n) for i, (s, it, n) in enumerate(zip(batch.column("__spans").to_pylist(), batch.column("__items").to_pylist(),
@@ -302,7 +302,7 @@ def _pass(rows: DataFrame, held, window: int, keep: list[str], schema: str) -> D
 
 def _finished(rows: DataFrame, coverage: float, keep: list[str], kind: str, extra: str) -> DataFrame:
     def cut(batches):
-        for batch in batches:
+        for batch in parts(batches):
             texts, n_words, all_spans = batch.column("__text").to_pylist(), batch.column("__n").to_pylist(), batch.column("__spans").to_pylist()
             n_hit, bad, clean = [], [], []
             for t, n, s in zip(texts, n_words, all_spans):
@@ -312,11 +312,11 @@ def _finished(rows: DataFrame, coverage: float, keep: list[str], kind: str, extr
                 left = None
                 if bad[-1]:
                     _, start, end = words_of(t)
-                    parts, at = [], 0
+                    pieces, at = [], 0
                     for a, b in zip(s[0::2], s[1::2]):
-                        parts.append(t[at:start[a]])
+                        pieces.append(t[at:start[a]])
                         at = end[b - 1]
-                    left = b"".join([*parts, t[at:]])
+                    left = b"".join([*pieces, t[at:]])
                 clean.append(left)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("__id"), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), batch.column("__items"), batch.column("__spans"),

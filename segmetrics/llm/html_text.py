@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from segmetrics.llm.common import parts, small_batches
+
 # Element names and frequent words.
 RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -186,12 +188,10 @@ def extract_text(df: DataFrame, rules: Rules = Rules(), id_col: str = "page_id",
     kind = df.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                part = batch.slice(lo, 512)
-                texts = ["\n".join(main_blocks(p or "", rules)) for p in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string()), *(part.column(c) for c in keep)],
-                                                 names=["page_id", "text", *keep])
+        for batch in parts(batches):
+            texts = ["\n".join(main_blocks(p or "", rules)) for p in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), *(batch.column(c) for c in keep)],
+                                             names=["page_id", "text", *keep])
 
     schema = f"page_id {kind}, text string" + "".join(f", `{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
-    return df.select(F.col(id_col).alias("page_id"), F.col(html_col).cast("string").alias("html"), *keep).mapInArrow(run, schema)
+    return small_batches(df).select(F.col(id_col).alias("page_id"), F.col(html_col).cast("string").alias("html"), *keep).mapInArrow(run, schema)

@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from segmetrics.llm.common import parts, small_batches
+
 HIDDEN = 8
 WINDOW = 128
 LANES = 2048                      # windows in step
@@ -234,18 +236,16 @@ def predict(df: DataFrame, net: Network, languages: list[str], id_col: str = "do
     kind = df.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 1024):
-                part = batch.slice(lo, 1024)
-                texts = [t if t is not None and _LETTER.search(t) else None for t in part.column(1).to_pylist()]
-                p = pooled(net, [(t or "").encode() for t in texts])
-                best = p.argmax(1)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([languages[b] if t is not None else UNDETERMINED for t, b in zip(texts, best)], pa.string()),
-                     pa.array([min(1.0, float(p[i, b])) if t is not None else 0.0 for i, (t, b) in enumerate(zip(texts, best))], pa.float64()),
-                     pa.array([p[i].tolist() if t is not None else [] for i, t in enumerate(texts)], pa.list_(pa.float64())),
-                     *(part.column(c) for c in keep)], names=["doc_id", "lang_pred", "score", "scores", *keep])
+        for batch in parts(batches):
+            texts = [t if t is not None and _LETTER.search(t) else None for t in batch.column(1).to_pylist()]
+            p = pooled(net, [(t or "").encode() for t in texts])
+            best = p.argmax(1)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([languages[b] if t is not None else UNDETERMINED for t, b in zip(texts, best)], pa.string()),
+                 pa.array([min(1.0, float(p[i, b])) if t is not None else 0.0 for i, (t, b) in enumerate(zip(texts, best))], pa.float64()),
+                 pa.array([p[i].tolist() if t is not None else [] for i, t in enumerate(texts)], pa.list_(pa.float64())),
+                 *(batch.column(c) for c in keep)], names=["doc_id", "lang_pred", "score", "scores", *keep])
 
     schema = f"doc_id {kind}, lang_pred string, score double, scores array<double>" + "".join(
         f", `{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
-    return df.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"), *keep).mapInArrow(run, schema)
+    return small_batches(df).select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"), *keep).mapInArrow(run, schema)

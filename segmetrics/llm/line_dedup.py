@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segmetrics.llm.common import mix64, stored
+from segmetrics.llm.common import mix64, parts, small_batches, stored
 
 WHITE = b" \t\n\x0b\x0c\r"
 SHARD_KEYS = 500_000
@@ -131,7 +131,7 @@ def repeated_lines(rows: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
     """``k, p, n, last``: hash and fingerprint of each line of ``min_docs`` documents at least, their number, the largest doc_id."""
 
     def reduce(batches):
-        for batch in batches:
+        for batch in parts(batches):
             ids = _ids(batch.column(0))
             _, doc, _, k, p = _hashed(batch.column(1).to_pylist(), min_chars)
             d = ids[doc] if len(doc) else np.zeros(0, np.int64)
@@ -175,7 +175,7 @@ def dedup_lines(df: DataFrame, min_chars: int = 20, min_docs: int = 3, id_col: s
     spark = df.sparkSession
     keep = keep or []
     kind = df.schema[id_col].dataType.simpleString()
-    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), *keep)
+    rows = small_batches(df).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), *keep)
     lines = stored(repeated_lines(rows, min_chars, min_docs))
     n_shards = max(1, -(-lines.count() // SHARD_KEYS))
     shards = stored(build_shards(lines, n_shards))
@@ -198,7 +198,7 @@ def dedup_lines(df: DataFrame, min_chars: int = 20, min_docs: int = 3, id_col: s
 
         def probe(batches):
             loaded = {r["shard"]: Shard.unpack(r) for r in held.value}
-            for batch in batches:
+            for batch in parts(batches):
                 ids = _ids(batch.column(0))
                 split, doc, line, k, p = _hashed(batch.column(1).to_pylist(), min_chars)
                 drop = np.zeros(len(k), bool)
@@ -219,7 +219,7 @@ def _probe_by_shard(rows, shards, schema, min_chars, min_docs, n_shards, keep, r
     """The same decisions where the arrays are too large for every task: line hashes go to their shard, dropped ones come back by document."""
 
     def sent(batches):
-        for batch in batches:
+        for batch in parts(batches):
             ids = _ids(batch.column(0))
             _, doc, _, k, p = _hashed(batch.column(1).to_pylist(), min_chars)
             to = np.mod(k.view(np.int64), n_shards)
@@ -248,7 +248,7 @@ def _probe_by_shard(rows, shards, schema, min_chars, min_docs, n_shards, keep, r
         "doc_id", "text", *keep, F.transform("gone", lambda x: x.k).alias("__k"), F.transform("gone", lambda x: x.p).alias("__p"))
 
     def remove(batches):
-        for batch in batches:
+        for batch in parts(batches):
             split, doc, line, k, p = _hashed(batch.column(1).to_pylist(), min_chars)
             gone = [set(zip(a or [], b or [])) for a, b in zip(batch.column("__k").to_pylist(), batch.column("__p").to_pylist())]
             drop = np.fromiter(((a, b) in gone[i] for i, a, b in zip(doc.tolist(), k.view(np.int64).tolist(), p.view(np.int64).tolist())), bool, len(k))

@@ -28,10 +28,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segmetrics.llm.common import SpanHasher, mix64, spans, stored
+from segmetrics.llm.common import SpanHasher, mix64, parts, release, small_batches, spans, stored
 
 CHUNK_BYTES = 4 << 20
 CHUNK_DOCS = 20_000
+HASH_BYTES = 1 << 20         # of text that is hashed at once
 LOCAL_HOT = 64               # texts of a chunk with an n-gram, above which it is sent once
 SHARD_GRAMS = 1 << 20
 BLOCK = 1500                 # nodes compared by one matrix product
@@ -45,17 +46,20 @@ _WORD[[0x20, 9, 10, 11, 12, 13]] = False
 _POWERS = [np.uint64(pow(0xA0761D6478BD642F, k + 1, 2**64)) for k in range(64)]
 
 
-def _combined(parts: list[np.ndarray]) -> np.ndarray:
+def _combined(words: list[np.ndarray]) -> np.ndarray:
     """Hashes of word sequences from the hashes of their words."""
     with np.errstate(over="ignore"):
-        total = np.full(len(parts[0]), len(parts), np.uint64)
-        for c, p in zip(_POWERS, parts):
+        total = np.full(len(words[0]), len(words), np.uint64)
+        for c, p in zip(_POWERS, words):
             total = total + p * c
         return mix64(total)
 
 
 def shingle_sets(texts: list[bytes | None], size: int, hasher: SpanHasher) -> list[np.ndarray]:
     """Sorted distinct n-gram hashes of each text; of a text with fewer words, its whole sequence."""
+    if sum(len(t or b"") for t in texts) > HASH_BYTES and len(texts) > 1:
+        half = len(texts) // 2
+        return shingle_sets(texts[:half], size, hasher) + shingle_sets(texts[half:], size, hasher)
     data = b" ".join(t or b"" for t in texts) + b" "
     raw = np.frombuffer(data, np.uint8)
     start, end = spans(_WORD[raw])
@@ -84,7 +88,7 @@ def node_of(grams: np.ndarray) -> int:
 def _chunks(batches, column: int):
     """Lists of ``(first column, text)`` of about CHUNK_BYTES of text."""
     at, size = [], 0
-    for batch in batches:
+    for batch in parts(batches):
         for i, t in zip(batch.column(0).to_pylist(), batch.column(column).to_pylist()):
             at.append((i, t))
             size += len(t or b"")
@@ -212,6 +216,8 @@ def _counted(sent: DataFrame, bits: int) -> DataFrame:
                 at = a + np.flatnonzero(each[a:b] >= 2)
                 if len(at):
                     out.append((r.chunk, full[at].tobytes(), np.minimum(each[at], 0xFFFFFFFF).astype(np.uint32).tobytes(), owner[at].tobytes(), b"", GRAMS))
+        keys = owner = chunk = weight = None
+        release()
         return pd.DataFrame(out, columns=["chunk", "a", "b", "c", "d", "kind"])
 
     return sent.groupBy("g").applyInPandas(run, "chunk long, a binary, b binary, c binary, d binary, kind int")
@@ -257,6 +263,8 @@ def _nodes(counted: DataFrame, bits: int, t: Fraction) -> DataFrame:
             unique = n - shared
             for i in np.flatnonzero(unique < prefix_size(n, t)):
                 out.append((names[i], n[i], unique[i], keys[edge[i]:edge[i + 1]].tobytes()))
+        keys = df = owner = None
+        release()
         return pd.DataFrame(out, columns=["node", "n", "u", "grams"])
 
     return counted.groupBy("chunk").applyInPandas(run, NODE).dropDuplicates(["node"])
@@ -273,7 +281,7 @@ POSTING = "gram long, node long, n long, pos long"
 def _postings(nodes: DataFrame, t: Fraction) -> DataFrame:
     """``gram, node, n, pos`` for each shared n-gram of each node's prefix; ``pos``: its place among the node's n-grams."""
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches):
             out = {k: [np.zeros(0, np.int64)] for k in ("gram", "node", "n", "pos")}
             for node, n, u, data in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 grams = np.frombuffer(data, np.uint64)
@@ -289,7 +297,7 @@ def _postings(nodes: DataFrame, t: Fraction) -> DataFrame:
 
 def _histograms(nodes: DataFrame) -> DataFrame:
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches):
             hist = [histogram(np.frombuffer(x, np.uint64)).tobytes() for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hist, pa.binary())], names=["node", "hist"])
 
@@ -384,7 +392,7 @@ def _pairs(live: DataFrame, groups: int, t: Fraction) -> DataFrame:
 def _verified(pairs: DataFrame, nodes: DataFrame, t: Fraction) -> DataFrame:
     """The pairs whose sets are similar enough."""
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches):
             x, y, nx, ny, gx, gy = (batch.column(i).to_pylist() for i in range(6))
             ok = []
             for i in range(len(x)):
@@ -426,7 +434,7 @@ def link_documents(df: DataFrame, size: int = 5, similarity: tuple[int, int] = (
     kind = df.schema[id_col].dataType.simpleString()
     if kind not in KINDS:
         raise ValueError(f"{id_col}: {kind}")
-    rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+    rows = small_batches(df).select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     features = stored(_features(rows, size, kind))
     total = features.agg(F.sum("n")).first()[0] or 0
     bits = min(24, max(6, (total // SHARD_GRAMS).bit_length()))
