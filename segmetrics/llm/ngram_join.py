@@ -35,7 +35,7 @@ CHUNK_DOCS = 20_000
 HASH_BYTES = 1 << 20         # of text that is hashed at once
 LOCAL_HOT = 64               # texts of a chunk with an n-gram, above which it is sent once
 SHARD_GRAMS = 1 << 20
-BLOCK = 1500                 # nodes compared by one matrix product
+BLOCK = 300                  # nodes compared by one matrix product
 PARTS = 32                   # of the suffix filter
 HOT = 0xFFFF
 

@@ -128,7 +128,7 @@ def near_copies(seed, groups, copies, words, edits):
     return [(i, t) for i, t in enumerate(out)]
 
 
-@pytest.mark.parametrize("sizes", [(1500, 64, 8 << 20), (4, 3, 2000)])
+@pytest.mark.parametrize("sizes", [(300, 64, 4 << 20), (4, 3, 2000)])
 def test_join_near_copies(spark, monkeypatch, sizes):
     """Chains, groups of near copies and a common passage, with blocks, hot n-grams and chunks made small as well."""
     for name, v in zip(("BLOCK", "LOCAL_HOT", "CHUNK_BYTES"), sizes):
