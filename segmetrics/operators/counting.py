@@ -17,8 +17,8 @@ segment" for all segments at once, with one plan for every data size:
      only NOT_EQUALS is all values minus each excluded one.
    - An age range is the disjoint union of at most 62 dyadic nodes (aligned
      blocks of 2^l ages), an excluded age is the one-age node subtracted. A
-     cell belongs to the 33 nodes above its age. No span of observed ages is
-     needed, so no dirty row changes the plan.
+     cell belongs to the 33 nodes above its age. Ranges are cut to the observed
+     ages; a dirty row adds some nodes but does not change the plan.
    - An order-count range is P(hi) - P(lo - 1); an excluded value x subtracts
      P(x) - P(x - 1).
 3. The nodes that some term needs are joined to the cells and counted per key
@@ -149,6 +149,11 @@ def segment_terms(defs: DataFrame, cells: DataFrame, collation: str | None = Non
     for c in S.NUMBER_CATEGORIES:
         lo_hi[f"{c}_from"] = F.coalesce(F.col(f"{c}_lo"), F.lit(S.LONG_MIN))
         lo_hi[f"{c}_to"] = F.coalesce(F.col(f"{c}_hi"), F.lit(S.LONG_MAX))
+    # Nodes beyond the observed ages are empty: the range is cut to them (two
+    # scalars of the stored cells), which leaves out terms but changes no plan.
+    least, largest = cells.agg(F.min("age"), F.max("age")).first()
+    lo_hi["age_from"] = F.greatest(lo_hi["age_from"], F.lit(0 if least is None else least).cast("long"))
+    lo_hi["age_to"] = F.least(lo_hi["age_to"], F.lit(-1 if largest is None else largest).cast("long"))
     t = t.withColumns(lo_hi)
     has = {c: F.col("signature").bitwiseAND(S.CATEGORY_BITS[c]) != 0 for c in S.NUMBER_CATEGORIES}
 
