@@ -39,8 +39,10 @@ STOP_WORDS = set("the and of to in is that it for with as was on are by this be
                  "le la les de des et un une en du que qui dans pour sur pas est au avec par "
                  "el los las y del se con por su para una no es al lo como más".split())
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]{0,4000}\"|'[^']{0,4000}')*+)/?>", re.S)
-_NAMES = re.compile(r"\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_OPEN = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
+_BARE = re.compile(r"[^<>\"']*")
+_ATTR = re.compile(r"\"[^\"]*\"|'[^']*'|([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+NO_SAY = {"has", "no", "not", "non", "with", "without", "overflow"}      # has-sidebar, no-comments, overflow-hidden say nothing about the element
 
 
 @dataclass
@@ -59,25 +61,76 @@ class Block:
     label: str | None               # text, boilerplate, or None: undecided
 
 
-def _drops(name: str, attrs: str) -> bool:
+def _tag(page: str, at: int, dead: set[int], last: dict[str, int]):
+    """``start, end, closing, name, attributes`` of the next tag; comments and declarations have an empty name; None after the last.
+
+    ``dead``: opening quotes known to lead to no tag's end, ``last``: the last
+    place of each quote; they keep the scan of a whole page linear.
+    """
+    while (at := page.find("<", at)) >= 0:
+        if page.startswith(("<!", "<?"), at):
+            close, skip = ("-->", 4) if page.startswith("<!--", at) else (">", 2)
+            end = page.find(close, at + skip)
+            return at, len(page) if end < 0 else end + len(close), False, "", ""
+        if m := _OPEN.match(page, at):
+            tried, end = [], _BARE.match(page, m.end()).end()
+            while page[end:end + 1] in ("\"", "'") and end not in dead and end < last[page[end]]:
+                tried.append(end)
+                end = _BARE.match(page, page.index(page[end], end + 1) + 1).end()
+            if page[end:end + 1] == ">":
+                return at, end + 1, bool(m[1]), m[2].lower(), page[m.end():end]
+            dead.update(tried)
+        at += 1
+    return None
+
+
+NO, NAMED, SURE = 0, 1, 2
+
+
+def _drops(name: str, attrs: str) -> int:
+    """SURE where element, role or hiding make it boilerplate, NAMED where its class or id says so."""
     if name in DROP:
-        return True
+        return SURE
     if not attrs.strip() or name in ROOT:
-        return False
-    for key, a, b, c in _NAMES.findall(attrs):
+        return NO
+    named = NO
+    for key, a, b, c in _ATTR.findall(attrs):
         key, value = key.lower(), (a or b or c).lower()
         if key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "role" and value in DROP_ROLES):
-            return True
-        if key in ("class", "id") and not DROP_NAMES.isdisjoint(re.split("[^0-9a-z]+", value)):
-            if name != "article" or {"comment", "comments", "reply", "ad", "ads", "related"} & set(re.split("[^0-9a-z]+", value)):
-                return True
-    return False
+            return SURE
+        if key in ("class", "id"):
+            words = {w for x in value.split() if (ws := re.split("[^0-9a-z]+", x))[0] not in NO_SAY for w in ws}
+            if not DROP_NAMES.isdisjoint(words) and (name != "article" or {"comment", "comments", "reply", "ad", "ads", "related"} & words):
+                named = NAMED
+    return named
+
+
+def _released(above: list[int], found: list[tuple[int, bool, int]]) -> set[int]:
+    """The named containers (0: none) that hold most of the page's text, while no article stands outside of them.
+
+    ``above``: the next outer one of each; ``found``: container, in an article,
+    and size of each block.
+    """
+    size, article = [0] * len(above), [False] * len(above)
+    for c, inside, n in found:
+        size[c] += n
+        article[c] |= inside
+    for c in range(len(above) - 1, 0, -1):
+        size[above[c]] += size[c]
+    free, clean = {0}, article[0]
+    for c in range(1, len(above)):
+        if above[c] in free and 2 * size[c] > size[0] and not clean:
+            free.add(c)
+            clean = article[c]
+    return free
 
 
 def blocks_of(page: str) -> list[Block]:
     """Text blocks in page order, labelled where a container decides."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []           # element, inside boilerplate, inside an article
+    within: list[int] = []                             # of each block the innermost container whose name is boilerplate, 0 without one
+    above = [0]
+    stack: list[tuple[str, bool, bool, int]] = []      # element, inside sure boilerplate, inside an article, named container
     parts: list[str] = []
     links: list[str] = []
     in_link = 0
@@ -86,9 +139,10 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal parts, links
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            _, drop, article = stack[-1] if stack else ("", False, False)
+            _, drop, article, named = stack[-1] if stack else ("", False, False, 0)
             linked = len(" ".join(html.unescape("".join(links)).split()))
             out.append(Block(text, linked, "boilerplate" if drop else "text" if article else None))
+            within.append(named)
         parts, links = [], []
 
     def push(piece: str):
@@ -97,27 +151,26 @@ def blocks_of(page: str) -> list[Block]:
             if in_link:
                 links.append(piece)
 
-    at = 0
+    at, dead, last = 0, set(), {q: page.rfind(q) for q in "\"'"}
     while True:
-        m = _TAG.search(page, at)
-        if not m:
+        tag = _tag(page, at, dead, last)
+        if not tag:
             push(page[at:])
             break
-        push(page[at:m.start()])
-        at = m.end()
-        name = (m[2] or "").lower()
+        start, end, closing, name, attrs = tag
+        push(page[at:start])
+        at = end
         if not name:
             continue
-        closing, attrs = bool(m[1]), m[3]
         if name in RAW and not closing:
-            end = re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I).search(page, at)
-            at = end.end() if end else len(page)
+            m = re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I).search(page, at)
+            at = m.end() if m else len(page)
             continue
         if name == "a":
             in_link = 0 if closing else 1
         if name == "br":
             push(" ")
-        drop = not closing and name not in VOID and _drops(name, attrs)
+        drop = NO if closing or name in VOID else _drops(name, attrs)
         if name not in BLOCK and not drop and not (closing and any(e[0] == name for e in stack)):
             continue                                   # an inline element without a say
         flush()
@@ -131,9 +184,16 @@ def blocks_of(page: str) -> list[Block]:
             continue
         while stack and stack[-1][0] in LEAF and (stack[-1][0] == name or (stack[-1][0] not in ("li", "dd", "option") and name in BLOCK)):
             stack.pop()
-        _, inside, article = stack[-1] if stack else ("", False, False)
-        stack.append((name, inside or drop, article or name in ("article", "main")))
+        _, inside, article, named = stack[-1] if stack else ("", False, False, 0)
+        if drop == NAMED:
+            above.append(named)
+            named = len(above) - 1
+        stack.append((name, inside or drop == SURE, article or name in ("article", "main"), named))
     flush()
+    free = _released(above, [(c, b.label == "text", len(b.text)) for b, c in zip(out, within) if b.label != "boilerplate"])
+    for b, c in zip(out, within):
+        if c not in free:
+            b.label = "boilerplate"
     return out
 
 

@@ -163,3 +163,26 @@ def test_text_is_the_article_of_each_page(spark):
         inner = re.search(r"<article>(.*?)</article>", pages[r.page_id], re.S).group(1)
         blocks = [" ".join(html.unescape(re.sub(r"<[^>]+>", "", b)).split()) for b in re.split(r"</?(?:p|h1)>", inner.replace("<br>", " "))]
         assert r.text == "\n".join(filter(None, blocks))
+
+
+def test_long_attributes_and_names_in_values():
+    long = "x" * 5000
+    assert main_blocks(f"<article><p>one<img src=\"data:{long}\"> two</p><script data-a='{long}'>var a = 1;</script><div data-b=\"{long}\"><p>three</p></div><p>four</p></article>") == [
+        "one two", "three", "four"]
+    for attrs in ("style='overflow:hidden'", "title=\"the hidden class=ad\"", "data-x=?id=search", "class=overflow-hidden", "class='no-comments has-sidebar'"):
+        assert main_blocks(f"<article><div {attrs}><p>one</p></div><p>two</p></article>") == ["one", "two"], attrs
+    for attrs in ("hidden", "class=ad", "class='x sidebar'", "id=\"comments\"", "role=search", "data-x='a' aria-hidden=true"):
+        assert main_blocks(f"<article><div {attrs}><p>one</p></div><p>two</p></article>") == ["two"], attrs
+    body = "The cat and the dog of the house went to the river and it was the best day for all of them in the world."
+    assert main_blocks(f"<body><div class='page sidebar-left'><div class=sidebar>links</div><article><p>{body}</p><div class=share>share</div></article></div></body>") == [body]
+    assert main_blocks(f"<body><article><p>two</p></article><div class=comments><p>{body}</p></div></body>") == ["two"]
+
+
+def test_tags_are_scanned_in_linear_time():
+    import time
+
+    start = time.time()
+    for piece in ("<a b=\"", "<a '\"", "<a '\"x", "<a b='\"' ", "<", "<a \"<a '", "<!x"):
+        main_blocks(piece * (200_000 // len(piece)))
+        main_blocks("\"'" + piece * (200_000 // len(piece)) + "'")
+    assert time.time() - start < 20
