@@ -1,10 +1,11 @@
 """HTML extraction by two-pass block rules.
 
-A page is cut into text blocks. First pass: containers decide where they can
-(navigation, adverts, forms and the like are boilerplate; what stands in an
-article is text), and stop-word density, length and link density decide about
-the rest. Second pass: short ambiguous blocks inherit the label of their
-nearest decided neighbours.
+A page is cut into text blocks. First pass: stop-word density, length and link
+density decide about each block. Containers are a further input: navigation,
+adverts, forms and the like are boilerplate, and in an article only links in a
+row are. Second pass: ambiguous blocks inherit the label of their nearest
+decided neighbours; at an edge, and beside boilerplate containers, the only
+one counts.
 """
 
 from __future__ import annotations
@@ -34,14 +35,22 @@ DROP_NAMES = set("ad ads adv advert adverts advertisement advertising adsense ad
                  "newsletter subscribe subscription signup login comment comments commentlist disqus reply replies respond share sharing social "
                  "related recommended recommendations widget toolbar pagination pager skiplink toc hidden form search".split())
 DROP_ROLES = set("navigation banner complementary contentinfo search form alert dialog menu menubar".split())
-STOP_WORDS = set("the and of to in is that it for with as was on are by this be at or from have an not which you were but "
-                 "der die das und in den von zu mit sich des auf ist im dem nicht ein eine als auch es an "
-                 "le la les de des et un une en du que qui dans pour sur pas est au avec par "
-                 "el los las y del se con por su para una no es al lo como más".split())
+STOP_WORDS = [set(x.split()) for x in (              # one line for each language
+    "the and of to in is that it for with as was on are by this be at or from have an not which you were but a he she they his her we",
+    "der die das und in den von zu mit sich des auf ist im dem nicht ein eine als auch es an für er sie wir war aus bei einer",
+    "le la les de des et un une en du que qui dans pour sur pas est au avec par il elle ce se ne plus à l d",
+    "el la los las de y en que un una del se con por su para no es al lo como más a e o ha",
+    "il lo la i gli le di e un una che in per con non è del della si da a al sono come più",
+    "o a os as de e um uma que em do da no na para com não por se dos das ao mais é",
+    "de het een en van in is dat op te met voor niet zijn aan er om ook als door maar bij",
+    "och i att det som en på är av för med till den inte ett han de om var sig har",
+    "i w na z do się że nie to o jak za od po przez dla jest a co ale był",
+    "и в не на что с по как это он к но из у за от то же для о его")]
 
 _OPEN = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
 _BARE = re.compile(r"[^<>\"']*")
 _ATTR = re.compile(r"\"[^\"]*\"|'[^']*'|([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 NO_SAY = {"has", "no", "not", "non", "with", "without", "overflow"}      # has-sidebar, no-comments, overflow-hidden say nothing about the element
 
 
@@ -58,7 +67,8 @@ class Rules:
 class Block:
     text: str
     linked: int
-    label: str | None               # text, boilerplate, or None: undecided
+    label: str | None               # what its container says: text, boilerplate, or None
+    heading: bool = False
 
 
 def _tag(page: str, at: int, dead: set[int], last: dict[str, int]):
@@ -141,7 +151,7 @@ def blocks_of(page: str) -> list[Block]:
         if text:
             _, drop, article, named = stack[-1] if stack else ("", False, False, 0)
             linked = len(" ".join(html.unescape("".join(links)).split()))
-            out.append(Block(text, linked, "boilerplate" if drop else "text" if article else None))
+            out.append(Block(text, linked, "boilerplate" if drop else "text" if article else None, bool(stack) and stack[-1][0] in HEADINGS))
             within.append(named)
         parts, links = [], []
 
@@ -197,41 +207,56 @@ def blocks_of(page: str) -> list[Block]:
     return out
 
 
-def decide(b: Block, rules: Rules) -> str:
-    """text, boilerplate, or the ambiguous labels short and near."""
+def stop_density(text: str) -> float:
+    """The share of stop words, in the language that has most of them."""
+    words = [w.strip(".,;:!?()\"'").lower() for w in text.split()]
+    return max(sum(w in some for w in words) for some in STOP_WORDS) / len(words)
+
+
+def decide(b: Block, rules: Rules, known: bool = True) -> str:
+    """text, boilerplate, or the ambiguous labels short and near; without ``known`` stop words (of no listed language) length decides."""
     size = len(b.text)
     density = b.linked / size
     if density > rules.link_density or "\xa9" in b.text[:40]:
         return "boilerplate"
     if size < rules.short:
         return "boilerplate" if b.linked else "short"
-    words = [w.strip(".,;:!?()\"'").lower() for w in b.text.split()]
-    stop = sum(w in STOP_WORDS for w in words) / len(words)
+    stop = stop_density(b.text) if known else rules.stop_high
     if stop >= rules.stop_high:
         return "text" if size > rules.long else "near"
     return "near" if stop >= rules.stop_low else "boilerplate"
 
 
+def _in_articles(blocks: list[Block], labels: list[str], rules: Rules) -> list[str]:
+    """Labels with the articles' say: their blocks are text, but for links in a row (headings aside)."""
+    n = len(blocks)
+    linked = [b.label == "text" and not b.heading and b.linked > rules.link_density * len(b.text) for b in blocks]
+    row = [linked[i] and ((i > 0 and linked[i - 1]) or (i + 1 < n and linked[i + 1])) for i in range(n)]
+    return ["boilerplate" if row[i] else "text" if b.label == "text" else x for i, (b, x) in enumerate(zip(blocks, labels))]
+
+
 def main_blocks(page: str, rules: Rules = Rules()) -> list[str]:
     """The main text's blocks in page order."""
-    blocks = blocks_of(page)
-    has_article = any(b.label == "text" for b in blocks)
-    labels = [b.label or ("boilerplate" if has_article else decide(b, rules)) for b in blocks]
+    blocks = [b for b in blocks_of(page) if b.label != "boilerplate"]
+    known = any(len(b.text) >= rules.short and stop_density(b.text) >= rules.stop_low for b in blocks)
+    labels = _in_articles(blocks, [decide(b, rules, known) for b in blocks], rules)
     n = len(labels)
-    left, right = [""] * n, [""] * n                    # the nearest decided labels
+    left, right = [-1] * n, [-1] * n                    # the nearest decided blocks
     for i in range(1, n):
-        left[i] = labels[i - 1] if labels[i - 1] in ("text", "boilerplate") else left[i - 1]
+        left[i] = i - 1 if labels[i - 1] in ("text", "boilerplate") else left[i - 1]
     for i in range(n - 2, -1, -1):
-        right[i] = labels[i + 1] if labels[i + 1] in ("text", "boilerplate") else right[i + 1]
-    none = not any(x == "text" for x in labels)
+        right[i] = i + 1 if labels[i + 1] in ("text", "boilerplate") else right[i + 1]
+    none = "text" not in labels
     keep = []
     for i, x in enumerate(labels):
-        sides = {left[i], right[i]}
+        beside = [j for j in (left[i], right[i]) if j >= 0]
+        sides = {labels[j] for j in beside}
         if x == "near":
             x = "text" if "text" in sides or none else "boilerplate"
         elif x == "short":
             near = [labels[j] for j in (i - 1, i + 1) if 0 <= j < n]
-            x = "text" if sides == {"text"} or ("text" in sides and "near" in near) or (none and blocks[i].label is None) else "boilerplate"
+            inherits = sides == {"text"} and (len(beside) == 2 or blocks[beside[0]].label is None)       # an article does not reach beyond its end
+            x = "text" if inherits or ("text" in sides and "near" in near) or none else "boilerplate"
         keep.append(x == "text")
     return [b.text for b, k in zip(blocks, keep) if k]
 

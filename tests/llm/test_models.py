@@ -186,3 +186,20 @@ def test_tags_are_scanned_in_linear_time():
         main_blocks(piece * (200_000 // len(piece)))
         main_blocks("\"'" + piece * (200_000 // len(piece)) + "'")
     assert time.time() - start < 20
+
+
+def test_blocks_outside_the_article_and_links_in_it():
+    body = "The cat and the dog of the house went to the river and it was the best day for all of them in the world. " * 3
+    links = "".join(f"<li><a href=/{i}>Linked story number {i}</a></li>" for i in range(4))
+    page = f"<body><article><p>A teaser.</p></article><nav>x</nav><h2>Head</h2><div>{body}</div><p>Last.</p><article><p>One.</p><ul>{links}</ul></article></body>"
+    assert main_blocks(page) == ["A teaser.", "Head", body.strip(), "Last.", "One."]
+    assert main_blocks(f"<article><h2><a href=/>Linked head</a></h2><p><a href=/>One link.</a></p><p>Text.</p></article><div>Printed today</div>") == ["Linked head", "One link.", "Text."]
+
+
+def test_edge_blocks_and_other_languages():
+    body = "The cat and the dog of the house went to the river and it was the best day for all of them in the world. " * 3
+    assert main_blocks(f"<nav>Home</nav><h1>Head</h1><div>{body}</div><p>End.</p><footer>foot</footer>") == ["Head", body.strip(), "End."]
+    finnish = "Kissa ja koira menivät yhdessä joelle sekä metsään, koska aurinko paistoi kirkkaasti eikä kukaan halunnut jäädä kotiin. " * 3
+    italian = "Il gatto è andato con il cane della casa al fiume e non si è fermato per la pioggia che è caduta di notte in città. " * 3
+    for text in (finnish, italian):
+        assert main_blocks(f"<div><a href=/>Home</a> <a href=/b>About</a></div><div>{text}</div><p>Loppu.</p>") == [text.strip(), "Loppu."]
