@@ -28,7 +28,7 @@ SEP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 class Signature:
     label: str
     regex: str        # on the A-Z lower-cased text
-    keyword: str      # literal text that every match holds
+    keyword: str      # literal text that every match holds, once each run of white space in it is one space
     priority: int
     score: float
 
@@ -89,7 +89,8 @@ def signatures() -> list[Signature]:
             ("isc", r"permission\s+to\s+use,\s+copy,\s+modify,\s+and(?:/or)?\s+distribute\s+this\s+software\s+for\s+any\s+purpose", "permission to use"),
             ("bsd", r"redistribution\s+and\s+use\s+in\s+source\s+and\s+binary\s+forms", "redistribution"),
             ("gpl", r"under\s+the\s+terms\s+of\s+the\s+gnu\s+general\s+public\s+licen[cs]e\s+as\s+published", "gnu general public"),
-            ("cc0", r"\bcc0\b|creativecommons\.org/publicdomain/zero", "cc0"),
+            ("cc0", r"\bcc0\b", "cc0"),
+            ("cc0", r"creativecommons\.org/publicdomain/zero", "creativecommons"),
             ("public-domain", r"(?:released|placed|dedicated)\s+(?:in)?to\s+the\s+public\s+domain", "public domain"),
             ("proprietary", r"\ball\s+rights\s+reserved\b", "all rights reserved"),
             ("zlib", r"this\s+software\s+is\s+provided\s+'as-is',\s+without\s+any\s+express", "as-is")):
@@ -97,9 +98,8 @@ def signatures() -> list[Signature]:
     return out
 
 
-#: A text without any of these substrings (in any case) is tested against no rule and no phrase.
-GATES = ("licen", "cc", "spdx", "hereby granted", "permission to use", "redistribution", "public domain", "all rights reserved", "as-is",
-         "clause", "creativecommons")
+#: A text without any of these words (in any case) is tested against no signature and no phrase. They hold no white space: lines may be wrapped anywhere.
+GATES = ("licen", "cc", "spdx", "hereby", "permission", "redistribution", "domain", "reserved", "as-is", "clause", "creativecommons")
 
 
 def _phrase(phrase: str) -> str:
@@ -133,12 +133,13 @@ def scan_licenses(df: DataFrame, rules: list[Signature] | None = None, id_col: s
     A null or empty text has no words and no detections; repeated rows are
     scanned alike; other columns are ignored.
     """
+    gates = GATES if rules is None else sorted({*GATES, *(max(r.keyword.split(), key=len) for r in rules)})
     rules = signatures() if rules is None else rules
     text, l = F.col("text"), F.col("l")
     rows = df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("low", F.lower(text))
     gate = F.lit(False)
-    for g in GATES:
+    for g in gates:
         gate = gate | F.contains("low", F.lit(g))
     rows = rows.select("doc_id", F.regexp_count(text, F.lit(ANY_CASE_WORD + "+")).cast("long").alias("n_words"),
                        F.when(gate, ascii_lower(text)).alias("l"))

@@ -2,7 +2,7 @@
 
 import re
 
-from segmetrics.llm.licenses import BASE_PHRASES, scan_licenses, signatures
+from segmetrics.llm.licenses import BASE_PHRASES, GATES, Signature, scan_licenses, signatures
 from segmetrics.llm.queries import QUERIES
 from segmetrics.llm.urls import BASE_RULES, PATTERNS, Pattern, filter_urls
 
@@ -80,3 +80,46 @@ def test_signatures_hold_their_keyword_and_are_many():
     assert len(rules) > 150
     for r in rules:
         re.compile(r.regex)
+
+
+def spelled(tree, g):
+    """A text that the parsed regex matches, lines wrapped at every white space."""
+    out = ""
+    for op, arg in tree:
+        op = str(op)
+        if op == "LITERAL":
+            out += chr(arg)
+        elif op == "IN":
+            out += "\n" if str(arg[0][1]) == "CATEGORY_SPACE" else "a" if str(arg[0][0]) == "CATEGORY" else chr(arg[0][1])
+        elif op in ("MAX_REPEAT", "MIN_REPEAT"):
+            out += "".join(spelled(arg[2], g) for _ in range(g.randint(arg[0], max(arg[0], min(int(arg[1]), 1)))))
+        elif op == "SUBPATTERN":
+            out += spelled(arg[3], g)
+        elif op == "BRANCH":
+            out += spelled(g.choice(arg[1]), g)
+        else:
+            assert op in ("AT", "ASSERT", "ASSERT_NOT"), op
+    return out
+
+
+def test_wrapped_notices_pass_keyword_and_gate(spark):
+    import random
+    from re import _parser
+
+    g, texts, wanted = random.Random(3), [], []
+    for r in signatures():
+        for _ in range(20):
+            text = spelled(_parser.parse(r.regex), g)
+            assert re.search(r.regex, text), (r.regex, text)
+            assert r.keyword in re.sub(r"\s+", " ", text) and any(x in text for x in GATES), (r, text)
+        texts.append(text)
+        wanted.append(r)
+    rows = {r.doc_id: r for r in scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for i, r in enumerate(wanted):
+        assert any(d.label == r.label or d.priority >= r.priority for d in rows[i].detections or []), texts[i]
+    texts = ["All rights\nreserved", "Placed into the public\ndomain", "Permission to\nuse, copy, modify, and distribute this software for any\npurpose",
+             "see https://creativecommons.org/publicdomain/zero/1.0/"]
+    rows = {r.doc_id: r for r in scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [[d.label for d in rows[i].detections or []] for i in range(4)] == [["proprietary"], ["public-domain"], ["isc"], ["cc0"]]
+    own = scan_licenses(spark.createDataFrame([(1, "the beer\nware terms")], "doc_id long, text string"), [Signature("beer", r"beer\s+ware", "beer ware", 1, 0.5)])
+    assert [d.label for d in own.first().detections] == ["beer"]
