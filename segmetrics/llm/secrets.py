@@ -1,6 +1,7 @@
 """Secret scans: a random forest that removes false positives.
 
-Candidates are long runs of key characters. Each gets features of its length,
+Candidates are long runs of key characters and, from 6 characters on, values
+that a key word names, passwords in links and dotted keys. Each gets features of its length,
 entropy, character transitions, dictionary coverage, path and neighbouring
 words. Findings that a labelling rule is sure of (known key formats, or words,
 identifiers and links) train the forest, which then scores every candidate.
@@ -18,7 +19,18 @@ from pyspark.sql import functions as F
 
 from segmetrics.llm.common import stored
 
-CANDIDATE = r"[A-Za-z0-9+/_\-]{16,}={0,2}"
+LEAST = 6                          # characters of a value that a key word or a link names
+NAMES = ("password", "passwd", "passwort", "passphrase", "pass", "pwd", "secret", "token", "key", "auth", "credential", "credentials")
+VALUE = r"[^\s\"'`<>,;&(){}\[\]]"
+_AFTER_NAME = r"(?<=[=:>\"'`])(?:" + "|".join(rf"(?<=(?i:{n}){q}{a}{b})" for n in NAMES for q in ("", "[\"']") for a in ("=", ":", ":=", "=>")
+                                               for b in ("", "[\"'`]")) + ")"
+_USER = r"[^\s:/?#@]*:[^\s/?#@]{%d,}" % LEAST                                       # user:password of a link
+_RUN = rf"(?!/{{1,2}}{_USER}@)[A-Za-z0-9+/_\-]{{16,}}+={{0,2}}+"
+#: A candidate inside a white-space separated word; nothing captures and look-behinds have fixed widths, so that Java and Python read it alike.
+CANDIDATE = "|".join((r"SG\.[A-Za-z0-9_\-]{16,}\.[A-Za-z0-9_\-]{16,}", r"eyJ[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]{5,}(?:\.[A-Za-z0-9_\-]+)?",
+                      rf"(?<=://){_USER}(?=@)", _RUN + "(?![!@$%^*~])", rf"{_AFTER_NAME}(?![=:>]){VALUE}{{{LEAST - 1},}}{VALUE}(?<![.:?])", _RUN))
+NAMED = "(?i)(?:" + "|".join(NAMES) + r")[\"'`]?"
+ASSIGN = r"\s*(?::|=|:=|=>)"
 TRAIN_FINDINGS = 20_000            # labelled findings of each label that train the forest, at most
 TREES, DEPTH, SEED = 24, 6, 17
 
@@ -26,7 +38,7 @@ TREES, DEPTH, SEED = 24, 6, 17
 SECRET_FORMATS = [
     ("aws-access-key", r"^(?:AKIA|ASIA)[0-9A-Z]{16}$"), ("github-token", r"^gh[pousr]_[A-Za-z0-9]{36,}$"), ("gitlab-token", r"^glpat-[A-Za-z0-9_\-]{20}$"),
     ("slack-token", r"^xox[abprs]-[A-Za-z0-9\-]{10,}$"), ("google-key", r"^AIza[0-9A-Za-z_\-]{35}$"), ("stripe-key", r"^[rs]k_(?:live|test)_[0-9a-zA-Z]{24,}$"),
-    ("sendgrid-key", r"^SG[A-Za-z0-9_\-]{22,}$"), ("npm-token", r"^npm_[A-Za-z0-9]{36}$"), ("jwt", r"^eyJ[A-Za-z0-9_\-]{16,}$"),
+    ("sendgrid-key", r"^SG(\.[A-Za-z0-9_\-]{16,}\.)?[A-Za-z0-9_\-]{22,}$"), ("npm-token", r"^npm_[A-Za-z0-9]{36}$"), ("jwt", r"^eyJ([A-Za-z0-9_\-]{16,}|[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]{5,}(\.[A-Za-z0-9_\-]+)?)$"),
 ]
 KEY_WORDS = r"(?i)(token|secret|passw|pwd|api_?key|apikey|access_?key|auth|bearer|credential|private)"
 HARMLESS_FORMATS = [
@@ -66,15 +78,24 @@ def candidates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     where the rule does not know. Null and empty texts have no candidates.
     """
     rows = df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    rows = rows.filter(F.col("text").rlike(CANDIDATE)).select("doc_id", F.split("text", r"\s+").alias("w"))
-    at = F.filter(F.sequence(F.lit(0), F.size("w") - 1), lambda i: (F.length(F.get("w", i)) >= 16) & F.rlike(F.get("w", i), F.lit(CANDIDATE)))
+    rows = rows.filter(F.col("text").rlike(r"[=:]|eyJ|[A-Za-z0-9+/_\-]{16}")).select("doc_id", F.split("text", r"\s+").alias("w"))
+    word = lambda i: F.get("w", i)
+    inside = lambda i: ((F.length(word(i)) >= 16) | F.contains(word(i), F.lit("=")) | F.contains(word(i), F.lit(":"))) & F.rlike(word(i), F.lit(CANDIDATE))
+    given = lambda i: (F.length(word(i)) >= LEAST) & F.coalesce(
+        ((F.endswith(word(i - 1), F.lit("=")) | F.endswith(word(i - 1), F.lit(":")) | F.endswith(word(i - 1), F.lit(">"))) & F.rlike(F.concat_ws(" ", word(i - 2), word(i - 1)), F.lit(NAMED + ASSIGN + "$")))
+        | ((F.startswith(word(i), F.lit("=")) | F.startswith(word(i), F.lit(":"))) & F.rlike(word(i - 1), F.lit(NAMED + "$"))), F.lit(False))
+    at = F.filter(F.sequence(F.lit(0), F.size("w") - 1), lambda i: inside(i) | given(i))
     near = lambda i, k: F.coalesce(F.get("w", i + k), F.lit(""))
     found = F.transform(at, lambda i: F.struct(i.alias("word"), F.get("w", i).alias("held"), F.concat_ws(" ", near(i, -3), near(i, -2), near(i, -1)).alias("before"),
-                                               near(i, -1).alias("last"), near(i, 1).alias("after")))
+                                               near(i, -1).alias("last"), near(i, 1).alias("after"), given(i).alias("given")))
     rows = rows.select("doc_id", F.explode(found).alias("x")).select("doc_id", "x.*")
-    rows = rows.select("*", F.posexplode(F.regexp_extract_all("held", F.lit(CANDIDATE), F.lit(0))).alias("nth", "finding"))
+    rows = rows.withColumn("in_word", F.regexp_extract_all("held", F.lit(CANDIDATE), F.lit(0)))
+    value = F.regexp_extract("held", rf"^[=:>]*[\"'`]?({VALUE}{{{LEAST - 1},}}{VALUE}(?<![.:?]))", 1)
+    more = F.when(F.col("given") & (value != "") & ~F.exists("in_word", lambda x: F.contains(x, value)), F.array(value)).otherwise(F.array().cast("array<string>"))
+    rows = rows.select("*", F.posexplode(F.concat("in_word", more)).alias("nth", "finding"))
     c, held = F.col("finding"), F.col("held")
     lead = F.call_function("substring_index", held, c, F.lit(1))
+    user = lead.endswith("://") & c.contains(":")                      # user:password of a link, not a part of its path
     plain = r"^[\p{L}'’]+[.,;:!?)]*$"
     rows = rows.select(
         "doc_id", "word", "nth", "finding",
@@ -84,7 +105,7 @@ def candidates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         _runs(c, [("(?i)[aeiouy]", "1"), ("[A-Za-z]", "2"), ("[^12]", "3")]).alias("vowel_changes"),
         _share(c, "(?i)(" + "|".join(sorted(DICTIONARY, key=lambda x: (-len(x), x))) + ")").alias("coverage"),
         (F.length(held) - F.length(F.replace(held, F.lit("/"), F.lit("")))).cast("double").alias("slashes"),
-        held.rlike(r"(?i)(://|www\.|\.(com|org|net|html?|php|png|jpe?g|gif|js|css)\b)").cast("double").alias("in_link"),
+        (held.rlike(r"(?i)(://|www\.|\.(com|org|net|html?|php|png|jpe?g|gif|js|css)\b)") & ~user).cast("double").alias("in_link"),
         (lead.rlike(r"[=:]") | F.col("last").rlike(r"[=:]$")).cast("double").alias("assigned"),
         lead.rlike("[\"'`]$").cast("double").alias("quoted"), F.concat_ws(" ", "before", lead).rlike(KEY_WORDS).cast("double").alias("key_before"),
         F.col("last").rlike(plain).cast("double").alias("word_before"), F.col("after").rlike(plain).cast("double").alias("word_after"))
@@ -92,7 +113,7 @@ def candidates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                       F.when(c.rlike(r"^[0-9a-f]{32,64}$") & (F.col("key_before") > 0) & (F.col("assigned") > 0), F.lit("assigned-hex")))
     harmless = F.lit(False)
     for p in HARMLESS_FORMATS:
-        harmless = harmless | c.rlike(p)
+        harmless = harmless | (c.rlike(p) & (F.length(c) >= 16))          # the rule is sure of no short value
     rows = rows.withColumn("kind", kind)
     return rows.withColumn("label", F.when(F.col("kind").isNotNull(), F.lit(1)).when(harmless | (F.col("in_link") > 0), F.lit(0)))
 
