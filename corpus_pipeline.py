@@ -22,7 +22,11 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without a language (null, or without a letter) go."""
+    """Texts without a letter (and null ones) go.
+
+    The network is run on every text, but it has no part in the stage's result:
+    no prediction and no score removes a text or changes a column.
+    """
     kept = predict(docs, *fit(docs), keep=["text", "lang", "source", "n_chars"])
     return kept.filter(F.size("scores") > 0).select(COLUMNS)
 
