@@ -134,6 +134,15 @@ def _unpack(data: bytes, n: int) -> np.ndarray:
     return out.reshape(-1).view("<u8")
 
 
+def _pack_counts(counts: np.ndarray) -> bytes:
+    """16 bits each, or 32 bits and one more byte where a count needs them."""
+    return counts.astype(np.uint16).tobytes() if counts.max(initial=0) <= 0xFFFF else counts.astype(np.uint32).tobytes() + b"w"
+
+
+def _unpack_counts(data: bytes) -> np.ndarray:
+    return np.frombuffer(data[:-1], np.uint32) if len(data) % 2 else np.frombuffer(data, np.uint16)
+
+
 SENT = "g long, chunk long, a binary, b binary, c binary, d binary, kind int"
 GRAMS, TABLE = 0, 1
 
@@ -173,8 +182,8 @@ def _sent(rows: DataFrame, size: int, bits: int) -> DataFrame:
                 a, b = np.searchsorted(shard, g, "left"), np.searchsorted(shard, g, "right")
                 p, q = np.searchsorted(hot_shard, g, "left"), np.searchsorted(hot_shard, g, "right")
                 o = np.argsort(owner[a:b], kind="stable")
-                counts = np.bincount(owner[a:b], minlength=len(n)).astype(np.uint16)
-                out.append((int(g), chunk, _pack(grams[a:b][o], low), counts.tobytes(), _pack(hot_keys[p:q], low), hot_times[p:q].tobytes(), GRAMS))
+                counts = _pack_counts(np.bincount(owner[a:b], minlength=len(n)))
+                out.append((int(g), chunk, _pack(grams[a:b][o], low), counts, _pack(hot_keys[p:q], low), hot_times[p:q].tobytes(), GRAMS))
             yield _batch(out)
 
     return rows.mapInArrow(run, SENT)
@@ -197,7 +206,7 @@ def _counted(sent: DataFrame, bits: int) -> DataFrame:
         rows = pdf[pdf["kind"] == GRAMS]
         keys, owner, chunk, weight = [], [], [], []
         for i, r in enumerate(rows.itertuples(index=False)):
-            counts = np.frombuffer(r.b, np.uint16)
+            counts = _unpack_counts(r.b)
             k, h = _unpack(r.a, low), _unpack(r.c, low)
             keys += [k, h]
             owner += [np.repeat(np.arange(len(counts), dtype=np.uint16), counts), np.full(len(h), HOT, np.uint16)]

@@ -237,3 +237,14 @@ def test_hits_odd(spark):
     assert found(df, bench.limit(0)) == brute_hits(rows, []) and found(df.limit(0), bench) == []
     clean = {r.doc_id: r.clean for r in find_contamination(df.filter("doc_id in (3, 5)"), bench).collect()}
     assert clean == {3: "one ", 5: None}
+
+
+def test_a_text_with_more_than_65535_ngrams_in_a_shard(spark):
+    from fractions import Fraction
+
+    from segmetrics.llm.ngram_join import _counted, _nodes, _sent
+
+    words = " ".join(f"w{i}" for i in range(150_000))
+    rows = spark.createDataFrame([(bytearray((words + f" end{i}").encode()),) for i in range(2)], "text binary").coalesce(1)
+    nodes = _nodes(_counted(_sent(rows, 5, 1), 1), 1, Fraction(4, 5)).collect()
+    assert sorted((r.n, r.u, len(r.grams) // 8) for r in nodes) == [(149_997, 1, 149_996)] * 2
