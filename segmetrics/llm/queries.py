@@ -178,3 +178,19 @@ SELECT anchor_id, positive_id,
 FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
 QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) <= 5
 """
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmetrics.llm.spelling import group_variants
+
+    return group_variants(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmetrics.llm.quality import fit, judge
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = judge(docs, fit(docs, table(spark, sf_dir, "labels")))
+    return judged.select("doc_id", *[F.col(f"stats.{c}").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")], "base_failed", "rule", "kept")
