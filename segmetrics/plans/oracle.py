@@ -347,7 +347,7 @@ FROM d3"""
 
 def _bounds_sql() -> str:
     """Two bounds an octave from 1 ms up to 5 minutes, then infinity."""
-    return "list_append(list_transform(range(37), i -> round(pow(2.0, i / 2.0), 6)), 'inf'::DOUBLE)"
+    return "list_append(list_transform(range(37), lambda i: round(pow(2.0, i / 2.0), 6)), 'inf'::DOUBLE)"
 
 
 BUCKETS = f"""buckets AS (

@@ -4,6 +4,7 @@ of the library is compared with its oracle at sf0.001."""
 import math
 
 import duckdb
+import pytest
 
 import __spark_entry__ as E
 from segmetrics.plans.catalog import QUERIES
@@ -33,17 +34,17 @@ def _norm(v):
     return str(v)
 
 
-def test_oracle_matches_sf0001(spark):
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_oracle_matches_sf0001(spark, name):
     con = duckdb.connect()
     for t in ["customer", "nation", "orders", "events"]:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
-    for name in sorted(QUERIES):
-        sdf = E.queries()[name](spark, SF001)
-        cols = sorted(sdf.columns)
-        got = sorted(tuple(_norm(r[c]) for c in cols) for r in sdf.collect())
-        odf = con.execute(E.oracle_sql()[name]).fetchdf()
-        assert sorted(odf.columns) == cols, name
-        want = sorted(tuple(_norm(None if (isinstance(x, float) and math.isnan(x)) else
-                                  (x.item() if hasattr(x, "item") else x)) for x in row)
-                      for row in odf[cols].itertuples(index=False))
-        assert got == want, name
+    sdf = E.queries()[name](spark, SF001)
+    cols = sorted(sdf.columns)
+    got = sorted(tuple(_norm(r[c]) for c in cols) for r in sdf.collect())
+    odf = con.execute(E.oracle_sql()[name]).fetchdf()
+    assert sorted(odf.columns) == cols
+    want = sorted(tuple(_norm(None if (isinstance(x, float) and math.isnan(x)) else
+                              (x.item() if hasattr(x, "item") else x)) for x in row)
+                  for row in odf[cols].itertuples(index=False))
+    assert got == want
