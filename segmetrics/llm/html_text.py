@@ -1,17 +1,19 @@
 """HTML extraction by two-pass block rules.
 
 A page is cut into text blocks. First pass: stop-word density, length and link
-density decide about each block. Containers are a further input: navigation,
-adverts, forms and the like are boilerplate, and in an article only links in a
-row are. Second pass: ambiguous blocks inherit the label of their nearest
-decided neighbours; at an edge, and beside boilerplate containers, the only
-one counts.
+density decide about every block that no navigation, advert, form or the like
+holds. An article is one more input: it lowers the bounds, so that what its
+blocks can't show by themselves is ambiguous there and not boilerplate. Second
+pass: ambiguous blocks inherit the label of their nearest decided neighbours,
+first those of the articles, within their article, where it takes boilerplate on
+both sides to make them so; then the others, at an edge from the only one.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -67,8 +69,10 @@ class Rules:
 class Block:
     text: str
     linked: int
-    label: str | None               # what its container says: text, boilerplate, or None
+    article: int                    # number of the article that holds it, 0 without one
     heading: bool = False
+    dropped: bool = False           # a container of boilerplate holds it
+    row: bool = False               # a link beside another link of its article
 
 
 def _tag(page: str, at: int, dead: set[int], last: dict[str, int]):
@@ -136,11 +140,13 @@ def _released(above: list[int], found: list[tuple[int, bool, int]]) -> set[int]:
 
 
 def blocks_of(page: str) -> list[Block]:
-    """Text blocks in page order, labelled where a container decides."""
+    """Text blocks in page order, with what their containers say."""
     out: list[Block] = []
     within: list[int] = []                             # of each block the innermost container whose name is boilerplate, 0 without one
     above = [0]
-    stack: list[tuple[str, bool, bool, int]] = []      # element, inside sure boilerplate, inside an article, named container
+    stack: list[tuple[str, bool, int, int]] = []       # element, inside sure boilerplate, number of the article, named container
+    opened: Counter = Counter()                        # elements on the stack
+    articles = 0
     parts: list[str] = []
     links: list[str] = []
     in_link = 0
@@ -149,9 +155,9 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal parts, links
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            _, drop, article, named = stack[-1] if stack else ("", False, False, 0)
+            _, drop, article, named = stack[-1] if stack else ("", False, 0, 0)
             linked = len(" ".join(html.unescape("".join(links)).split()))
-            out.append(Block(text, linked, "boilerplate" if drop else "text" if article else None, bool(stack) and stack[-1][0] in HEADINGS))
+            out.append(Block(text, linked, article, bool(stack) and stack[-1][0] in HEADINGS, drop))
             within.append(named)
         parts, links = [], []
 
@@ -181,29 +187,32 @@ def blocks_of(page: str) -> list[Block]:
         if name == "br":
             push(" ")
         drop = NO if closing or name in VOID else _drops(name, attrs)
-        if name not in BLOCK and not drop and not (closing and any(e[0] == name for e in stack)):
+        if name not in BLOCK and not drop and not (closing and opened[name]):
             continue                                   # an inline element without a say
         flush()
         if name in VOID:
             continue
         if closing:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    del stack[i:]
+            while opened[name]:
+                opened[gone := stack.pop()[0]] -= 1
+                if gone == name:
                     break
             continue
         while stack and stack[-1][0] in LEAF and (stack[-1][0] == name or (stack[-1][0] not in ("li", "dd", "option") and name in BLOCK)):
-            stack.pop()
-        _, inside, article, named = stack[-1] if stack else ("", False, False, 0)
+            opened[stack.pop()[0]] -= 1
+        _, inside, article, named = stack[-1] if stack else ("", False, 0, 0)
         if drop == NAMED:
             above.append(named)
             named = len(above) - 1
-        stack.append((name, inside or drop == SURE, article or name in ("article", "main"), named))
+        if name in ("article", "main") and not article:
+            articles += 1
+            article = articles
+        stack.append((name, inside or drop == SURE, article, named))
+        opened[name] += 1
     flush()
-    free = _released(above, [(c, b.label == "text", len(b.text)) for b, c in zip(out, within) if b.label != "boilerplate"])
+    free = _released(above, [(c, b.article > 0, len(b.text)) for b, c in zip(out, within) if not b.dropped])
     for b, c in zip(out, within):
-        if c not in free:
-            b.label = "boilerplate"
+        b.dropped |= c not in free
     return out
 
 
@@ -214,48 +223,67 @@ def stop_density(text: str) -> float:
 
 
 def decide(b: Block, rules: Rules, known: bool = True) -> str:
-    """text, boilerplate, or the ambiguous labels short and near; without ``known`` stop words (of no listed language) length decides."""
+    """text, boilerplate, or the ambiguous labels short and near; without ``known`` stop words (of no listed language) length decides.
+
+    Of an article's blocks only links in a row and notices of rights are boilerplate at once.
+    """
     size = len(b.text)
-    density = b.linked / size
-    if density > rules.link_density or "\xa9" in b.text[:40]:
+    if b.linked / size > rules.link_density:
+        return "short" if b.article and not b.row else "boilerplate"
+    if "\xa9" in b.text[:40] and size < rules.long:
         return "boilerplate"
     if size < rules.short:
-        return "boilerplate" if b.linked else "short"
+        return "boilerplate" if b.linked and not b.article else "short"
     stop = stop_density(b.text) if known else rules.stop_high
     if stop >= rules.stop_high:
         return "text" if size > rules.long else "near"
+    if b.article:
+        return "text" if stop >= rules.stop_low and size > rules.long else "near"
     return "near" if stop >= rules.stop_low else "boilerplate"
 
 
-def _in_articles(blocks: list[Block], labels: list[str], rules: Rules) -> list[str]:
-    """Labels with the articles' say: their blocks are text, but for links in a row (headings aside)."""
-    n = len(blocks)
-    linked = [b.label == "text" and not b.heading and b.linked > rules.link_density * len(b.text) for b in blocks]
-    row = [linked[i] and ((i > 0 and linked[i - 1]) or (i + 1 < n and linked[i + 1])) for i in range(n)]
-    return ["boilerplate" if row[i] else "text" if b.label == "text" else x for i, (b, x) in enumerate(zip(blocks, labels))]
+def _rows_of_links(blocks: list[Block], rules: Rules) -> None:
+    linked = [not b.heading and b.linked > rules.link_density * len(b.text) for b in blocks]
+    for i, b in enumerate(blocks):
+        b.row = linked[i] and any(linked[j] and blocks[j].article == b.article for j in (i - 1, i + 1) if 0 <= j < len(blocks))
+
+
+def _decided(labels: list[str], articles: list[int]) -> tuple[list[int], list[int]]:
+    """Of each block the nearest decided block before and behind it, -1 without one; an article's blocks look within it."""
+    n = len(labels)
+    before, behind = [-1] * n, [-1] * n
+    for out, order in ((before, range(n)), (behind, range(n - 1, -1, -1))):
+        last: dict[int, int] = {}                       # by article; outside of them every block counts
+        for i in order:
+            out[i] = last.get(articles[i], -1)
+            if labels[i] in ("text", "boilerplate"):
+                last[articles[i]] = last[0] = i
+    return before, behind
 
 
 def main_blocks(page: str, rules: Rules = Rules()) -> list[str]:
     """The main text's blocks in page order."""
-    blocks = [b for b in blocks_of(page) if b.label != "boilerplate"]
+    blocks = [b for b in blocks_of(page) if not b.dropped]
+    _rows_of_links(blocks, rules)
     known = any(len(b.text) >= rules.short and stop_density(b.text) >= rules.stop_low for b in blocks)
-    labels = _in_articles(blocks, [decide(b, rules, known) for b in blocks], rules)
-    n = len(labels)
-    left, right = [-1] * n, [-1] * n                    # the nearest decided blocks
-    for i in range(1, n):
-        left[i] = i - 1 if labels[i - 1] in ("text", "boilerplate") else left[i - 1]
-    for i in range(n - 2, -1, -1):
-        right[i] = i + 1 if labels[i + 1] in ("text", "boilerplate") else right[i + 1]
-    none = "text" not in labels
+    labels = [decide(b, rules, known) for b in blocks]
+    n, articles = len(labels), [b.article for b in blocks]
+    none = "text" not in labels and not any(articles)
+    before, behind = _decided(labels, articles)
+    for i, b in enumerate(blocks):
+        if b.article and labels[i] in ("near", "short"):
+            beside = [labels[j] for j in (before[i], behind[i]) if j >= 0]
+            labels[i] = "boilerplate" if beside == ["boilerplate"] * 2 else "text"
+    before, behind = _decided(labels, articles)
     keep = []
     for i, x in enumerate(labels):
-        beside = [j for j in (left[i], right[i]) if j >= 0]
+        beside = [j for j in (before[i], behind[i]) if j >= 0]
         sides = {labels[j] for j in beside}
         if x == "near":
             x = "text" if "text" in sides or none else "boilerplate"
         elif x == "short":
             near = [labels[j] for j in (i - 1, i + 1) if 0 <= j < n]
-            inherits = sides == {"text"} and (len(beside) == 2 or blocks[beside[0]].label is None)       # an article does not reach beyond its end
+            inherits = sides == {"text"} and (len(beside) == 2 or not blocks[beside[0]].article)         # an article does not reach beyond its end
             x = "text" if inherits or ("text" in sides and "near" in near) or none else "boilerplate"
         keep.append(x == "text")
     return [b.text for b, k in zip(blocks, keep) if k]

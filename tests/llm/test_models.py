@@ -196,6 +196,30 @@ def test_blocks_outside_the_article_and_links_in_it():
     assert main_blocks(f"<article><h2><a href=/>Linked head</a></h2><p><a href=/>One link.</a></p><p>Text.</p></article><div>Printed today</div>") == ["Linked head", "One link.", "Text."]
 
 
+def test_the_first_pass_decides_about_articles_too(spark, monkeypatch):
+    """Article or not, it is the labels of the first pass that count: all boilerplate leaves nothing, all text leaves the links in."""
+    from segmetrics.llm import html_text
+
+    pages = [r.html for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()]
+    links = "".join(f"<li><a href=/{i}>Linked story number {i}</a></li>" for i in range(4))
+    body = "The cat and the dog of the house went to the river and it was the best day for all of them in the world. " * 3
+    mixed = f"<body><article><ul>{links}</ul><p>Read on</p><ul>{links}</ul><p>A teaser.</p></article><div>{body}</div><p>Behind it.</p><div>{body}</div></body>"
+    assert main_blocks(mixed) == ["A teaser.", body.strip(), "Behind it.", body.strip()]
+    monkeypatch.setattr(html_text, "decide", lambda *a: "boilerplate")
+    assert not any(main_blocks(p) for p in pages) and main_blocks(mixed) == []
+    monkeypatch.setattr(html_text, "decide", lambda *a: "text")
+    assert len(main_blocks(mixed)) == 13
+
+
+def test_many_open_elements_are_closed_in_linear_time():
+    import time
+
+    start = time.time()
+    for piece in ("<div>a</b>", "<div hidden>a</i>", "<p>a<span class=ad></b></i>"):
+        main_blocks(piece * 40_000)
+    assert time.time() - start < 20
+
+
 def test_edge_blocks_and_other_languages():
     body = "The cat and the dog of the house went to the river and it was the best day for all of them in the world. " * 3
     assert main_blocks(f"<nav>Home</nav><h1>Head</h1><div>{body}</div><p>End.</p><footer>foot</footer>") == ["Head", body.strip(), "End."]
