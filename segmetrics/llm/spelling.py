@@ -29,12 +29,13 @@ from segmetrics.llm.common import parts, small_batches, stored
 
 RUN = "A-Za-zÀ-ÿ"
 SYMBOLS = 300_000             # aimed at in the text of one index
-STEP = 64                     # rows between the counts that an index stores
+STEP = 16                     # rows between the counts that an index stores
+FEW = 64                      # rows of a state whose letters are listed one by one
 CHUNK = 4_000                 # asks searched at once
 HELD = 200_000                # words that a task counts before it hands them on
 END, MARK = 0, 1              # symbols: end of the text, delimiter of words; letters follow
 
-_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")      # of UTF-8: other letters stay
 
 
 def count_words(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 6, drop_one_in: int = 199) -> DataFrame:
@@ -49,16 +50,14 @@ def count_words(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
         held: Counter = Counter()
         for batch in parts(batches):
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own: Counter = Counter()
-                for run, n in Counter(runs.findall(text or "")).items():
-                    own[run.translate(_LOWER)] += n
-                for run, n in own.items():
-                    if drop_one_in:
-                        h = zlib.crc32(f"{'' if doc is None else doc}:{run}".encode())
-                        if h % drop_one_in == 0:
-                            run = run[:(at := h % len(run))] + run[at + 1:]
-                    if len(run) >= least:
-                        held[run] += n
+                own = Counter(runs.findall((text or "").encode().translate(_LOWER).decode()))
+                if drop_one_in:
+                    prefix = zlib.crc32(f"{'' if doc is None else doc}:".encode())
+                    for run in [r for r in own if zlib.crc32(r.encode(), prefix) % drop_one_in == 0]:
+                        at, n = zlib.crc32(run.encode(), prefix) % len(run), own.pop(run)
+                        if len(run) > least:
+                            held[run[:at] + run[at + 1:]] += n
+                held.update(own)
                 if len(held) > HELD:
                     yield counts(held)
                     held = Counter()
@@ -99,40 +98,55 @@ class Index:
         self.before = np.zeros((len(counts) + 1, sigma), np.int32)
         np.cumsum(counts, 0, out=self.before[1:])
         self.first = np.concatenate(([0], np.cumsum(self.before[-1])))[:sigma]
-        self.smaller = np.cumsum(self.before, 1) - self.before
+        self.below = np.cumsum(self.before, 1, dtype=np.int32) - self.before
         self.starts = np.flatnonzero(text == MARK)                          # of words, the last one of none
 
-    def ranks(self, c: np.ndarray, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Among the first ``i`` rows of the last column: how many are ``c``, how many are smaller."""
-        same, less = np.empty(len(c), np.int64), np.empty(len(c), np.int64)
+    def _rows(self, c: np.ndarray, i: np.ndarray):
+        block = i // STEP
+        rows = self.last[(block * STEP)[:, None] + np.arange(STEP)]
+        return block, rows, np.arange(STEP, dtype=np.uint8) < (i - block * STEP).astype(np.uint8)[:, None]
+
+    def ranks(self, c: np.ndarray, i: np.ndarray) -> np.ndarray:
+        """How many of the first ``i`` rows of the last column are ``c``."""
+        out = np.empty(len(c), np.int64)
+        for lo in range(0, len(c), 65_536):
+            x, r = c[lo:lo + 65_536].astype(np.uint8), i[lo:lo + 65_536]
+            block, rows, inside = self._rows(x, r)
+            out[lo:lo + 65_536] = self.before[block, x] + np.count_nonzero((rows == x[:, None]) & inside, 1)
+        return out
+
+    def smaller(self, c: np.ndarray, i: np.ndarray) -> np.ndarray:
+        """How many of the first ``i`` rows of the last column are smaller than ``c``."""
+        out = np.empty(len(c), np.int64)
         for lo in range(0, len(c), 65_536):
-            x, r = c[lo:lo + 65_536], i[lo:lo + 65_536]
-            block = r // STEP
-            rows = self.last[(block * STEP)[:, None] + np.arange(STEP)]
-            inside = np.arange(STEP) < (r - block * STEP)[:, None]
-            same[lo:lo + 65_536] = self.before[block, x] + ((rows == x[:, None]) & inside).sum(1)
-            less[lo:lo + 65_536] = self.smaller[block, x] + ((rows < x[:, None]) & inside).sum(1)
-        return same, less
+            x, r = c[lo:lo + 65_536].astype(np.uint8), i[lo:lo + 65_536]
+            block, rows, inside = self._rows(x, r)
+            out[lo:lo + 65_536] = self.below[block, x] + np.count_nonzero((rows < x[:, None]) & inside, 1)
+        return out
 
     def words(self, row: np.ndarray) -> np.ndarray:
         """Number of the word whose opening delimiter the suffix at this rank begins with."""
         return np.searchsorted(self.starts, self.suffix[row])
 
 
-def extend(index: Index, c: np.ndarray, lo: np.ndarray, other: np.ndarray, size: np.ndarray):
-    """The intervals after one more symbol on the side of ``index``; ``other``: the interval's start in the other index."""
-    same, less = index.ranks(c, lo)
-    same_hi, less_hi = index.ranks(c, lo + size)
-    return index.first[c] + same, other + less_hi - less, same_hi - same
+def extend(index: Index, c: np.ndarray, lo: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and size of the intervals after one more symbol on the side of ``index``."""
+    before = index.ranks(c, lo)
+    return index.first[c] + before, index.ranks(c, lo + size) - before
+
+
+def shift(index: Index, c: np.ndarray, lo: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """How far this symbol moves the interval's start in the index of the other direction."""
+    return index.smaller(c, lo + size) - index.smaller(c, lo)
 
 
 def children(index: Index, lo: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(state, letter) for every letter that may extend a state on the side of ``index``."""
-    small = np.flatnonzero(size <= STEP)
+    small = np.flatnonzero(size <= FEW)
     state = np.repeat(small, size[small])
     rows = np.arange(len(state)) - np.repeat(np.cumsum(size[small]) - size[small], size[small]) + lo[state]
     key = np.unique(state * index.sigma + index.last[rows])
-    big = np.flatnonzero(size > STEP)
+    big = np.flatnonzero(size > FEW)
     key = np.concatenate((key, (big[:, None] * index.sigma + np.arange(index.sigma)).ravel()))
     state, c = key // index.sigma, key % index.sigma
     letter = c > MARK
@@ -140,12 +154,13 @@ def children(index: Index, lo: np.ndarray, size: np.ndarray) -> tuple[np.ndarray
 
 
 def search(left: Index, right: Index, flat: np.ndarray, start: np.ndarray, length: np.ndarray, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(ask, rank in ``left``) of every word with the ask's first ``cut`` symbols and exactly one error in the rest.
+    """(ask, rank in ``right``) of every word with the ask's first ``cut`` symbols and exactly one error in the rest.
 
-    ``flat[start:start + length]`` are the symbols of an ask. A state is an
-    interval (lo in left, rlo in right, size); it has met the delimiter and the
-    first half exactly, then goes right with no error yet or with its one error
-    behind it. Errors concern letters only.
+    ``flat[start:start + length]`` are the symbols of an ask. Its first half is
+    matched from the cut to the left, up to the delimiter, with the intervals
+    of both indexes in step; from there only that of ``right`` is needed. A
+    state goes right with no error yet or with its one error behind it. Errors
+    concern letters only.
     """
     def symbol(ask, pos):
         """The ask's symbol, the delimiter before and behind it."""
@@ -154,14 +169,16 @@ def search(left: Index, right: Index, flat: np.ndarray, start: np.ndarray, lengt
 
     ask = np.arange(len(start))
     lo, rlo, size = np.zeros(len(ask), np.int64), np.zeros(len(ask), np.int64), np.full(len(ask), left.n, np.int64)
-    ready: dict[int, list] = {}                                            # exact states by position
+    ready: dict[int, list] = {}                                            # states without an error, by position
     step = 0
     while len(ask):
-        lo, rlo, size = extend(left, symbol(ask, cut[ask] - 1 - step), lo, rlo, size)
+        c = symbol(ask, cut[ask] - 1 - step)
+        rlo = rlo + shift(left, c, lo, size)
+        lo, size = extend(left, c, lo, size)
         done = (cut[ask] == step) & (size > 0)
         for p in np.unique(cut[ask[done]]):
             at = done & (cut[ask] == p)
-            ready.setdefault(int(p), []).append((ask[at], lo[at], rlo[at], size[at]))
+            ready.setdefault(int(p), []).append((ask[at], rlo[at], size[at]))
         on = (cut[ask] > step) & (size > 0)
         ask, lo, rlo, size = ask[on], lo[on], rlo[on], size[on]
         step += 1
@@ -170,35 +187,35 @@ def search(left: Index, right: Index, flat: np.ndarray, start: np.ndarray, lengt
     p = min(ready, default=0)
     while ready or wrong:
         if p in ready:
-            ask, lo, rlo, size = (np.concatenate(x) for x in zip(*ready.pop(p)))
+            ask, lo, size = (np.concatenate(x) for x in zip(*ready.pop(p)))
             inner = p < length[ask]
-            wrong.setdefault(p + 1, []).append((ask[inner], lo[inner], rlo[inner], size[inner]))          # the ask's letter is missing
-            s, c = children(right, rlo, size)
-            r2, l2, n2 = extend(right, c, rlo[s], lo[s], size[s])
-            some = n2 > 0
-            s, c, r2, l2, n2 = s[some], c[some], r2[some], l2[some], n2[some]
+            wrong.setdefault(p + 1, []).append((ask[inner], lo[inner], size[inner]))                     # the ask's letter is missing
+            s, c = children(right, lo, size)
+            lo, size = extend(right, c, lo[s], size[s])
+            some = size > 0
+            s, c, lo, size = s[some], c[some], lo[some], size[some]
             own = symbol(ask[s], np.full(len(s), p))
-            wrong.setdefault(p, []).append((ask[s], l2, r2, n2))                                         # a letter more
+            wrong.setdefault(p, []).append((ask[s], lo, size))                                           # a letter more
             sub = inner[s] & (c != own)
-            wrong.setdefault(p + 1, []).append((ask[s][sub], l2[sub], r2[sub], n2[sub]))                 # another letter
+            wrong.setdefault(p + 1, []).append((ask[s][sub], lo[sub], size[sub]))                        # another letter
             same = inner[s] & (c == own)
             if same.any():
-                ready.setdefault(p + 1, []).append((ask[s][same], l2[same], r2[same], n2[same]))
+                ready.setdefault(p + 1, []).append((ask[s][same], lo[same], size[same]))
         if p in wrong:
-            ask, lo, rlo, size = (np.concatenate(x) for x in zip(*wrong.pop(p)))
-            rlo, lo, size = extend(right, symbol(ask, np.full(len(ask), p)), rlo, lo, size)
+            ask, lo, size = (np.concatenate(x) for x in zip(*wrong.pop(p)))
+            lo, size = extend(right, symbol(ask, np.full(len(ask), p)), lo, size)
             over = (p == length[ask]) & (size > 0)
             found.append((ask[over], lo[over]))
             on = (p < length[ask]) & (size > 0)
             if on.any():
-                wrong.setdefault(p + 1, []).append((ask[on], lo[on], rlo[on], size[on]))
+                wrong.setdefault(p + 1, []).append((ask[on], lo[on], size[on]))
         p += 1
         if p not in ready and p not in wrong:
             p = min([*ready, *wrong], default=p)
     if not found:
         return np.zeros(0, int), np.zeros(0, int)
-    key = np.unique(np.concatenate([a * left.n + b for a, b in found]))    # two errors may lead to one word
-    return key // left.n, key % left.n
+    key = np.unique(np.concatenate([a * right.n + b for a, b in found]))   # two errors may lead to one word
+    return key // right.n, key % right.n
 
 
 def near_words(texts: list[str], asks: list[str], sides: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -224,10 +241,10 @@ def near_words(texts: list[str], asks: list[str], sides: np.ndarray) -> tuple[np
             start, half = np.cumsum(length) - length, length // 2
             if side == 0:
                 a, rank = search(forward, backward, symbols(words), start, length, half)
-                found = forward.words(rank)
+                found = len(texts) - 1 - backward.words(rank)
             else:
                 a, rank = search(backward, forward, symbols([w[::-1] for w in words]), start, length, length - half)
-                found = len(texts) - 1 - backward.words(rank)
+                found = forward.words(rank)
                 other = np.array([not texts[t].startswith(words[i][:half[i]]) for i, t in zip(a, found)], bool)
                 a, found = a[other], found[other]
             out.append((part[a], found))

@@ -61,17 +61,18 @@ def test_index_counts_and_intervals():
     f, r = S.Index(text, 6), S.Index(np.append(text[:-1][::-1], S.END), 6)
     assert [tuple(text[i:]) for i in f.suffix] == sorted(tuple(text[i:]) for i in range(len(text)))
     c, i = g.integers(0, 6, 300), g.integers(0, 702, 300)
-    same, less = f.ranks(c, i)
-    assert list(same) == [(f.last[:k] == x).sum() for x, k in zip(c, i)] and list(less) == [(f.last[:k] < x).sum() for x, k in zip(c, i)]
+    assert list(f.ranks(c, i)) == [(f.last[:k] == x).sum() for x, k in zip(c, i)] and list(f.smaller(c, i)) == [(f.last[:k] < x).sum() for x, k in zip(c, i)]
     one = lambda x: np.array([x])
     lo, rlo, size = one(0), one(0), one(701)
     pattern = []
     for right, x in [(0, text[50]), (1, text[51]), (0, text[49]), (1, text[52])]:
         pattern = [*pattern, x] if right else [x, *pattern]
         if right:
-            rlo, lo, size = S.extend(r, one(x), rlo, lo, size)
+            lo = lo + S.shift(r, one(x), rlo, size)
+            rlo, size = S.extend(r, one(x), rlo, size)
         else:
-            lo, rlo, size = S.extend(f, one(x), lo, rlo, size)
+            rlo = rlo + S.shift(f, one(x), lo, size)
+            lo, size = S.extend(f, one(x), lo, size)
         hits = [k for k in range(701) if list(text[k:k + len(pattern)]) == pattern]
         assert sorted(f.suffix[lo[0]:lo[0] + size[0]]) == hits
         assert sorted(700 - len(pattern) - k for k in r.suffix[rlo[0]:rlo[0] + size[0]]) == hits
