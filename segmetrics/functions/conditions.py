@@ -74,32 +74,21 @@ def element_rows(segments: DataFrame, key: str = "segment_id") -> DataFrame:
     segment-level JSON problem, the parsed number and the has-text flag.
     Values keep their JSON text (``20.0`` stays ``20.0``), so the strict
     number parse sees what the definition says."""
-    v = F.col("_v")
-    arr = F.try_variant_get(v, "$", "array<variant>")
-    parsed = segments.select(*dict.fromkeys([key, "conditions"]),
-                             F.try_parse_json("conditions").alias("_v"),
-                             F.from_json("conditions", "array<string>").alias("_t"))
-    json_reason = (F.when(F.col("conditions").isNotNull() & v.isNull(), F.lit(S.INVALID_JSON))
-                   .when(v.isNotNull() & ~F.is_variant_null(v) & arr.isNull(),
-                         F.lit(S.NOT_ARRAY)))
-    rows = parsed.select(key, "_t", json_reason.alias("json_reason"),
-                         F.posexplode_outer(arr).alias("pos", "_e"))
-    e = F.col("_e")
-    raw = F.from_json(F.get("_t", F.col("pos")), "struct<value:string>")
-    rows = rows.select(
-        key, "json_reason", "pos",
-        e.isNotNull().alias("present"),
-        F.is_variant_null(e).alias("is_null"),
-        F.schema_of_variant(e).startswith("OBJECT").alias("is_object"),
-        F.coalesce(F.schema_of_variant(F.try_variant_get(e, "$.value", "variant"))
-                   .rlike("^(OBJECT|ARRAY)"), F.lit(False)).alias("nested"),
-        F.try_variant_get(e, "$.category", "string").alias("category"),
-        F.try_variant_get(e, "$.operator", "string").alias("operator"),
-        raw["value"].alias("value"))
-    return rows.select(
-        "*", has_text(F.col("value")).alias("has_text"),
-        F.when(F.col("category").isin(*S.NUMBER_CATEGORIES),
-               strict_int(F.col("value"))).alias("ival"))
+    parsed = segments.selectExpr(*dict.fromkeys([key, "conditions"]), "try_parse_json(conditions) AS _v",
+                                 "from_json(conditions, 'array<string>') AS _t")
+    rows = parsed.selectExpr(
+        key, "_t",
+        f"CASE WHEN conditions IS NOT NULL AND _v IS NULL THEN '{S.INVALID_JSON}' WHEN _v IS NOT NULL AND NOT is_variant_null(_v) "
+        f"AND try_variant_get(_v, '$', 'array<variant>') IS NULL THEN '{S.NOT_ARRAY}' END AS json_reason",
+        "posexplode_outer(try_variant_get(_v, '$', 'array<variant>')) AS (pos, _e)")
+    rows = rows.selectExpr(
+        key, "json_reason", "pos", "_e IS NOT NULL AS present", "is_variant_null(_e) AS is_null",
+        "startswith(schema_of_variant(_e), 'OBJECT') AS is_object",
+        "coalesce(schema_of_variant(try_variant_get(_e, '$.value', 'variant')) RLIKE '^(OBJECT|ARRAY)', false) AS nested",
+        "try_variant_get(_e, '$.category', 'string') AS category", "try_variant_get(_e, '$.operator', 'string') AS operator",
+        "from_json(get(_t, pos), 'struct<value:string>').value AS value")
+    return rows.withColumns({"has_text": has_text(F.col("value")),
+                             "ival": F.when(F.expr(f"category IN {_in(S.NUMBER_CATEGORIES)}"), strict_int(F.col("value")))})
 
 
 def collated(c: Column, collation: str | None) -> Column:
@@ -155,15 +144,14 @@ def all_match(effective: Column, row: dict[str, Column],
                       F.lit(False))
 
 
-def normalize_segments(segments: DataFrame, collation: str | None = None) -> DataFrame:
-    """One row per segment: error, effective conditions, signature and the
-    per-column parts the keyed count needs.
-
-    Relational form over the distinct texts: the JSON is parsed once, its
-    elements become rows (``element_rows``), every per-condition rule is a
-    compiled expression, one ``groupBy(conditions)`` folds them back, and the
-    segments are joined to their text.  The groups are a text's own conditions
-    (a handful).  Rules and folds are SQL expressions (parsed once each)."""
+def normalize_texts(segments: DataFrame, collation: str | None = None) -> DataFrame:
+    """One row per distinct ``text`` (null too): error, effective conditions,
+    signature and the per-column parts the keyed count needs.
+
+    Relational form: the JSON is parsed once, its elements become rows
+    (``element_rows``), every per-condition rule is a compiled expression, and
+    one ``groupBy(conditions)`` folds them back.  The groups are a text's own
+    conditions (a handful).  Rules and folds are SQL expressions (parsed once each)."""
     texts = segments.select("conditions").distinct()
     rows = element_rows(texts, "conditions").select(
         "*", F.expr(LOAD_REASON_SQL).alias("load_r"), F.expr(LOOP_REASON_SQL).alias("loop_r"),
@@ -202,23 +190,20 @@ def normalize_segments(segments: DataFrame, collation: str | None = None) -> Dat
         exprs[f"{c}_ne"] = (f"array_distinct(collect_list(CASE WHEN "
                             f"{on(c, ('NOT_EQUALS',))} THEN ival END))")
     g = rows.groupBy("conditions").agg(*[F.expr(e).alias(k) for k, e in exprs.items()])
-    cols = [F.col("conditions").alias("_text"),
-            F.coalesce("json_reason", "load_r", "loop_r").alias("error_reason"),
-            F.col("effective").cast(EFFECTIVE_TYPE).alias("effective"), F.col("signature")]
+    cols = ["conditions AS text", "coalesce(json_reason, load_r, loop_r) AS error_reason", f"CAST(effective AS {EFFECTIVE_TYPE}) AS effective", "signature"]
     for c in S.STRING_CATEGORIES:
-        conds, eq, drv = F.col(f"{c}_conds"), F.col(f"{c}_eq"), F.col("_drv_" + c)
-        mode = (F.when(F.size(conds) == 0, F.lit("none"))
-                .when(eq.isNotNull(), F.lit("eq"))
-                .when(drv.isNotNull(), F.lit("scan"))
-                .otherwise(F.lit("ne")))
-        cols += [conds.cast(EFFECTIVE_TYPE).alias(f"{c}_conds"), mode.alias(f"{c}_mode"), eq,
-                 drv["operator"].alias(f"{c}_drv_op"), drv["value"].alias(f"{c}_drv_value"),
-                 F.col(f"{c}_ne")]
+        cols += [f"CAST({c}_conds AS {EFFECTIVE_TYPE}) AS {c}_conds",
+                 f"CASE WHEN size({c}_conds) = 0 THEN 'none' WHEN {c}_eq IS NOT NULL THEN 'eq' WHEN _drv_{c} IS NOT NULL THEN 'scan' ELSE 'ne' END AS {c}_mode",
+                 f"{c}_eq", f"_drv_{c}.operator AS {c}_drv_op", f"_drv_{c}.value AS {c}_drv_value", f"{c}_ne"]
     for c in S.NUMBER_CATEGORIES:
-        cols += [F.col(f"{c}_lo"), F.col(f"{c}_hi"), F.col(f"{c}_ne")]
-    return (segments.select("segment_id", "conditions")
-            .join(g.select(*cols), F.col("conditions").eqNullSafe(F.col("_text")))
-            .drop("conditions", "_text"))
+        cols += [f"{c}_lo", f"{c}_hi", f"{c}_ne"]
+    return g.selectExpr(*cols)
+
+
+def normalize_segments(segments: DataFrame, collation: str | None = None) -> DataFrame:
+    """``normalize_texts`` joined back: one row per segment."""
+    texts = normalize_texts(segments, collation)
+    return segments.select("segment_id", "conditions").join(texts, F.expr("conditions <=> text")).drop("conditions", "text")
 
 
 def exploded_conditions(segments: DataFrame) -> DataFrame:

@@ -14,11 +14,13 @@ segment" for all segments at once, with one plan for every data size:
    of the key whose order count is at most the position.
    - EQUALS gives a string key; CONTAINS / STARTS_WITH look their values up by
      equi-joins with an index of the column's distinct values; a column with
-     only NOT_EQUALS is all values minus each excluded one.
-   - An age range is the disjoint union of at most 62 dyadic nodes (aligned
-     blocks of 2^l ages), an excluded age is the one-age node subtracted. A
-     cell belongs to the 33 nodes above its age. Ranges are cut to the observed
-     ages; a dirty row adds some nodes but does not change the plan.
+     only NOT_EQUALS is all values minus each excluded one. Both columns go
+     through the same joins.
+   - An age range is the disjoint union of dyadic nodes (aligned blocks of 2^l
+     ages), an excluded age is the one-age node subtracted. Ranges are cut to
+     the observed ages, so clean ages use few levels, and a cell emits one row
+     for each level that some term uses (a dirty age adds levels, at most 33,
+     but does not change the plan).
    - An order-count range is P(hi) - P(lo - 1); an excluded value x subtracts
      P(x) - P(x - 1).
 3. The nodes that some term needs are joined to the cells and counted per key
@@ -31,15 +33,18 @@ segment" for all segments at once, with one plan for every data size:
 No join carries a broadcast hint: Spark/AQE broadcast the small sides only when
 their measured size is under ``spark.sql.autoBroadcastJoinThreshold``; above it
 the same plan runs as shuffle joins (AQE splits skewed partitions). The
-normalized definitions, the cells and the terms are written to the checkpoint
-folder while the result is being built: each feeds several branches.
+normalized distinct texts, the cells and the terms are written to the
+checkpoint folder while the result is being built: each feeds several branches.
+The observed ages and the levels in use are counted by those writes
+(``observe``). Expressions are SQL text: one call to the JVM each, which at
+small sizes is what building such a plan costs.
 """
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -47,10 +52,9 @@ from ..functions import conditions as C
 from ..session import materialize
 
 COLUMNS = ("location", "gender", "age", "order_count")
-STRING_BITS = S.CATEGORY_BITS["location"] | S.CATEGORY_BITS["gender"]
-GRAM = 3                # characters by which the binary substring index is keyed
+GRAM = 3                # pieces by which the substring index is keyed
 BLOCK_BITS = 8          # order-count positions in a block: 2^8
-AT = "array<struct<w:int,pos:bigint>>"
+NO_STRINGS, NO_LONGS = "CAST(array() AS ARRAY<STRING>)", "CAST(array() AS ARRAY<BIGINT>)"
 KEY = ["bits", "loc", "gen", "node"]
 
 
@@ -71,46 +75,85 @@ def account_cells(accounts: DataFrame, collation: str | None = None) -> DataFram
 
 
 def value_index(values: DataFrame, needed: DataFrame, collation: str | None) -> DataFrame:
-    """``op, pattern, value``: the values that each needed (op, pattern) finds.
-    Without a collation a value is filed under its grams of up to GRAM
-    characters, patterns come in by their first gram, and the pair is tested;
-    with one (where equal texts may differ in length) every substring of a
-    value is compared under the collation."""
-    v, op, p = F.col("value"), F.col("op"), F.col("pattern")
-    exact = needed.where(op == "IS").join(
-        values.select("value", C.collated(v, collation).alias("_v")), C.collated(p, collation) == F.col("_v")).select("op", "pattern", "value")
-    parts = needed.where(op != "IS")
-    at = values.where(F.length(v) > 0).select("value", F.explode(F.sequence(F.lit(1), F.length(v))).alias("i"))
+    """``col, op, pattern, value``: the values (``col, value``) that each needed (col, op, pattern) finds.
+    A value is filed under short pieces of itself, a pattern comes in by its
+    first piece, and the pair is tested; the rows of the index are linear in
+    the length of the values. Without a collation the pieces are the grams of
+    up to GRAM characters. With one they are up to GRAM *elements* (a base
+    character with the marks that follow), compared under the collation: equal
+    texts may have different lengths there, but an element equals at most GRAM
+    others ("ss" and the sharp s). Characters that the collation spells out at
+    greater length or reorders (UNEVEN) are filed apart: a pattern that holds
+    one is tested on every value, a value that holds one for every pattern."""
+    same = f"collate(_v, '{collation}') = collate(pattern, '{collation}')" if collation else "_v = pattern"
+    exact = (needed.where("op = 'IS'").alias("n").join(values.selectExpr("col AS _c", "value AS _v"), F.expr(f"n.col = _c AND {same}"))
+             .selectExpr("col", "op", "pattern", "_v AS value"))
+    parts = needed.where("op <> 'IS'")
     if not collation:
-        grams = (at.select("value", F.explode(F.sequence(F.lit(1), F.lit(GRAM))).alias("k"), "i")
-                 .where(F.col("i") + F.col("k") - 1 <= F.length(v))
-                 .select("value", F.substring(v, F.col("i"), F.col("k")).alias("gram")).distinct())
-        found = (parts.withColumn("gram", F.substring(p, 1, GRAM)).join(grams, "gram")
-                 .where(F.when(op == "CONTAINS", F.contains(v, p)).otherwise(F.startswith(v, p)))
-                 .select("op", "pattern", "value"))
+        grams = (values.selectExpr("col", "value", "explode(sequence(1, length(value))) AS i").selectExpr("col", "value", "i", f"explode(sequence(1, {GRAM})) AS k")
+                 .where("i + k - 1 <= length(value)").selectExpr("col", "value", "substring(value, i, k) AS gram").distinct())
+        asked = parts.selectExpr("*", f"substring(pattern, 1, {GRAM}) AS gram")
     else:
-        subs = at.select("value", "i", F.explode(F.sequence(F.col("i"), F.length(v))).alias("j")).select(
-            "value", F.collate(F.substring(v, F.col("i"), F.col("j") - F.col("i") + 1), collation).alias("sub"), (F.col("i") == 1).alias("first"))
-        subs = subs.groupBy("value", "sub").agg(F.max("first").alias("first"))
-        found = (parts.withColumn("sub", F.collate(p, collation)).join(subs, "sub")
-                 .where((op == "CONTAINS") | F.col("first")).select("op", "pattern", "value"))
-    return exact.unionByName(found)
-
-
-def _string_keys(defs: DataFrame, column: str, cells: DataFrame, collation: str | None) -> DataFrame:
-    """``def_key, keys``: the column's values that a definition's EQUALS or
-    CONTAINS / STARTS_WITH conditions hold for, or that its NOT_EQUALS exclude."""
-    mode, conds = F.col(f"{column}_mode"), F.col(f"{column}_conds")
-    look = (F.when(mode == "eq", F.array(F.struct(F.lit("IS").alias("op"), F.col(f"{column}_eq").cast("string").alias("pattern"))))
-            .when(mode == "scan", F.array(F.struct(F.col(f"{column}_drv_op").alias("op"), F.col(f"{column}_drv_value").cast("string").alias("pattern"))))
-            .otherwise(F.transform(F.col(f"{column}_ne"), lambda x: F.struct(F.lit("IS").alias("op"), x.cast("string").alias("pattern")))))
-    wanted = (defs.where(mode != "none").select("def_key", mode.alias("mode"), conds.alias("conds"), F.explode(look).alias("l"))
-              .select("def_key", "mode", "conds", "l.op", "l.pattern"))
-    values = cells.select(F.col(column).alias("value")).where(F.col("value").isNotNull()).distinct()
-    index = value_index(values, wanted.select("op", "pattern").distinct(), collation)
-    holds = F.forall("conds", lambda e: C.string_match(e.operator, e.value, F.col("value"), collation))
-    return (wanted.join(index, ["op", "pattern"]).where((F.col("mode") == "ne") | holds)
-            .groupBy("def_key").agg(F.collect_set("value").alias(f"{column}_keys")))
+        grams = value_pieces(values, collation)
+        firsts = ", ".join(f"{_piece('e', '0', k)}" for k in range(1, GRAM + 1))
+        asked = (parts.selectExpr("*", f"{_elements('pattern')} AS e").selectExpr(
+            "col", "op", "pattern", f"explode(concat(array({firsts}, {_marker('uneven')}), CASE WHEN pattern RLIKE r'{UNEVEN}' THEN array({_marker('every')}) "
+                                    f"ELSE CAST(array() AS {PIECES}) END)) AS g")
+            .where("g.text IS NOT NULL").selectExpr("col", "op", "pattern", "g.kind", f"collate(g.text, '{collation}') AS gram"))
+    v, p = ("value", "pattern") if not collation else (f"collate(value, '{collation}')", f"collate(pattern, '{collation}')")
+    found = (asked.join(grams, ["col", "gram", *(["kind"] if collation else [])])
+             .where(f"CASE op WHEN 'CONTAINS' THEN contains({v}, {p}) ELSE startswith({v}, {p}) END").select("col", "op", "pattern", "value"))
+    return exact.unionByName(found.distinct())
+
+
+# A base character with what a collation ignores after it; characters
+# with long expansions (squared words, ligatures of phrases) and reordered vowels.
+ELEMENT = r"[^\p{M}\p{Cc}\p{Cf}][\p{M}\p{Cc}\p{Cf}]*"
+UNEVEN = r"[\x{3200}-\x{33FF}\x{FB00}-\x{FB06}\x{FDF0}-\x{FDFF}\x{0E40}-\x{0E44}\x{0EC0}-\x{0EC4}\x{19B5}-\x{19BA}\x{AAB5}-\x{AABC}\x{1F100}-\x{1F2FF}]"
+PIECES = "array<struct<kind:string,text:string>>"
+
+
+def _elements(text: str) -> str:
+    return f"regexp_extract_all({text}, r'{ELEMENT}', 0)"
+
+
+def _piece(elements: str, i: str, k: int) -> str:
+    """``k`` elements from the ``i``-th (from 0) on, with a null text where there are fewer."""
+    return f"named_struct('kind', 'piece', 'text', CASE WHEN size({elements}) >= {i} + {k} THEN array_join(slice({elements}, {i} + 1, {k}), '') END)"
+
+
+def _marker(kind: str) -> str:
+    return f"named_struct('kind', '{kind}', 'text', '')"
+
+
+def value_pieces(values: DataFrame, collation: str) -> DataFrame:
+    """``col, value, kind, gram``: the index of collated values, at most GRAM rows for each element and two for each value."""
+    at = ", ".join(_piece("e", "i", k) for k in range(1, GRAM + 1))
+    rows = values.selectExpr("col", "value", f"{_elements('value')} AS e", f"value RLIKE r'{UNEVEN}' AS uneven").selectExpr(
+        "col", "value", f"explode(concat(flatten(transform(e, (x, i) -> array({at}))), array({_marker('every')}), "
+                        f"CASE WHEN uneven THEN array({_marker('uneven')}) ELSE CAST(array() AS {PIECES}) END)) AS g")
+    return rows.where("g.text IS NOT NULL").selectExpr("col", "value", "g.kind", f"collate(g.text, '{collation}') AS gram").distinct()
+
+
+def _string_keys(defs: DataFrame, cells: DataFrame, collation: str | None) -> DataFrame:
+    """``def_key, location_keys, gender_keys``: the values that a definition's EQUALS or CONTAINS /
+    STARTS_WITH conditions on the column hold for, or that its NOT_EQUALS exclude."""
+    def look(c: str) -> str:
+        return (f"named_struct('col', '{c}', 'mode', {c}_mode, 'conds', {c}_conds, 'look', CASE {c}_mode "
+                f"WHEN 'eq' THEN array(named_struct('op', 'IS', 'pattern', CAST({c}_eq AS STRING))) "
+                f"WHEN 'scan' THEN array(named_struct('op', {c}_drv_op, 'pattern', CAST({c}_drv_value AS STRING))) "
+                f"ELSE transform({c}_ne, x -> named_struct('op', 'IS', 'pattern', CAST(x AS STRING))) END)")
+    both = ", ".join(look(c) for c in S.STRING_CATEGORIES)
+    wanted = (defs.selectExpr("def_key", f"explode(array({both})) AS s").where("s.mode <> 'none'")
+              .selectExpr("def_key", "s.col", "s.mode", "s.conds", "explode(s.look) AS l").selectExpr("def_key", "col", "mode", "conds", "l.op", "l.pattern"))
+    columns = ", ".join(f"named_struct('col', '{c}', 'value', {c})" for c in S.STRING_CATEGORIES)
+    values = cells.selectExpr(f"explode(array({columns})) AS v").where("v.value IS NOT NULL").selectExpr("v.col", "v.value").distinct()
+    index = value_index(values, wanted.select("col", "op", "pattern").distinct(), collation)
+    x, p = ("value", "e.value") if not collation else (f"collate(value, '{collation}')", f"collate(e.value, '{collation}')")
+    holds = (f"forall(conds, e -> coalesce(CASE e.operator WHEN 'EQUALS' THEN {x} = {p} WHEN 'NOT_EQUALS' THEN {x} <> {p} "
+             f"WHEN 'CONTAINS' THEN contains({x}, {p}) WHEN 'STARTS_WITH' THEN startswith({x}, {p}) END, false))")
+    return (wanted.join(index, ["col", "op", "pattern"]).where(f"mode = 'ne' OR {holds}")
+            .groupBy("def_key").agg(*[F.expr(f"collect_set(CASE WHEN col = '{c}' THEN value END) AS {c}_keys") for c in S.STRING_CATEGORIES]))
 
 
 def _nodes_sql(lo: str, hi: str) -> str:
@@ -124,127 +167,97 @@ def _nodes_sql(lo: str, hi: str) -> str:
             f"ELSE array(CAST(NULL AS BIGINT)) END)), x -> x IS NOT NULL)")
 
 
-def segment_terms(defs: DataFrame, cells: DataFrame, collation: str | None = None) -> DataFrame:
+def _string_options(c: str) -> str:
+    """Signed keys of a string column: one open, one for each value, or (NOT_EQUALS only) all values
+    minus each excluded one, minus NULL (SQL's <> never matches a NULL value)."""
+    def opt(w, bit, key):
+        return f"named_struct('w', {w}, 'bit', {bit}, 'key', CAST({key} AS STRING))"
+    bit, keys = S.CATEGORY_BITS[c], f"coalesce({c}_keys, {NO_STRINGS})"
+    return (f"CASE {c}_mode WHEN 'none' THEN array({opt(1, 0, 'NULL')}) "
+            f"WHEN 'ne' THEN concat(array({opt(1, 0, 'NULL')}, {opt(-1, bit, 'NULL')}), transform({keys}, k -> {opt(-1, bit, 'k')})) "
+            f"ELSE transform({keys}, k -> {opt(1, bit, 'k')}) END")
+
+
+def segment_terms(defs: DataFrame, cells: DataFrame, collation: str | None = None, ages: tuple | None = None) -> DataFrame:
     """``def_key, w, bits, loc, gen, node, pos``: the signed lookups whose sum is
     each definition's count. ``bits``: the string columns that the key fixes
-    (a fixed null is the accounts without a value); a null node is every age."""
-    t = defs
-    for c in S.STRING_CATEGORIES:
-        t = t.join(_string_keys(defs, c, cells, collation), "def_key", "left")
-
-    def string_options(c: str) -> Column:
-        bit, mode = S.CATEGORY_BITS[c], F.col(f"{c}_mode")
-        keys = F.coalesce(F.col(f"{c}_keys"), F.array().cast("array<string>"))
-
-        def opt(w, b, key):
-            return F.struct(F.lit(w).alias("w"), F.lit(b).alias("bit"), key.cast("string").alias("key"))
-        none = F.lit(None).cast("string")
-        # NOT_EQUALS only: all values, minus each excluded value, minus NULL
-        # (SQL's <> never matches a NULL value)
-        return (F.when(mode == "none", F.array(opt(1, 0, none)))
-                .when(mode == "ne", F.concat(F.array(opt(1, 0, none), opt(-1, bit, none)), F.transform(keys, lambda k: opt(-1, bit, k))).cast("array<struct<w:int,bit:int,key:string>>"))
-                .otherwise(F.transform(keys, lambda k: opt(1, bit, k))))
-
-    lo_hi = {}
-    for c in S.NUMBER_CATEGORIES:
-        lo_hi[f"{c}_from"] = F.coalesce(F.col(f"{c}_lo"), F.lit(S.LONG_MIN))
-        lo_hi[f"{c}_to"] = F.coalesce(F.col(f"{c}_hi"), F.lit(S.LONG_MAX))
-    # Nodes beyond the observed ages are empty: the range is cut to them (two
-    # scalars of the stored cells), which leaves out terms but changes no plan.
-    least, largest = cells.agg(F.min("age"), F.max("age")).first()
-    lo_hi["age_from"] = F.greatest(lo_hi["age_from"], F.lit(0 if least is None else least).cast("long"))
-    lo_hi["age_to"] = F.least(lo_hi["age_to"], F.lit(-1 if largest is None else largest).cast("long"))
-    t = t.withColumns(lo_hi)
-    has = {c: F.col("signature").bitwiseAND(S.CATEGORY_BITS[c]) != 0 for c in S.NUMBER_CATEGORIES}
-
-    def inside(c: str) -> Column:
-        return F.filter(f"{c}_ne", lambda x: x.cast("long").between(F.col(f"{c}_from"), F.col(f"{c}_to")))
-
-    age = F.when(~has["age"], F.array(F.struct(F.lit(1).alias("w"), F.lit(None).cast("long").alias("node")))).otherwise(F.concat(
-        F.transform(F.when(F.col("age_from") <= F.col("age_to"), F.expr(_nodes_sql("age_from", "age_to")))
-                    .otherwise(F.array().cast("array<bigint>")), lambda x: F.struct(F.lit(1).alias("w"), x.cast("long").alias("node"))),
-        F.transform(inside("age"), lambda x: F.struct(F.lit(-1).alias("w"), (x.cast("long") + F.lit(2**31)).cast("long").alias("node")))).cast(
-        "array<struct<w:int,node:bigint>>"))
-
-    def at(w, pos):
-        return F.struct(F.lit(w).alias("w"), pos.cast("long").alias("pos"))
-    before = F.when(F.col("order_count_from") > S.LONG_MIN, F.col("order_count_from") - 1).otherwise(F.lit(S.LONG_MIN))
-    counts = F.when(~has["order_count"], F.array(at(1, F.lit(S.LONG_MAX)))).when(
-        F.col("order_count_from") <= F.col("order_count_to"), F.concat(
-            F.array(at(1, F.col("order_count_to")), at(-1, before)).cast(AT),
-            F.flatten(F.transform(inside("order_count"), lambda x: F.array(at(-1, x), at(1, x.cast("long") - 1)))).cast(AT)))
-    t = t.select("def_key", F.explode(string_options("location")).alias("l"), string_options("gender").alias("g"), age.alias("a"), counts.alias("o"))
-    t = t.select("def_key", "l", F.explode("g").alias("g"), "a", "o").select("def_key", "l", "g", F.explode("a").alias("a"), "o")
-    t = t.select("def_key", "l", "g", "a", F.explode("o").alias("o"))
-    return t.select("def_key", (F.col("l.w") * F.col("g.w") * F.col("a.w") * F.col("o.w")).alias("w"),
-                    F.col("l.bit").bitwiseOR(F.col("g.bit")).alias("bits"), F.col("l.key").alias("loc"), F.col("g.key").alias("gen"),
-                    F.col("a.node").alias("node"), F.col("o.pos").alias("pos"))
+    (a fixed null is the accounts without a value); a null node is every age.
+    ``ages``: least and largest observed age, to which ranges are cut (nodes
+    beyond them are empty); null for a table without ages."""
+    least, largest = ages if ages is not None else cells.agg(F.min("age"), F.max("age")).first()
+    least, largest = (0, -1) if least is None else (least, largest)
+    t = defs.join(_string_keys(defs, cells, collation), "def_key", "left").selectExpr(
+        "*", f"greatest(coalesce(age_lo, {least}L), {least}L) AS age_from", f"least(coalesce(age_hi, {largest}L), {largest}L) AS age_to",
+        f"coalesce(order_count_lo, -{S.LONG_MAX}L - 1L) AS order_from", f"coalesce(order_count_hi, {S.LONG_MAX}L) AS order_to")
+    least_long = f"(-{S.LONG_MAX}L - 1L)"
+    age = (f"CASE WHEN signature & {S.CATEGORY_BITS['age']} = 0 THEN array(named_struct('w', 1, 'node', CAST(NULL AS BIGINT))) ELSE concat("
+           f"transform(CASE WHEN age_from <= age_to THEN {_nodes_sql('age_from', 'age_to')} ELSE {NO_LONGS} END, x -> named_struct('w', 1, 'node', x)), "
+           f"transform(filter(age_ne, x -> x BETWEEN age_from AND age_to), x -> named_struct('w', -1, 'node', x + 2147483648L))) END")
+    orders = (f"CASE WHEN signature & {S.CATEGORY_BITS['order_count']} = 0 THEN array(named_struct('w', 1, 'pos', {S.LONG_MAX}L)) "
+              f"WHEN order_from <= order_to THEN concat(array(named_struct('w', 1, 'pos', order_to), "
+              f"named_struct('w', -1, 'pos', CASE WHEN order_from > {least_long} THEN order_from - 1L ELSE {least_long} END)), "
+              f"flatten(transform(filter(order_count_ne, x -> x BETWEEN order_from AND order_to), "
+              f"x -> array(named_struct('w', -1, 'pos', CAST(x AS BIGINT)), named_struct('w', 1, 'pos', x - 1L))))) END")
+    t = t.selectExpr("def_key", f"explode({_string_options('location')}) AS l", f"{_string_options('gender')} AS g", f"{age} AS a", f"{orders} AS o")
+    t = t.selectExpr("def_key", "l", "explode(g) AS g", "a", "o").selectExpr("def_key", "l", "g", "explode(a) AS a", "o")
+    t = t.selectExpr("def_key", "l", "g", "a", "explode(o) AS o")
+    return t.selectExpr("def_key", "l.w * g.w * a.w * o.w AS w", "l.bit | g.bit AS bits", "l.key AS loc", "g.key AS gen", "a.node AS node", "o.pos AS pos")
 
 
 def _null_safe(left: str, right: str, columns) -> Column:
-    out = F.lit(True)
-    for c in columns:
-        out = out & F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
-    return out
+    return F.expr(" AND ".join(f"{left}.{c} <=> {right}.{c}" for c in columns))
 
 
-def keyed_cells(cells: DataFrame, terms: DataFrame) -> DataFrame:
+def keyed_cells(cells: DataFrame, terms: DataFrame, levels: int = (1 << 33) - 1) -> DataFrame:
     """``bits, loc, gen, node, pos, n``: accounts of each key that some term
-    needs, per order count (a missing order count stands before all others)."""
-    u = F.col("age").cast("long") + 2**31
-    above = F.concat(F.array(F.lit(None).cast("long")), F.when(F.col("age").isNull(), F.array().cast("array<bigint>")).otherwise(
-        F.transform(F.sequence(F.lit(0), F.lit(32)), lambda l: l.cast("long") * 2**33 + F.call_function("shiftright", u, l))))
-    nodes = cells.select("location", "gender", "order_count", "n", F.explode(above).alias("node"))
+    needs, per order count (a missing order count stands before all others).
+    ``levels``: bit set of the age-node levels that the terms use."""
+    used = ", ".join(f"{n}L" for n in range(33) if levels >> n & 1)
+    above = f"transform(array({used}), l -> l * 8589934592L + shiftright(age + 2147483648L, CAST(l AS INT)))" if used else NO_LONGS
+    nodes = cells.selectExpr("location", "gender", "order_count", "n",
+                             f"explode(concat(array(CAST(NULL AS BIGINT)), CASE WHEN age IS NULL THEN {NO_LONGS} ELSE {above} END)) AS node")
     need = terms.select("bits", "node").distinct()
-    kept = nodes.alias("c").join(need.alias("q"), _null_safe("c", "q", ["node"])).select("c.*", "q.bits")
-
-    def key(column: str) -> Column:
-        return F.when(F.col("bits").bitwiseAND(S.CATEGORY_BITS[column]) != 0, F.col(column))
-    return (kept.groupBy("bits", key("location").alias("loc"), key("gender").alias("gen"), "node",
-                         F.coalesce(F.col("order_count").cast("long"), F.lit(S.LONG_MIN)).alias("pos"))
-            .agg(F.sum("n").alias("n")))
+    kept = nodes.alias("c").join(need.alias("q"), _null_safe("c", "q", ["node"])).selectExpr("c.*", "q.bits")
+    keys = [f"CASE WHEN bits & {S.CATEGORY_BITS[c]} <> 0 THEN {c} END AS {name}" for c, name in (("location", "loc"), ("gender", "gen"))]
+    return (kept.selectExpr("bits", *keys, "node", f"coalesce(CAST(order_count AS BIGINT), -{S.LONG_MAX}L - 1L) AS pos", "n")
+            .groupBy(*KEY, "pos").agg(F.expr("sum(n) AS n")))
 
 
-def keyed_counts(norm: DataFrame, accounts: DataFrame, collation: str | None = None) -> DataFrame:
+def keyed_counts(texts: DataFrame, accounts: DataFrame, collation: str | None = None) -> DataFrame:
     """(def_key, user_count) for every valid definition that matches something."""
-    cells = materialize(account_cells(accounts, collation))
-    defs = norm.where(F.col("error_reason").isNull()).dropDuplicates(["def_key"])
-    terms = materialize(segment_terms(materialize(defs), cells, collation))
-    asked = terms.select(*KEY, "pos").distinct().withColumn("n", F.lit(None).cast("long"))
-    rows = keyed_cells(cells, terms).unionByName(asked).withColumn("block", F.shiftright("pos", BLOCK_BITS))
-    inner = Window.partitionBy(*KEY, "block").orderBy("pos", F.col("n").isNull()).rowsBetween(Window.unboundedPreceding, 0)
-    upto = rows.withColumn("p", F.sum("n").over(inner)).where(F.col("n").isNull())
-    outer = Window.partitionBy(*KEY).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = rows.groupBy(*KEY, "block").agg(F.sum("n").alias("n")).withColumn("ahead", F.sum("n").over(outer))
+    seen = Observation()
+    cells = materialize(account_cells(accounts, collation).observe(seen, F.expr("min(age) AS least"), F.expr("max(age) AS largest")))
+    ages = seen.get["least"], seen.get["largest"]
+    defs = texts.where("error_reason IS NULL").dropDuplicates(["def_key"])
+    used = Observation()
+    terms = materialize(segment_terms(defs, cells, collation, ages).observe(used, F.expr("bit_or(shiftleft(1L, CAST(node DIV 8589934592L AS INT))) AS levels")))
+    asked = terms.select(*KEY, "pos").distinct().selectExpr("*", "CAST(NULL AS BIGINT) AS n")
+    rows = keyed_cells(cells, terms, used.get["levels"] or 0).unionByName(asked).selectExpr("*", f"shiftright(pos, {BLOCK_BITS}) AS block")
+    key = ", ".join(KEY)
+    upto = rows.selectExpr(*KEY, "pos", "n", "block", f"sum(n) OVER (PARTITION BY {key}, block ORDER BY pos, n IS NULL ROWS UNBOUNDED PRECEDING) AS p").where("n IS NULL")
+    blocks = rows.groupBy(*KEY, "block").agg(F.expr("sum(n) AS n")).selectExpr(
+        *KEY, "block", f"sum(n) OVER (PARTITION BY {key} ORDER BY block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS ahead")
     found = (upto.alias("u").join(blocks.alias("b"), _null_safe("u", "b", [*KEY, "block"]))
-             .select(*[F.col(f"u.{c}").alias(c) for c in [*KEY, "pos"]],
-                     (F.coalesce("u.p", F.lit(0)) + F.coalesce("b.ahead", F.lit(0))).alias("p")).where("p > 0"))
+             .selectExpr(*[f"u.{c}" for c in [*KEY, "pos"]], "coalesce(u.p, 0L) + coalesce(b.ahead, 0L) AS p").where("p > 0"))
     return (terms.alias("t").join(found.alias("f"), _null_safe("t", "f", [*KEY, "pos"]))
-            .groupBy("t.def_key").agg(F.sum(F.col("t.w") * F.col("f.p")).cast("long").alias("user_count")))
+            .groupBy("t.def_key").agg(F.expr("CAST(sum(t.w * f.p) AS BIGINT) AS user_count")))
 
 
-def _definitions(norm: DataFrame) -> DataFrame:
-    """One row per distinct valid definition, keyed by its sorted conditions."""
-    key = F.to_json(F.array_sort(F.array_distinct(F.transform(
-        F.col("effective"), lambda e: F.struct(e.category, e.operator, e.value)))))
-    return norm.withColumn("def_key", key)
+def definitions(texts: DataFrame) -> DataFrame:
+    """``texts`` (``normalize_texts``) with ``def_key``: equal for texts of the same conditions in any order."""
+    return texts.selectExpr("*", "to_json(array_sort(array_distinct(transform(effective, "
+                                 "e -> named_struct('category', e.category, 'operator', e.operator, 'value', e.value))))) AS def_key")
 
 
 def count_segments(accounts: DataFrame, segments: DataFrame, collation: str | None = None) -> DataFrame:
     """C1 + D2 for all segments: ``segment_id, user_count, error_reason``.
     Invalid segments get count 0 and their reason; valid segments that match
     nothing get 0 (never null)."""
-    # The normalized definitions feed several branches; they are computed
-    # once and checkpointed (one row per segment, no account data).
-    norm = materialize(_definitions(C.normalize_segments(segments, collation)))
-    counts = keyed_counts(norm, accounts, collation)
-    out = norm.select("segment_id", "error_reason", "def_key").join(
-        counts, "def_key", "left")
-    return out.select(
-        "segment_id",
-        F.when(F.col("error_reason").isNull(), F.coalesce("user_count", F.lit(0)))
-        .otherwise(F.lit(0)).cast("long").alias("user_count"),
-        "error_reason")
+    # Each distinct text is normalized once; the texts feed several branches.
+    texts = materialize(definitions(C.normalize_texts(segments, collation)))
+    counts = texts.select("text", "error_reason", "def_key").join(keyed_counts(texts, accounts, collation), "def_key", "left")
+    return (segments.select("segment_id", "conditions").join(counts, F.expr("conditions <=> text"))
+            .selectExpr("segment_id", "CASE WHEN error_reason IS NULL THEN coalesce(user_count, 0L) ELSE 0L END AS user_count", "error_reason"))
 
 
 # ------------------------------ one segment -------------------------------

@@ -186,7 +186,7 @@ def test_definitions_of_one_key_are_spread(spark):
     segs = _segments(spark, lists)
     got = {r.segment_id: r.user_count for r in counting.count_segments(acc, segs).collect()}
     assert got == {i: sum(x >= i for x in range(0, 4000, 3)) for i in range(2000)}
-    norm = counting._definitions(C.normalize_segments(segs))
+    norm = counting.definitions(C.normalize_texts(segs))
     terms = counting.segment_terms(norm, counting.account_cells(acc))
     assert terms.select(*counting.KEY).distinct().count() == 1
     assert terms.select(F.shiftright("pos", counting.BLOCK_BITS)).distinct().count() >= 8
@@ -241,3 +241,42 @@ def test_null_account_values_never_match_conditions(spark):
     keyed = {r.segment_id: r.user_count for r in counting.count_segments(acc, segs).collect()}
     nested = {k: v for k, (v, _) in nested_counts(acc, segs).items()}
     assert keyed == want and nested == want
+
+
+def test_collated_lookup_by_elements(spark):
+    """The index of collated values finds what testing every value finds; its rows are linear in the values' length."""
+    import unicodedata
+
+    from pyspark.sql import functions as F
+
+    texts = ["Nátion_3", "straße", "STRASSE", "strasse_s", "ﬁnal ﬂow", "final flow", "가나다", "x\xadyz", "XYZ", "เกม", "กเม", "㎏ m", "KG M", "ø o", "Æx", "aex",
+             "ﬃ", "ffi", "100%", "a_b", "e", "é", "ﷺ", "naïve café", "ｆｕｌｌ", "İi", "ǅ", "dž", "あア", "½", "1⁄2", "𝔄b"]
+    texts = sorted({*texts, *(unicodedata.normalize("NFD", t) for t in texts), *(unicodedata.normalize("NFKD", t) for t in texts)})
+    patterns = sorted({p for t in texts for p in (t, t[:1], t[:2], t[-2:], t[1:3], t[1:])} - {""} | {"́", "ss", "SS", "s", "i", "ĳ"})
+    values = spark.createDataFrame([("location", t) for t in texts], "col string, value string")
+    asked = spark.createDataFrame([("location", op, p) for p in patterns for op in ("CONTAINS", "STARTS_WITH")], "col string, op string, pattern string")
+    name = "UNICODE_CI_AI"
+    got = {tuple(r) for r in counting.value_index(values, asked, name).select("op", "pattern", "value").collect()}
+    v, p = F.collate("value", name), F.collate("pattern", name)
+    every = asked.drop("col").crossJoin(values.drop("col")).where(F.when(F.col("op") == "CONTAINS", F.contains(v, p)).otherwise(F.startswith(v, p)))
+    want = {tuple(r) for r in every.select("op", "pattern", "value").collect()}
+    assert got == want and ("CONTAINS", "ss", "straße") in got and ("STARTS_WITH", "é", "e") in got
+    assert counting.value_pieces(values, name).count() <= sum(3 * len(t) + 2 for t in texts)
+    long = spark.createDataFrame([("location", "ab" * 5000)], "col string, value string")
+    assert counting.value_pieces(long, name).count() <= 8
+
+
+def test_cells_emit_one_row_for_each_level_in_use(spark):
+    """Clean ages use few levels of the age nodes; the bit set of those in use bounds what a cell emits."""
+    from segmetrics.functions import conditions as C
+    cells = counting.account_cells(spark.createDataFrame(ACCOUNTS, ACCOUNT_SCHEMA))
+    lists = [[{"category": "age", "operator": "GTE", "value": "18"}, {"category": "age", "operator": "LT", "value": "62"}], [{"category": "age", "operator": "GTE", "value": "35"}]]
+    texts = counting.definitions(C.normalize_texts(_segments(spark, lists)))
+    terms = counting.segment_terms(texts, cells)
+    used = {r.node // 2**33 for r in terms.where("node IS NOT NULL").select("node").collect()}
+    assert used and max(used) <= 6
+    bits = sum(1 << n for n in used)
+    plan = counting.keyed_cells(cells, terms, bits)._jdf.queryExecution().optimizedPlan().toString()
+    assert "sequence(0, 32" not in plan.split("Join")[1]
+    every = {tuple(r) for r in counting.keyed_cells(cells, terms).collect()}
+    assert {tuple(r) for r in counting.keyed_cells(cells, terms, bits).collect()} == every

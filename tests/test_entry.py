@@ -4,6 +4,7 @@ of the library is compared with its oracle at sf0.001."""
 import math
 
 import duckdb
+import pandas as pd
 import pytest
 
 import __spark_entry__ as E
@@ -24,7 +25,7 @@ def test_every_query_has_an_oracle():
 
 def _norm(v):
     """Comparable text: null, 6-decimal floats, ISO dates without midnight."""
-    if v is None or (isinstance(v, float) and math.isnan(v)):
+    if v is None or v is pd.NA or (isinstance(v, float) and math.isnan(v)):
         return "<null>"
     if isinstance(v, float):
         return str(int(v)) if v.is_integer() else f"{v:.6f}"
