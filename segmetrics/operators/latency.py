@@ -22,8 +22,6 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
-
 
 def default_bounds(start: float = 1.0, stop: float = 300_000.0, per_octave: int = 2):
     """Upper bounds growing by 2**(1/per_octave) from ``start`` up to ``stop``
@@ -46,84 +44,96 @@ def _same(left: str, right: str, by) -> Column:
     return out
 
 
-def _band(v: Column, per_octave: int) -> Column:
-    """A number that never falls as ``v`` grows: ``per_octave`` bands between a
-    power of two and the next, on both sides of zero; NaN above all."""
-    size = F.floor(F.log2(F.abs(v)) * per_octave) + 1100 * per_octave
-    return (F.when(F.isnan(v), F.lit(1 << 60)).when(v == float("inf"), F.lit(1 << 59))
-            .when(v == float("-inf"), F.lit(-(1 << 59)))
-            .when(v > 0, size).when(v < 0, -size).otherwise(F.lit(0))).cast("long")
+ACCURACY = 10_000            # of the quantile sketch: ranks are right within 1 / ACCURACY of the rows
+PARTS = 1024                 # of a bracket, for the running sums
+
+
+def _bracketed(df: DataFrame, value: str, qs, by, stats=()) -> tuple[DataFrame, list[str]]:
+    """Values counted where a wanted rank may stand: ``by..., carried..., _pos, _sub, _v, _c``.
+
+    A mergeable sketch gives each group two values around each rank, a few
+    times its error apart (a group of fewer than ACCURACY rows is one bracket).
+    The rows outside the brackets are only counted; those inside are counted by
+    value. ``_pos, _sub, _v`` rises with the value. The group's number of rows
+    and ``stats`` are carried along, so that the sketch is read once."""
+    v = F.col(value).cast("double")
+    finite = F.when(F.isnan(v), F.lit(math.inf)).otherwise(v)          # NaN stands above all: in the brackets, with infinity
+    ends = [max(0.0, q - 4 / ACCURACY) for q in qs] + [min(1.0, q + 4 / ACCURACY) for q in qs]
+    sketch = df.groupBy(*by).agg(
+        F.count(v).alias("_n"), *stats, F.percentile_approx(finite, [float(e) for e in ends], ACCURACY).alias("_e"))
+    carried = [c for c in sketch.columns if c not in by and c != "_e"]
+
+    def end(i: int) -> Column:
+        bound = F.col("_e")[i] if 0 < ends[i] < 1 else F.lit(-math.inf if i < len(qs) else math.inf)
+        return F.when(F.col("_n") >= ACCURACY, bound).otherwise(F.lit(-math.inf if i < len(qs) else math.inf))
+    sketch = sketch.select(*by, *carried, F.struct(*[end(i).alias(f"e{i}") for i in range(len(ends))]).alias("_e"))
+    rows = (df.select(*by, v.alias("_v"), finite.alias("_f")).alias("r")
+            .join(sketch.alias("s"), _same("r", "s", by)).select("r.*", *[f"s.{c}" for c in carried], "s._e"))
+    low, high = ([F.col(f"_e.e{i + k}") for i in range(len(qs))] for k in (0, len(qs)))
+    passed = [F.when(F.col("_f") >= x, 1).otherwise(0) for x in low] + [F.when(F.col("_f") > x, 1).otherwise(0) for x in high]
+    sub = None
+    for x, y in zip(low, high):
+        inside, share = F.col("_f").between(x, y), (F.col("_f") - x) / F.nullif(y - x, F.lit(0.0))
+        part = F.when((y - x < math.inf) & share.between(0.0, 1.0), F.floor(share * PARTS)).otherwise(F.lit(0))
+        sub = F.when(inside, part) if sub is None else sub.when(inside, part)
+    rows = rows.select(*by, *carried, sum(passed[1:], passed[0]).alias("_pos"), sub.cast("long").alias("_sub"),
+                       F.when(sub.isNotNull(), F.col("_v")).alias("_v"), F.when(F.col("_v").isNull(), 0).otherwise(1).cast("long").alias("_one"))
+    return rows.groupBy(*by, *carried, "_pos", "_sub", "_v").agg(F.sum("_one").alias("_c")), carried
+
+
+def _quantiles(df: DataFrame, value: str, qs, by, stats=()) -> DataFrame:
+    """``by..., stats..., q, value``."""
+    cells, carried = _bracketed(df, value, qs, by, stats)
+    parts = cells.groupBy(*by, *carried, "_pos", "_sub").agg(F.sum("_c").alias("_c"))
+    upto = F.sum("_c").over(Window.partitionBy(*by).orderBy("_pos", "_sub"))
+    pos = F.col("q") * (F.col("_n") - 1)
+    wanted = (parts.withColumn("_upto", upto).withColumn("q", F.explode(F.array(*[F.lit(float(q)) for q in qs])))
+              .select("*", F.explode(F.array(F.struct(F.floor(pos).alias("rank"), F.lit(False).alias("high")),
+                                             F.struct(F.ceil(pos).alias("rank"), F.lit(True).alias("high")))).alias("_w"))
+              .where((F.col("_n") == 0) | (F.col("_w.rank") < F.col("_upto")) & (F.col("_w.rank") >= F.col("_upto") - F.col("_c")))
+              .select(*by, *carried, "_pos", "_sub", "q", (pos - F.floor(pos)).alias("_part"), F.col("_w.high").alias("_high"),
+                      (F.col("_w.rank") - F.col("_upto") + F.col("_c")).alias("_rank")))
+    inner = F.sum("_c").over(Window.partitionBy(*by, "_pos", "_sub").orderBy("_v"))
+    keys = [*by, "_pos", "_sub"]
+    some = cells.select(*keys, "_v", "_c").alias("c").join(wanted.select(*keys).distinct().alias("w"), _same("c", "w", keys), "left_semi")
+    ordered = some.withColumn("_upto", inner)
+    found = wanted.alias("w").join(ordered.alias("c"), _same("w", "c", keys) & (F.col("w._rank") < F.col("c._upto"))
+                                   & (F.col("w._rank") >= F.col("c._upto") - F.col("c._c")), "left").select("w.*", "c._v")
+    checked = F.when(F.col("_v").isNull() & (F.col("_n") > 0), F.raise_error(F.lit("a rank stands outside its bracket")).cast("double")).otherwise(F.col("_v"))
+    low, high = F.max(F.when(~F.col("_high"), checked)), F.max(F.when(F.col("_high"), checked))
+    agg = found.groupBy(*by, *carried, "q", "_part").agg(low.alias("_lo"), high.alias("_hi"))
+    return agg.select(*by, *carried, "q", (F.col("_lo") + F.when(F.col("_part") > 0, F.col("_part") * (F.col("_hi") - F.col("_lo")))
+                                           .otherwise(F.lit(0.0))).alias("value"))
 
 
 def exact_quantiles(df: DataFrame, value: str, qs=(0.5, 0.95, 0.99), by=()) -> DataFrame:
     """Exact quantiles with linear interpolation (position ``q * (n - 1)``),
-    without gathering or sorting a group in one task.
-
-    The rows are counted per band of values (map-side combined, so a value
-    that a third of the rows hold is one row per task); running sums over the
-    bands tell which band holds each wanted rank.  The wanted bands are counted
-    again in finer bands, and only the distinct values of those are sorted.
-    Groups are compared null-safe.  Returns ``(by..., q, value)``."""
+    without gathering or sorting a group in one task, in two scans.
+
+    The first scan makes a mergeable sketch of each group, which brackets every
+    wanted rank. The second counts the rows below, between and above the
+    brackets, and by value only inside them (map-side combined, so a value that
+    a third of the rows hold is one row per task). Running sums over parts of
+    the brackets find the part of a rank, and only the values of that part are
+    sorted. Groups are compared null-safe; nulls take no part, NaN stands above
+    all. Returns ``(by..., q, value)``; a group without values has no row."""
     by = list(by)
-    v = F.col(value).cast("double")
-    base = df.where(v.isNotNull()).select(*by, v.alias("_v"))
-    counts = base.groupBy(*by, _band(F.col("_v"), 256).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-    upto = F.sum("_n").over(Window.partitionBy(*by).orderBy("_k"))
-    counts = counts.select(*by, "_k", "_n", upto.alias("_upto"),
-                           F.sum("_n").over(Window.partitionBy(*by)).alias("_total"))
-    pos = F.col("_q") * (F.col("_total") - 1)
-    wanted = counts.select(
-        *by, "_k", "_n", "_upto", "_total", F.explode(F.array(*[F.lit(float(q)) for q in qs])).alias("_q"))
-    wanted = wanted.select("*", F.explode(F.array(F.floor(pos), F.ceil(pos))).alias("_rank")).dropDuplicates()
-    wanted = wanted.where((F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= F.col("_upto") - F.col("_n")))
-    # (by..., band, ranks in it counted from the band's first row)
-    need = wanted.select(*by, "_k", "_q", (pos - F.floor(pos)).alias("_part"), (F.col("_rank") > F.floor(pos)).alias("_high"),
-                         (F.col("_rank") - F.col("_upto") + F.col("_n")).alias("_rank"))
-    need = materialize(need)                           # a few rows for each group
-    fine = _band(F.col("_v"), 1 << 18)
-    rows = base.select(*by, "_v", _band(F.col("_v"), 256).alias("_k"))
-    keys = [*by, "_k"]
-    inner = _within(rows.select(*keys, fine.alias("_f")), need.select(*keys).distinct(), keys, "_f")
-    need = (need.alias("w").join(inner.alias("c"), _same("w", "c", keys)
-                                 & F.col("w._rank").between(F.col("c._before"), F.col("c._upto") - 1))
-            .select("w.*", F.col("c._f").alias("_f"), F.col("c._before").alias("_before"))
-            .withColumn("_rank", F.col("_rank") - F.col("_before")).drop("_before"))
-    need = materialize(need)
-    keys = [*keys, "_f"]
-    inner = _within(rows.select(*by, "_k", fine.alias("_f"), "_v"), need.select(*keys).distinct(), keys, "_v")
-    found = (need.alias("w").join(inner.alias("c"), _same("w", "c", keys)
-                                  & F.col("w._rank").between(F.col("c._before"), F.col("c._upto") - 1))
-             .select("w.*", F.col("c._v").alias("_v")))
-    low, high = F.max(F.when(~F.col("_high"), F.col("_v"))), F.max(F.when(F.col("_high"), F.col("_v")))
-    agg = found.groupBy(*by, F.col("_q").alias("q"), "_part").agg(low.alias("_lo"), high.alias("_hi"))
-    return agg.select(*by, "q", (F.col("_lo") + F.when(F.col("_part") > 0, F.col("_part") * (F.col("_hi") - F.col("_lo")))
-                                 .otherwise(F.lit(0.0))).alias("value"))
-
-
-def _within(rows: DataFrame, bands: DataFrame, keys: list[str], by: str) -> DataFrame:
-    """``keys..., by, _before, _upto``: rows of the given bands before and up to each value of ``by``."""
-    kept = (rows.alias("r").join(bands.alias("b"), _same("r", "b", keys), "left_semi")
-            .groupBy(*keys, by).agg(F.count(F.lit(1)).alias("_n")))
-    upto = F.sum("_n").over(Window.partitionBy(*keys).orderBy(by))
-    return kept.select(*keys, by, (upto - F.col("_n")).alias("_before"), upto.alias("_upto"))
+    src = df if by else df.withColumn("_all", F.lit(0))
+    return _quantiles(src, value, qs, by or ["_all"]).where("_n > 0").select(*by, "q", "value")
 
 
 def summary(df: DataFrame, value: str, by=()) -> DataFrame:
-    """Count, sum, mean (partial aggregates) and exact p50 / p95 / p99
-    (``exact_quantiles``: no group is gathered in one task)."""
+    """Count, sum, mean (partial aggregates) and exact p50 / p95 / p99,
+    in the two scans of ``exact_quantiles``. A group without values keeps its
+    row (n = 0)."""
     v = F.col(value)
     keys = list(by) or ["_all"]
     src = df if by else df.withColumn("_all", F.lit(0))
-    stats = src.groupBy(*keys).agg(
-        F.count(v).alias("n"),
-        F.round(F.sum(v), 6).alias("total"),
-        F.round(F.avg(v), 6).alias("mean"))
+    stats = [F.count(v).alias("n"), F.round(F.sum(v), 6).alias("total"), F.round(F.avg(v), 6).alias("mean")]
     named = ((0.5, "p50"), (0.95, "p95"), (0.99, "p99"))
-    qs = exact_quantiles(src, value, [q for q, _ in named], keys).groupBy(*keys).agg(
+    out = _quantiles(src, value, [q for q, _ in named], keys, stats).groupBy(*keys, "n", "total", "mean").agg(
         *[F.round(F.max(F.when(F.col("q") == F.lit(q), F.col("value"))), 6).alias(name)
           for q, name in named])
-    out = stats.alias("s").join(qs.alias("x"), _same("s", "x", keys), "left").select(
-        "s.*", *[F.col(f"x.{name}").alias(name) for _, name in named])
     return out if by else out.drop("_all")
 
 
