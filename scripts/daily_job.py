@@ -1,8 +1,8 @@
 """Run one day of the segment metrics: a main for spark-submit.
 
 usage: spark-submit --conf spark.checkpoint.dir=<shared folder> scripts/daily_job.py
-       --accounts PATH --segments PATH --metrics PATH [--errors PATH]
-       [--run-metrics PATH] [--day YYYY-MM-DD] [--zone Asia/Seoul] [--collation NAME]
+       --accounts PATH --segments PATH --metrics PATH [--run-metrics PATH] [--close-months]
+       [--day YYYY-MM-DD] [--zone Asia/Seoul] [--collation NAME]
 """
 
 import argparse
@@ -23,15 +23,19 @@ def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser()
     for name in ("accounts", "segments", "metrics"):
         ap.add_argument(f"--{name}", required=True)
-    for name in ("errors", "run-metrics", "collation"):
+    ap.add_argument("--close-months", action="store_true", help="store the months before the day's as sorted files")
+    for name in ("run-metrics", "collation"):
         ap.add_argument(f"--{name}")
     ap.add_argument("--day", type=dt.date.fromisoformat)
     ap.add_argument("--zone", default=ZONE)
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("segmetrics-daily").getOrCreate()
+    day = a.day or daily.today(a.zone)
     daily.execute_daily_batch(
         spark, tables.read_accounts(spark, a.accounts), tables.read_segments(spark, a.segments), a.metrics,
-        day=a.day or daily.today(a.zone), errors_path=a.errors, collation=a.collation, run_metrics_path=a.run_metrics).show(truncate=False)
+        day=day, collation=a.collation, run_metrics_path=a.run_metrics).show(truncate=False)
+    if a.close_months:
+        tables.close_months_before(spark, a.metrics, day)
 
 
 if __name__ == "__main__":

@@ -117,21 +117,22 @@ def today(zone: str = ZONE) -> dt.date:
 
 
 def execute_daily_batch(spark, accounts: DataFrame, segments: DataFrame, metrics_path: str,
-                        day: dt.date | None = None, errors_path: str | None = None,
-                        run_id: str | None = None, collation: str | None = None,
+                        day: dt.date | None = None, run_id: str | None = None, collation: str | None = None,
                         run_metrics_path: str | None = None) -> DataFrame:
     """I4 + A6 + I9: run one day against the stored, date-partitioned metric
-    table and replace that day's partition (and, under ``errors_path``, the
-    day's reasons).  Returns ``run_metrics(run_id, stage, seconds, errors)``,
-    appended to ``run_metrics_path`` if given: driver-side wall-clock of the
-    stages (init, count, write, total) and the number of segments in error.
-    The per-chunk and per-segment timers of the reference have no counterpart:
-    counting is one job.  The run's checkpoints are deleted at its end."""
+    table and replace that day's partition: counts and reasons in one commit,
+    so a run that breaks leaves the old day or the new one.  Returns
+    ``run_metrics(run_id, stage, seconds, errors)``, appended to
+    ``run_metrics_path`` if given: driver-side wall-clock of the stages (init,
+    count, write, total) and the number of segments in error, which the write
+    counts as it passes (no job of its own).  The per-chunk and per-segment
+    timers of the reference have no counterpart: counting is one job.  The
+    run's checkpoints are deleted at its end."""
     day = day or today()
     run_id = run_id or uuid.uuid4().hex[:12]
     clock = [time.perf_counter()]
     try:
-        stored = tables.read_metrics(spark, metrics_path)
+        stored = tables.read_metrics(spark, metrics_path, day, day)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
@@ -141,10 +142,7 @@ def execute_daily_batch(spark, accounts: DataFrame, segments: DataFrame, metrics
         clock.append(time.perf_counter())
         results = materialize(mark_completed(count_results(rows, segments, accounts, collation)))
         clock.append(time.perf_counter())
-        tables.write_day(results, metrics_path)
-        if errors_path:
-            tables.write_errors(results, errors_path)
-        errors = errors_of(results).count()
+        errors = tables.write_day(results, metrics_path)["errors"]
         clock.append(time.perf_counter())
     spent = [("init_step", clock[1] - clock[0]), ("count_step", clock[2] - clock[1]),
              ("flush", clock[3] - clock[2]), ("total", clock[3] - clock[0])]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -28,14 +28,17 @@ def touch_updated(old: DataFrame, new: DataFrame, as_of: dt.datetime) -> DataFra
         changed.alias("changed"))
 
 
-def segment_page(segments: DataFrame, after: int | None, size: int) -> DataFrame:
+def segment_page(segments: DataFrame, after: int | None, size: int, total: int | None = None) -> DataFrame:
     """The ``size`` segments with the smallest ids above ``after`` (null:
     the first page), each with ``total`` (all segments) and ``has_next``.  The
-    key set needs no growing offset: a page reads ids above a bound."""
+    key set needs no growing offset: a page reads ids above a bound, and one id
+    more tells whether there is a next page.  The total is counted, or taken
+    from the caller who has it from the page before.  A page behind the last id
+    is one row without a segment that still has the facts."""
     rest = segments if after is None else segments.where(F.col("segment_id") > after)
-    page = rest.select("segment_id", "conditions").orderBy("segment_id").limit(size)
-    last = page.agg(F.max("segment_id").alias("last"))
-    facts = segments.agg(F.count(F.lit(1)).alias("total"), F.max("segment_id").alias("highest"))
-    one = last.withColumn("k", F.lit(1)).join(facts.withColumn("k", F.lit(1)), "k")      # one row each
-    return (page.withColumn("k", F.lit(1)).join(one, "k")
-            .select("segment_id", "conditions", "total", (F.col("highest") > F.col("last")).alias("has_next")))
+    some = rest.select("segment_id", "conditions").orderBy("segment_id").limit(size + 1)
+    place = F.row_number().over(Window.orderBy("segment_id"))             # of size + 1 rows
+    page = some.withColumn("place", place).withColumn("more", F.count(F.lit(1)).over(Window.partitionBy()) > size)
+    facts = segments.agg(F.count(F.lit(1)).alias("total")) if total is None else segments.sparkSession.range(1).select(F.lit(total).cast("long").alias("total"))
+    return (facts.withColumn("k", F.lit(1)).join(page.where(F.col("place") <= size).withColumn("k", F.lit(1)), "k", "left")
+            .select("segment_id", "conditions", "total", F.coalesce("more", F.lit(False)).alias("has_next")))

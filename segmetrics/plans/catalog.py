@@ -14,13 +14,17 @@ from pyspark.sql import functions as F
 
 from ..functions import conditions as C
 from ..operators import counting, daily, latency, quality, seed, segments, trend
+from ..session import scratch_path
 from ..sources import derived as D
+from ..sources import tables
 
 RUN_DAY = D.RUN_DAY
 TREND_SEGMENT, TREND_START, TREND_END = 1, "2026-02-01", "2026-03-15"
 PROBE_DAYS = [dt.date(2026, 1, 1), dt.date(2026, 4, 30), RUN_DAY, dt.date(2026, 6, 1)]
 PAGE, PAGE_SIZE = 2, 100
 AFTER_SEGMENT = 150
+BEHIND_LAST = 10**12
+CLOSE_BEFORE = dt.date(2026, 4, 30)
 SEED_AS_OF = dt.datetime(2026, 5, 1)
 
 # One condition per single-predicate query (B2-B11) and the full fixture 10.
@@ -261,6 +265,21 @@ def segment_page(spark: SparkSession, sf: str) -> DataFrame:
     return segments.segment_page(D.workload_segments(spark, sf), AFTER_SEGMENT, PAGE_SIZE)
 
 
+def segment_page_end(spark: SparkSession, sf: str) -> DataFrame:
+    """The page behind the last segment: the facts without a segment."""
+    return segments.segment_page(D.workload_segments(spark, sf), BEHIND_LAST, PAGE_SIZE)
+
+
+def segment_trends_closed(spark: SparkSession, sf: str) -> DataFrame:
+    """I7 + I10: the history stored day by day, all months but the last closed
+    into sorted files, then the trend of every generated segment."""
+    path = scratch_path(spark)
+    tables.write_day(D.history(spark, sf), path)
+    tables.close_months_before(spark, path, CLOSE_BEFORE)
+    start, end = (dt.date.fromisoformat(x) for x in (TREND_START, TREND_END))
+    return trend.trends(tables.read_metrics(spark, path, start, end), D.seed_segments(spark, sf), start, end)
+
+
 QUERIES = {
     "account_profile": account_profile,
     "segment_parse": segment_parse,
@@ -297,4 +316,6 @@ QUERIES = {
     "latency_summary_null": latency_summary_null,
     "latency_buckets_null": latency_buckets_null,
     "segment_page": segment_page,
+    "segment_page_end": segment_page_end,
+    "segment_trends_closed": segment_trends_closed,
 }

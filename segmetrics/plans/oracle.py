@@ -513,6 +513,9 @@ SELECT segment_id, conditions, (SELECT count(*) FROM wseg) AS total,
        (SELECT max(segment_id) FROM wseg) > max(segment_id) OVER () AS has_next
 FROM (SELECT segment_id, conditions FROM wseg WHERE segment_id > {Q.AFTER_SEGMENT}
       ORDER BY segment_id LIMIT {Q.PAGE_SIZE})"""
+    out["segment_page_end"] = _base(False) + f"""
+SELECT NULL AS segment_id, NULL AS conditions, count(*) AS total, count(*) FILTER (segment_id > {Q.BEHIND_LAST}) > 0 AS has_next FROM wseg"""
+    out["segment_trends_closed"] = out["segment_trends"]
     return out
 
 

@@ -84,6 +84,10 @@ METRIC = T.StructType([
     T.StructField("status", T.StringType(), False),
 ])
 
+# A stored row of a day: its count, its status and, if it could not be counted, why.
+STORED_DAY = "segment_id long, user_count long, status string, error_reason string, metric_date date"
+STORED_MONTH = f"{STORED_DAY}, month string"
+
 CONDITION = T.StructType([
     T.StructField("category", T.StringType(), True),
     T.StructField("operator", T.StringType(), True),

@@ -68,6 +68,11 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
+def scratch_path(spark: SparkSession) -> str:
+    """A new path in the shared folder for a table that outlives its job."""
+    return f"{_root(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+
+
 class own_checkpoints:
     """Checkpoints written in this block go to a folder of their own, which is
     deleted at its end: a scheduled job leaves nothing behind. What the block

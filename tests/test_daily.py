@@ -129,29 +129,28 @@ def test_execute_daily_batch_and_run_metrics(spark, setup, tmp_out):
     acc, segs = setup
     path, stored = os.path.join(tmp_out, "m"), os.path.join(tmp_out, "r")
     for run in ("r1", "r2"):
-        rm = daily.execute_daily_batch(spark, acc, segs, path, DAY, errors_path=os.path.join(tmp_out, "e"),
-                                       run_id=run, run_metrics_path=stored)
+        rm = daily.execute_daily_batch(spark, acc, segs, path, DAY, run_id=run, run_metrics_path=stored)
         assert {r.stage for r in rm.collect()} == {"init_step", "count_step", "flush", "total"}
         assert {r.errors for r in rm.collect()} == {1}
     assert spark.read.parquet(stored).count() == 8
     assert as_dict(tables.read_metrics(spark, path))[1] == (2, "INSERTED")
-    errs = tables.read_errors(spark, os.path.join(tmp_out, "e")).collect()
+    errs = tables.read_errors(spark, path).collect()
     assert [(r.segment_id, r.error_reason) for r in errs] == [(3, S.UNSUPPORTED_OPERATOR)]
     assert latency.summary(rm, "seconds").first().n == 4
 
 
 def test_repaired_definition_leaves_no_error(spark, setup, tmp_out):
     acc, segs = setup
-    path, errors = os.path.join(tmp_out, "m"), os.path.join(tmp_out, "e")
+    path = os.path.join(tmp_out, "m")
     other = dt.date(2026, 4, 30)
     for day in (other, DAY):
-        daily.execute_daily_batch(spark, acc, segs, path, day, errors_path=errors)
-    assert {(r.metric_date, r.segment_id) for r in tables.read_errors(spark, errors).collect()} == {(other, 3), (DAY, 3)}
+        daily.execute_daily_batch(spark, acc, segs, path, day)
+    assert {(r.metric_date, r.segment_id) for r in tables.read_errors(spark, path).collect()} == {(other, 3), (DAY, 3)}
     repaired = segs.where("segment_id <> 3").unionByName(
         seg_df(spark, [(3, [{"category": "gender", "operator": "EQUALS", "value": "FEMALE"}])]))
-    daily.execute_daily_batch(spark, acc, repaired, path, DAY, errors_path=errors)
+    daily.execute_daily_batch(spark, acc, repaired, path, DAY)
     assert as_dict(tables.read_metrics(spark, path).where(F.col("metric_date") == F.lit(DAY)))[3] == (1, "INSERTED")
-    assert {(r.metric_date, r.segment_id) for r in tables.read_errors(spark, errors).collect()} == {(other, 3)}
+    assert {(r.metric_date, r.segment_id) for r in tables.read_errors(spark, path).collect()} == {(other, 3)}
 
 
 def test_daily_run_deletes_its_checkpoints(spark, setup, tmp_out):
@@ -186,14 +185,14 @@ def test_daily_job_main(spark, setup, tmp_out):
     sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "scripts"))
     import daily_job
     acc, segs = setup
-    at = {n: os.path.join(tmp_out, n) for n in ("accounts", "segments", "metrics", "errors", "runs")}
+    at = {n: os.path.join(tmp_out, n) for n in ("accounts", "segments", "metrics", "runs")}
     acc.write.parquet(at["accounts"])
     t = F.lit("2026-05-01 00:00:00").cast("timestamp_ntz")
     segs.select("segment_id", "conditions", t.alias("created_at"), t.alias("updated_at")).write.parquet(at["segments"])
-    daily_job.main(["--accounts", at["accounts"], "--segments", at["segments"], "--metrics", at["metrics"], "--errors", at["errors"],
-                    "--run-metrics", at["runs"], "--day", "2026-05-01"])
+    daily_job.main(["--accounts", at["accounts"], "--segments", at["segments"], "--metrics", at["metrics"],
+                    "--run-metrics", at["runs"], "--day", "2026-05-01", "--close-months"])
     assert as_dict(tables.read_metrics(spark, at["metrics"]))[1] == (2, "INSERTED")
-    assert tables.read_errors(spark, at["errors"]).count() == 1 and spark.read.parquet(at["runs"]).count() == 4
+    assert tables.read_errors(spark, at["metrics"]).count() == 1 and spark.read.parquet(at["runs"]).count() == 4
 
 
 def test_trend_json_file(spark, tmp_out):
@@ -221,3 +220,75 @@ def test_write_day_bounded_sorted_files(spark, tmp_out):
     assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
     assert sorted(r.segment_id for r in tables.read_metrics(spark, path).collect()) == \
         [1, 2, 3, 5, 7, 8, 9]
+
+
+def stored_day(spark, path, day):
+    return sorted(map(tuple, tables.read_days(spark, path, day, day).select("segment_id", "user_count", "status", "error_reason").collect()))
+
+
+def test_broken_write_leaves_the_old_day(spark, setup, tmp_out):
+    """Counts and reasons change in one commit: a run that breaks while it writes shows the old day in both views."""
+    acc, segs = setup
+    path = os.path.join(tmp_out, "m")
+    daily.execute_daily_batch(spark, acc, segs, path, DAY)
+    before = stored_day(spark, path, DAY)
+    assert (3, 0, "PENDING", S.UNSUPPORTED_OPERATOR) in before
+    from segmetrics.session import materialize
+    rows = materialize(tables.read_days(spark, path)).select("segment_id", "metric_date", F.lit(77).cast("long").alias("user_count"), "status",
+                                                             F.when(F.col("segment_id") == 2, F.raise_error(F.lit("lost"))).otherwise(F.lit("other")).alias("error_reason"))
+    with pytest.raises(Exception, match="lost"):
+        tables.write_day(rows, path)
+    assert stored_day(spark, path, DAY) == before
+    counts = tables.write_day(materialize(tables.read_days(spark, path).withColumn("error_reason", F.lit("other"))), path)
+    assert counts == {"rows": len(before), "errors": len(before)}
+    assert {r.error_reason for r in tables.read_errors(spark, path).collect()} == {"other"}
+
+
+def test_closed_months_are_few_sorted_files(spark, tmp_out):
+    """120 days, closed months: 4 files and the open days, months pruned, late days replaced inside their month."""
+    path = os.path.join(tmp_out, "m")
+    first = dt.date(2026, 1, 1)
+    rows = [(i, first + dt.timedelta(d), 1000 * i + d, "INSERTED") for i in range(1, 41) for d in range(120)]
+    tables.write_day(metric_df(spark, rows).repartition(5), path)
+    want = {(r[0], r[1]): r[2] for r in rows}
+
+    def read(*between):
+        return {(r.segment_id, r.metric_date): r.user_count for r in tables.read_metrics(spark, path, *between).collect()}
+    assert read() == want and len(tables.read_metrics(spark, path).inputFiles()) == 120
+    assert tables.close_months_before(spark, path, dt.date(2026, 4, 30)) == ["2026-01", "2026-02", "2026-03"]
+    assert tables.closed_months(spark, path) == ["2026-01", "2026-02", "2026-03"] and read() == want
+    assert len(tables.read_metrics(spark, path).inputFiles()) == 3 + 30
+    tables.close_month(spark, path, "2026-04")
+    tables.close_month(spark, path, "2026-04")                                    # nothing left to do
+    files = tables.read_metrics(spark, path).inputFiles()
+    assert len(files) == 4 and read() == want
+    import pyarrow.parquet as pq
+    keys = [(r["segment_id"], r["metric_date"]) for r in pq.read_table(files[0].removeprefix("file://"), partitioning=None).select(["segment_id", "metric_date"]).to_pylist()]
+    assert keys == sorted(keys)
+    between = dt.date(2026, 2, 3), dt.date(2026, 3, 5)
+    assert read(*between) == {k: v for k, v in want.items() if between[0] <= k[1] <= between[1]}
+    plan = trend.trend(tables.read_metrics(spark, path, *between), 7, *between)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan and "IsNotNull(segment_id)" in plan
+    # a late day of a closed month, and a new one
+    late = [(i, first + dt.timedelta(40), 5, "INSERTED") for i in range(1, 45)] + [(1, dt.date(2026, 5, 1), 9, "PENDING")]
+    assert tables.write_day(metric_df(spark, late), path) == {"rows": 45, "errors": 0}
+    want = {k: v for k, v in want.items() if k[1] != late[0][1]} | {(r[0], r[1]): r[2] for r in late}
+    assert read() == want and len(tables.read_metrics(spark, path).inputFiles()) == 5
+    # day folders that a broken close left behind are not read, and go with the next call
+    metric_df(spark, [(1, first, -1, "PENDING")]).write.mode("append").partitionBy("metric_date").parquet(path)
+    assert read() == want
+    tables.close_month(spark, path, "2026-01")
+    assert read() == want and sorted(d for d in os.listdir(path) if d.startswith("metric_date")) == ["metric_date=2026-05-01"]
+    assert stored_day(spark, path, dt.date(2030, 1, 1)) == []
+
+
+def test_daily_run_into_a_closed_month(spark, setup, tmp_out):
+    acc, segs = setup
+    path = os.path.join(tmp_out, "m")
+    daily.execute_daily_batch(spark, acc, segs, path, DAY)
+    tables.close_month(spark, path, f"{DAY:%Y-%m}")
+    other = DAY + dt.timedelta(1)
+    rm = daily.execute_daily_batch(spark, acc, segs, path, other)
+    assert {r.errors for r in rm.collect()} == {1}
+    assert stored_day(spark, path, other) == stored_day(spark, path, DAY)
+    assert {(r.metric_date, r.segment_id) for r in tables.read_errors(spark, path).collect()} == {(DAY, 3), (other, 3)}

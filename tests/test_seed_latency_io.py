@@ -148,4 +148,32 @@ def test_segment_page(spark):
     first = segment_page(df, None, 3).collect()
     assert [(r.segment_id, r.total, r.has_next) for r in first] == [(1, 4, True), (3, 4, True), (5, 4, True)]
     assert [(r.segment_id, r.has_next) for r in segment_page(df, 5, 3).collect()] == [(9, False)]
-    assert segment_page(df, 9, 3).count() == 0
+    behind = segment_page(df, 9, 3).collect()
+    assert [tuple(r) for r in behind] == [(None, None, 4, False)]
+    assert [tuple(r) for r in segment_page(df, 9, 3, total=4).collect()] == [(None, None, 4, False)]
+    assert [r.has_next for r in segment_page(df, 1, 2).collect()] == [True, True] and [r.has_next for r in segment_page(df, 1, 3).collect()] == [False] * 3
+    assert [tuple(r) for r in segment_page(df.limit(0), None, 3).collect()] == [(None, None, 0, False)]
+
+
+def test_quantiles_of_large_groups_use_the_sketch(spark):
+    """Groups above the sketch's accuracy: only the values in the brackets are counted one by one."""
+    import numpy as np
+    from pyspark.sql import functions as F
+    from segmetrics.operators import latency
+    g = np.random.default_rng(9)
+    big = {"smooth": g.normal(0, 5, 45_000), "narrow": 1e6 + g.random(30_000), "ties": np.where(g.random(30_000) < 0.97, 7.0, g.normal(0, 1, 30_000)),
+           "wide": np.concatenate((g.exponential(1e200, 12_000), -g.exponential(1e-200, 12_000), [np.inf] * 400, [-np.inf] * 300)), "small": g.random(500)}
+    rows = [(k, float(v)) for k, vs in big.items() for v in vs] + [("smooth", None)] * 50 + [("nan", float("nan"))] * 11_000 + [("nan", float(i)) for i in range(11_000)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(7)
+    qs = (0.0, 0.001, 0.25, 0.5, 0.951, 0.99, 1.0)
+    got = {(r.k, r.q): r.value for r in latency.exact_quantiles(df, "v", qs, ["k"]).collect()}
+    for k, vs in big.items():
+        for q in qs:
+            with np.errstate(invalid="ignore", over="ignore"):
+                want = np.quantile(vs, q)
+            assert got[k, q] == want or abs(got[k, q] - want) <= 1e-9 * abs(want) or k == "wide" and not np.isfinite(want), (k, q)
+    assert got["nan", 0.25] == np.quantile(np.append(np.arange(11_000.0), [np.inf] * 11_000), 0.25) and math.isnan(got["nan", 0.99])
+    cells, _ = latency._bracketed(df.where("k IN ('smooth', 'narrow')"), "v", (0.5, 0.95, 0.99), ["k"])
+    assert cells.where(F.col("_v").isNotNull()).count() < 1000
+    plan = latency.summary(df, "v", ["k"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") <= 2 * 3                  # cells feed two branches, whose shuffle is reused
