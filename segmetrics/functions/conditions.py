@@ -152,51 +152,34 @@ def normalize_texts(segments: DataFrame, collation: str | None = None) -> DataFr
     (``element_rows``), every per-condition rule is a compiled expression, and
     one ``groupBy(conditions)`` folds them back.  The groups are a text's own
     conditions (a handful).  Rules and folds are SQL expressions (parsed once each)."""
-    texts = segments.select("conditions").distinct()
+    # as many tasks as a shuffle has: parsing costs more than the size of the texts suggests
+    tasks = int(segments.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = segments.select("conditions").distinct().repartition(tasks, "conditions")
     rows = element_rows(texts, "conditions").select(
         "*", F.expr(LOAD_REASON_SQL).alias("load_r"), F.expr(LOOP_REASON_SQL).alias("loop_r"),
         F.expr(EFFECTIVE_SQL).alias("eff"))
-    item = ("named_struct('pos', pos, 'category', category, 'operator', operator, "
-            "'value', value, 'ival', ival)")
-
-    def on(c, ops=None):
-        m = f"eff AND category = '{c}'"
-        return m if ops is None else f"{m} AND operator IN {_in(ops)}"
-
-    def first_by_pos(cond, fields):
-        return f"min(CASE WHEN {cond} THEN named_struct('pos', pos, {fields}) END)"
-
-    bits = " ".join(f"WHEN '{c}' THEN {b}" for c, b in S.CATEGORY_BITS.items())
-    exprs = {
-        "json_reason": "first(json_reason)",
-        "load_r": first_by_pos("load_r IS NOT NULL", "'r', load_r") + ".r",
-        "loop_r": first_by_pos("loop_r IS NOT NULL", "'r', loop_r") + ".r",
-        "effective": f"array_sort(collect_list(CASE WHEN eff THEN {item} END))",
-        "signature": f"coalesce(bit_or(CASE WHEN eff THEN CASE category {bits} END END), 0)",
-    }
+    item = ("named_struct('pos', pos, 'category', category, 'operator', operator, 'value', value, 'ival', ival, "
+            "'load_r', load_r, 'loop_r', loop_r, 'eff', eff)")
+    # one list for each text; what follows works on its few elements
+    g = rows.groupBy("conditions").agg(F.expr("first(json_reason) AS json_reason"),
+                                       F.expr(f"array_sort(collect_list(CASE WHEN pos IS NOT NULL THEN {item} END)) AS items"))
+    own = "named_struct('pos', x.pos, 'category', x.category, 'operator', x.operator, 'value', x.value, 'ival', x.ival)"
+    g = g.selectExpr("*", f"CAST(transform(filter(items, x -> x.eff), x -> {own}) AS {EFFECTIVE_TYPE}) AS effective")
+    g = g.selectExpr("*", *[f"filter(effective, x -> x.category = '{c}') AS {c}_conds" for c in S.KNOWN_CATEGORIES])
+    cols = ["conditions AS text",
+            "coalesce(json_reason, get(filter(items, x -> x.load_r IS NOT NULL), 0).load_r, get(filter(items, x -> x.loop_r IS NOT NULL), 0).loop_r) AS error_reason",
+            "effective", " | ".join(f"CASE WHEN size({c}_conds) > 0 THEN {b} ELSE 0 END" for c, b in S.CATEGORY_BITS.items()) + " AS signature"]
     for c in S.STRING_CATEGORIES:
-        ne_value = f"collate(value, '{collation}')" if collation else "value"
-        exprs[f"{c}_conds"] = f"array_sort(collect_list(CASE WHEN {on(c)} THEN {item} END))"
-        exprs[f"{c}_eq"] = first_by_pos(on(c, ("EQUALS",)), "'value', value") + ".value"
-        exprs["_drv_" + c] = first_by_pos(on(c, ("STARTS_WITH", "CONTAINS")),
-                                          "'operator', operator, 'value', value")
-        exprs[f"{c}_ne"] = (f"array_distinct(collect_list(CASE WHEN "
-                            f"{on(c, ('NOT_EQUALS',))} THEN {ne_value} END))")
+        eq, scan = f"filter({c}_conds, x -> x.operator = 'EQUALS')", f"filter({c}_conds, x -> x.operator IN ('STARTS_WITH', 'CONTAINS'))"
+        value = f"collate(x.value, '{collation}')" if collation else "x.value"
+        cols += [f"{c}_conds", f"CASE WHEN size({c}_conds) = 0 THEN 'none' WHEN size({eq}) > 0 THEN 'eq' WHEN size({scan}) > 0 THEN 'scan' ELSE 'ne' END AS {c}_mode",
+                 f"get({eq}, 0).value AS {c}_eq", f"get({scan}, 0).operator AS {c}_drv_op", f"get({scan}, 0).value AS {c}_drv_value",
+                 f"array_distinct(transform(filter({c}_conds, x -> x.operator = 'NOT_EQUALS'), x -> {value})) AS {c}_ne"]
     for c in S.NUMBER_CATEGORIES:
-        exprs[f"{c}_lo"] = (f"max(CASE WHEN {on(c, ('EQUALS', 'GTE'))} THEN CAST(ival AS BIGINT) "
-                            f"WHEN {on(c, ('GT',))} THEN CAST(ival AS BIGINT) + 1 END)")
-        exprs[f"{c}_hi"] = (f"min(CASE WHEN {on(c, ('EQUALS', 'LTE'))} THEN CAST(ival AS BIGINT) "
-                            f"WHEN {on(c, ('LT',))} THEN CAST(ival AS BIGINT) - 1 END)")
-        exprs[f"{c}_ne"] = (f"array_distinct(collect_list(CASE WHEN "
-                            f"{on(c, ('NOT_EQUALS',))} THEN ival END))")
-    g = rows.groupBy("conditions").agg(*[F.expr(e).alias(k) for k, e in exprs.items()])
-    cols = ["conditions AS text", "coalesce(json_reason, load_r, loop_r) AS error_reason", f"CAST(effective AS {EFFECTIVE_TYPE}) AS effective", "signature"]
-    for c in S.STRING_CATEGORIES:
-        cols += [f"CAST({c}_conds AS {EFFECTIVE_TYPE}) AS {c}_conds",
-                 f"CASE WHEN size({c}_conds) = 0 THEN 'none' WHEN {c}_eq IS NOT NULL THEN 'eq' WHEN _drv_{c} IS NOT NULL THEN 'scan' ELSE 'ne' END AS {c}_mode",
-                 f"{c}_eq", f"_drv_{c}.operator AS {c}_drv_op", f"_drv_{c}.value AS {c}_drv_value", f"{c}_ne"]
-    for c in S.NUMBER_CATEGORIES:
-        cols += [f"{c}_lo", f"{c}_hi", f"{c}_ne"]
+        n = "CAST(x.ival AS BIGINT)"
+        cols += [f"array_max(transform({c}_conds, x -> CASE WHEN x.operator IN ('EQUALS', 'GTE') THEN {n} WHEN x.operator = 'GT' THEN {n} + 1 END)) AS {c}_lo",
+                 f"array_min(transform({c}_conds, x -> CASE WHEN x.operator IN ('EQUALS', 'LTE') THEN {n} WHEN x.operator = 'LT' THEN {n} - 1 END)) AS {c}_hi",
+                 f"array_distinct(transform(filter({c}_conds, x -> x.operator = 'NOT_EQUALS'), x -> x.ival)) AS {c}_ne"]
     return g.selectExpr(*cols)
 
 

@@ -7,7 +7,7 @@ segment" for all segments at once, with one plan for every data size:
    partial counts, one shuffle. Its size is bounded by the product of the
    column domains, not by the number of accounts; a key holding a third of all
    accounts collapses to one row before the shuffle.
-2. ``terms``: each distinct definition becomes a few signed rows
+2. ``terms``: each distinct definition text becomes a few signed rows
    (weight, key, position), and its count is the sum of
    weight x P(key, position). A key fixes the two string columns (or leaves
    them open) and one *age node*; P(key, position) is the number of accounts
@@ -156,12 +156,12 @@ def _string_keys(defs: DataFrame, cells: DataFrame, collation: str | None) -> Da
             .groupBy("def_key").agg(*[F.expr(f"collect_set(CASE WHEN col = '{c}' THEN value END) AS {c}_keys") for c in S.STRING_CATEGORIES]))
 
 
-def _nodes_sql(lo: str, hi: str) -> str:
+def _nodes_sql(lo: str, hi: str, top: int = 32) -> str:
     """Dyadic nodes of the int32 ages lo..hi (bigint expressions), as codes
-    ``level * 2^33 + number``."""
+    ``level * 2^33 + number``, of levels up to ``top``."""
     a, b = f"(greatest({lo}, -2147483648L) + 2147483648L)", f"(least({hi}, 2147483647L) + 2147483649L)"
     up, down = f"shiftright({a} + shiftleft(1L, l) - 1, l)", f"shiftright({b}, l)"
-    return (f"filter(flatten(transform(sequence(0, 32), l -> CASE WHEN {up} < {down} THEN array("
+    return (f"filter(flatten(transform(sequence(0, {top}), l -> CASE WHEN {up} < {down} THEN array("
             f"CASE WHEN {up} % 2 = 1 THEN l * 8589934592L + {up} END, "
             f"CASE WHEN {down} % 2 = 1 THEN l * 8589934592L + {down} - 1 END) "
             f"ELSE array(CAST(NULL AS BIGINT)) END)), x -> x IS NOT NULL)")
@@ -191,7 +191,7 @@ def segment_terms(defs: DataFrame, cells: DataFrame, collation: str | None = Non
         f"coalesce(order_count_lo, -{S.LONG_MAX}L - 1L) AS order_from", f"coalesce(order_count_hi, {S.LONG_MAX}L) AS order_to")
     least_long = f"(-{S.LONG_MAX}L - 1L)"
     age = (f"CASE WHEN signature & {S.CATEGORY_BITS['age']} = 0 THEN array(named_struct('w', 1, 'node', CAST(NULL AS BIGINT))) ELSE concat("
-           f"transform(CASE WHEN age_from <= age_to THEN {_nodes_sql('age_from', 'age_to')} ELSE {NO_LONGS} END, x -> named_struct('w', 1, 'node', x)), "
+           f"transform(CASE WHEN age_from <= age_to THEN {_nodes_sql('age_from', 'age_to', (largest - least + 1).bit_length())} ELSE {NO_LONGS} END, x -> named_struct('w', 1, 'node', x)), "
            f"transform(filter(age_ne, x -> x BETWEEN age_from AND age_to), x -> named_struct('w', -1, 'node', x + 2147483648L))) END")
     orders = (f"CASE WHEN signature & {S.CATEGORY_BITS['order_count']} = 0 THEN array(named_struct('w', 1, 'pos', {S.LONG_MAX}L)) "
               f"WHEN order_from <= order_to THEN concat(array(named_struct('w', 1, 'pos', order_to), "
@@ -228,14 +228,15 @@ def keyed_counts(texts: DataFrame, accounts: DataFrame, collation: str | None =
     seen = Observation()
     cells = materialize(account_cells(accounts, collation).observe(seen, F.expr("min(age) AS least"), F.expr("max(age) AS largest")))
     ages = seen.get["least"], seen.get["largest"]
-    defs = texts.where("error_reason IS NULL").dropDuplicates(["def_key"])
+    defs = texts.where("error_reason IS NULL")
     used = Observation()
     terms = materialize(segment_terms(defs, cells, collation, ages).observe(used, F.expr("bit_or(shiftleft(1L, CAST(node DIV 8589934592L AS INT))) AS levels")))
     asked = terms.select(*KEY, "pos").distinct().selectExpr("*", "CAST(NULL AS BIGINT) AS n")
     rows = keyed_cells(cells, terms, used.get["levels"] or 0).unionByName(asked).selectExpr("*", f"shiftright(pos, {BLOCK_BITS}) AS block")
     key = ", ".join(KEY)
-    upto = rows.selectExpr(*KEY, "pos", "n", "block", f"sum(n) OVER (PARTITION BY {key}, block ORDER BY pos, n IS NULL ROWS UNBOUNDED PRECEDING) AS p").where("n IS NULL")
-    blocks = rows.groupBy(*KEY, "block").agg(F.expr("sum(n) AS n")).selectExpr(
+    rows = rows.selectExpr(*KEY, "pos", "n", "block", f"sum(n) OVER (PARTITION BY {key}, block ORDER BY pos, n IS NULL ROWS UNBOUNDED PRECEDING) AS p")
+    upto = rows.where("n IS NULL")
+    blocks = rows.groupBy(*KEY, "block").agg(F.expr("max(p) AS n")).selectExpr(        # dealt as the window's rows are: no shuffle
         *KEY, "block", f"sum(n) OVER (PARTITION BY {key} ORDER BY block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS ahead")
     found = (upto.alias("u").join(blocks.alias("b"), _null_safe("u", "b", [*KEY, "block"]))
              .selectExpr(*[f"u.{c}" for c in [*KEY, "pos"]], "coalesce(u.p, 0L) + coalesce(b.ahead, 0L) AS p").where("p > 0"))
@@ -243,18 +244,13 @@ def keyed_counts(texts: DataFrame, accounts: DataFrame, collation: str | None =
             .groupBy("t.def_key").agg(F.expr("CAST(sum(t.w * f.p) AS BIGINT) AS user_count")))
 
 
-def definitions(texts: DataFrame) -> DataFrame:
-    """``texts`` (``normalize_texts``) with ``def_key``: equal for texts of the same conditions in any order."""
-    return texts.selectExpr("*", "to_json(array_sort(array_distinct(transform(effective, "
-                                 "e -> named_struct('category', e.category, 'operator', e.operator, 'value', e.value))))) AS def_key")
-
-
 def count_segments(accounts: DataFrame, segments: DataFrame, collation: str | None = None) -> DataFrame:
     """C1 + D2 for all segments: ``segment_id, user_count, error_reason``.
     Invalid segments get count 0 and their reason; valid segments that match
     nothing get 0 (never null)."""
-    # Each distinct text is normalized once; the texts feed several branches.
-    texts = materialize(definitions(C.normalize_texts(segments, collation)))
+    # Each distinct text is normalized once and gets a short key that the
+    # checkpoint makes stable; the texts feed several branches.
+    texts = materialize(C.normalize_texts(segments, collation).withColumn("def_key", F.monotonically_increasing_id()))
     counts = texts.select("text", "error_reason", "def_key").join(keyed_counts(texts, accounts, collation), "def_key", "left")
     return (segments.select("segment_id", "conditions").join(counts, F.expr("conditions <=> text"))
             .selectExpr("segment_id", "CASE WHEN error_reason IS NULL THEN coalesce(user_count, 0L) ELSE 0L END AS user_count", "error_reason"))

@@ -38,10 +38,7 @@ def default_bounds(start: float = 1.0, stop: float = 300_000.0, per_octave: int
 
 def _same(left: str, right: str, by) -> Column:
     """Null-safe equality of the group columns of two aliased frames."""
-    out = F.lit(True)
-    for c in by:
-        out = out & F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
-    return out
+    return F.expr(" AND ".join(["true", *(f"{left}.`{c}` <=> {right}.`{c}`" for c in by)]))
 
 
 ACCURACY = 10_000            # of the quantile sketch: ranks are right within 1 / ACCURACY of the rows
@@ -56,54 +53,48 @@ def _bracketed(df: DataFrame, value: str, qs, by, stats=()) -> tuple[DataFrame,
     The rows outside the brackets are only counted; those inside are counted by
     value. ``_pos, _sub, _v`` rises with the value. The group's number of rows
     and ``stats`` are carried along, so that the sketch is read once."""
-    v = F.col(value).cast("double")
-    finite = F.when(F.isnan(v), F.lit(math.inf)).otherwise(v)          # NaN stands above all: in the brackets, with infinity
+    src = df.select(*by, F.col(value).cast("double").alias("_v"), *[F.col(c) for c in dict.fromkeys([value]) if c not in by])
+    src = src.selectExpr("*", "CASE WHEN isnan(_v) THEN double('Infinity') ELSE _v END AS _f")     # NaN stands above all: in the brackets, with infinity
     ends = [max(0.0, q - 4 / ACCURACY) for q in qs] + [min(1.0, q + 4 / ACCURACY) for q in qs]
-    sketch = df.groupBy(*by).agg(
-        F.count(v).alias("_n"), *stats, F.percentile_approx(finite, [float(e) for e in ends], ACCURACY).alias("_e"))
+    sketch = src.groupBy(*by).agg(F.expr("count(_v) AS _n"), *stats, F.expr(f"percentile_approx(_f, array({', '.join(f'{e!r}D' for e in ends)}), {ACCURACY}) AS _e"))
     carried = [c for c in sketch.columns if c not in by and c != "_e"]
 
-    def end(i: int) -> Column:
-        bound = F.col("_e")[i] if 0 < ends[i] < 1 else F.lit(-math.inf if i < len(qs) else math.inf)
-        return F.when(F.col("_n") >= ACCURACY, bound).otherwise(F.lit(-math.inf if i < len(qs) else math.inf))
-    sketch = sketch.select(*by, *carried, F.struct(*[end(i).alias(f"e{i}") for i in range(len(ends))]).alias("_e"))
-    rows = (df.select(*by, v.alias("_v"), finite.alias("_f")).alias("r")
-            .join(sketch.alias("s"), _same("r", "s", by)).select("r.*", *[f"s.{c}" for c in carried], "s._e"))
-    low, high = ([F.col(f"_e.e{i + k}") for i in range(len(qs))] for k in (0, len(qs)))
-    passed = [F.when(F.col("_f") >= x, 1).otherwise(0) for x in low] + [F.when(F.col("_f") > x, 1).otherwise(0) for x in high]
-    sub = None
-    for x, y in zip(low, high):
-        inside, share = F.col("_f").between(x, y), (F.col("_f") - x) / F.nullif(y - x, F.lit(0.0))
-        part = F.when((y - x < math.inf) & share.between(0.0, 1.0), F.floor(share * PARTS)).otherwise(F.lit(0))
-        sub = F.when(inside, part) if sub is None else sub.when(inside, part)
-    rows = rows.select(*by, *carried, sum(passed[1:], passed[0]).alias("_pos"), sub.cast("long").alias("_sub"),
-                       F.when(sub.isNotNull(), F.col("_v")).alias("_v"), F.when(F.col("_v").isNull(), 0).otherwise(1).cast("long").alias("_one"))
-    return rows.groupBy(*by, *carried, "_pos", "_sub", "_v").agg(F.sum("_one").alias("_c")), carried
+    def end(i: int) -> str:
+        side = "-Infinity" if i < len(qs) else "Infinity"
+        return f"CASE WHEN _n >= {ACCURACY} AND {'true' if 0 < ends[i] < 1 else 'false'} THEN _e[{i}] ELSE double('{side}') END AS e{i}"
+    sketch = sketch.selectExpr(*[f"`{c}`" for c in [*by, *carried]], *[end(i) for i in range(len(ends))])
+    rows = src.alias("r").join(sketch.alias("s"), _same("r", "s", by)).select("r.*", *[f"s.{c}" for c in carried], *[f"s.e{i}" for i in range(len(ends))])
+    pairs = [(f"e{i}", f"e{i + len(qs)}") for i in range(len(qs))]
+    passed = " + ".join(f"CASE WHEN _f >= {x} THEN 1 ELSE 0 END + CASE WHEN _f > {y} THEN 1 ELSE 0 END" for x, y in pairs)
+    sub = " ".join(f"WHEN _f BETWEEN {x} AND {y} THEN CASE WHEN {y} - {x} < double('Infinity') AND {y} > {x} "
+                   f"THEN CAST(floor((_f - {x}) / ({y} - {x}) * {PARTS}) AS BIGINT) ELSE 0L END" for x, y in pairs)
+    rows = rows.selectExpr(*[f"`{c}`" for c in [*by, *carried]], f"{passed} AS _pos", f"CASE {sub} END AS _sub", "_v", "_f").selectExpr(
+        *[f"`{c}`" for c in [*by, *carried]], "_pos", "_sub", "CASE WHEN _sub IS NOT NULL THEN _v END AS _v", "CASE WHEN _f IS NULL THEN 0L ELSE 1L END AS _one")
+    return rows.groupBy(*by, *carried, "_pos", "_sub", "_v").agg(F.expr("sum(_one) AS _c")), carried
 
 
 def _quantiles(df: DataFrame, value: str, qs, by, stats=()) -> DataFrame:
     """``by..., stats..., q, value``."""
     cells, carried = _bracketed(df, value, qs, by, stats)
-    parts = cells.groupBy(*by, *carried, "_pos", "_sub").agg(F.sum("_c").alias("_c"))
-    upto = F.sum("_c").over(Window.partitionBy(*by).orderBy("_pos", "_sub"))
-    pos = F.col("q") * (F.col("_n") - 1)
-    wanted = (parts.withColumn("_upto", upto).withColumn("q", F.explode(F.array(*[F.lit(float(q)) for q in qs])))
-              .select("*", F.explode(F.array(F.struct(F.floor(pos).alias("rank"), F.lit(False).alias("high")),
-                                             F.struct(F.ceil(pos).alias("rank"), F.lit(True).alias("high")))).alias("_w"))
-              .where((F.col("_n") == 0) | (F.col("_w.rank") < F.col("_upto")) & (F.col("_w.rank") >= F.col("_upto") - F.col("_c")))
-              .select(*by, *carried, "_pos", "_sub", "q", (pos - F.floor(pos)).alias("_part"), F.col("_w.high").alias("_high"),
-                      (F.col("_w.rank") - F.col("_upto") + F.col("_c")).alias("_rank")))
-    inner = F.sum("_c").over(Window.partitionBy(*by, "_pos", "_sub").orderBy("_v"))
-    keys = [*by, "_pos", "_sub"]
-    some = cells.select(*keys, "_v", "_c").alias("c").join(wanted.select(*keys).distinct().alias("w"), _same("c", "w", keys), "left_semi")
-    ordered = some.withColumn("_upto", inner)
-    found = wanted.alias("w").join(ordered.alias("c"), _same("w", "c", keys) & (F.col("w._rank") < F.col("c._upto"))
-                                   & (F.col("w._rank") >= F.col("c._upto") - F.col("c._c")), "left").select("w.*", "c._v")
-    checked = F.when(F.col("_v").isNull() & (F.col("_n") > 0), F.raise_error(F.lit("a rank stands outside its bracket")).cast("double")).otherwise(F.col("_v"))
-    low, high = F.max(F.when(~F.col("_high"), checked)), F.max(F.when(F.col("_high"), checked))
-    agg = found.groupBy(*by, *carried, "q", "_part").agg(low.alias("_lo"), high.alias("_hi"))
-    return agg.select(*by, *carried, "q", (F.col("_lo") + F.when(F.col("_part") > 0, F.col("_part") * (F.col("_hi") - F.col("_lo")))
-                                           .otherwise(F.lit(0.0))).alias("value"))
+    keys, names = ", ".join(f"`{c}`" for c in by), [f"`{c}`" for c in [*by, *carried]]
+    ordered = cells.selectExpr("*", f"sum(_c) OVER (PARTITION BY {keys}, _pos, _sub ORDER BY _v) AS _upto")
+    parts = ordered.groupBy(*by, *carried, "_pos", "_sub").agg(F.expr("max(_upto) AS _c"))             # dealt as the window's rows are
+    rank = "q * (_n - 1)"
+    wanted = (parts.selectExpr(*names, "_pos", "_sub", "_c", f"sum(_c) OVER (PARTITION BY {keys} ORDER BY _pos, _sub) AS _upto")
+              .selectExpr("*", f"explode(array({', '.join(f'{float(q)!r}D' for q in qs)})) AS q")
+              .selectExpr("*", f"explode(array(named_struct('rank', floor({rank}), 'high', false), named_struct('rank', ceil({rank}), 'high', true))) AS _w")
+              .where("_n = 0 OR (_w.rank < _upto AND _w.rank >= _upto - _c)")
+              .selectExpr(*names, "_pos", "_sub", "q", f"{rank} - floor({rank}) AS _part", "_w.high AS _high", "_w.rank - _upto + _c AS _rank"))
+    same = _same("w", "c", [*by, "_pos", "_sub"]) & F.expr("w._rank < c._upto AND w._rank >= c._upto - c._c")
+    found = wanted.alias("w").join(ordered.select(*by, "_pos", "_sub", "_v", "_c", "_upto").alias("c"), same, "left").select("w.*", "c._v")
+    found = found.selectExpr(*names, "q", "_part", "_high", "CASE WHEN _v IS NULL AND _n > 0 THEN raise_error('a rank stands outside its bracket') ELSE _v END AS _v")
+    agg = found.groupBy(*by, *carried, "q", "_part").agg(F.expr("max(CASE WHEN NOT _high THEN _v END) AS _lo"), F.expr("max(CASE WHEN _high THEN _v END) AS _hi"))
+    return agg.selectExpr(*names, "q", "_lo + CASE WHEN _part > 0 THEN _part * (_hi - _lo) ELSE 0.0D END AS value")
+
+
+def _one_group(df: DataFrame) -> DataFrame:
+    """A group column that Spark does not fold to a constant: joins on it stay equi-joins."""
+    return df.withColumn("_all", F.expr("spark_partition_id() < 0"))
 
 
 def exact_quantiles(df: DataFrame, value: str, qs=(0.5, 0.95, 0.99), by=()) -> DataFrame:
@@ -118,8 +109,7 @@ def exact_quantiles(df: DataFrame, value: str, qs=(0.5, 0.95, 0.99), by=()) -> D
     sorted. Groups are compared null-safe; nulls take no part, NaN stands above
     all. Returns ``(by..., q, value)``; a group without values has no row."""
     by = list(by)
-    src = df if by else df.withColumn("_all", F.lit(0))
-    return _quantiles(src, value, qs, by or ["_all"]).where("_n > 0").select(*by, "q", "value")
+    return _quantiles(df if by else _one_group(df), value, qs, by or ["_all"]).where("_n > 0").select(*by, "q", "value")
 
 
 def summary(df: DataFrame, value: str, by=()) -> DataFrame:
@@ -128,7 +118,7 @@ def summary(df: DataFrame, value: str, by=()) -> DataFrame:
     row (n = 0)."""
     v = F.col(value)
     keys = list(by) or ["_all"]
-    src = df if by else df.withColumn("_all", F.lit(0))
+    src = df if by else _one_group(df)
     stats = [F.count(v).alias("n"), F.round(F.sum(v), 6).alias("total"), F.round(F.avg(v), 6).alias("mean")]
     named = ((0.5, "p50"), (0.95, "p95"), (0.99, "p99"))
     out = _quantiles(src, value, [q for q, _ in named], keys, stats).groupBy(*keys, "n", "total", "mean").agg(

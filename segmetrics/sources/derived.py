@@ -120,8 +120,13 @@ CRASH_STATES = {"AUTOMOBILE": None, "BUILDING": S.PENDING, "FURNITURE": S.COUNTE
                 "HOUSEHOLD": S.INSERTED, "MACHINERY": "ORPHAN"}
 
 
+# Columns that are read; with a schema the read needs no job of its own.
+COLUMNS = {"customer": "c_custkey long, c_name string, c_nationkey int, c_mktsegment string", "nation": "n_nationkey int, n_name string",
+           "orders": "o_custkey long", "events": "event_id long, event_type string, value double"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:

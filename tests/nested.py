@@ -3,11 +3,11 @@
 from pyspark.sql import functions as F
 
 from segmetrics.functions import conditions as C
-from segmetrics.operators.counting import COLUMNS, definitions, account_cells
+from segmetrics.operators.counting import COLUMNS, account_cells
 
 
 def nested_counts(accounts, segments, collation=None):
-    norm = definitions(C.normalize_segments(segments, collation))
+    norm = C.normalize_segments(segments, collation).withColumn("def_key", F.to_json("effective"))
     cells = account_cells(accounts)
     defs = norm.where(F.col("error_reason").isNull()).dropDuplicates(["def_key"]).select("def_key", "effective")
     row = {c: F.col(c) for c in COLUMNS}

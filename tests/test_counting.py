@@ -186,7 +186,7 @@ def test_definitions_of_one_key_are_spread(spark):
     segs = _segments(spark, lists)
     got = {r.segment_id: r.user_count for r in counting.count_segments(acc, segs).collect()}
     assert got == {i: sum(x >= i for x in range(0, 4000, 3)) for i in range(2000)}
-    norm = counting.definitions(C.normalize_texts(segs))
+    norm = C.normalize_texts(segs).withColumn("def_key", F.col("text"))
     terms = counting.segment_terms(norm, counting.account_cells(acc))
     assert terms.select(*counting.KEY).distinct().count() == 1
     assert terms.select(F.shiftright("pos", counting.BLOCK_BITS)).distinct().count() >= 8
@@ -271,7 +271,7 @@ def test_cells_emit_one_row_for_each_level_in_use(spark):
     from segmetrics.functions import conditions as C
     cells = counting.account_cells(spark.createDataFrame(ACCOUNTS, ACCOUNT_SCHEMA))
     lists = [[{"category": "age", "operator": "GTE", "value": "18"}, {"category": "age", "operator": "LT", "value": "62"}], [{"category": "age", "operator": "GTE", "value": "35"}]]
-    texts = counting.definitions(C.normalize_texts(_segments(spark, lists)))
+    texts = C.normalize_texts(_segments(spark, lists)).withColumnRenamed("text", "def_key")
     terms = counting.segment_terms(texts, cells)
     used = {r.node // 2**33 for r in terms.where("node IS NOT NULL").select("node").collect()}
     assert used and max(used) <= 6
