@@ -8,7 +8,6 @@ windows of ``WINDOW`` bytes, all of them, many windows in step.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,11 +21,11 @@ HIDDEN = 8
 WINDOW = 128
 LANES = 2048                      # windows in step
 TRAIN_TEXTS = 400                 # labelled texts of each language, about
+TRAIN_TOTAL = 64 * TRAIN_TEXTS    # of all languages, which share it evenly where there are more than 64
 TRAIN_CHARS = 800                 # code points taken of each
-MAX_LANGUAGES = 64
 STEPS, BATCH, TRAIN_WINDOW, RATE = 300, 96, 48, 0.02
 UNDETERMINED = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+LETTER = r"\p{L}"
 
 
 @dataclass
@@ -186,8 +185,9 @@ def pooled(net: Network, texts: list[bytes]) -> np.ndarray:
     start = base + nth * WINDOW
     length = np.minimum(WINDOW, np.repeat(size, count) - nth * WINDOW)
     order = np.argsort(-length, kind="stable")                   # short windows together: a lane ends where its window ends
-    for lo in range(0, len(order), LANES):
-        at = order[lo:lo + LANES]
+    lanes = max(1, min(LANES, 16 * LANES // k))                  # many languages: fewer windows at once
+    for lo in range(0, len(order), lanes):
+        at = order[lo:lo + lanes]
         t = int(length[at[0]])
         inside = np.arange(t)[:, None] < length[at]
         x = np.where(inside, data[start[at] + np.arange(t)[:, None]], 32)
@@ -209,18 +209,17 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
     """
     rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.filter(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = dict(rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES + 1).collect())
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    counts = dict(rows.groupBy("lang").count().collect())
     languages = sorted(counts)
     if not languages:
         return Network.start(1).single(), [UNDETERMINED]
     spot = F.xxhash64(F.col("doc_id"))
-    share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, TRAIN_TEXTS / n)))])
+    each = max(1, min(TRAIN_TEXTS, TRAIN_TOTAL // len(languages)))
+    share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, each / n)))])
     at = F.pmod(spot, F.greatest(F.lit(1), F.length("text") - TRAIN_CHARS + 1)).cast("int") + 1
-    picked = (rows.filter(F.pmod(spot, F.lit(1_000_003)) < 1_000_003 * share[F.col("lang")]).filter(F.col("text").rlike(r"\p{L}"))
+    picked = (rows.filter(F.pmod(spot, F.lit(1_000_003)) < 1_000_003 * share[F.col("lang")]).filter(F.col("text").rlike(LETTER))
               .select("lang", F.substring("text", at, F.lit(TRAIN_CHARS)).alias("text"), spot.alias("spot"))
-              .orderBy("spot", "text").limit(2 * TRAIN_TEXTS * len(languages)).collect())
+              .orderBy("spot", "text").limit(2 * each * len(languages)).collect())
     net = train([r.text.encode() for r in picked], [languages.index(r.lang) for r in picked], len(languages))
     return net.single(), languages
 
@@ -237,7 +236,7 @@ def predict(df: DataFrame, net: Network, languages: list[str], id_col: str = "do
 
     def run(batches):
         for batch in parts(batches):
-            texts = [t if t is not None and _LETTER.search(t) else None for t in batch.column(1).to_pylist()]
+            texts = [t if letter else None for t, letter in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
             p = pooled(net, [(t or "").encode() for t in texts])
             best = p.argmax(1)
             yield pa.RecordBatch.from_arrays(
@@ -248,4 +247,5 @@ def predict(df: DataFrame, net: Network, languages: list[str], id_col: str = "do
 
     schema = f"doc_id {kind}, lang_pred string, score double, scores array<double>" + "".join(
         f", `{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
-    return small_batches(df).select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"), *keep).mapInArrow(run, schema)
+    return small_batches(df).select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"),
+                                   F.col(text_col).cast("string").rlike(LETTER).alias("__letter"), *keep).mapInArrow(run, schema)

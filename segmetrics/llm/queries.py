@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +10,7 @@ from segmetrics.llm.common import table
 
 QUERIES = {}
 ORACLE_SQL = {}
-TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def query(f):

@@ -116,11 +116,20 @@ def test_held_out_accuracy(spark):
     assert len(ok) > 200 and sum(ok) / len(ok) > 0.95
 
 
+def test_many_languages_share_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(langid, "TRAIN_TOTAL", 80)
+    words = [f"{chr(97 + k // 8)}{chr(97 + k % 8)}z" for k in range(70)]
+    df = spark.createDataFrame([(70 * i + k, f"{w} " * 40, w) for i in range(4) for k, w in enumerate(words)], "doc_id long, text string, lang string")
+    net, languages = fit(df)
+    assert languages == sorted(words) and len(net.bias) == 70
+    assert {r.lang_pred for r in predict(df, net, languages).collect()} <= set(words)
+
+
 def test_language_odd(spark):
-    rows = [(1, None, "en"), (2, "", None), (3, "12 + 34", "en"), (4, "the and of " * 30_000, "en"), (None, "le la les", "fr"), (6, "ü", None)]
+    rows = [(7, "½ ²", "de"), (8, "Ⅷ ٣", "en"), (1, None, "en"), (2, "", None), (3, "12 + 34", "en"), (4, "the and of " * 30_000, "en"), (None, "le la les", "fr"), (6, "ü", None)]
     df = spark.createDataFrame([(i, t, x, "k") for i, t, x in rows], "doc_id long, text string, lang string, score string")
     got = [(r.doc_id, r.lang_pred, r.score) for r in predict(df, *fit(df)).collect()]
-    assert {i: p for i, p, _ in got if i in (1, 2, 3)} == {1: "und", 2: "und", 3: "und"} and len(got) == 6
+    assert {i: p for i, p, _ in got if i in (1, 2, 3, 7, 8)} == dict.fromkeys((1, 2, 3, 7, 8), "und") and len(got) == 8
     assert predict(df.limit(0), *fit(df.limit(0))).count() == 0
 
 
