@@ -7,13 +7,13 @@ written as Parquet to the shared folder and read again by the next one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segmetrics.llm.bpe import encode_decode
 from segmetrics.llm.common import stored, table
 from segmetrics.llm.decontaminate import find_contamination
-from segmetrics.llm.langid import fit, predict
+from segmetrics.llm.langid import UNDETERMINED, fit, predict
 from segmetrics.llm.line_dedup import dedup_lines
 from segmetrics.llm.ngram_join import link_documents
 from segmetrics.llm.queries import TOKENIZER
@@ -21,14 +21,16 @@ from segmetrics.llm.queries import TOKENIZER
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without a letter (and null ones) go.
+MIN_SCORE = 0.35          # of the likeliest language: below it the network sees no language in a text's bytes
+
 
-    The network is run on every text, but it has no part in the stage's result:
-    no prediction and no score removes a text or changes a column.
-    """
-    kept = predict(docs, *fit(docs), keep=["text", "lang", "source", "n_chars"])
-    return kept.filter(F.size("scores") > 0).select(COLUMNS)
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without a language go: null texts, texts without a letter, and those whose likeliest language has a pooled
+    probability below MIN_SCORE (and below one and a half times an even share, where there are few languages)."""
+    net, languages = fit(docs)
+    least = min(MIN_SCORE, 1.5 / len(languages)) if len(languages) > 1 else 0.0
+    kept = predict(docs, net, languages, keep=["text", "lang", "source", "n_chars"])
+    return kept.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least) if languages != [UNDETERMINED] else F.size("scores") > 0).select(COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,10 +38,23 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return dedup_lines(docs, keep=["lang", "source"]).withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)
 
 
+def row_key() -> Column:
+    """Text that sorts as doc_id (null last), then tells different texts of one id apart; equal rows share it."""
+    place = F.lpad((F.col("doc_id").cast("decimal(20,0)") + F.lit(2**63).cast("decimal(20,0)")).cast("string"), 20, "0")
+    return F.concat(F.coalesce(place, F.lit("~")), F.lit(":"), F.hex(F.xxhash64("text")), F.when(F.col("text").isNull(), "-").otherwise("+"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates stays."""
-    gone = link_documents(docs).filter(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
-    return docs.select(COLUMNS).join(gone, "doc_id", "left_anti")
+    """One row of each group of near duplicates stays: that of the smallest id; of several texts of this id the smallest
+    hash, of equal rows any. Rows are told apart by id and text, so an id that stands for a copy and for a text of its
+    own loses only the copy."""
+    keyed = docs.select(COLUMNS).withColumn("key", row_key())
+    linked = link_documents(keyed, id_col="key").groupBy(F.col("doc_id").alias("key")).agg(
+        F.min("component_id").alias("first"), F.count("*").alias("times"))
+    odd = stored(linked.filter("first <> key OR times > 1"))                     # copies, and rows that repeat
+    alone = keyed.join(odd.select("key"), "key", "left_anti")
+    repeated = keyed.join(odd.filter("first = key").select("key"), "key", "left_semi").dropDuplicates(["key"])
+    return alone.unionByName(repeated).select(COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
