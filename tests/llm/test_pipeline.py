@@ -47,8 +47,38 @@ def test_odd_rows(spark, tmp_path):
     base = str(tmp_path)
     spark.createDataFrame([(*r, "x", "y") for r in rows], schema).write.parquet(f"{base}/documents.parquet")
     spark.createDataFrame([(1, None), (2, "!!")], "item_id long, text string").write.parquet(f"{base}/benchmark.parquet")
-    assert sorted(r.doc_id or 0 for r in P.run(spark, base).collect()) == [0, 4, 5, 5]
+    assert sorted(r.doc_id or 0 for r in P.run(spark, base).collect()) == [0, 4, 5]
     other = str(tmp_path / "none")
     spark.createDataFrame([], schema).write.parquet(f"{other}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{other}/benchmark.parquet")
     assert P.run(spark, other).count() == 0
+
+
+def test_repeated_ids_lose_only_copies(spark):
+    """An id that stands for a copy of document 1 and for a text of its own; equal rows; two near copies under one id."""
+    one, own, other = ("the cat and the dog went to the river on a sunny day of may " * 2 + x for x in ("a b", "c d", "e f"))
+    own = "a text of its own that nobody else in this table has written down before " + own[-3:]
+    near = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, one), (5, one), (5, own), (8, "equal rows of one id that stand in the table twice"), (8, "equal rows of one id that stand in the table twice"),
+            (9, near), (9, near + " more"), (None, one), (None, "no id but a text that is its own here"), (-3, other + " far apart"), (11, None), (12, "")]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(((r.doc_id, r.text) for r in P.near_duplicates(spark, df, "").collect()), key=str)
+    kept9 = [t for i, t in got if i == 9]
+    assert len(kept9) == 1 and kept9[0] in (near, near + " more")
+    linked = brute_components([(1, one), (-3, other + " far apart")])
+    want = [(5, own), (8, rows[3][1]), (None, rows[8][1]), (-3, other + " far apart"), (11, None), (12, "")] + ([(1, one)] if linked[0][2] == 1 else [])
+    assert sorted(((i, t) for i, t in got if i != 9), key=str) == sorted(want, key=str)
+
+
+def test_texts_without_a_language_go(spark):
+    """The network has its say: bytes that look like no language, half of them like each, are rejected; clean texts stay."""
+    import random
+    g = random.Random(2)
+    words = {"aa": ["alba", "sol", "mar"], "bb": ["xyk", "qwz", "jvv"], "cc": ["öäü", "ßñé", "çøå"]}
+    rows = [(i, " ".join(g.choices(words[x], k=60)), x) for i, x in enumerate(["aa", "bb", "cc"] * 40)]
+    rows += [(1000, "12 34", "aa"), (1001, None, "aa")]
+    df = spark.createDataFrame([(i, t, x, "s", 1) for i, t, x in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id for r in P.language_id(spark, df, "").collect()}
+    assert kept == set(range(120))
+    flat = P.predict(df, P.fit(df)[0], ["aa", "bb", "cc"]).filter("doc_id = 1000").first()
+    assert flat.score == 0.0 and P.MIN_SCORE > 1 / 3
