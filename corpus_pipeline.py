@@ -40,7 +40,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def row_key() -> Column:
     """Text that sorts as doc_id (null last), then tells different texts of one id apart; equal rows share it."""
-    place = F.lpad((F.col("doc_id").cast("decimal(20,0)") + F.lit(2**63).cast("decimal(20,0)")).cast("string"), 20, "0")
+    place = F.lpad(F.expr("CAST(CAST(doc_id AS DECIMAL(20, 0)) + 9223372036854775808BD AS STRING)"), 20, "0")
     return F.concat(F.coalesce(place, F.lit("~")), F.lit(":"), F.hex(F.xxhash64("text")), F.when(F.col("text").isNull(), "-").otherwise("+"))
 
 
