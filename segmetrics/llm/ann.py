@@ -11,7 +11,11 @@ products and the shards' best are merged.
 
 ``k`` follows the number of vectors; ``probes`` is the smallest number that
 finds ``TARGET`` of the true neighbours of ``SAMPLE`` queries, whose neighbours
-are found by one exact pass over all vectors.
+are found by one exact pass over all vectors. That number serves most queries,
+not those that lie apart: a query is unsure if it found too few vectors, or if
+a vector as far away as its last one is met by the probes with a probability
+below ``SURE``. Unsure queries are searched again, exactly, in blocks of
+``BLOCK`` queries against all vectors.
 """
 
 from __future__ import annotations
@@ -31,9 +35,14 @@ TABLES = 8
 WIDTH = 2.0                   # of a cell, in standard deviations of a projection
 BUCKET = 8                    # vectors aimed at in a bucket
 SHARD = 4096                  # vectors aimed at in a shard
+TOP = "q long, reps array<long>, scores array<double>"
 SAMPLE = 64                   # queries for choosing the number of probes
 TARGET = 0.96
-MAX_MOVES = 20_000            # perturbations that are ordered for each query and table
+MAX_MOVES = 20_000            # perturbations that are ordered for each query and table; what lies beyond makes a query unsure
+SURE = 0.85                   # probability with which the last neighbour's distance is to be met
+DRAWS = 300                   # of that probability's estimate, for each distance
+BLOCK = 4096                  # unsure queries of one exact pass
+TILE = 2_000_000              # scores that a task holds at once
 
 
 def _dense(rows: list[bytes], dims: int) -> np.ndarray:
@@ -96,6 +105,73 @@ class Index:
         return np.stack([self.buckets(cell.astype(np.int64) + self.moves[near[:, j]]) for j in range(count)], 1)
 
 
+def met(index: Index, count: int, distances: np.ndarray, seed: int = 3) -> np.ndarray:
+    """The probability that a vector at such a distance of a query stands in one of its ``count`` probed buckets of some table.
+
+    Projections of p-stable functions differ by a normal variable times the
+    distance, whatever the data are, so the probes of random places tell it.
+    """
+    g = np.random.default_rng(seed)
+    at = g.uniform(size=(DRAWS, index.k))
+    up, down = (1 - at) ** 2, at ** 2
+    cost = np.sort(up @ (index.moves == 1).T + down @ (index.moves == -1).T, 1)
+    last = cost[:, min(count, cost.shape[1]) - 1]                       # the dearest probe of each place
+    shift = g.normal(size=(DRAWS, index.k))
+    out = []
+    for d in distances:
+        move = np.floor(at + shift * d / WIDTH)
+        spent = (up * (move == 1) + down * (move == -1)).sum(1)
+        out.append(((np.abs(move) <= 1).all(1) & (spent <= last + 1e-12) & ((move != 0).sum(1) <= (index.moves != 0).sum(1).max())).mean())
+    return 1 - (1 - np.array(out)) ** TABLES
+
+
+def _exact(every: DataFrame, asked: list, dims: int, n: int) -> DataFrame:
+    """``q, reps, scores``: each task's ``n`` best vectors of a block of queries."""
+    reps, packed = np.array([r.rep for r in asked]), [r.vec for r in asked]
+
+    def scan(batches):
+        qv = _dense(packed, dims)
+        best: list = [(np.zeros(0, np.int64), np.zeros(0))] * len(reps)
+        bar = np.full(len(reps), -np.inf)                               # the n-th best score so far
+        for batch in batches:
+            own = batch.column(0).to_numpy(zero_copy_only=False)
+            step = max(1, TILE // len(reps))
+            for lo in range(0, batch.num_rows, step):
+                part = batch.slice(lo, step)
+                s, ids = qv @ _dense(part.column(1).to_pylist(), dims).T, own[lo:lo + step]
+                for i in np.flatnonzero((s >= bar[:, None]).any(1)):
+                    hit = s[i] >= bar[i]
+                    r, x = np.concatenate((best[i][0], ids[hit])), np.concatenate((best[i][1], s[i][hit]))
+                    at = _best(x, r, n)
+                    best[i] = r[at], x[at]
+                    if len(at) == n:
+                        bar[i] = x[at[-1]]
+        yield pa.RecordBatch.from_arrays([pa.array(reps), pa.array([b[0] for b in best], pa.list_(pa.int64())), pa.array([b[1] for b in best], pa.list_(pa.float64()))],
+                                         names=["q", "reps", "scores"])
+
+    return every.select("rep", "vec").mapInArrow(scan, TOP)
+
+
+def _unsure(best: DataFrame, queries: DataFrame, index: Index, count: int, n: int, n_vectors: int) -> DataFrame:
+    """``rep, vec`` of the queries that found fewer than ``n`` vectors (and not all there are), or whose last one is too far away to be sure of."""
+    grid = np.linspace(0.02, 2.0, 100)
+    sure = met(index, count, grid)
+    far = float(grid[:int(np.argmax(sure < SURE))][-1]) if (sure < SURE).any() and sure[0] >= SURE else (0.0 if sure[0] < SURE else 2.0)
+
+    def lowest(vec: bytes) -> float:
+        """The score of a vector of the largest norm at the distance ``far`` of a query."""
+        return float(np.linalg.norm(np.frombuffer(vec, "<f8"))) * index.scale * (1 - far * far / 2)
+
+    def judge(batches):
+        for batch in batches:
+            want = min(n, n_vectors)
+            bad = [i for i, (vec, s) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()))
+                   if s is None or len(s) < want or min(s) < lowest(vec)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(bad, pa.int64())), batch.column(1).take(pa.array(bad, pa.int64()))], names=["rep", "vec"])
+
+    return queries.join(best.select(F.col("q").alias("rep"), "scores"), "rep", "left").select("rep", "vec", "scores").mapInArrow(judge, "rep long, vec binary")
+
+
 def _valid(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """``id, vec`` (packed doubles) of the vectors that take part."""
     def pack(batches):
@@ -140,7 +216,6 @@ def _best(scores: np.ndarray, ids: np.ndarray, n: int) -> np.ndarray:
     return at[np.lexsort((ids[at], -scores[at]))[:n]]
 
 
-TOP = "q long, reps array<long>, scores array<double>"
 
 
 def _merged(top: DataFrame, n: int, groups: int) -> DataFrame:
@@ -206,6 +281,8 @@ def _choose(every: DataFrame, queries: DataFrame, dims: int, scale: float, n_vec
 def nearest(df: DataFrame, every_nth: int = 20, n: int = 20, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``n`` nearest found of each vector whose id is divisible by ``every_nth``.
 
+    The probes find at least nine in ten of the true ones overall, and queries
+    that the probes serve badly are searched exactly.
     Nearest first by inner product in double precision on the given vectors,
     ties to the smaller id, the query's own row left out. Null ids and vectors
     that are null, empty, zero or hold null or non-finite components take no
@@ -286,7 +363,17 @@ def nearest(df: DataFrame, every_nth: int = 20, n: int = 20, id_col: str = "vec_
         return pd.DataFrame(out, columns=["q", "reps", "scores"])
 
     top = members.groupBy("t", "s", "part").cogroup(asks.groupBy("t", "s", "part")).applyInPandas(rank, TOP)
-    best = _merged(top, m, max(1, shards))
+    best = stored(_merged(top, m, max(1, shards)))
+    again = stored(_unsure(best, queries, index, count, m, n_vectors))
+    blocks = -(-again.count() // BLOCK)
+    exact = None
+    for b in range(blocks):
+        block = again.filter(F.pmod(F.xxhash64("rep"), F.lit(blocks)) == b).collect()
+        if block:
+            more = stored(_merged(_exact(every, block, dims, m), m, max(1, shards)))
+            exact = more if exact is None else exact.unionByName(more)
+    if exact is not None:
+        best = best.join(again.select(F.col("rep").alias("q")), "q", "left_anti").unionByName(exact)
     found = (best.select("q", F.explode(F.arrays_zip("reps", "scores")).alias("x")).select("q", F.col("x.reps").alias("rep"), F.col("x.scores").alias("score"))
              .join(every.select("rep", "ids"), "rep").select("q", F.explode("ids").alias("vec_id"), "score"))
     pairs = asked.select(F.col("id").alias("query_id"), F.col("rep").alias("q")).join(found, "q").filter(F.col("vec_id") != F.col("query_id"))

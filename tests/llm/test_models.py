@@ -50,6 +50,40 @@ def test_neighbours_whole_table(spark):
             assert i != q and abs(np.dot(np.array(vectors[q]), np.array(vectors[i])) - s) < 1e-12
 
 
+def test_isolated_queries_are_served_too(spark):
+    """Clustered vectors with a few far from every cluster: no query is left with few of its neighbours."""
+    g = np.random.default_rng(12)
+    centres = g.normal(size=(30, 24))
+    x = centres[g.integers(0, 30, 3000)] + g.normal(size=(3000, 24)) * 0.08
+    alone = [20 * i for i in range(0, 12)]
+    x[alone] = g.normal(size=(12, 24)) * 1.3
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    got, want = by_query(nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))), brute(rows)
+    each = sorted(len({i for i, _ in got[q]} & {i for i, _ in w}) / len(w) for q, w in want.items())
+    assert np.mean(each) >= 0.95 and np.mean(each[:len(each) // 10]) >= 0.9 and all(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) >= 18 for q in alone)
+
+
+def test_probability_of_being_met_falls_with_the_distance():
+    from segmetrics.llm.ann import Index, met
+
+    index = Index(16, 1.0, 6)
+    p = met(index, 40, np.array([0.05, 0.3, 0.8, 1.4, 2.0]))
+    assert p[0] > 0.99 and all(a >= b - 0.02 for a, b in zip(p, p[1:])) and p[-1] < p[0]
+    g = np.random.default_rng(4)
+    q = g.normal(size=(200, 16))
+    q /= np.linalg.norm(q, axis=1, keepdims=True)
+    u = g.normal(size=(200, 16))
+    u -= (u * q).sum(1, keepdims=True) * q
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    angle = 2 * np.arcsin(0.8 / 2)
+    x = np.cos(angle) * q + np.sin(angle) * u                                        # at distance 0.8 of q
+    hit = np.zeros(200, bool)
+    for t in range(8):
+        own = index.buckets(np.floor(index.places(x, False, t)))
+        hit |= (index.probes(q, t, 40) == own[:, None]).any(1)
+    assert abs(hit.mean() - p[2]) < 0.12
+
+
 def test_neighbours_odd(spark):
     g = np.random.default_rng(3)
     rows = [(i, (g.normal(size=4) * g.uniform(0.1, 9)).tolist()) for i in range(1, 30)]
