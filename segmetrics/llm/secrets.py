@@ -31,6 +31,7 @@ CANDIDATE = "|".join((r"SG\.[A-Za-z0-9_\-]{16,}\.[A-Za-z0-9_\-]{16,}", r"eyJ[A-Z
                       rf"(?<=://){_USER}(?=@)", _RUN + "(?![!@$%^*~])", rf"{_AFTER_NAME}(?![=:>]){VALUE}{{{LEAST - 1},}}{VALUE}(?<![.:?])", _RUN))
 NAMED = "(?i)(?:" + "|".join(NAMES) + r")[\"'`]?"
 ASSIGN = r"\s*(?::|=|:=|=>)"
+NEAR = 64                          # characters of what stands before and behind a candidate that its features look at
 TRAIN_FINDINGS = 20_000            # labelled findings of each label that train the forest, at most
 TREES, DEPTH, SEED = 24, 6, 17
 
@@ -86,15 +87,24 @@ def candidates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         | ((F.startswith(word(i), F.lit("=")) | F.startswith(word(i), F.lit(":"))) & F.rlike(word(i - 1), F.lit(NAMED + "$"))), F.lit(False))
     at = F.filter(F.sequence(F.lit(0), F.size("w") - 1), lambda i: inside(i) | given(i))
     near = lambda i, k: F.coalesce(F.get("w", i + k), F.lit(""))
-    found = F.transform(at, lambda i: F.struct(i.alias("word"), F.get("w", i).alias("held"), F.concat_ws(" ", near(i, -3), near(i, -2), near(i, -1)).alias("before"),
-                                               near(i, -1).alias("last"), near(i, 1).alias("after"), given(i).alias("given")))
+    end, start = (lambda c: F.substring(c, -NEAR, NEAR)), (lambda c: F.substring(c, 1, NEAR))
+    found = F.transform(at, lambda i: F.struct(i.alias("word"), F.get("w", i).alias("held"), F.concat_ws(" ", end(near(i, -3)), end(near(i, -2)), end(near(i, -1))).alias("before"),
+                                               end(near(i, -1)).alias("last"), start(near(i, 1)).alias("after"), given(i).alias("given")))
     rows = rows.select("doc_id", F.explode(found).alias("x")).select("doc_id", "x.*")
-    rows = rows.withColumn("in_word", F.regexp_extract_all("held", F.lit(CANDIDATE), F.lit(0)))
-    value = F.regexp_extract("held", rf"^[=:>]*[\"'`]?({VALUE}{{{LEAST - 1},}}{VALUE}(?<![.:?]))", 1)
-    more = F.when(F.col("given") & (value != "") & ~F.exists("in_word", lambda x: F.contains(x, value)), F.array(value)).otherwise(F.array().cast("array<string>"))
-    rows = rows.select("*", F.posexplode(F.concat("in_word", more)).alias("nth", "finding"))
-    c, held = F.col("finding"), F.col("held")
-    lead = F.call_function("substring_index", held, c, F.lit(1))
+    held = F.col("held")
+    # a word is read a fixed number of times, whatever it holds: its candidates take along what stands before them
+    rows = rows.select("*", F.regexp_extract_all("held", F.lit(CANDIDATE), F.lit(0)).alias("in_word"), F.split("held", CANDIDATE, -1).alias("between"),
+                       (F.length(held) - F.length(F.replace(held, F.lit("/"), F.lit("")))).cast("double").alias("slashes"),
+                       held.rlike(r"(?i)(://|www\.|\.(com|org|net|html?|php|png|jpe?g|gif|js|css)\b)").alias("linked"))
+    begin = rf"^([=:>]*[\"'`]?)({VALUE}{{{LEAST - 1},}}{VALUE}(?<![.:?]))"
+    value = F.regexp_extract("held", begin, 2)
+    own = F.transform("in_word", lambda c, j: F.struct(c.alias("finding"), F.concat(
+        end(F.coalesce(F.get("in_word", j - 1), F.lit(""))), end(F.get("between", j))).alias("lead")))
+    more = F.when(F.col("given") & (value != "") & ~F.exists("in_word", lambda x: F.contains(x, value)),
+                  F.array(F.struct(value.alias("finding"), F.regexp_extract("held", begin, 1).alias("lead")))).otherwise(F.array().cast("array<struct<finding:string,lead:string>>"))
+    rows = rows.select("doc_id", "word", "before", "last", "after", "slashes", "linked", F.posexplode(F.concat(own, more)).alias("nth", "x"))
+    rows = rows.select("*", "x.finding", "x.lead")
+    c, lead = F.col("finding"), F.col("lead")
     user = lead.endswith("://") & c.contains(":")                      # user:password of a link, not a part of its path
     plain = r"^[\p{L}'’]+[.,;:!?)]*$"
     rows = rows.select(
@@ -104,8 +114,7 @@ def candidates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         _runs(c, [("[a-z]", "a"), ("[A-Z]", "A"), ("[0-9]", "0"), ("[^aA0]", "-")]).alias("transitions"),
         _runs(c, [("(?i)[aeiouy]", "1"), ("[A-Za-z]", "2"), ("[^12]", "3")]).alias("vowel_changes"),
         _share(c, "(?i)(" + "|".join(sorted(DICTIONARY, key=lambda x: (-len(x), x))) + ")").alias("coverage"),
-        (F.length(held) - F.length(F.replace(held, F.lit("/"), F.lit("")))).cast("double").alias("slashes"),
-        (held.rlike(r"(?i)(://|www\.|\.(com|org|net|html?|php|png|jpe?g|gif|js|css)\b)") & ~user).cast("double").alias("in_link"),
+        "slashes", (F.col("linked") & ~user).cast("double").alias("in_link"),
         (lead.rlike(r"[=:]") | F.col("last").rlike(r"[=:]$")).cast("double").alias("assigned"),
         lead.rlike("[\"'`]$").cast("double").alias("quoted"), F.concat_ws(" ", "before", lead).rlike(KEY_WORDS).cast("double").alias("key_before"),
         F.col("last").rlike(plain).cast("double").alias("word_before"), F.col("after").rlike(plain).cast("double").alias("word_after"))
@@ -129,7 +138,9 @@ def train_forest(found: DataFrame, labelled: DataFrame | None = None):
         rows = rows.dropDuplicates(["finding", "label"]).withColumn("h", F.xxhash64("finding"))
     else:
         rows = rows.withColumn("h", F.xxhash64(*FEATURES))
-    one = lambda k: rows.filter(F.col("label") == k).orderBy("h", *FEATURES).limit(TRAIN_FINDINGS).select(F.col("label").cast("double"), *FEATURES)
+    held = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    few = lambda k: F.pmod("h", F.lit(1_000_003)) < 1_000_003 * min(1.0, 1.2 * TRAIN_FINDINGS / max(1, held.get(k, 0)))  # noqa: E731  before the sort
+    one = lambda k: rows.filter(F.col("label") == k).filter(few(k)).orderBy("h", *FEATURES).limit(TRAIN_FINDINGS).select(F.col("label").cast("double"), *FEATURES)
     sample = stored(one(1).union(one(0)))
     count = {int(r["label"]): r["count"] for r in sample.groupBy("label").count().collect()}
     if len(count) < 2:

@@ -68,3 +68,22 @@ def test_short_values_links_and_dotted_keys(spark):
         got.setdefault(r.doc_id, []).append(r.finding)
     assert got == {i: [x] for i, (_, x) in enumerate(want) if x}
     assert {r.kind for r in rows if r.doc_id in (3, 10)} == {"sendgrid-key", "aws-access-key"}
+
+
+def test_long_words_are_scanned_in_linear_time(spark):
+    """One word of many keys (minified JSON): time grows with its length, each finding has the surroundings of its own place."""
+    import time
+
+    def page(n):
+        return "{" + ",".join(f'"token{i}":"a9F3kQ7zX1{i:06d}","n":"plainlowercasewordhere"' for i in range(n)) + "}"
+    took = []
+    for n in (1, 1500, 3000):
+        df = spark.createDataFrame([(1, page(n))], "doc_id long, text string")
+        start = time.time()
+        got = candidates(df).collect()
+        took.append(time.time() - start)
+        assert len(got) >= 2 * n and {r.word for r in got} == {0}
+    assert took[2] < 10
+    twice = spark.createDataFrame([(1, 'x="ABCDEFGH12345678zz" and(token="ABCDEFGH12345678zz",v:ABCDEFGH12345678zz)')], "doc_id long, text string")
+    rows = sorted((r.word, r.nth, r.quoted, r.key_before) for r in candidates(twice).collect())
+    assert rows == [(0, 0, 1.0, 0.0), (1, 0, 1.0, 1.0), (1, 1, 0.0, 0.0)]
