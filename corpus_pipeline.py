@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from segmetrics.llm.bpe import encode_decode
 from segmetrics.llm.common import stored, table
 from segmetrics.llm.decontaminate import find_contamination
-from segmetrics.llm.langid import UNDETERMINED, fit, predict
+from segmetrics.llm.langid import fit, predict
 from segmetrics.llm.line_dedup import dedup_lines
 from segmetrics.llm.ngram_join import link_documents
 from segmetrics.llm.queries import TOKENIZER
@@ -21,16 +21,17 @@ from segmetrics.llm.queries import TOKENIZER
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-MIN_SCORE = 0.35          # of the likeliest language: below it the network sees no language in a text's bytes
+MIN_SCORE = 0.3           # of the likeliest language: below it the network sees no language in a text's bytes
+MIN_BYTES = 256           # two windows of the network; of a shorter text the score says too little to reject it
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without a language go: null texts, texts without a letter, and those whose likeliest language has a pooled
-    probability below MIN_SCORE (and below one and a half times an even share, where there are few languages)."""
+    """Texts without a language go: null texts, texts without a letter, and those of MIN_BYTES or more whose likeliest
+    language has a pooled probability below MIN_SCORE."""
     net, languages = fit(docs)
-    least = min(MIN_SCORE, 1.5 / len(languages)) if len(languages) > 1 else 0.0
     kept = predict(docs, net, languages, keep=["text", "lang", "source", "n_chars"])
-    return kept.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least) if languages != [UNDETERMINED] else F.size("scores") > 0).select(COLUMNS)
+    likely = (F.col("score") >= MIN_SCORE) | (F.octet_length("text") < MIN_BYTES)
+    return kept.filter((F.size("scores") > 0) & likely).select(COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
