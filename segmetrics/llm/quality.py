@@ -134,8 +134,8 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
     if not total:
         return []
     cut = min(1 << 30, -(-fit_rows * (1 << 30) // total))
-    known = known.filter(F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) < cut)
-    texts = df.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")).join(known, "_id")
+    chosen = F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) < cut                # of texts too, before they are dealt out
+    texts = df.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")).filter(chosen).join(known.filter(chosen), "_id")
     rows = statistics(texts, "_text").filter(~base_failed(F.col("stats"))).select(
         "bad", (F.pmod(F.crc32(F.col("_id").cast("string")), F.lit(3)) == 0).alias("last"), F.col("stats.features").alias("f"))
     rows = stored(rows)
