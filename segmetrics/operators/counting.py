@@ -44,7 +44,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import schemas as S
