@@ -7,7 +7,7 @@ written as Parquet to the shared folder and read again by the next one.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from segmetrics.llm.bpe import encode_decode
@@ -52,10 +52,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     keyed = docs.select(COLUMNS).withColumn("key", row_key())
     linked = link_documents(keyed, id_col="key").groupBy(F.col("doc_id").alias("key")).agg(
         F.min("component_id").alias("first"), F.count("*").alias("times"))
-    odd = stored(linked.filter("first <> key OR times > 1"))                     # copies, and rows that repeat
-    alone = keyed.join(odd.select("key"), "key", "left_anti")
-    repeated = keyed.join(odd.filter("first = key").select("key"), "key", "left_semi").dropDuplicates(["key"])
-    return alone.unionByName(repeated).select(COLUMNS)
+    odd = linked.filter("first <> key OR times > 1").select("key", "first")      # copies, and rows that repeat
+    # one shuffle of the texts: the rows that stay are numbered where the join has put them
+    stay = keyed.join(stored(odd), "key", "left").filter("first IS NULL OR first = key")
+    nth = F.row_number().over(Window.partitionBy("key").orderBy("key"))
+    return stay.withColumn("nth", nth).filter("nth = 1").select(COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
