@@ -223,7 +223,13 @@ def segment_ids(spark, count: int = 5000) -> DataFrame:
 def backfill_history(segments: DataFrame, start: dt.date = HISTORY_START,
                      end: dt.date = HISTORY_END) -> DataFrame:
     """Every segment x every day in [start, end], all INSERTED, with
-    ``user_count = 1000 + (s*7 % 5000) + (dayofyear(d) % 100)``."""
+    ``user_count = 1000 + (s*7 % 5000) + (dayofyear(d) % 100)``. The segments are
+    dealt out before each becomes 120 rows: a table of few files or row groups
+    would leave all days to as few tasks. Ranges keep neighbours together, which
+    spares a later sort by segment; the number is given, since AQE would reduce
+    it by the size of the ids alone."""
+    parts = int(segments.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    segments = segments.select("segment_id").repartitionByRange(parts, "segment_id")
     days = F.sequence(F.lit(start), F.lit(end), F.expr("INTERVAL 1 DAY"))
     s = F.col("segment_id")
     return (segments.select(s, F.explode(days).alias("metric_date"))

@@ -25,6 +25,9 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..session import materialize
 
+# Sort order of the files of a day and of a closed month; the first column is the partition.
+DAY_ORDER, MONTH_ORDER = ["metric_date", "segment_id"], ["month", "segment_id", "metric_date"]
+
 
 def read_accounts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(S.ACCOUNT).parquet(path)
@@ -138,7 +141,7 @@ def write_day(rows: DataFrame, path: str, rows_per_file: int = 2_000_000) -> dic
         both = materialize(old.unionByName(new))             # it replaces what it reads
         _add(counts, _write_months(both, path, rows_per_file, F.col("metric_date").isin(late)))
         rows = rows.where(~F.col("metric_date").isin(late))
-    _add(counts, _write(rows, path, "metric_date", ["metric_date", "segment_id"], rows_per_file, F.lit(True)))
+    _add(counts, _write(rows.repartitionByRange(*DAY_ORDER), path, DAY_ORDER, rows_per_file, F.lit(True)))
     return counts
 
 
@@ -147,18 +150,27 @@ def _add(counts: dict[str, int], more: dict[str, int]) -> None:
         counts[k] += more[k] or 0
 
 
-def _write(rows: DataFrame, path: str, partition: str, order: list[str], rows_per_file: int, counted) -> dict[str, int]:
+def _write(dealt: DataFrame, path: str, order: list[str], rows_per_file: int, counted) -> dict[str, int]:
     seen = Observation()
-    (rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    (dealt.sortWithinPartitions(*order)
      .observe(seen, F.count_if(counted).alias("rows"), F.count_if(counted & F.col("error_reason").isNotNull()).alias("errors"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", rows_per_file)
-     .partitionBy(partition).parquet(path))
+     .partitionBy(order[0]).parquet(path))
     return seen.get
 
 
 def _write_months(rows: DataFrame, path: str, rows_per_file: int, counted) -> dict[str, int]:
-    return _write(rows.withColumn("month", F.date_format("metric_date", "yyyy-MM")), _closed(path), "month",
-                  ["month", "segment_id", "metric_date"], rows_per_file, counted)
+    rows = rows.withColumn("month", F.date_format("metric_date", "yyyy-MM"))
+    return _write(rows.repartitionByRange(*MONTH_ORDER), _closed(path), MONTH_ORDER, rows_per_file, counted)
+
+
+def _deal_month(rows: DataFrame, month: str) -> DataFrame:
+    """Rows that are all of ``month``, dealt out without it: its text is not
+    formatted, sampled or shuffled row by row. It is no plain literal: Spark
+    drops a constant from the sort and adds another sort by ``month`` behind it,
+    which may undo the order of the first when it spills."""
+    return (rows.repartitionByRange(*MONTH_ORDER[1:])
+            .withColumn("month", F.when(F.col("metric_date").isNotNull(), F.lit(month))))
 
 
 def close_month(spark: SparkSession, path: str, month: str, rows_per_file: int = 2_000_000) -> None:
@@ -169,8 +181,9 @@ def close_month(spark: SparkSession, path: str, month: str, rows_per_file: int =
     in between is finished by the next call. A month without days stays open."""
     days = [d for d in _partitions(spark, path, "metric_date") if d.startswith(f"{month}-")]
     if month not in closed_months(spark, path) and days:
-        rows = spark.read.schema(S.STORED_DAY).parquet(path).where(F.date_format("metric_date", "yyyy-MM") == month)
-        _write_months(rows, path, rows_per_file, F.lit(True))
+        folders = [f"{path.rstrip('/')}/metric_date={d}" for d in days]          # no other day is listed
+        rows = spark.read.schema(S.STORED_DAY).option("basePath", path).parquet(*folders)
+        _write(_deal_month(rows, month), _closed(path), MONTH_ORDER, rows_per_file, F.lit(True))
     for d in days:
         at, fs = _folder(spark, f"{path.rstrip('/')}/metric_date={d}")
         fs.delete(at, True)

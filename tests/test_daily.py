@@ -292,3 +292,25 @@ def test_daily_run_into_a_closed_month(spark, setup, tmp_out):
     assert {r.errors for r in rm.collect()} == {1}
     assert stored_day(spark, path, other) == stored_day(spark, path, DAY)
     assert {(r.metric_date, r.segment_id) for r in tables.read_errors(spark, path).collect()} == {(DAY, 3), (other, 3)}
+
+
+def test_a_month_is_closed_by_one_sort_without_its_text_in_the_shuffle(spark, tmp_out):
+    """Rows that come twice, null ids and reasons stay; the month is put on behind the shuffle, and one sort is enough."""
+    path = os.path.join(tmp_out, "m")
+    days = [dt.date(2026, 1, 30), dt.date(2026, 1, 31), dt.date(2026, 2, 1)]
+    rows = [(i, d, 10 * (i or 0), "PENDING", None if (i or 0) % 2 else "bad") for i in (*range(60, 0, -1), 7, None) for d in days]
+    schema = "segment_id long, metric_date date, user_count long, status string, error_reason string"
+    tables.write_day(spark.createDataFrame(rows, schema), path)
+    plan = tables._deal_month(tables.read_days(spark, path), "2026-01").sortWithinPartitions(*tables.MONTH_ORDER)._jdf.queryExecution().executedPlan().toString()
+    exchange, = (x for x in plan.splitlines() if "Exchange" in x)
+    assert "month" not in exchange and "segment_id" in exchange and "Sort [month" in plan
+    tables.close_month(spark, path, "2026-01", rows_per_file=50)
+    key = lambda r: tuple((v is not None, v) for v in r)                            # noqa: E731
+    assert sorted(map(tuple, tables.read_days(spark, path).collect()), key=key) == sorted(rows, key=key)
+    assert sorted(x for x in os.listdir(path) if x.startswith("metric_date")) == ["metric_date=2026-02-01"]
+    import pyarrow.parquet as pq
+    folder = os.path.join(f"{path}.closed", "month=2026-01")
+    files = [pq.read_table(os.path.join(folder, f), partitioning=None).select(["segment_id", "metric_date"]).to_pylist() for f in os.listdir(folder) if f.endswith(".parquet")]
+    keys = sorted(([(r["segment_id"] or 0, r["metric_date"]) for r in f] for f in files), key=lambda f: (f[0], f[-1]))
+    assert len(keys) >= 3 and sum(map(len, keys)) == 124 and all(len(f) <= 50 for f in keys)
+    assert sum(keys, []) == sorted(sum(keys, []))

@@ -44,6 +44,16 @@ def test_history_backfill(spark):
     assert r.user_count == 1000 + (3 * 7 % 5000) + (32 % 100) and r.status == "INSERTED"
 
 
+def test_history_of_few_files_is_dealt_out(spark):
+    """Segments read by one task are dealt out before they become 120 rows each; ids that come twice or are null stay."""
+    ids = spark.range(1, 401).select(F.when(F.col("id") != 9, F.col("id")).alias("segment_id"))
+    hist = seed.backfill_history(ids.unionByName(ids.where("segment_id = 3")).coalesce(1))
+    tasks = hist.groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) > 1 and sum(r["count"] for r in tasks) == 401 * 120 and max(r["count"] for r in tasks) < 401 * 60
+    per_id = {r.segment_id: r["count"] for r in hist.groupBy("segment_id").count().collect()}
+    assert per_id == {i if i != 9 else None: 240 if i == 3 else 120 for i in range(1, 401)}
+
+
 def test_account_generator_distribution(spark):
     acc = seed.generate_accounts(spark.range(1, 200001).withColumnRenamed("id", "user_id"))
     stats = acc.agg(F.min("age"), F.max("age"), F.min("order_count"), F.max("order_count"),
