@@ -123,3 +123,56 @@ def test_wrapped_notices_pass_keyword_and_gate(spark):
     assert [[d.label for d in rows[i].detections or []] for i in range(4)] == [["proprietary"], ["public-domain"], ["isc"], ["cc0"]]
     own = scan_licenses(spark.createDataFrame([(1, "the beer\nware terms")], "doc_id long, text string"), [Signature("beer", r"beer\s+ware", "beer ware", 1, 0.5)])
     assert [d.label for d in own.first().detections] == ["beer"]
+
+
+def scan(text):
+    """Detections by plain Python: every rule on every text, every pair compared."""
+    low = (text or "").translate(AZ)
+    found = {(m.start(), m.end(), r.label, r.priority, r.score) for r in signatures() for m in re.finditer(r.regex, low)}
+    return sorted(d for d in found if not any(
+        e[0] <= d[0] and e[1] >= d[1] and (e[3] > d[3] or e[3] == d[3] and e[1] - e[0] > d[1] - d[0]) for e in found))
+
+
+def test_detections_against_every_rule_and_pair(spark):
+    import random
+    from re import _parser
+
+    g, rules, texts = random.Random(7), signatures(), [None, "", "access to cc", "licence", "GNU  GENERAL\tPUBLIC \n LICENSE v2"]
+    for r in rules * 20:
+        text = spelled(_parser.parse(r.regex), g)
+        assert re.search(r.stem, text) and r.gate in text, (r, text)
+    for _ in range(250):
+        parts = [spelled(_parser.parse(g.choice(rules).regex), g) for _ in range(g.choice([1, 2, 3, 12]))]
+        texts.append(g.choice([" ", "\n", ". ", " and  ", "\r\n\t", " é 😀 "]).join(parts * g.choice([1, 1, 2])))
+    df = spark.createDataFrame(list(enumerate(texts)) * 2, "doc_id long, text string").repartition(4)
+    rows = scan_licenses(df).collect()
+    assert len(rows) == 2 * len(texts)
+    for r in rows:
+        t = texts[r.doc_id]
+        assert [(d["at"], d.to, d.label, d.priority, d.score) for d in r.detections or []] == scan(t), t
+        assert r.n_words == phrases(t)[0] and (r.first_word, r.last_word) == phrases(t)[2:4], t
+
+
+def test_words_are_counted_without_a_list_of_them(spark):
+    df = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    plan = scan_licenses(df).select("doc_id", "n_words")._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan
+    texts = ["a", " a", "a ", " - a1b, É;é\n", "..", "\x00", "", None, "a" * 50_000, ". " * 50_000, "a " * 50_000, "\x7fmit\x80x😀_y", "é"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.n_words for r in scan_licenses(df).collect()} == {i: phrases(t)[0] for i, t in enumerate(texts)}
+
+
+def test_text_of_many_notices(spark):
+    import time
+
+    n = 20_000
+    text = "mit license, GNU General Public License v3.0 or later; " * n
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    scan_licenses(df.limit(0)).collect()
+    began = time.time()
+    row = scan_licenses(df).selectExpr("n_words", "base", "first_word", "last_word", "size(detections) AS n", "detections[0] AS d", "element_at(detections, -1) AS e").first()
+    took = time.time() - began
+    each = len(text) // n
+    assert (row.n_words, row.first_word, row.last_word, row.n) == (10 * n, 0, 10 * n - 8, 2 * n) and sorted((b.label, b.n) for b in row.base) == [("gpl", n), ("mit", n)]
+    assert (row.d["at"], row.d.label, row.e["at"], row.e.to, row.e.label) == (0, "mit", (n - 1) * each + 13, n * each - 2, "gpl-3")
+    assert took < 60, took
